@@ -1,0 +1,115 @@
+"""Daily counts whose state expires when a key has been idle for a while.
+
+Opt-in. The default job keeps every count for good, so a stored total never falls. Here
+a key that saw no event for ``ttl`` is forgotten: its next event counts from 1 again and
+replaces the greater total in the sink. State then grows with the keys active within the
+``ttl`` instead of with devices times days.
+
+Needs the RocksDB state store (``configure_streaming``) and the package on the
+executors' Python path. Run it with a processing-time trigger only.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, Row, functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+
+from hearthlog.functions.event_time import day, day_label
+from hearthlog.operators.fault_lookup import Normalizer, fits_broadcast, known_faults
+from hearthlog.plans.single_scan import name_operations, raw_operations
+from hearthlog.schemas import DAILY_COUNT
+from hearthlog.sinks.batch_writer import CountSink, log_metrics, upsert_batches
+from hearthlog.streaming.daily_counts import METRICS
+
+_KEY = [name for name in DAILY_COUNT.names if name != "cnt"]
+#: Event times travel to Python as plain numbers, free of time zones.
+_RESULT = T.StructType([*DAILY_COUNT.fields, T.StructField("last_us", T.LongType())])
+
+DAY_MS = 24 * 60 * 60 * 1000
+
+
+def combine_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Count equal keys within each Arrow batch, so that a hot key shuffles few rows."""
+    for batch in batches:
+        counted = (
+            pa.Table.from_batches([batch])
+            .group_by(_KEY)
+            .aggregate([("cnt", "sum"), ("last_us", "max")])
+            .rename_columns([*_KEY, "cnt", "last_us"])
+        )
+        yield from counted.to_batches()
+
+
+class ExpiringCount(StatefulProcessor):
+    """The running count of one key, forgotten ``ttl_ms`` after its last event."""
+
+    def __init__(self, ttl_ms: int) -> None:
+        self._ttl_ms = ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._total = handle.getValueState("total", "cnt bigint, last_us bigint", self._ttl_ms)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        cnt, last_us = self._total.get() if self._total.exists() else (0, None)
+        for row in rows:
+            cnt += row.cnt
+            last_us = max((t for t in (last_us, row.last_us) if t is not None), default=None)
+        self._total.update((cnt, last_us))
+        yield Row(**dict(zip(_KEY, key)), cnt=cnt, last_us=last_us)
+
+    def close(self) -> None:
+        pass
+
+
+def expiring_daily_counts(
+    log: DataFrame,
+    dictionary: DataFrame,
+    ttl_ms: int = DAY_MS,
+    broadcast: bool | None = None,
+    normalize: Normalizer | None = None,
+) -> DataFrame:
+    """``daily_operation_counts`` of a stream, with idle counts forgotten."""
+    known = known_faults(dictionary, normalize)
+    if broadcast is None:
+        broadcast = fits_broadcast(known)
+    named = name_operations(raw_operations(log, METRICS), known, broadcast, normalize)
+    rows = named.withColumn("ds", day_label(day(F.col("ts_ltz")))).select(
+        *_KEY, F.col("_copies").alias("cnt"), F.unix_micros("ts_ltz").alias("last_us")
+    )
+    return (
+        rows.mapInArrow(combine_batches, _RESULT)
+        .groupBy(*_KEY)
+        .transformWithState(ExpiringCount(ttl_ms), _RESULT, "Update", "ProcessingTime")
+        .withColumn("last_ts", F.timestamp_micros("last_us"))
+        .drop("last_us")
+    )
+
+
+def start_expiring_daily_counts(
+    log: DataFrame,
+    dictionary: DataFrame,
+    sink: CountSink,
+    checkpoint: str,
+    ttl_ms: int = DAY_MS,
+    interval: str = "60 seconds",
+    null_keys: str = "fail",
+    broadcast: bool | None = None,
+    normalize: Normalizer | None = None,
+    on_metrics=log_metrics,
+    name: str | None = None,
+) -> StreamingQuery:
+    """``start_daily_counts`` with idle counts forgotten after ``ttl_ms``."""
+    counts = expiring_daily_counts(log, dictionary, ttl_ms, broadcast, normalize)
+    writer = (
+        counts.writeStream.outputMode("update")
+        .option("checkpointLocation", checkpoint)
+        .trigger(processingTime=interval)
+        .foreachBatch(upsert_batches(sink, null_keys, on_metrics))
+    )
+    if name:
+        writer = writer.queryName(name)
+    return writer.start()
