@@ -42,7 +42,8 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 
 def _log(spark: SparkSession, sf_dir: str, renamed: bool = False) -> DataFrame:
     configure_session(spark)
-    return fixtures.device_log(spark.read.parquet(f"{sf_dir}/events.parquet"), renamed)
+    events = spark.read.schema(fixtures.EVENTS).parquet(f"{sf_dir}/events.parquet")
+    return fixtures.device_log(events, renamed)
 
 
 def _duplicated(dictionary: DataFrame) -> DataFrame:
@@ -155,10 +156,8 @@ def _daily_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _daily_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure_session(spark)
-    path = f"{sf_dir}/events.parquet"
-    schema = spark.read.parquet(path).schema
     # A pattern, as a file stream takes folders and patterns but no single file.
-    events = spark.readStream.schema(schema).parquet(f"{path[:-1]}[t]")
+    events = spark.readStream.schema(fixtures.EVENTS).parquet(f"{sf_dir}/events.parque[t]")
     work = shared_dir(spark, "daily-counts")
     sink = ChangeTable(f"{work}/table")
     query = start_daily_counts(

@@ -7,6 +7,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from hearthlog.functions.event_time import event_time
 from hearthlog.schemas import ERROR_CODE, LEFT_MODE, MODE, RECIPE, RIGHT_MODE
 
+#: The columns of the ``events`` table that are used.
+EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string"
+
 
 def device_log(events: DataFrame, renamed: bool = False) -> DataFrame:
     """Map ``events`` (batch or stream) to device-log rows.
@@ -70,7 +73,7 @@ def fault_dictionary(spark: SparkSession) -> DataFrame:
     """Products P0..P3 with faults E1..E12: one fault each is missing, some have no type."""
     product, fault = F.col("id") % 4, F.shiftright("id", 2) + 1
     return (
-        spark.range(48)
+        spark.range(0, 48, 1, numPartitions=1)
         .where(fault != product + 3)
         .select(
             F.when(fault % 5 != 0, F.lit("T")).alias("fault_type_code"),

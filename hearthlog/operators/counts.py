@@ -20,13 +20,18 @@ def count_by_day(
     measures = [cnt.alias("cnt")]
     if last_event:
         measures.append(F.max("ts_ltz").alias("last_ts"))
-    counted = (
-        operations.withColumn("_day", day(F.col("ts_ltz")))
-        .groupBy("_day", *OPERATION_KEY)
+    return (
+        operations.groupBy(day(F.col("ts_ltz")).alias("_day"), *OPERATION_KEY)
         .agg(*measures)
-        .withColumn("ds", day_label(F.col("_day")))
+        .select(*daily_columns(last_event))
     )
-    return counted.select(*DAILY_COUNT.names, *(["last_ts"] if last_event else []))
+
+
+def daily_columns(last_event: bool) -> list[Column]:
+    """The stored columns of counts that are grouped by ``_day``."""
+    label = day_label(F.col("_day")).alias("ds")
+    names = [*DAILY_COUNT.names, *(["last_ts"] if last_event else [])]
+    return [label if name == "ds" else F.col(name) for name in names]
 
 
 def last_write_per_key(counts: DataFrame) -> DataFrame:

@@ -66,14 +66,11 @@ def match_faults(
         same(F.col("_fault")) == same(F.col("_code"))
     )
     if broadcast:
-        joined = rows.join(F.broadcast(known), on, how)
-    else:
-        salted = rows.withColumn("_salt", F.spark_partition_id() % salt_buckets)
-        salts = F.sequence(F.lit(0), F.lit(salt_buckets - 1))
-        repeated = known.withColumn("_known_salt", F.explode(salts))
-        on = on & (F.col("_salt") == F.col("_known_salt"))
-        joined = salted.join(repeated, on, how).drop("_salt", "_known_salt")
-    return joined.drop("_product")
+        return rows.join(F.broadcast(known), on, how)
+    salted = rows.withColumn("_salt", F.spark_partition_id() % salt_buckets)
+    salts = F.sequence(F.lit(0), F.lit(salt_buckets - 1))
+    repeated = known.withColumn("_known_salt", F.explode(salts))
+    return salted.join(repeated, on & (F.col("_salt") == F.col("_known_salt")), how)
 
 
 def lookup_faults(
@@ -94,8 +91,8 @@ def lookup_faults(
     if broadcast is None:
         broadcast = fits_broadcast(known)
     rows = faults.withColumn("_fault", fault_code(F.col(number)))
-    return (
-        match_faults(rows, known, "inner", broadcast, normalize)
-        .drop("_fault")
-        .withColumnsRenamed({"_code": "fault_code", "_name": "fault_name"})
+    return match_faults(rows, known, "inner", broadcast, normalize).select(
+        *faults.columns,
+        F.col("_code").alias("fault_code"),
+        F.col("_name").alias("fault_name"),
     )

@@ -5,12 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, functions as F
 
 from hearthlog.config import MAX_BROADCAST_BYTES
-from hearthlog.functions.event_time import day, day_label
-from hearthlog.operators.counts import count_by_day
+from hearthlog.functions.event_time import day
+from hearthlog.operators.counts import count_by_day, daily_columns
 from hearthlog.operators.fault_lookup import Normalizer, fits_broadcast, known_faults
 from hearthlog.plans.single_scan import RAW_KEY, name_operations, raw_operations
 from hearthlog.plans.views import operation_events
-from hearthlog.schemas import DAILY_COUNT
 
 
 def daily_operation_counts_union(
@@ -52,9 +51,7 @@ def _count_then_name(
     measures = [F.count("*").alias("cnt")]
     if last_event:
         measures.append(F.max("ts_ltz").alias("last_ts"))
-    counted = raw.withColumn("_day", day(F.col("ts_ltz"))).groupBy("_day", *RAW_KEY).agg(*measures)
+    counted = raw.groupBy(day(F.col("ts_ltz")).alias("_day"), *RAW_KEY).agg(*measures)
     named = name_operations(counted, known, broadcast=False, normalize=normalize)
-    named = named.withColumn("ds", day_label(F.col("_day"))).withColumn(
-        "cnt", F.col("cnt") * F.col("_copies")
-    )
-    return named.select(*DAILY_COUNT.names, *(["last_ts"] if last_event else []))
+    total = F.col("cnt") * F.col("_copies")
+    return named.withColumn("cnt", total).select(*daily_columns(last_event))

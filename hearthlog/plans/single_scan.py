@@ -64,14 +64,20 @@ def raw_operations(log: DataFrame, observation: Observation | str | None = None)
     positions = F.when(is_error, mask_positions(F.col("_raised"))).when(
         F.col("_id").isNotNull(), F.array(F.lit(0))
     )
-    number = fault_number(F.col("_position"))
+    fault = fault_code(fault_number(F.col("_position")))
     return (
         parsed.select(*_DEVICE, "_id", raised_mask(F.col("_new"), F.col("_old")).alias("_raised"))
-        .withColumn("_position", F.explode(positions))
+        .select("*", F.explode(positions).alias("_position"))
         .where(F.col("_id").isNotNull() | has_bit(F.col("_raised"), F.col("_position")))
-        .withColumn("_fault", F.when(F.col("_id").isNull(), fault_code(number)))
-        .withColumn("eventName", F.when(is_mode, F.lit(MODE)).otherwise(name))
-        .drop("_raised", "_position")
+        .select(
+            "productKey",
+            "iotId",
+            "deviceName",
+            "ts_ltz",
+            F.when(is_mode, F.lit(MODE)).otherwise(name).alias("eventName"),
+            "_id",
+            F.when(F.col("_id").isNull(), fault).alias("_fault"),
+        )
     )
 
 
@@ -100,18 +106,13 @@ def name_operations(
         known = known.coalesce(1)
     joined = match_faults(raw, collapse_copies(known), "left", broadcast, normalize)
     is_fault = F.col("_id").isNull()
-    return (
-        joined.where(~is_fault | F.col("_copies").isNotNull())
-        .withColumns(
-            {
-                "optId": F.coalesce("_id", "_code"),
-                "optName": F.when(F.col("eventName") == RECIPE, F.col("_id")).otherwise(
-                    F.col("_name")
-                ),
-                "_copies": F.coalesce("_copies", F.lit(1)),
-            }
-        )
-        .drop("_id", "_fault", "_code", "_name")
+    name = F.when(F.col("eventName") == RECIPE, F.col("_id")).otherwise(F.col("_name"))
+    consumed = {"_id", "_fault"}
+    return joined.where(~is_fault | F.col("_copies").isNotNull()).select(
+        *[c for c in raw.columns if c not in consumed],
+        F.coalesce("_id", "_code").alias("optId"),
+        name.alias("optName"),
+        F.coalesce("_copies", F.lit(1)).alias("_copies"),
     )
 
 

@@ -1,0 +1,93 @@
+"""The physical plans are the ones meant for large data."""
+
+from __future__ import annotations
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from hearthlog import fixtures
+from hearthlog.operators.fault_lookup import fits_broadcast, known_faults
+from hearthlog.plans.daily_counts import daily_operation_counts, daily_operation_counts_union
+from hearthlog.plans.views import fault_events
+from hearthlog.schemas import DEVICE_LOG
+from hearthlog.sources.device_log import read_files
+
+
+@pytest.fixture(scope="module")
+def log(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("log"))
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    rows = fixtures.device_log(events).select(*DEVICE_LOG.names)
+    rows.write.mode("overwrite").parquet(path)
+    return read_files(spark, path, streaming=False)
+
+
+def plan_of(frame) -> str:
+    """The plan after it ran, with adaptive changes and whole-stage spans."""
+    frame.write.format("noop").mode("overwrite").save()
+    frame.collect()
+    text = frame._jdf.queryExecution().executedPlan().toString()
+    return text.split("+- == Initial Plan ==")[0]
+
+
+def test_one_scan_one_shuffle_of_the_log(spark, log):
+    plan = plan_of(daily_operation_counts(log, fixtures.fault_dictionary(spark)))
+    assert plan.count("FileScan parquet") == 1
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert plan.count("BroadcastHashJoin") == 1
+    assert "partial_sum" in plan
+
+
+def test_scan_reads_only_what_is_needed(spark, log):
+    plan = plan_of(daily_operation_counts(log, fixtures.fault_dictionary(spark)))
+    assert re.search(r"PushedFilters: \[In\(eventName, \[ErrorCode,", plan)
+    assert "requestId" not in plan and "checkFailedData" not in plan
+
+
+def test_everything_before_the_shuffle_is_one_generated_span(spark, log):
+    plan = plan_of(daily_operation_counts(log, fixtures.fault_dictionary(spark)))
+    scan_side = plan[plan.index("Exchange hashpartitioning") : plan.index("BroadcastExchange")]
+    operators = [line for line in scan_side.splitlines()[1:] if re.search(r"[+:]- ", line)]
+    inner = [o for o in operators if not re.search(r"FileScan|ShuffleQuery|BroadcastQuery", o)]
+    assert inner and all(re.search(r"\*\(\d+\)", o) for o in inner), inner
+    assert "lambda" not in plan
+
+
+def test_each_text_is_parsed_once(spark, log):
+    for frame in (
+        daily_operation_counts(log, fixtures.fault_dictionary(spark)),
+        fault_events(log, fixtures.fault_dictionary(spark)),
+    ):
+        assert plan_of(frame).count("RLIKE") == 2
+
+
+def test_union_reads_the_log_once_per_view(spark, log):
+    plan = plan_of(daily_operation_counts_union(log, fixtures.fault_dictionary(spark)))
+    assert plan.count("FileScan parquet") == 3
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_a_big_dictionary_is_shuffled_after_counting(spark, log):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(
+            daily_operation_counts(log, fixtures.fault_dictionary(spark), max_broadcast_bytes=0)
+        )
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    assert plan.count("FileScan parquet") == 1
+    assert "Broadcast" not in plan
+    assert plan.index("SortMergeJoin") < plan.index("partial_count")
+
+
+def test_dictionary_size_is_measured(spark):
+    known = known_faults(fixtures.fault_dictionary(spark))
+    rows = known.count()
+    size = rows * 64 + known.agg(F.sum(F.length(F.concat("_product", "_code", "_name")))).first()[0]
+    assert fits_broadcast(known, size)
+    assert not fits_broadcast(known, size - 1)
+    assert fits_broadcast(known.where(F.lit(False)), 0)
