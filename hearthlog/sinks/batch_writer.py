@@ -25,18 +25,22 @@ def upsert_batches(
     sink: CountSink,
     null_keys: str = "fail",
     on_metrics: Callable[[int, dict[str, int]], None] = log_metrics,
+    before: Callable[[], None] | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function: check keys, settle shared keys, write.
 
     ``null_keys`` says what to do with a count whose stored key holds a NULL: ``fail``
     the job or ``drop`` it. Metrics per batch are ``null_key_rows`` and ``overwritten``
     (groups that lost a stored key to another one). Everything runs in the sink's one
-    write: a second action on the batch would repeat the stateful work.
+    write: a second action on the batch would repeat the stateful work. ``before`` runs
+    ahead of every batch and may raise to stop the job.
     """
     if null_keys not in ("fail", "drop"):
         raise ValueError("null_keys must be 'fail' or 'drop'")
 
     def write(counts: DataFrame, batch_id: int) -> None:
+        if before:
+            before()
         keys, stored = Observation(), Observation()
         checked = counts.observe(keys, F.count_if(has_null_key()).alias("null_key_rows"))
         if null_keys == "fail":

@@ -1,0 +1,46 @@
+"""A file dictionary that a stream reads again for every micro-batch.
+
+Spark's own file reader keeps the files it found when the stream was defined. This one
+looks into the folder whenever it is read, as the JDBC source asks its database anew, so
+a replaced or added file applies from the next micro-batch on. It reads in one task, as
+JDBC does; for a dictionary far too big for that, use files and restart to refresh.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.dataset as ds
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+
+from hearthlog.schemas import FAULT_DICTIONARY
+
+_ARROW_SCHEMA = pa.schema([(name, pa.string()) for name in FAULT_DICTIONARY.names])
+
+
+class DictionaryFolder(DataSourceReader):
+    def __init__(self, folder: str) -> None:
+        self._folder = folder
+
+    def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
+        yield from ds.dataset(self._folder, _ARROW_SCHEMA, format="parquet").to_batches()
+
+
+class FreshDictionary(DataSource):
+    @classmethod
+    def name(cls) -> str:
+        return "fresh_fault_dictionary"
+
+    def schema(self):
+        return FAULT_DICTIONARY
+
+    def reader(self, schema) -> DictionaryFolder:
+        return DictionaryFolder(self.options["path"])
+
+
+def read_fresh_dictionary(spark: SparkSession, folder: str) -> DataFrame:
+    """Parquet dictionary in ``folder``, a path or a URI that Arrow can read."""
+    spark.dataSource.register(FreshDictionary)
+    return spark.read.format(FreshDictionary.name()).load(folder)

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from hearthlog.operators.fault_lookup import Normalizer
+from hearthlog.config import MAX_BROADCAST_BYTES
+from hearthlog.operators.fault_lookup import Normalizer, fits_broadcast, known_faults
 from hearthlog.plans.daily_counts import daily_operation_counts
 from hearthlog.sinks.batch_writer import CountSink, log_metrics, upsert_batches
 
@@ -30,6 +33,30 @@ def configure_streaming(spark: SparkSession, shuffle_partitions: int | None = No
         spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
 
 
+def dictionary_strategy(
+    dictionary: DataFrame, broadcast: bool | None, max_bytes: int
+) -> tuple[bool, Callable[[], None] | None]:
+    """Whether to broadcast, and a check that it still holds before every batch.
+
+    A dictionary may grow while a stream runs. The check stops the job; started again
+    from its checkpoint, it finds the dictionary too big and shuffles it.
+    """
+    if broadcast is not None:
+        return broadcast, None
+    known = known_faults(dictionary)
+    if not fits_broadcast(known, max_bytes):
+        return False, None
+
+    def still_fits() -> None:
+        if not fits_broadcast(known, max_bytes):
+            raise RuntimeError(
+                f"the fault dictionary has outgrown {max_bytes} bytes: start the job again "
+                "and it will be shuffled instead of broadcast"
+            )
+
+    return True, still_fits
+
+
 def start_daily_counts(
     log: DataFrame,
     dictionary: DataFrame,
@@ -42,6 +69,7 @@ def start_daily_counts(
     normalize: Normalizer | None = None,
     on_metrics=log_metrics,
     name: str | None = None,
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> StreamingQuery:
     """Start counting ``log`` and upserting every changed count.
 
@@ -50,6 +78,7 @@ def start_daily_counts(
     counts alone. Absolute counts and keyed upserts make a replayed batch harmless.
     ``until_caught_up`` stops after the input present at the start.
     """
+    broadcast, before = dictionary_strategy(dictionary, broadcast, max_broadcast_bytes)
     counts = daily_operation_counts(
         log,
         dictionary,
@@ -61,20 +90,30 @@ def start_daily_counts(
     writer = (
         counts.writeStream.outputMode("update")
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(upsert_batches(sink, null_keys, on_metrics))
+        .foreachBatch(upsert_batches(sink, null_keys, on_metrics, before))
     )
     if name:
         writer = writer.queryName(name)
-    trigger = {"availableNow": True} if until_caught_up else {"processingTime": interval}
-    return writer.trigger(**trigger).start()
+    return writer.trigger(**_trigger(interval, until_caught_up)).start()
 
 
-def start_console(frame: DataFrame, checkpoint: str, output_mode: str = "append") -> StreamingQuery:
+def _trigger(interval: str, until_caught_up: bool) -> dict:
+    return {"availableNow": True} if until_caught_up else {"processingTime": interval}
+
+
+def start_console(
+    frame: DataFrame,
+    checkpoint: str,
+    output_mode: str = "append",
+    interval: str = "60 seconds",
+    until_caught_up: bool = False,
+) -> StreamingQuery:
     """Print a log or a view as it arrives (``append``), or changed counts (``update``)."""
     return (
         frame.writeStream.outputMode(output_mode)
         .option("checkpointLocation", checkpoint)
         .option("truncate", "false")
         .format("console")
+        .trigger(**_trigger(interval, until_caught_up))
         .start()
     )

@@ -18,12 +18,13 @@ from pyspark.sql import DataFrame, Row, functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
+from hearthlog.config import MAX_BROADCAST_BYTES
 from hearthlog.functions.event_time import day, day_label
 from hearthlog.operators.fault_lookup import Normalizer, fits_broadcast, known_faults
 from hearthlog.plans.single_scan import name_operations, raw_operations
 from hearthlog.schemas import DAILY_COUNT
 from hearthlog.sinks.batch_writer import CountSink, log_metrics, upsert_batches
-from hearthlog.streaming.daily_counts import METRICS
+from hearthlog.streaming.daily_counts import METRICS, dictionary_strategy
 
 _KEY = [name for name in DAILY_COUNT.names if name != "cnt"]
 #: Event times travel to Python as plain numbers, free of time zones.
@@ -101,14 +102,16 @@ def start_expiring_daily_counts(
     normalize: Normalizer | None = None,
     on_metrics=log_metrics,
     name: str | None = None,
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> StreamingQuery:
     """``start_daily_counts`` with idle counts forgotten after ``ttl_ms``."""
+    broadcast, before = dictionary_strategy(dictionary, broadcast, max_broadcast_bytes)
     counts = expiring_daily_counts(log, dictionary, ttl_ms, broadcast, normalize)
     writer = (
         counts.writeStream.outputMode("update")
         .option("checkpointLocation", checkpoint)
         .trigger(processingTime=interval)
-        .foreachBatch(upsert_batches(sink, null_keys, on_metrics))
+        .foreachBatch(upsert_batches(sink, null_keys, on_metrics, before))
     )
     if name:
         writer = writer.queryName(name)

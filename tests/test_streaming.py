@@ -12,6 +12,7 @@ from hearthlog.plans.daily_counts import daily_operation_counts
 from hearthlog.schemas import DAILY_COUNT, DEVICE_LOG
 from hearthlog.sinks.change_table import ChangeTable
 from hearthlog.sources.device_log import read_files
+from hearthlog.sources.fresh_dictionary import read_fresh_dictionary
 from hearthlog.streaming.daily_counts import METRICS, configure_streaming, start_daily_counts
 from hearthlog.streaming.expiring_counts import start_expiring_daily_counts
 
@@ -234,3 +235,64 @@ def test_json_messages_as_a_stream(spark, tmp_path, log_of, dictionary_of):
     run(query)
     assert bag(table.current(spark)) == bag(daily_operation_counts(log, dictionary))
     assert Path(f"{tmp_path}/table/batch_id=0").is_dir()
+
+
+def test_a_fresh_dictionary_applies_from_the_next_batch(spark, tmp_path, log_of, dictionary_of):
+    folder = f"{tmp_path}/dictionary"
+    other, named = dictionary_of(("T", "P9", "E1", "other")), dictionary_of(("T", "P1", "E1", "one"))
+    other.coalesce(1).write.parquet(folder)
+    table = ChangeTable(f"{tmp_path}/table")
+    add_rows(log_of(FAULT), tmp_path / "log", 0)
+    query = start_daily_counts(
+        stream_of(spark, tmp_path),
+        read_fresh_dictionary(spark, folder),
+        table,
+        f"{tmp_path}/checkpoint",
+        interval="0 seconds",
+        broadcast=True,
+    )
+    try:
+        query.processAllAvailable()
+        assert table.current(spark).count() == 0
+        named.coalesce(1).write.mode("append").parquet(folder)
+        add_rows(log_of(FAULT, FAULT), tmp_path / "log", 1)
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert [(r.optName, r.cnt) for r in table.current(spark).collect()] == [("one", 2)]
+
+
+def test_a_grown_dictionary_is_shuffled_after_a_restart(
+    spark, tmp_path, log_of, dictionary_of, monkeypatch
+):
+    folder = f"{tmp_path}/dictionary"
+    entry = ("T", "P1", "E1", "one")
+    dictionary_of(entry).coalesce(1).write.parquet(folder)
+    dictionary = read_fresh_dictionary(spark, folder)
+    add_rows(log_of(FAULT), tmp_path / "log", 0)
+    limit = {"max_broadcast_bytes": 100}
+    run(start(spark, tmp_path, dictionary, **limit)[0])
+    query, table = None, None
+    add_rows(log_of(FAULT), tmp_path / "log", 1)
+    from hearthlog.streaming import daily_counts as job
+
+    fits = job.fits_broadcast
+
+    def grows(known, max_bytes):
+        answer = fits(known, max_bytes)
+        if folder_size(spark, folder) == 1:
+            more = dictionary_of(("T", "P1", "E2", "two"), ("T", "P2", "E1", "one"))
+            more.coalesce(1).write.mode("append").parquet(folder)
+        return answer
+
+    monkeypatch.setattr(job, "fits_broadcast", grows)
+    query, table = start(spark, tmp_path, dictionary, **limit)
+    with pytest.raises(StreamingQueryException, match="outgrown 100 bytes"):
+        query.awaitTermination(120)
+    query, table = start(spark, tmp_path, dictionary, **limit)
+    run(query)
+    assert [(r.optName, r.cnt) for r in table.current(spark).collect()] == [("one", 2)]
+
+
+def folder_size(spark, folder):
+    return spark.read.parquet(folder).count()
