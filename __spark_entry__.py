@@ -8,10 +8,12 @@ written independently of the Spark code.
 from __future__ import annotations
 
 import sys
+import time
 from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
@@ -35,7 +37,11 @@ from hearthlog.schemas import DEVICE_LOG, ERROR_CODE, MODE, RECIPE  # noqa: E402
 from hearthlog.sinks.analytic_table import analytic_rows  # noqa: E402
 from hearthlog.sinks.change_table import ChangeTable  # noqa: E402
 from hearthlog.sources.device_log import decode_json  # noqa: E402
-from hearthlog.streaming.daily_counts import start_daily_counts  # noqa: E402
+from hearthlog.streaming.daily_counts import (  # noqa: E402
+    configure_streaming,
+    start_daily_counts,
+)
+from hearthlog.streaming.expiring_counts import start_expiring_daily_counts  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -117,6 +123,11 @@ def _faults(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_ms(views.fault_events(_log(spark, sf_dir), fixtures.fault_dictionary(spark)))
 
 
+def _faults_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log, dictionary = _log(spark, sf_dir), fixtures.fault_dictionary(spark)
+    return _with_ms(views.fault_events(log, dictionary, broadcast=False))
+
+
 def _modes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_ms(views.working_mode_events(_log(spark, sf_dir)))
 
@@ -171,6 +182,40 @@ def _daily_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sink.current(spark)
 
 
+def _expiring_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure_session(spark)
+    events = spark.readStream.schema(fixtures.EVENTS).parquet(f"{sf_dir}/events.parque[t]")
+    work = shared_dir(spark, "expiring-counts")
+    sink = ChangeTable(f"{work}/table")
+    provider = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    configure_streaming(spark)
+    try:
+        query = start_expiring_daily_counts(
+            fixtures.device_log(events),
+            fixtures.fault_dictionary(spark),
+            sink,
+            f"{work}/checkpoint",
+            interval="1 second",
+        )
+        try:
+            # It would go on with empty batches that look for expired counts.
+            while query.isActive and not _caught_up(query):
+                time.sleep(0.2)
+        finally:
+            query.stop()
+    finally:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", provider)
+    if query.exception():
+        raise query.exception()
+    return sink.current(spark)
+
+
+def _caught_up(query: StreamingQuery) -> bool:
+    """Whether a batch without input followed those with input."""
+    read = [progress.numInputRows for progress in query.recentProgress]
+    return any(read) and read[-1] == 0
+
+
 def _renamed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = _log(spark, sf_dir, renamed=True)
     return daily_operation_counts(log, fixtures.fault_dictionary(spark), last_event=True)
@@ -204,6 +249,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "fault_dictionary_lookup": _lookup,
         "bad_error_codes": _bad_codes,
         "fault_events": _faults,
+        "fault_events_shuffled_dictionary": _faults_shuffled,
         "working_mode_events": _modes,
         "recipe_events": _recipes,
         "operation_events": _operations,
@@ -214,6 +260,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "daily_operation_counts_duplicated_dictionary": _daily_duplicated,
         "daily_operation_counts_sql": _daily_sql,
         "daily_operation_counts_stream": _daily_stream,
+        "daily_operation_counts_expiring_stream": _expiring_stream,
         "sink_key_collisions": _collisions,
         "last_write_per_key": _last_write,
         "analytic_rows": _analytic_rows,
@@ -380,6 +427,7 @@ FROM device_log""",
         + """
 SELECT count(*) AS bad_error_codes FROM codes WHERE new_code IS NULL OR old_code IS NULL""",
         "fault_events": ctes + "SELECT * FROM fault_events",
+        "fault_events_shuffled_dictionary": ctes + "SELECT * FROM fault_events",
         "working_mode_events": ctes + "SELECT * FROM working_mode_events",
         "recipe_events": ctes + "SELECT * FROM recipe_events",
         "operation_events": ctes + "SELECT * FROM operation_events",
@@ -391,6 +439,7 @@ SELECT count(*) AS bad_error_codes FROM codes WHERE new_code IS NULL OR old_code
         + _DAILY_SQL,
         "daily_operation_counts_sql": daily,
         "daily_operation_counts_stream": daily,
+        "daily_operation_counts_expiring_stream": daily,
         "sink_key_collisions": renamed
         + """
 SELECT ds, "iotId", "eventName", "optId", count(*) AS groups,

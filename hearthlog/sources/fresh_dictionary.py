@@ -8,10 +8,12 @@ JDBC does; for a dictionary far too big for that, use files and restart to refre
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.dataset as ds
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
@@ -19,6 +21,9 @@ from hearthlog.schemas import FAULT_DICTIONARY
 
 _ARROW_SCHEMA = pa.schema([(name, pa.string()) for name in FAULT_DICTIONARY.names])
 
+# Python workers get the code below with the plan and need not have the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 class DictionaryFolder(DataSourceReader):
     def __init__(self, folder: str) -> None:

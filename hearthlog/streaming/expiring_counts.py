@@ -5,15 +5,16 @@ a key that saw no event for ``ttl`` is forgotten: its next event counts from 1 a
 replaces the greater total in the sink. State then grows with the keys active within the
 ``ttl`` instead of with devices times days.
 
-Needs the RocksDB state store (``configure_streaming``) and the package on the
-executors' Python path. Run it with a processing-time trigger only.
+Needs the RocksDB state store (``configure_streaming``) and a processing-time trigger.
 """
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row, functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
@@ -32,6 +33,9 @@ _RESULT = T.StructType([*DAILY_COUNT.fields, T.StructField("last_us", T.LongType
 
 DAY_MS = 24 * 60 * 60 * 1000
 
+# Python workers get the code below with the plan and need not have the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def combine_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Count equal keys within each Arrow batch, so that a hot key shuffles few rows."""
@@ -55,7 +59,7 @@ class ExpiringCount(StatefulProcessor):
         self._total = handle.getValueState("total", "cnt bigint, last_us bigint", self._ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        cnt, last_us = self._total.get() if self._total.exists() else (0, None)
+        cnt, last_us = self._total.get() or (0, None)
         for row in rows:
             cnt += row.cnt
             last_us = max((t for t in (last_us, row.last_us) if t is not None), default=None)

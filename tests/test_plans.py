@@ -48,11 +48,14 @@ def test_scan_reads_only_what_is_needed(spark, log):
 
 def test_everything_before_the_shuffle_is_one_generated_span(spark, log):
     plan = plan_of(daily_operation_counts(log, fixtures.fault_dictionary(spark)))
-    scan_side = plan[plan.index("Exchange hashpartitioning") : plan.index("BroadcastExchange")]
-    operators = [line for line in scan_side.splitlines()[1:] if re.search(r"[+:]- ", line)]
-    inner = [o for o in operators if not re.search(r"FileScan|ShuffleQuery|BroadcastQuery", o)]
-    assert inner and all(re.search(r"\*\(\d+\)", o) for o in inner), inner
-    assert "lambda" not in plan
+    lines = plan.splitlines()
+    first = next(i for i, line in enumerate(lines) if "Exchange hashpartitioning" in line) + 1
+    last = next(i for i, line in enumerate(lines) if "BroadcastExchange" in line)
+    operators = [line.strip(" :+-") for line in lines[first:last]]
+    spans = {o[: o.index(")")] for o in operators if o.startswith("*(")}
+    outside = [o.split()[0] for o in operators if not o.startswith("*(")]
+    assert len(spans) == 1
+    assert outside == ["FileScan", "BroadcastQueryStage"]
 
 
 def test_each_text_is_parsed_once(spark, log):
