@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -35,5 +36,4 @@ def shared_dir(spark: SparkSession, name: str) -> str:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         root = tempfile.mkdtemp(prefix="hearthlog-")
-    unique = spark.sql("SELECT uuid()").first()[0]
-    return f"{root.rstrip('/')}/{name}-{unique}"
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4()}"

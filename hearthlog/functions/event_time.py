@@ -5,8 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 
+# The first and last millisecond of the years 1 to 9999 in UTC.
+_FIRST_MS = -62135596800000
+_LAST_MS = 253402300799999
+
+
 def event_time(epoch_ms: Column) -> Column:
-    return F.timestamp_millis(epoch_ms)
+    """The timestamp, or NULL for a number outside the years 1 to 9999.
+
+    A device that sends microseconds, say, would otherwise stop the job or count under
+    a day in the far future.
+    """
+    return F.when(epoch_ms.between(_FIRST_MS, _LAST_MS), F.timestamp_millis(epoch_ms))
 
 
 def day(ts: Column) -> Column:

@@ -2,19 +2,32 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column, functions as F
 
+#: Decimal digits of other scripts (full-width ones, for instance) and their values. A
+#: strict long may be written in any of them.
+OTHER_DIGITS = "".join(
+    c for c in map(chr, range(0x80, 0x10000)) if unicodedata.category(c) == "Nd"
+)
+OTHER_DIGIT_VALUES = "".join(str(unicodedata.decimal(c)) for c in OTHER_DIGITS)
+
 #: Codes above 2^62 report one fault more than they have bits (number 64).
 _TOP_BIT = 1 << 62
 _FAULT_64 = -(1 << 63)
 
 
 def strict_long(text: Column) -> Column:
-    """An optionally signed run of ASCII digits that fits a bigint, else NULL.
+    """An optionally signed run of digits that fits a bigint, else NULL.
 
-    A plain ``try_cast`` is too lenient: it also takes surrounding blanks.
+    A plain ``try_cast`` is too lenient: it also takes surrounding blanks. Digits of
+    other scripts are translated only where the ASCII pattern has failed.
     """
-    return F.when(F.rlike(text, F.lit(r"\A[+-]?[0-9]+\z")), text.try_cast("bigint"))
+    other = F.translate(text, OTHER_DIGITS, OTHER_DIGIT_VALUES)
+    return F.when(F.rlike(text, F.lit(r"\A[+-]?[0-9]+\z")), text.try_cast("bigint")).when(
+        F.rlike(text, F.lit(r"\A[+-]?\p{Nd}+\z")), other.try_cast("bigint")
+    )
 
 
 def fault_mask(code: Column) -> Column:

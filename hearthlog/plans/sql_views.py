@@ -4,14 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from hearthlog.functions.fault_codes import OTHER_DIGIT_VALUES, OTHER_DIGITS
 from hearthlog.plans.daily_counts import daily_operation_counts
 from hearthlog.plans.views import fault_events, recipe_events, working_mode_events
 
 # Each function's arguments are computed in a projection of their own, so a text is
 # parsed once. (A function that returns a table would be planned as a self-join.)
 _FUNCTIONS = {
-    "strict_long(code STRING) RETURNS BIGINT": r"""
-        CASE WHEN code RLIKE '\\A[+-]?[0-9]+\\z' THEN try_cast(code AS BIGINT) END
+    "strict_long(code STRING) RETURNS BIGINT": rf"""
+        CASE WHEN code RLIKE '\\A[+-]?[0-9]+\\z' THEN try_cast(code AS BIGINT)
+             WHEN code RLIKE '\\A[+-]?\\p{{Nd}}+\\z'
+             THEN try_cast(translate(code, '{OTHER_DIGITS}', '{OTHER_DIGIT_VALUES}') AS BIGINT)
+        END
     """,
     "fault_mask(code BIGINT) RETURNS BIGINT": """
         CASE WHEN code > 4611686018427387904 THEN code | shiftleft(1L, 63)

@@ -30,8 +30,10 @@ RAISED = [
     ("9223372036854775807", "0", list(range(1, 65))),
     ("9223372036854775807", "9223372036854775807", []),
     ("5", "-9223372036854775808", [1, 3]),
+    ("１２", "+０", [3, 4]),
+    ("٥", "1", [3]),
 ]
-NO_NUMBER = [" 5 ", "5.0", "", "x", None, "9223372036854775808", "12\n", "1e3", "+", "0x1", "5 "]
+NO_NUMBER = [" 5 ", "5.0", "", "x", None, "9223372036854775808", "12\n", "1e3", "+", "0x1", "5 ", "Ⅻ", "²", "𝟓"]
 
 
 def raised_of(spark, pairs):
@@ -76,7 +78,7 @@ def test_newly_raised_faults_equal_a_model(spark):
 
 
 def test_strict_long(spark):
-    texts = [*NO_NUMBER, "12", "+12", "-12", "-9223372036854775808"]
+    texts = [*NO_NUMBER, "12", "+12", "-１２", "-9223372036854775808"]
     frame = spark.createDataFrame([(t,) for t in texts], "t string")
     values = [r[0] for r in frame.select(strict_long(F.col("t"))).collect()]
     assert values == [None] * len(NO_NUMBER) + [12, 12, -12, -(2**63)]
@@ -140,6 +142,14 @@ def test_day_follows_the_session_zone(spark, zone, expected):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def test_event_time_outside_the_calendar_is_null(spark):
+    inside = [-62135596800000, 0, 253402300799999]
+    outside = [-62135596800001, 253402300800000, 1667491200000000, 2**63 - 1, -(2**63), None]
+    frame = spark.createDataFrame([(ms,) for ms in inside + outside], "ms bigint")
+    days = [r[0] for r in frame.select(day_label(day(event_time(F.col("ms"))))).collect()]
+    assert days == ["0001-01-01", "1970-01-01", "9999-12-31"] + [None] * len(outside)
+
+
 def test_day_equals_direct_formatting_across_time_and_zones(spark):
     try:
         for zone in ("UTC", "Asia/Shanghai", "America/Sao_Paulo", "Pacific/Apia"):

@@ -116,6 +116,7 @@ def test_fault_lookup_can_ignore_case(log_of, dictionary_of):
 def edge_log(log_of):
     rows = [{"eventName": n, "eventValue": v} for n, v, _ in MODES + RECIPES]
     rows += [error(255), error(255, iotId=None), error("x"), error(5, "y"), error(1, gmtCreate=None)]
+    rows += [error("３"), error(1, gmtCreate=1667491200000000)]
     rows += [error(2**62 + 1), {"eventName": "Temp", "eventValue": "Temp:1"}, {"eventName": None}]
     rows += [error(1, productKey=None), error(1, deviceName=None)]
     return log_of(*rows, *rows, *({**r, "gmtCreate": 1667600000000} for r in rows))
@@ -143,6 +144,16 @@ def test_every_form_of_the_counts_agrees_on_edge_rows(spark, edge_log, dictionar
     assert bag(spark.table("daily_operation_counts")) == union
 
 
+def test_counts_do_not_depend_on_the_ansi_mode(spark, edge_log, dictionary_of):
+    dictionary = dictionary_of(*DICTIONARY)
+    strict = bag(daily_operation_counts(edge_log, dictionary))
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        assert bag(daily_operation_counts(edge_log, dictionary)) == strict
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
 def test_schemas(log_of, dictionary_of):
     log, dictionary = log_of(error(1)), dictionary_of(*DICTIONARY)
     operations = operation_events(log, dictionary)
