@@ -2,14 +2,39 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hearthlog.functions.event_time import event_time
-from hearthlog.schemas import ERROR_CODE, LEFT_MODE, MODE, RECIPE, RIGHT_MODE
 
 #: The columns of the ``events`` table that are used.
 EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string"
 
+_EVENT_NAME = """
+CASE event_type
+  WHEN 'error' THEN 'ErrorCode'
+  WHEN 'view' THEN 'StOvMode'
+  WHEN 'signup' THEN if(event_id % 2 = 0, 'LStOvMode', 'RStOvMode')
+  WHEN 'click' THEN 'MultiStageName'
+  WHEN 'purchase' THEN 'Temp'
+END
+"""
+_EVENT_VALUE = """
+CASE event_type
+  WHEN 'error' THEN
+    concat('ErrorCode:', if(event_id % 17 = 0, 'x', string(event_id * 37 % 16384)), ',Z:1')
+  WHEN 'view' THEN
+    concat('StOvMode:', event_id % 4,
+           CASE event_id % 3 WHEN 0 THEN ',MultiStageName:soup'
+                             WHEN 1 THEN ',MultiStageName:' ELSE '' END)
+  WHEN 'signup' THEN
+    concat(if(event_id % 2 = 0, 'LStOvMode:2', 'RStOvMode:2'),
+           if(event_id % 5 = 0, ',StOvMode:3', ''))
+  WHEN 'click' THEN
+    concat('MultiStageName:', if(event_id % 4 = 0, '', concat('dish', event_id % 6)))
+  WHEN 'purchase' THEN 'Temp:1'
+END
+"""
+
 
 def device_log(events: DataFrame, renamed: bool = False) -> DataFrame:
     """Map ``events`` (batch or stream) to device-log rows.
@@ -17,54 +42,18 @@ def device_log(events: DataFrame, renamed: bool = False) -> DataFrame:
     ``renamed`` gives every device two names, so that groups collide on the key
     of the stored table.
     """
-    event_id, user, kind = F.col("event_id"), F.col("user_id"), F.col("event_type")
-    is_even = event_id % 2 == 0
-
-    def text(value: Column | int) -> Column:
-        return (value if isinstance(value, Column) else F.lit(value)).cast("string")
-
-    error_code = F.when(event_id % 17 == 0, F.lit("x")).otherwise(
-        text(event_id * 37 % 16384)
-    )
-    recipe_of_mode = (
-        F.when(event_id % 3 == 0, F.lit(",MultiStageName:soup"))
-        .when(event_id % 3 == 1, F.lit(",MultiStageName:"))
-        .otherwise(F.lit(""))
-    )
-    side_mode = F.concat(
-        F.when(is_even, F.lit("LStOvMode:2")).otherwise(F.lit("RStOvMode:2")),
-        F.when(event_id % 5 == 0, F.lit(",StOvMode:3")).otherwise(F.lit("")),
-    )
-    dish = F.when(event_id % 4 == 0, F.lit("")).otherwise(
-        F.concat(F.lit("dish"), text(event_id % 6))
-    )
-    name = F.concat(F.lit("d"), text(user))
-    if renamed:
-        name = F.concat(name, F.lit("-"), text(event_id % 2))
-    log = events.select(
-        F.lit(None).cast("string").alias("deviceType"),
-        F.concat(F.lit("iot"), text(user)).alias("iotId"),
-        text(event_id).alias("requestId"),
-        F.lit(None).cast("string").alias("checkFailedData"),
-        F.concat(F.lit("P"), text(user % 4)).alias("productKey"),
-        F.unix_millis(F.col("ts").cast("timestamp")).alias("gmtCreate"),
-        name.alias("deviceName"),
-        F.when(kind == "error", F.lit(ERROR_CODE))
-        .when(kind == "view", F.lit(MODE))
-        .when((kind == "signup") & is_even, F.lit(LEFT_MODE))
-        .when(kind == "signup", F.lit(RIGHT_MODE))
-        .when(kind == "click", F.lit(RECIPE))
-        .when(kind == "purchase", F.lit("Temp"))
-        .alias("eventName"),
-        F.when(kind == "error", F.concat(F.lit("ErrorCode:"), error_code, F.lit(",Z:1")))
-        .when(kind == "view", F.concat(F.lit("StOvMode:"), text(event_id % 4), recipe_of_mode))
-        .when(kind == "signup", side_mode)
-        .when(kind == "click", F.concat(F.lit("MultiStageName:"), dish))
-        .when(kind == "purchase", F.lit("Temp:1"))
-        .alias("eventValue"),
-        F.when(kind == "error", F.concat(F.lit("ErrorCode:"), text(event_id % 64)))
-        .otherwise(F.lit(""))
-        .alias("eventOriValue"),
+    name = "concat('d', user_id, '-', event_id % 2)" if renamed else "concat('d', user_id)"
+    log = events.selectExpr(
+        "string(NULL) AS deviceType",
+        "concat('iot', user_id) AS iotId",
+        "string(event_id) AS requestId",
+        "string(NULL) AS checkFailedData",
+        "concat('P', user_id % 4) AS productKey",
+        "unix_millis(timestamp(ts)) AS gmtCreate",
+        f"{name} AS deviceName",
+        f"{_EVENT_NAME} AS eventName",
+        f"{_EVENT_VALUE} AS eventValue",
+        "if(event_type = 'error', concat('ErrorCode:', event_id % 64), '') AS eventOriValue",
     )
     return log.withColumn("ts_ltz", event_time(F.col("gmtCreate")))
 
