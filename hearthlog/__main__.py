@@ -19,11 +19,12 @@ from hearthlog.sinks.analytic_table import AnalyticTable
 from hearthlog.sinks.batch_writer import CountSink
 from hearthlog.sinks.change_table import ChangeTable
 from hearthlog.sinks.jdbc_upsert import JdbcUpsert
-from hearthlog.sources.device_log import kafka_options, read_files, read_kafka
+from hearthlog.sources.device_log import good_rows, kafka_options, read_files, read_kafka
 from hearthlog.sources.fault_dictionary import read_dictionary_files, read_jdbc_dictionary
 from hearthlog.sources.fresh_dictionary import read_fresh_dictionary
 from hearthlog.streaming.daily_counts import (
     configure_streaming,
+    start_bad_messages,
     start_console,
     start_daily_counts,
 )
@@ -40,6 +41,9 @@ def parser() -> argparse.ArgumentParser:
     log.add_argument("--max-offsets-per-trigger", type=int)
     log.add_argument("--log-path")
     log.add_argument("--log-format", default="parquet", choices=["parquet", "orc", "json"])
+    log.add_argument(
+        "--bad-messages-path", help="keep undecodable JSON messages here instead of failing"
+    )
     dictionary = p.add_argument_group("fault dictionary: files or a database table")
     dictionary.add_argument("--dictionary-path")
     dictionary.add_argument(
@@ -78,6 +82,7 @@ def _properties(path: str | None) -> dict[str, str]:
 
 def _device_log(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     streaming = args.sink != "batch"
+    decode = {"quarantine": True} if args.bad_messages_path else {}
     if args.kafka_servers:
         options = kafka_options(
             args.kafka_servers,
@@ -86,8 +91,8 @@ def _device_log(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
             args.kafka_group,
             args.max_offsets_per_trigger,
         )
-        return read_kafka(spark, options, streaming)
-    return read_files(spark, args.log_path, args.log_format, streaming)
+        return read_kafka(spark, options, streaming, **decode)
+    return read_files(spark, args.log_path, args.log_format, streaming, **decode)
 
 
 def _dictionary(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
@@ -119,6 +124,10 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         p.error("give either --dictionary-url or --dictionary-path")
     if args.sink != "batch" and not args.checkpoint:
         p.error("a streaming job needs --checkpoint")
+    if args.bad_messages_path and (
+        args.sink == "batch" or not (args.kafka_servers or args.log_format == "json")
+    ):
+        p.error("--bad-messages-path works with a stream of JSON messages only")
     if args.ttl_hours and (args.until_caught_up or args.sink in ("batch", "console")):
         p.error("--ttl-hours works with a continuous job and a stored table only")
     spark = spark or SparkSession.builder.appName("hearthlog").getOrCreate()
@@ -128,6 +137,12 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         daily_operation_counts(log, dictionary).write.parquet(args.sink_path)
         return
     configure_streaming(spark, args.shuffle_partitions)
+    aside = None
+    if args.bad_messages_path:
+        aside = start_bad_messages(
+            log, args.bad_messages_path, f"{args.checkpoint}-bad-messages", args.until_caught_up
+        )
+        log = good_rows(log)
     if args.sink == "console":
         query = start_console(
             daily_operation_counts(log, dictionary),
@@ -157,6 +172,10 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
             args.null_keys,
         )
     query.awaitTermination()
+    if aside and args.until_caught_up:
+        aside.awaitTermination()
+    elif aside:
+        aside.stop()
 
 
 if __name__ == "__main__":

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass, field
+from typing import ClassVar
 
 from pyspark.sql import DataFrame
 
@@ -26,11 +27,14 @@ def analytic_rows(counts: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class AnalyticTable:
-    """Appends every batch. The table has no key, so changed counts are added as new rows.
+    """Appends every batch. The table has no key, so changed counts are added as new rows,
+    and a replayed batch is added again.
 
     ``options`` are those of the ``writer`` format (``jdbc``, ``parquet``, ...).
     """
 
+    keyed: ClassVar[bool] = False
+
     writer: str
     options: Mapping[str, str] = field(default_factory=dict)
 

@@ -14,6 +14,9 @@ log = logging.getLogger(__name__)
 
 
 class CountSink(Protocol):
+    #: Whether rows replace those of the same key, as opposed to being added.
+    keyed: bool
+
     def write(self, counts: DataFrame, batch_id: int) -> None: ...
 
 
@@ -53,3 +56,16 @@ def upsert_batches(
         on_metrics(batch_id, {**keys.get, **stored.get})
 
     return write
+
+
+def append_batches(
+    sink: CountSink, before: Callable[[], None] | None = None
+) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function for a sink without a key: every changed count, as it is."""
+
+    def write(counts: DataFrame, batch_id: int) -> None:
+        if before:
+            before()
+        sink.write(counts, batch_id)
+
+    return write

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from typing import ClassVar
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
@@ -21,6 +22,8 @@ class ChangeTable:
     of a key is its value. A table belongs to one checkpoint, whose batch numbers it uses.
     """
 
+    keyed: ClassVar[bool] = True
+
     path: str
 
     def write(self, counts: DataFrame, batch_id: int) -> None:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from typing import ClassVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -77,6 +78,8 @@ class JdbcUpsert:
     ``properties`` hold user, password and driver and come from the caller.
     """
 
+    keyed: ClassVar[bool] = True
+
     url: str
     table: str
     staging: str

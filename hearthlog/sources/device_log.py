@@ -85,26 +85,37 @@ def decode_json(
     A message that cannot be decoded fails the job, or with ``quarantine`` becomes a
     row whose ``bad_message`` holds its text, to be split off with ``good_rows`` and
     ``bad_messages``.
+
+    The fields come out of a generator (``inline``), which no filter passes. A later
+    filter on the event's name would otherwise be moved below the decoding: it would
+    parse every message a second time and drop the bad ones before they are noticed.
     """
-    decoded = messages.select(
-        F.col(value).alias("_text"),
-        F.from_json(
-            value, _MESSAGE, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
-        ).alias("_m"),
-    ).select("_text", "_m.*")
-    number = F.trim(F.col("gmtCreate"))
-    millis = number.try_cast("bigint")
-    is_bad = F.col("_corrupt").isNotNull() | (F.col("gmtCreate").isNotNull() & millis.isNull())
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+    parsed = messages.select(
+        F.col(value).alias("_text"), F.from_json(value, _MESSAGE, options).alias("_message")
+    )
+    message = F.col("_message")
+    written = message["gmtCreate"]
+    is_bad = message["_corrupt"].isNotNull() | (
+        written.isNotNull() & _epoch_ms(written).isNull()
+    )
     if not quarantine:
-        message = F.concat(F.lit("undecodable device log message: "), F.col("_text"))
-        millis = F.when(is_bad, F.raise_error(message).cast("bigint")).otherwise(millis)
+        error = F.concat(F.lit("undecodable device log message: "), F.col("_text"))
+        message = F.when(is_bad, F.raise_error(error)).otherwise(message)
+    bad_message = F.when(is_bad, F.col("_text")).alias("bad_message")
     fields = [
-        (millis if f.name == "gmtCreate" else F.col(f.name)).alias(f.name) for f in DEVICE_LOG
+        _epoch_ms(F.col(f.name)).alias(f.name) if f.name == "gmtCreate" else F.col(f.name)
+        for f in DEVICE_LOG
     ]
-    extra: list[Column] = []
-    if quarantine:
-        extra = [F.when(is_bad, F.col("_text")).alias("bad_message")]
-    return with_event_time(decoded.select(*fields, *extra))
+    return with_event_time(
+        parsed.select(*([bad_message] if quarantine else []), F.inline(F.array(message))).select(
+            *fields, *(["bad_message"] if quarantine else [])
+        )
+    )
+
+
+def _epoch_ms(text: Column) -> Column:
+    return F.trim(text).try_cast("bigint")
 
 
 def good_rows(decoded: DataFrame) -> DataFrame:

@@ -10,7 +10,13 @@ from pyspark.sql.streaming import StreamingQuery
 from hearthlog.config import MAX_BROADCAST_BYTES
 from hearthlog.operators.fault_lookup import Normalizer, fits_broadcast, known_faults
 from hearthlog.plans.daily_counts import daily_operation_counts
-from hearthlog.sinks.batch_writer import CountSink, log_metrics, upsert_batches
+from hearthlog.sinks.batch_writer import (
+    CountSink,
+    append_batches,
+    log_metrics,
+    upsert_batches,
+)
+from hearthlog.sources.device_log import bad_messages
 
 # Fixed value: name of the state store provider that keeps state off the JVM heap.
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -90,7 +96,11 @@ def start_daily_counts(
     writer = (
         counts.writeStream.outputMode("update")
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(upsert_batches(sink, null_keys, on_metrics, before))
+        .foreachBatch(
+            upsert_batches(sink, null_keys, on_metrics, before)
+            if sink.keyed
+            else append_batches(sink, before)
+        )
     )
     if name:
         writer = writer.queryName(name)
@@ -101,6 +111,20 @@ def _trigger(interval: str, until_caught_up: bool) -> dict:
     return {"availableNow": True} if until_caught_up else {"processingTime": interval}
 
 
+def start_bad_messages(
+    decoded: DataFrame, path: str, checkpoint: str, until_caught_up: bool = False
+) -> StreamingQuery:
+    """Keep the messages that ``decode_json(..., quarantine=True)`` set aside, as text files."""
+    return (
+        bad_messages(decoded)
+        .writeStream.format("text")
+        .option("path", path)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**_trigger("60 seconds", until_caught_up))
+        .start()
+    )
+
+
 def start_console(
     frame: DataFrame,
     checkpoint: str,

@@ -24,7 +24,12 @@ from hearthlog.functions.event_time import day, day_label
 from hearthlog.operators.fault_lookup import Normalizer, fits_broadcast, known_faults
 from hearthlog.plans.single_scan import name_operations, raw_operations
 from hearthlog.schemas import DAILY_COUNT
-from hearthlog.sinks.batch_writer import CountSink, log_metrics, upsert_batches
+from hearthlog.sinks.batch_writer import (
+    CountSink,
+    append_batches,
+    log_metrics,
+    upsert_batches,
+)
 from hearthlog.streaming.daily_counts import METRICS, dictionary_strategy
 
 _KEY = [name for name in DAILY_COUNT.names if name != "cnt"]
@@ -115,7 +120,11 @@ def start_expiring_daily_counts(
         counts.writeStream.outputMode("update")
         .option("checkpointLocation", checkpoint)
         .trigger(processingTime=interval)
-        .foreachBatch(upsert_batches(sink, null_keys, on_metrics, before))
+        .foreachBatch(
+            upsert_batches(sink, null_keys, on_metrics, before)
+            if sink.keyed
+            else append_batches(sink, before)
+        )
     )
     if name:
         writer = writer.queryName(name)

@@ -3,6 +3,7 @@ from __future__ import annotations
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from hearthlog.__main__ import _device_log, _sink, main, parser
 from hearthlog.plans.daily_counts import daily_operation_counts
@@ -53,6 +54,26 @@ def test_stream_into_a_table(session, tmp_path, inputs):
     assert bag(ChangeTable(f"{tmp_path}/table").current(session)) == expected
 
 
+def test_bad_messages_are_kept_apart(session, tmp_path, inputs):
+    log, dictionary = inputs
+    messages = log.select(F.to_json(F.struct(*DEVICE_LOG.names)).alias("value"))
+    bad = session.createDataFrame([("{oops",), ('{"gmtCreate": "soon"}',)], "value string")
+    messages.unionAll(bad).coalesce(1).write.text(f"{tmp_path}/messages")
+    main(
+        [
+            *["--log-path", f"{tmp_path}/messages", "--log-format", "json"],
+            *["--dictionary-path", f"{tmp_path}/dictionary", "--sink-path", f"{tmp_path}/table"],
+            *["--checkpoint", f"{tmp_path}/checkpoint", "--until-caught-up"],
+            *["--bad-messages-path", f"{tmp_path}/bad"],
+        ],
+        session,
+    )
+    counts = ChangeTable(f"{tmp_path}/table").current(session)
+    assert bag(counts) == bag(daily_operation_counts(log, dictionary))
+    kept = session.read.text(f"{tmp_path}/bad").collect()
+    assert sorted(r.value for r in kept) == sorted(["{oops", '{"gmtCreate": "soon"}'])
+
+
 def test_batch_into_files_in_another_zone(session, tmp_path, inputs):
     sink = ["--sink", "batch", "--sink-path", f"{tmp_path}/out", "--time-zone", "Asia/Shanghai"]
     main(arguments(tmp_path, *sink), session)

@@ -5,6 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from hearthlog.plans.daily_counts import daily_operation_counts
 from hearthlog.schemas import DAILY_COUNT, DEVICE_LOG
 from hearthlog.sinks.analytic_table import AnalyticTable
 from hearthlog.sinks.change_table import ChangeTable
@@ -46,6 +47,20 @@ def test_undecodable_message_fails_the_job(spark, text):
         decode_json(messages_of(spark, GOOD[0][0], text)).collect()
 
 
+@pytest.mark.parametrize("text", BAD)
+def test_undecodable_message_fails_a_job_that_filters(spark, dictionary_of, text):
+    log = decode_json(messages_of(spark, GOOD[0][0], text))
+    with pytest.raises(Exception, match="undecodable device log message"):
+        daily_operation_counts(log, dictionary_of(("T", "P1", "E1", "one"))).collect()
+
+
+def test_messages_are_parsed_once(spark, dictionary_of):
+    log = decode_json(messages_of(spark, *[text for text, _ in GOOD]).repartition(2))
+    counts = daily_operation_counts(log, dictionary_of(("T", "P1", "E1", "one")))
+    plan = counts._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1
+
+
 def test_undecodable_messages_can_be_set_aside(spark):
     decoded = decode_json(messages_of(spark, GOOD[0][0], *BAD, GOOD[1][0]), quarantine=True)
     assert [r.gmtCreate for r in good_rows(decoded).collect()] == [5, 5]

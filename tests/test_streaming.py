@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from hearthlog import fixtures
 from hearthlog.plans.daily_counts import daily_operation_counts
 from hearthlog.schemas import DAILY_COUNT, DEVICE_LOG
+from hearthlog.sinks.analytic_table import AnalyticTable
 from hearthlog.sinks.change_table import ChangeTable
 from hearthlog.sources.device_log import read_files
 from hearthlog.sources.fresh_dictionary import read_fresh_dictionary
@@ -94,6 +95,8 @@ def test_restart_continues_the_counts(spark, tmp_path, split_log):
 class FailsOnce:
     """Writes a batch, then fails before the stream can commit it."""
 
+    keyed = True
+
     def __init__(self, table):
         self.table, self.failed, self.batches = table, False, []
 
@@ -147,6 +150,19 @@ def test_shared_keys_are_settled_and_reported(spark, tmp_path, log_of, dictionar
     assert metrics[0]["overwritten"] == 1
 
 
+def test_a_sink_without_a_key_gets_every_group(spark, tmp_path, log_of, dictionary_of):
+    rows = [MODE, MODE, {**MODE, "productKey": "P0"}, {**MODE, "iotId": None}]
+    add_rows(log_of(*rows), tmp_path / "log", 0)
+    add_rows(log_of(MODE), tmp_path / "log", 1)
+    sink = AnalyticTable("parquet", {"path": f"{tmp_path}/analytic"})
+    run(start(spark, tmp_path, dictionary_of(("T", "P1", "E1", "one")), sink)[0])
+    written = spark.read.parquet(f"{tmp_path}/analytic").collect()
+    assert sorted((r.productkey, r.iotid or "", r.cnt) for r in written) in (
+        [("P0", "iot1", 1), ("P1", "", 1), ("P1", "iot1", 2), ("P1", "iot1", 3)],
+        [("P0", "iot1", 1), ("P1", "", 1), ("P1", "iot1", 1), ("P1", "iot1", 3)],
+    )
+
+
 def test_dictionary_changes_leave_past_counts_alone(spark, tmp_path, log_of, dictionary_of):
     add_rows(log_of(FAULT), tmp_path / "log", 0)
     run(start(spark, tmp_path, dictionary_of(("T", "P9", "E1", "other")))[0])
