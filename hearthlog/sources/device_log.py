@@ -90,7 +90,11 @@ def decode_json(
     filter on the event's name would otherwise be moved below the decoding: it would
     parse every message a second time and drop the bad ones before they are noticed.
     """
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+    options = {
+        "mode": "PERMISSIVE",
+        "columnNameOfCorruptRecord": "_corrupt",
+        "allowSingleQuotes": "false",
+    }
     parsed = messages.select(
         F.col(value).alias("_text"), F.from_json(value, _MESSAGE, options).alias("_message")
     )

@@ -24,8 +24,12 @@ GOOD = [
     ('{"gmtCreate": " 5 ", "eventName": null}', (None, 5, None)),
     ('{"iotId": 7, "gmtCreate": null, "eventName": {"x": [1]}}', ("7", None, '{"x":[1]}')),
     ("{}", (None, None, None)),
+    ('{"iotId": "a", "iotId": "b"}', ("b", None, None)),
+    ('{"IOTID": "a", "eventName": true}', (None, None, "true")),
+    ("", (None, None, None)),
+    (None, (None, None, None)),
 ]
-BAD = ["{", '{"gmtCreate": "soon"}', "no json", '{"gmtCreate": "99999999999999999999"}']
+BAD = ["{", "5", '[{"iotId": "a"}]', "{'iotId': 'a'}", '{"gmtCreate": "soon"}', "no json", '{"gmtCreate": "99999999999999999999"}']
 
 
 def test_decode_json(spark):

@@ -116,6 +116,12 @@ def test_fault_lookup_can_ignore_case(log_of, dictionary_of):
 def edge_log(log_of):
     rows = [{"eventName": n, "eventValue": v} for n, v, _ in MODES + RECIPES]
     rows += [error(255), error(255, iotId=None), error("x"), error(5, "y"), error(1, gmtCreate=None)]
+    for missing in ("productKey", "iotId", "deviceName", "gmtCreate", "eventOriValue"):
+        rows += [
+            {"eventName": "StOvMode", "eventValue": "StOvMode:2", missing: None},
+            {"eventName": "MultiStageName", "eventValue": "MultiStageName:soup", missing: None},
+            error(7, **{missing: None}),
+        ]
     rows += [error("３"), error(1, gmtCreate=1667491200000000)]
     rows += [error(2**62 + 1), {"eventName": "Temp", "eventValue": "Temp:1"}, {"eventName": None}]
     rows += [error(1, productKey=None), error(1, deviceName=None)]
