@@ -211,9 +211,9 @@ def _expiring_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _caught_up(query: StreamingQuery) -> bool:
-    """Whether a batch without input followed those with input."""
-    read = [progress.numInputRows for progress in query.recentProgress]
-    return any(read) and read[-1] == 0
+    """Whether the first batch, which holds all files there are at the start, is done."""
+    progress = query.lastProgress
+    return progress is not None and progress.batchId >= 1
 
 
 def _renamed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,6 +17,7 @@ def make_session() -> SparkSession:
         .appName("hearthlog-tests")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
+        .config("spark.driver.host", "127.0.0.1")
         .config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
