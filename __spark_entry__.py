@@ -237,8 +237,27 @@ def _mode_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_by_day(views.working_mode_events(_log(spark, sf_dir)))
 
 
+def _llm():
+    """The queries and oracles of the ``llm`` subpackage and its pipeline, if they are there."""
+    try:
+        import corpus_pipeline
+        from hearthlog.llm import queries as llm_queries
+    except ModuleNotFoundError as error:
+        if (error.name or "").split(".")[0] not in ("corpus_pipeline", "hearthlog"):
+            raise
+        return {}, {}
+    return (
+        {**llm_queries.queries(), "pipeline": corpus_pipeline.run},
+        {
+            **llm_queries.oracle_sql(),
+            **({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}),
+        },
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        **_llm()[0],
         "payload_map_lookup": _payload(lambda text, key: payload_map(text)[key]),
         "payload_value_lookup": _payload(payload_value),
         "event_time_day": _event_time_day,
@@ -406,6 +425,7 @@ def oracle_sql() -> dict[str, str]:
     renamed = _oracle_ctes("'d' || user_id || '-' || (event_id % 2)")
     daily = ctes + _DAILY_SQL
     return {
+        **_llm()[1],
         "payload_map_lookup": ctes + _PAYLOAD_SQL,
         "payload_value_lookup": ctes + _PAYLOAD_SQL,
         "event_time_day": ctes
