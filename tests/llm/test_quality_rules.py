@@ -1,0 +1,141 @@
+from __future__ import annotations
+
+import random
+import re
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from hearthlog.llm import quality_rules
+from hearthlog.llm.queries import op10_quality_rules
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def base_measures(text):
+    text = text or ""
+    words = WORD.findall(text)
+    seen, dup = set(), 0
+    for line in text.split("\n"):
+        if WORD.search(line):
+            dup += line in seen
+            seen.add(line)
+    windows = Counter(tuple(words[i : i + 3]) for i in range(len(words) - 2))
+    hit = {
+        j for i in range(len(words) - 2) if windows[tuple(words[i : i + 3])] > 1
+        for j in range(i, i + 3)
+    }
+    return (
+        len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), dup, len(hit),
+        len(words) < 50 or 100 * len(hit) > 50 * len(words),
+    )
+
+
+def found(row):
+    return (
+        row.n_words, row.word_chars, row.n_symbols, row.n_dup_lines, row.n_repeat_words,
+        row.base_failed,
+    )
+
+
+def brute_kept(rows):
+    """Verdicts by sorting every group's values."""
+
+    def cells(r):
+        return {
+            "symbols": min(1000, 1000 * r.n_symbols // r.word_chars),
+            "dup_lines": min(1000, 1000 * r.n_dup_lines // r.n_lines),
+            "repeats": min(1000, 1000 * r.n_repeat_words // r.n_words),
+            "upper": min(1000, 1000 * r.n_upper // r.word_chars),
+            "word_len": min(1000, 10 * r.word_chars // r.n_words),
+        }
+
+    good = [r for r in rows if not r.base_failed]
+    verdicts = []
+    for r in rows:
+        if r.base_failed:
+            verdicts.append(False)
+            continue
+        groups = [
+            [g for g in good if (g.lang, g.source) == (r.lang, r.source)],
+            [g for g in good if g.lang == r.lang],
+            good,
+        ]
+        group = next(
+            (g for g in groups[:2] if len(g) >= quality_rules.MIN_GROUP), groups[2]
+        )
+        kept = True
+        for m, value in cells(r).items():
+            values = sorted(cells(g)[m] for g in group)
+            q1 = values[-(-len(values) // 4) - 1]
+            q3 = values[-(-3 * len(values) // 4) - 1]
+            reach = quality_rules.REACH * (q3 - q1)
+            kept &= value <= q3 + max(reach, quality_rules.UPPER_SPREAD[m])
+            if m in quality_rules.LOWER_SPREAD:
+                kept &= value >= q1 - max(reach, quality_rules.LOWER_SPREAD[m])
+        verdicts.append(kept)
+    return verdicts
+
+
+def test_measures_of_edge_texts(edge_docs):
+    rows = quality_rules.measured(edge_docs).collect()
+    assert len(rows) == edge_docs.count()
+    for row in rows:
+        assert found(row) == base_measures(row.text)
+
+
+def test_long_texts_count_windows_alike(monkeypatch):
+    draw = random.Random(5)
+    words = [b"w%d" % draw.randrange(12) for _ in range(500)]
+    plain = quality_rules.repeated_window_words(words)
+    monkeypatch.setattr(quality_rules, "_LONG_TEXT", 10)
+    assert quality_rules.repeated_window_words(words) == plain
+    assert quality_rules.repeated_window_words([b"a"] * 11) == 11
+
+
+def test_query_equals_brute_force(spark, small_tables):
+    docs = spark.read.parquet(f"{small_tables}/documents.parquet")
+    rows = {r.doc_id: r for r in op10_quality_rules(spark, small_tables).collect()}
+    assert len(rows) == docs.count()
+    for doc in docs.collect():
+        assert found(rows[doc.doc_id]) == base_measures(doc.text)
+
+
+@pytest.mark.parametrize("keep_texts", [False, True])
+def test_fences_equal_sorting(spark, docs_of, monkeypatch, keep_texts):
+    monkeypatch.setattr(quality_rules, "MIN_GROUP", 12)
+    draw = random.Random(1)
+    rows = []
+    for i in range(90):
+        words = [f"{'Ab' if draw.random() < 0.1 else 'ab'}{draw.randrange(900)}" for _ in range(60)]
+        if i % 17 == 0:
+            words = [w + "###" for w in words]
+        lang, source = draw.choice([("en", "a"), ("en", "b"), (None, "a"), ("de", None)])
+        rows.append((i, " ".join(words), lang, source))
+    rows += [(90, None, "en", "a"), (91, "short", "en", "a"), rows[3], rows[3]]
+    docs = docs_of(*rows)
+    judged = quality_rules.judge(docs, keep_texts).collect()
+    assert len(judged) == len(rows)
+    assert [r.kept for r in judged] == brute_kept(judged)
+    assert any(not r.kept and not r.base_failed for r in judged)
+
+
+def test_filter_keeps_columns_and_clean_documents(spark, small_tables):
+    docs = spark.read.parquet(f"{small_tables}/documents.parquet")
+    good = quality_rules.good_documents(docs)
+    assert good.columns == docs.columns
+    labels = spark.read.parquet(f"{small_tables}/labels.parquet")
+    clean = docs.join(labels.where("quality = 1"), "doc_id")
+    words = F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+"))
+    lost = clean.where(words >= 60).join(good.select("doc_id"), "doc_id", "left_anti")
+    assert lost.count() == 0
+
+
+def test_empty_table_and_clashing_columns(docs_of):
+    empty = docs_of((1, "x")).where("false")
+    assert quality_rules.judge(empty).collect() == []
+    assert quality_rules.good_documents(empty).collect() == []
+    clash = docs_of((1, "a b")).withColumns({"kept": F.lit("x"), "n_words": F.lit("y"), "cell": F.lit(1)})
+    row = quality_rules.judge(clash).first()
+    assert (row.kept, row.n_words, row.cell) == (False, 2, 1)

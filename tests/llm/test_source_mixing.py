@@ -1,0 +1,92 @@
+from __future__ import annotations
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from hearthlog.llm import source_mixing
+from hearthlog.llm.queries import op6_source_mixing
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def brute_targets(sizes):
+    """Share the budget, cap, share the excess again, until none is above."""
+    names = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(names)}
+    budget, capped = 1.5 * sum(sizes.values()), set()
+    while True:
+        free = [s for s in names if s not in capped]
+        rest = budget - sum(2 * sizes[s] for s in capped)
+        share = {s: rest * weight[s] / sum(weight[f] for f in free) for s in free}
+        above = {s for s in free if share[s] > 2 * sizes[s]}
+        if not above:
+            return {s: 2.0 * sizes[s] if s in capped else share[s] for s in names}
+        capped |= above
+
+
+def check(rows, docs):
+    assert len(rows) == len(docs)
+    sizes = {}
+    for d in docs:
+        sizes[d.source] = sizes.get(d.source, 0) + len(WORD.findall(d.text or ""))
+    targets, taken = brute_targets(sizes), {}
+    source_of = {d.doc_id: d.source for d in docs}
+    size_of = {d.doc_id: len(WORD.findall(d.text or "")) for d in docs}
+    for r in rows:
+        source = source_of[r.doc_id]
+        assert (r.size, r.source_size) == (size_of[r.doc_id], sizes[source])
+        assert r.target == pytest.approx(targets[source])
+        assert 0 <= r.taken <= 2 * r.size
+        taken[source] = taken.get(source, 0) + r.taken
+    for source, words in taken.items():
+        assert abs(words - targets[source]) <= 1
+
+
+def test_query_meets_targets_and_reruns_agree(spark, small_tables):
+    docs = spark.read.parquet(f"{small_tables}/documents.parquet").collect()
+    rows = op6_source_mixing(spark, small_tables).collect()
+    check(rows, docs)
+    again = op6_source_mixing(spark, small_tables).collect()
+    assert sorted(rows) == sorted(again)
+
+
+def test_edges(edge_docs, spark):
+    docs = edge_docs.where("doc_id is not null").dropDuplicates(["doc_id"]).cache()
+    first = source_mixing.queue(docs).where("copy = 1").collect()
+    check(first, docs.collect())
+    everything = source_mixing.queue(edge_docs.withColumn("size", F.lit("x")))
+    assert everything.count() == 2 * edge_docs.count()
+    assert source_mixing.queue(docs.where("false")).collect() == []
+    nothing = docs.where("doc_id in (1, 2, 3)")
+    assert [r.taken for r in source_mixing.queue(nothing).collect()] == [0] * 6
+
+
+def test_copies_are_served_by_virtual_time(edge_docs):
+    rows = source_mixing.queue(edge_docs).where("size > 0").collect()
+    spent = {}
+    for r in rows:
+        spent.setdefault(r.source, []).append(r)
+    for own in spent.values():
+        own.sort(key=lambda r: r.virtual_finish)
+        taken = [r.words for r in own]
+        whole = [r.words == r.size for r in own]
+        # Whole copies first, then at most one that is cut, then none.
+        cut = whole.index(False) if False in whole else len(own)
+        assert all(w == 0 for w in taken[cut + 1 :])
+
+
+def test_mix_returns_documents(edge_docs):
+    mixed = source_mixing.mix(edge_docs)
+    assert mixed.schema == edge_docs.schema
+    words = F.regexp_count("text", F.lit(source_mixing.WORD))
+    got = {r.source: r.n for r in mixed.groupBy("source").agg(F.sum(words).alias("n")).collect()}
+    queue = source_mixing.queue(edge_docs).groupBy("source").agg(F.sum("words").alias("n"))
+    assert got == {r.source: r.n for r in queue.collect() if r.n}
+    assert mixed.where(F.col("n_chars") != F.length("text")).count() == 0
+
+
+def test_plan_is_native(edge_docs):
+    plan = source_mixing.mix(edge_docs)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)

@@ -1,0 +1,137 @@
+from __future__ import annotations
+
+import zlib
+from itertools import combinations
+
+import numpy as np
+import pytest
+from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from hearthlog.llm import packing, token_counts
+from hearthlog.llm.queries import TOKENIZERS, op5_packing, op7_token_counts
+
+WORD_BPE, BYTE_BPE = f"{TOKENIZERS}/word_bpe_49k.json", f"{TOKENIZERS}/byte_bpe_50k.json"
+SPECIAL = ["a<|endoftext|>b  <|startoftext|> c", " <|endoftext|>", "x  <|endoftext|>\n"]
+
+
+@pytest.fixture(scope="module")
+def libraries():
+    return {p: Tokenizer.from_file(p) for p in (WORD_BPE, BYTE_BPE)}
+
+
+def ids(library, text):
+    return library.encode(text or "", add_special_tokens=False).ids
+
+
+PARTS = st.sampled_from(
+    [" ", "  ", "\n", "\t", "\r\n", "\x0b", "\x0c", "\x1c", "\x85", "\xa0", " ", "　", "​", "don't", "'S", "we'll",
+     "Über", "é", "́", "ΣΑΣ", "İ", "ß", "123", "½", "!?", "...", "漢字", "🙂", "word", "<|endoftext|>", "<|", "_"]
+)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(PARTS, max_size=12).map("".join))
+def test_ids_by_units_equal_the_library(text):
+    library = token_counts.load_tokenizer(BYTE_BPE)
+    assert np.frombuffer(packing.token_ids([text], BYTE_BPE)[0], "<u4").tolist() == ids(library, text)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(PARTS, max_size=12).map("".join))
+def test_lengths_by_words_equal_the_library(text):
+    library = token_counts.load_tokenizer(WORD_BPE)
+    if any(s in text for s in token_counts.special_strings(library)):
+        return
+    parts = text.encode().split()
+    assert sum(len(ids(library, p.decode())) for p in parts) == len(ids(library, text))
+
+
+def test_counts_of_edges(edge_docs, docs_of, libraries, monkeypatch):
+    monkeypatch.setattr(token_counts, "TABLE_ENTRIES", 5)
+    monkeypatch.setattr(token_counts, "SUMMARY_ENTRIES", 3)
+    docs = edge_docs.unionByName(docs_of(*[(100 + i, t) for i, t in enumerate(SPECIAL)]))
+    rows = token_counts.count_tokens(docs.withColumn("n_tokens", F.lit("x")), WORD_BPE).collect()
+    assert len(rows) == docs.count()
+    for row in rows:
+        assert row.n_tokens == len(ids(libraries[WORD_BPE], row.text))
+        assert row.n_bytes == len((row.text or "").encode())
+        assert row.over_limit == (row.n_tokens > 2048)
+    assert token_counts.count_tokens(docs.where("false"), WORD_BPE).collect() == []
+
+
+def test_count_query(spark, small_tables, libraries):
+    docs = spark.read.parquet(f"{small_tables}/documents.parquet").collect()
+    rows = {r.doc_id: r.n_tokens for r in op7_token_counts(spark, small_tables).collect()}
+    assert rows == {d.doc_id: len(ids(libraries[WORD_BPE], d.text)) for d in docs}
+
+
+def test_summary_keeps_the_frequent():
+    counts = token_counts.Counter({b"a": 9, b"b": 5, b"c": 2, b"d": 1})
+    token_counts_entries = token_counts.SUMMARY_ENTRIES
+    try:
+        token_counts.SUMMARY_ENTRIES = 2
+        assert token_counts._cut(counts) == {b"a": 7, b"b": 3}
+    finally:
+        token_counts.SUMMARY_ENTRIES = token_counts_entries
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(1, 30), max_size=9), st.integers(0, 60))
+def test_fill_is_the_best_subset(lengths, free):
+    counts = {n: lengths.count(n) for n in set(lengths)}
+    taken = packing.fill(free, counts)
+    assert all(taken[n] <= counts[n] for n in taken)
+    sums = {sum(c) for k in range(len(lengths) + 1) for c in combinations(lengths, k)}
+    assert sum(n * c for n, c in taken.items()) == max(s for s in sums if s <= free)
+
+
+def check_packing(rows, docs, library):
+    by_doc, sequences = {}, {}
+    for r in rows:
+        by_doc.setdefault(r.doc_id, []).append(r)
+        sequences.setdefault(r.sequence_id, []).append(r)
+    for doc_id, texts in docs.items():
+        want = []
+        for text in texts:
+            full = [*ids(library, text), 0]
+            for start in range(0, len(full), 1024):
+                part = full[start : start + 1024]
+                crc = zlib.crc32(np.asarray(part, "<u4").tobytes())
+                want.append((start, len(part), crc, len(full)))
+        got = [(r.start, r.length, r.ids_crc32, r.doc_tokens) for r in by_doc.pop(doc_id)]
+        assert sorted(got) == sorted(want)
+    assert not by_doc
+    for pieces in sequences.values():
+        at = 0
+        for r in sorted(pieces, key=lambda r: r.offset):
+            assert r.offset == at
+            at += r.length
+        assert at <= 1024
+    return sequences
+
+
+def test_packing_of_edges(edge_docs, docs_of, libraries):
+    docs = edge_docs.unionByName(docs_of(*[(100 + i, t) for i, t in enumerate(SPECIAL)]))
+    texts = {}
+    for r in docs.collect():
+        texts.setdefault(r.doc_id, []).append(r.text)
+    check_packing(packing.pack_documents(docs, BYTE_BPE).collect(), texts, libraries[BYTE_BPE])
+    assert packing.pack_documents(docs.where("false"), BYTE_BPE).collect() == []
+
+
+def test_packing_query_pads_little(spark, small_tables, libraries):
+    docs = spark.read.parquet(f"{small_tables}/documents.parquet").collect()
+    rows = op5_packing(spark, small_tables).collect()
+    sequences = check_packing(rows, {d.doc_id: [d.text] for d in docs}, libraries[BYTE_BPE])
+    total = sum(r.length for r in rows)
+    assert 1024 * len(sequences) < 1.01 * total + 1024
+
+
+def test_groups_number_their_sequences_apart(spark, small_tables, libraries, monkeypatch):
+    monkeypatch.setattr(packing, "GROUP_PIECES", 50)
+    docs = spark.read.parquet(f"{small_tables}/documents.parquet").collect()
+    rows = op5_packing(spark, small_tables).collect()
+    check_packing(rows, {d.doc_id: [d.text] for d in docs}, libraries[BYTE_BPE])
+    assert len({r.sequence_id >> 32 for r in rows}) > 3
