@@ -39,7 +39,15 @@ CACHE_ENTRIES = 400_000
 _UNITS = re.compile(r" ?[^ \t-\r]+|[ \t-\r]+(?![^ \t-\r])|[ \t-\r]+")
 #: White space beyond ASCII may join a run that the units would cut: such a text is
 #: encoded whole.
-_OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0 ᠎ -​    ⁠　﻿]")
+_OTHER_SPACE = re.compile(
+    "[{}]".format(
+        "".join(
+            chr(c)
+            for c in [*range(0x1C, 0x20), 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200C)]
+            + [0x2028, 0x2029, 0x202F, 0x205F, 0x2060, 0x3000, 0xFEFF]
+        )
+    )
+)
 
 _PIECES = (
     "doc_id {key}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"

@@ -139,17 +139,26 @@ def fences(rows: DataFrame) -> DataFrame:
         .groupBy("lang", "source", "measure", "cell")
         .agg(F.count("*").alias("n"))
     )
-    levels = [["lang", "source"], ["lang"], []]
-    return reduce(
-        lambda groups, level: _with_level(groups, sketch, levels[level], level),
-        range(3),
-        rows.select("lang", "source").distinct(),
-    ).select(
+    names = _fence_names()
+    overall = _quartile_fences(sketch, [], 0).first()
+    groups = rows.select("lang", "source").distinct()
+    for keys in (["lang", "source"], ["lang"]):
+        level = _quartile_fences(sketch, keys, MIN_GROUP).select(
+            *[F.col(k).alias(f"_{k}") for k in keys],
+            *[F.col(name).alias(f"{name}_{len(keys)}") for name in names],
+        )
+        same = [groups[k].eqNullSafe(level[f"_{k}"]) for k in keys]
+        groups = groups.join(level, reduce(lambda a, b: a & b, same), "left").drop(
+            *[f"_{k}" for k in keys]
+        )
+    return groups.select(
         "lang",
         "source",
         *[
-            F.coalesce(*[F.col(f"{name}_{level}") for level in range(3)]).alias(name)
-            for name in _fence_names()
+            F.coalesce(f"{name}_2", f"{name}_1", F.lit(overall[name] if overall else None))
+            .cast("int")
+            .alias(name)
+            for name in names
         ],
     )
 
@@ -158,24 +167,26 @@ def _fence_names() -> list[str]:
     return [f"max_{m}" for m in UPPER_SPREAD] + [f"min_{m}" for m in LOWER_SPREAD]
 
 
-def _with_level(groups: DataFrame, sketch: DataFrame, keys: list[str], level: int) -> DataFrame:
-    """Join the fences of one level; NULL where its group is too small."""
+def _quartile_fences(sketch: DataFrame, keys: list[str], least: int) -> DataFrame:
+    """Fences by ``keys``, from merged sketches of at least ``least`` documents."""
     merged = sketch.groupBy(*keys, "measure", "cell").agg(F.sum("n").alias("n"))
     by = Window.partitionBy(*keys, "measure")
     upto = by.orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)
     ranked = merged.withColumns({"total": F.sum("n").over(by), "upto": F.sum("n").over(upto)})
-    if level < 2:
-        ranked = ranked.where(F.col("total") >= MIN_GROUP)
-    quartiles = ranked.groupBy(*keys, "measure").agg(
-        F.min(F.when(4 * F.col("upto") >= F.col("total"), F.col("cell"))).alias("q1"),
-        F.min(F.when(4 * F.col("upto") >= 3 * F.col("total"), F.col("cell"))).alias("q3"),
+    quartiles = (
+        ranked.where(F.col("total") >= least)
+        .groupBy(*keys, "measure")
+        .agg(
+            F.min(F.when(4 * F.col("upto") >= F.col("total"), F.col("cell"))).alias("q1"),
+            F.min(F.when(4 * F.col("upto") >= 3 * F.col("total"), F.col("cell"))).alias("q3"),
+        )
     )
     reach = REACH * (F.col("q3") - F.col("q1"))
 
-    def fence(measure: str, value: Column, alias: str) -> Column:
-        return F.max(F.when(F.col("measure") == measure, value)).alias(f"{alias}_{level}")
+    def fence(measure: str, value: Column, name: str) -> Column:
+        return F.max(F.when(F.col("measure") == measure, value)).alias(name)
 
-    wide = quartiles.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(
+    return quartiles.groupBy(*keys).agg(
         *[
             fence(m, F.col("q3") + F.greatest(reach, F.lit(s)), f"max_{m}")
             for m, s in UPPER_SPREAD.items()
@@ -185,14 +196,6 @@ def _with_level(groups: DataFrame, sketch: DataFrame, keys: list[str], level: in
             for m, s in LOWER_SPREAD.items()
         ],
     )
-    same = [groups[k].eqNullSafe(wide[f"_{k}"]) for k in keys]
-    # The last level is one row, joined on a constant that both sides compute.
-    if not keys:
-        wide = wide.withColumn("_all", F.lit(1))
-        groups = groups.withColumn("_one", F.lit(1))
-        same = [F.col("_one") == F.col("_all")]
-    joined = groups.join(wide, reduce(lambda a, b: a & b, same), "left")
-    return joined.drop(*[f"_{k}" for k in keys], "_all", "_one")
 
 
 def _within() -> Column:

@@ -6,7 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hearthlog.llm import packing, quality_rules, secret_scan, source_mixing, token_counts
+from hearthlog.llm import (
+    html_extraction,
+    packing,
+    quality_rules,
+    secret_scan,
+    source_mixing,
+    token_counts,
+    topk_search,
+)
 
 #: Where the public tokenizers' vocabulary files lie on every worker.
 TOKENIZERS = "/opt/tokenizers"
@@ -16,6 +24,31 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return topk_search.top_k(vectors, F.col("vec_id") % 100 == 0)
+
+
+_TOPK_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, x -> floor(1024 * CAST(x AS DOUBLE))) AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, x -> x IS NOT NULL AND isfinite(x))) = len(embedding)
+),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON c.vec_id <> q.vec_id
+  WHERE q.vec_id % 100 = 0
+)
+SELECT query_id,
+       CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id, score
+FROM scored
+QUALIFY rank <= 10
+"""
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
     spans = F.col("spans")
@@ -49,6 +82,14 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _read(spark, sf_dir, "pages").select("page_id", "url", "html")
+    text = F.col("main_text")
+    return html_extraction.extract_main_text(pages).select(
+        "page_id", "url", text.alias("text"), F.length(text).cast("bigint").alias("n_chars")
+    )
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     return quality_rules.judge(docs).select(
@@ -64,9 +105,17 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [op3_secret_scan, op5_packing, op6_source_mixing, op7_token_counts, op10_quality_rules]
+    own = [
+        op1_topk_search,
+        op3_secret_scan,
+        op5_packing,
+        op6_source_mixing,
+        op7_token_counts,
+        op8_html_extraction,
+        op10_quality_rules,
+    ]
     return {query.__name__: query for query in own}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_topk_search": _TOPK_SQL}
