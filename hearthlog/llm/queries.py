@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hearthlog.llm import (
     html_extraction,
+    jaccard_join,
     packing,
     quality_rules,
     secret_scan,
     source_mixing,
     token_counts,
     topk_search,
+    word_repeats,
 )
 
 #: Where the public tokenizers' vocabulary files lie on every worker.
@@ -49,6 +51,13 @@ QUALIFY rank <= 10
 """
 
 
+def op2_word_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    return word_repeats.without_repeats(docs).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")
+    )
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
     spans = F.col("spans")
@@ -90,6 +99,10 @@ def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similar_documents(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     return quality_rules.judge(docs).select(
@@ -107,11 +120,13 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = [
         op1_topk_search,
+        op2_word_repeats,
         op3_secret_scan,
         op5_packing,
         op6_source_mixing,
         op7_token_counts,
         op8_html_extraction,
+        op9_jaccard_join,
         op10_quality_rules,
     ]
     return {query.__name__: query for query in own}

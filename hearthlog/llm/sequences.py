@@ -98,3 +98,99 @@ def shingles(text: bytes, size: int = 5) -> np.ndarray:
     if not len(words):
         return words
     return np.unique(window_hashes(words, min(size, len(words))))
+
+
+#: Positions a chunk may have: they share a number with the bits of a hash.
+_POSITION_BITS = 20
+CHUNK_VALUES = (1 << _POSITION_BITS) - (1 << 12)
+
+
+class Chunk:
+    """Pieces of sequences, one after the other. ``owner`` and ``base`` tell whose and where."""
+
+    def __init__(self, pieces: list[np.ndarray], owner: list[int], base: list[int]) -> None:
+        self.values = np.concatenate(pieces)
+        self.bounds = np.cumsum([0, *map(len, pieces)])
+        self.owner, self.base = np.array(owner, np.int64), np.array(base, np.int64)
+
+    def whose(self, positions: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Owner and place in the owner's sequence of positions in the chunk."""
+        piece = np.searchsorted(self.bounds, positions, "right") - 1
+        return self.owner[piece], positions - self.bounds[piece] + self.base[piece]
+
+
+def chunks(sequences, size: int, limit: int = CHUNK_VALUES):
+    """Chunks of (owner, base, values) with every window of ``size`` values in one piece."""
+    pieces, owner, base, total = [], [], [], 0
+    for who, start, values in sequences:
+        step = limit - size + 1
+        for at in range(0, len(values) - size + 1, step):
+            piece = values[at : at + limit]
+            if total + len(piece) > limit and pieces:
+                yield Chunk(pieces, owner, base)
+                pieces, owner, base, total = [], [], [], 0
+            pieces.append(piece)
+            owner.append(who)
+            base.append(start + at)
+            total += len(piece)
+    if pieces:
+        yield Chunk(pieces, owner, base)
+
+
+class Runs:
+    """The windows of a chunk in runs that share their anchor.
+
+    A window's anchor is the run of ``anchor_size`` values in it with the least hash, the
+    leftmost of equals. It depends on the window's values alone, so equal windows have
+    equal anchors: ``bucket`` is the anchor's hash. The windows of one run all differ.
+    """
+
+    def __init__(self, chunk: Chunk, size: int, anchor_size: int) -> None:
+        self.sums = prefix_sums(chunk.values.astype(np.uint64) + np.uint64(1))
+        places = np.arange(len(chunk.values) - anchor_size + 1)
+        hashes = run_hashes(self.sums, places, places + anchor_size)
+        low = np.uint64((1 << _POSITION_BITS) - 1)
+        least = (hashes & ~low) | places.astype(np.uint64)
+        width, reach = size - anchor_size + 1, 1
+        while 2 * reach <= width:
+            least = np.minimum(least[:-reach], least[reach:])
+            reach *= 2
+        if reach < width:
+            rest = width - reach
+            least = np.minimum(least[:-rest], least[rest:])
+        anchor = (least & low).astype(np.int64)
+        inside = np.zeros(len(anchor) + 1, np.int64)
+        long_enough = np.diff(chunk.bounds) >= size
+        np.add.at(inside, chunk.bounds[:-1][long_enough], 1)
+        np.add.at(inside, chunk.bounds[1:][long_enough] - size + 1, -1)
+        #: Positions of all windows, and where in them every run begins.
+        self.windows = np.flatnonzero(np.cumsum(inside[:-1]))
+        anchor = anchor[self.windows]
+        new = (np.diff(self.windows) != 1) | (np.diff(anchor) != 0)
+        self.starts = np.concatenate([[0], np.flatnonzero(new) + 1])
+        self.counts = np.diff(np.append(self.starts, len(self.windows)))
+        self.first = self.windows[self.starts]
+        self.bucket = hashes[anchor[self.starts]]
+
+
+#: Bytes of a window's hash that travel. Its bucket's 64 bits come on top of them.
+HASH_BYTES = 6
+
+
+def packed(hashes: np.ndarray) -> np.ndarray:
+    """The low bytes of hashes, as a flat array of bytes."""
+    return hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :HASH_BYTES].reshape(-1)
+
+
+def unpacked(data: np.ndarray) -> np.ndarray:
+    wide = np.zeros((len(data) // HASH_BYTES, 8), np.uint8)
+    wide[:, :HASH_BYTES] = data.reshape(-1, HASH_BYTES)
+    return wide.reshape(-1).view("<u8").astype(np.uint64)
+
+
+def covered(length: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Which of ``length`` places lie in one of the spans."""
+    change = np.zeros(length + 1, np.int64)
+    np.add.at(change, starts, 1)
+    np.add.at(change, ends, -1)
+    return np.cumsum(change[:-1]) > 0
