@@ -288,7 +288,7 @@ def one_of_each_class(docs: DataFrame) -> DataFrame:
     alone = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
     return (
         docs.join(lost, "doc_id", "left_anti")
-        .withColumn("_alone", alone)
-        .dropDuplicates(["doc_id", "_alone"])
+        .withColumn("__alone", alone)
+        .dropDuplicates(["doc_id", "__alone"])
         .select(*docs.columns)
     )

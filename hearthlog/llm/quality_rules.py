@@ -164,7 +164,7 @@ def fences(rows: DataFrame) -> DataFrame:
 
 
 def _fence_names() -> list[str]:
-    return [f"max_{m}" for m in UPPER_SPREAD] + [f"min_{m}" for m in LOWER_SPREAD]
+    return [f"__max_{m}" for m in UPPER_SPREAD] + [f"__min_{m}" for m in LOWER_SPREAD]
 
 
 def _quartile_fences(sketch: DataFrame, keys: list[str], least: int) -> DataFrame:
@@ -188,11 +188,11 @@ def _quartile_fences(sketch: DataFrame, keys: list[str], least: int) -> DataFram
 
     return quartiles.groupBy(*keys).agg(
         *[
-            fence(m, F.col("q3") + F.greatest(reach, F.lit(s)), f"max_{m}")
+            fence(m, F.col("q3") + F.greatest(reach, F.lit(s)), f"__max_{m}")
             for m, s in UPPER_SPREAD.items()
         ],
         *[
-            fence(m, F.col("q1") - F.greatest(reach, F.lit(s)), f"min_{m}")
+            fence(m, F.col("q1") - F.greatest(reach, F.lit(s)), f"__min_{m}")
             for m, s in LOWER_SPREAD.items()
         ],
     )
@@ -200,8 +200,8 @@ def _quartile_fences(sketch: DataFrame, keys: list[str], least: int) -> DataFram
 
 def _within() -> Column:
     cells = _cells()
-    rules = [cells[m] <= F.coalesce(F.col(f"max_{m}"), F.lit(MAX_CELL)) for m in UPPER_SPREAD]
-    rules += [cells[m] >= F.coalesce(F.col(f"min_{m}"), F.lit(0)) for m in LOWER_SPREAD]
+    rules = [cells[m] <= F.coalesce(F.col(f"__max_{m}"), F.lit(MAX_CELL)) for m in UPPER_SPREAD]
+    rules += [cells[m] >= F.coalesce(F.col(f"__min_{m}"), F.lit(0)) for m in LOWER_SPREAD]
     return reduce(lambda a, b: a & b, rules)
 
 
@@ -221,14 +221,14 @@ def judge(docs: DataFrame, keep_texts: bool = False) -> DataFrame:
         limits = park(fences(rows), "quality-fences")
     names = _fence_names()
     limits = limits.select(
-        F.col("lang").alias("_lang"), F.col("source").alias("_source"), *names
+        F.col("lang").alias("__lang"), F.col("source").alias("__source"), *names
     )
-    same = rows["lang"].eqNullSafe(limits["_lang"]) & rows["source"].eqNullSafe(limits["_source"])
+    same = rows["lang"].eqNullSafe(limits["__lang"]) & rows["source"].eqNullSafe(limits["__source"])
     passed = F.when(F.col("base_failed"), F.lit(False)).otherwise(_within())
     return (
         rows.join(limits, same, "left")
         .withColumn("kept", passed)
-        .drop("_lang", "_source", *names)
+        .drop("__lang", "__source", *names)
     )
 
 

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hearthlog.llm import (
+    byte_repeats,
     html_extraction,
     jaccard_join,
     packing,
@@ -74,6 +75,13 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_byte_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    return byte_repeats.without_repeats(docs, keep_bytes=False).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"
+    )
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents")
     return packing.pack_documents(docs, f"{TOKENIZERS}/byte_bpe_50k.json")
@@ -122,6 +130,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op1_topk_search,
         op2_word_repeats,
         op3_secret_scan,
+        op4_byte_repeats,
         op5_packing,
         op6_source_mixing,
         op7_token_counts,

@@ -29,33 +29,33 @@ RESULT = ["size", "source_size", "target", "taken", "copy", "virtual_finish", "w
 
 
 def _targets(sizes: DataFrame, weights: tuple[int, ...], percent: int) -> DataFrame:
-    """Weight and target per source, from one row per source (``_source``, ``source_size``).
+    """Weight and target per source, from one row per source (``__source``, ``source_size``).
 
     The queues are served up to the virtual time at which the budget is spent. Sources
     are filled up in the order in which they run out; the first that need not run out
     tells the time.
     """
-    position = F.row_number().over(Window.orderBy(F.asc_nulls_last("_source")))
+    position = F.row_number().over(Window.orderBy(F.asc_nulls_last("__source")))
     picked = F.array(*map(F.lit, weights))
-    weighed = sizes.withColumn("_rank", position).withColumn(
-        "weight", F.element_at(picked, (F.col("_rank") - 1) % len(weights) + 1)
+    weighed = sizes.withColumn("__rank", position).withColumn(
+        "__weight", F.element_at(picked, (F.col("__rank") - 1) % len(weights) + 1)
     )
     cap = PASSES * F.col("source_size")
-    out = weighed.withColumn("_cap", cap).withColumn("_ends", cap / F.col("weight"))
-    by_end = Window.orderBy("_ends", "_rank")
+    out = weighed.withColumn("__cap", cap).withColumn("__ends", cap / F.col("__weight"))
+    by_end = Window.orderBy("__ends", "__rank")
     before = by_end.rowsBetween(Window.unboundedPreceding, -1)
     onward = by_end.rowsBetween(0, Window.unboundedFollowing)
     whole = by_end.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     budget = F.sum("source_size").over(whole) * percent / 100
-    level = (budget - F.coalesce(F.sum("_cap").over(before), F.lit(0))) / F.sum("weight").over(onward)
-    levels = out.withColumn("_level", level)
-    first = F.min(F.when(F.col("_level") <= F.col("_ends"), F.struct("_ends", "_rank", "_level"))).over(whole)
-    time = first["_level"]
+    level = (budget - F.coalesce(F.sum("__cap").over(before), F.lit(0))) / F.sum("__weight").over(onward)
+    levels = out.withColumn("__level", level)
+    first = F.min(F.when(F.col("__level") <= F.col("__ends"), F.struct("__ends", "__rank", "__level"))).over(whole)
+    time = first["__level"]
     return levels.select(
-        "_source",
+        "__source",
         "source_size",
-        "weight",
-        F.least(F.col("_cap").cast("double"), F.col("weight") * time).alias("target"),
+        "__weight",
+        F.least(F.col("__cap").cast("double"), F.col("__weight") * time).alias("target"),
     )
 
 
@@ -74,30 +74,30 @@ def queue(
     rows = docs.withColumns(
         {
             "size": F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint"),
-            "_order": order,
-            "_slice": F.substring(order, 1, 3),
+            "__order": order,
+            "__slice": F.substring(order, 1, 3),
         }
     )
     slices = (
-        rows.groupBy(F.col("source").alias("_source"), F.col("_slice").alias("_part"))
-        .agg(F.sum("size").alias("_words"))
+        rows.groupBy(F.col("source").alias("__source"), F.col("__slice").alias("__part"))
+        .agg(F.sum("size").alias("__words"))
     )
-    along = Window.partitionBy("_source").orderBy("_part")
-    earlier = F.sum("_words").over(along.rowsBetween(Window.unboundedPreceding, -1))
-    offsets = slices.withColumn("_earlier", F.coalesce(earlier, F.lit(0)))
-    sizes = slices.groupBy("_source").agg(F.sum("_words").alias("source_size"))
-    targets = _targets(sizes, weights, budget_percent).withColumnRenamed("_source", "_of")
-    offsets = offsets.join(targets, F.col("_source").eqNullSafe(F.col("_of"))).drop("_of", "_words")
+    along = Window.partitionBy("__source").orderBy("__part")
+    earlier = F.sum("__words").over(along.rowsBetween(Window.unboundedPreceding, -1))
+    offsets = slices.withColumn("__earlier", F.coalesce(earlier, F.lit(0)))
+    sizes = slices.groupBy("__source").agg(F.sum("__words").alias("source_size"))
+    targets = _targets(sizes, weights, budget_percent).withColumnRenamed("__source", "__of")
+    offsets = offsets.join(targets, F.col("__source").eqNullSafe(F.col("__of"))).drop("__of", "__words")
     within = (
-        Window.partitionBy("source", "_slice")
-        .orderBy("_order", "size", "doc_id")
+        Window.partitionBy("source", "__slice")
+        .orderBy("__order", "size", "doc_id")
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    timed = rows.withColumn("_upto", F.sum("size").over(within)).join(
+    timed = rows.withColumn("__upto", F.sum("size").over(within)).join(
         offsets,
-        F.col("source").eqNullSafe(F.col("_source")) & (F.col("_slice") == F.col("_part")),
+        F.col("source").eqNullSafe(F.col("__source")) & (F.col("__slice") == F.col("__part")),
     )
-    upto = F.col("_upto") + F.col("_earlier")
+    upto = F.col("__upto") + F.col("__earlier")
     served = F.floor("target")
 
     def words(copy: int) -> Column:
@@ -107,7 +107,7 @@ def queue(
     def entry(copy: int) -> Column:
         return F.struct(
             F.lit(copy).alias("copy"),
-            ((upto + (copy - 1) * F.col("source_size")) / F.col("weight")).alias("virtual_finish"),
+            ((upto + (copy - 1) * F.col("source_size")) / F.col("__weight")).alias("virtual_finish"),
             words(copy).alias("words"),
         )
 
@@ -118,14 +118,14 @@ def queue(
         "source_size",
         "target",
         sum((words(c) for c in copies), F.lit(0)).cast("bigint").alias("taken"),
-        "_order",
+        "__order",
         F.inline(F.array(*map(entry, copies))),
     )
-    return _in_time(entries).drop("_order")
+    return _in_time(entries).drop("__order")
 
 
 def _in_time(entries: DataFrame) -> DataFrame:
-    by = ["virtual_finish", "source", "_order", "size"]
+    by = ["virtual_finish", "source", "__order", "size"]
     return entries.repartitionByRange(*by).sortWithinPartitions(*by)
 
 

@@ -109,7 +109,7 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     low = np.uint64((1 << (8 * HASH_BYTES)) - 1)
     for part in slices(batches, "text"):
         rows = []
-        texts, paths = part.column("text").to_pylist(), part.column("_paths").to_pylist()
+        texts, paths = part.column("text").to_pylist(), part.column("__paths").to_pylist()
         for text, own in zip(texts, paths):
             words = (text or "").encode().split()
             if not own:
@@ -124,7 +124,7 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             gone = covered(len(words), start, ends)
             kept = b" ".join(words[i] for i in np.flatnonzero(~gone))
             rows.append((len(words), int(gone.sum()), kept.decode()))
-        out = part.drop_columns(["_paths"])
+        out = part.drop_columns(["__paths"])
         for name, kind, column in zip(RESULT, (pa.int64(), pa.int64(), pa.string()), zip(*rows)):
             out = out.append_column(name, pa.array(column, kind))
         yield out
@@ -135,9 +135,9 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     docs = docs.drop(*RESULT)
     own = (
         repeated_paths(docs)
-        .groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
-        .agg(F.collect_list(F.struct("start", "n", "path")).alias("_paths"))
+        .groupBy(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
+        .agg(F.collect_list(F.struct("start", "n", "path")).alias("__paths"))
     )
-    same = docs["doc_id"].eqNullSafe(F.col("_id")) & (F.hash(docs["text"]) == F.col("_hash"))
-    joined = docs.join(own.hint("shuffle_hash"), same, "left").select(*docs.columns, "_paths")
+    same = docs["doc_id"].eqNullSafe(F.col("__id")) & (F.hash(docs["text"]) == F.col("__hash"))
+    joined = docs.join(own.hint("shuffle_hash"), same, "left").select(*docs.columns, "__paths")
     return joined.mapInArrow(_remove, T.StructType([*docs.schema.fields, *_FIELDS]))

@@ -1,4 +1,7 @@
-"""Small helpers for code that runs over Arrow batches on Python workers."""
+"""Small helpers for code that runs over Arrow batches on Python workers.
+
+Operators name columns of their own with two leading underscores, which are reserved.
+"""
 
 from __future__ import annotations
 

@@ -56,7 +56,7 @@ def test_edges(edge_docs, spark):
     docs = edge_docs.where("doc_id is not null").dropDuplicates(["doc_id"]).cache()
     first = source_mixing.queue(docs).where("copy = 1").collect()
     check(first, docs.collect())
-    everything = source_mixing.queue(edge_docs.withColumn("size", F.lit("x")))
+    everything = source_mixing.queue(edge_docs.withColumns({"size": F.lit("x"), "weight": F.lit(1)}))
     assert everything.count() == 2 * edge_docs.count()
     assert source_mixing.queue(docs.where("false")).collect() == []
     nothing = docs.where("doc_id in (1, 2, 3)")
