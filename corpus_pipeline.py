@@ -1,4 +1,10 @@
-"""Documents to packed training sequences: rules, near copies, secrets, mixing, packing."""
+"""Documents to packed training sequences.
+
+Quality rules drop documents, one document of each class of near copies stays, secrets are
+replaced by their kind, sources are mixed to their target weights (documents may come
+twice, or cut), and the mix is tokenized and packed. Every stage works on all that the one
+before it kept.
+"""
 
 from __future__ import annotations
 
@@ -9,7 +15,13 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 
-from hearthlog.llm import packing, quality_rules, secret_scan, source_mixing  # noqa: E402
+from hearthlog.llm import (  # noqa: E402
+    jaccard_join,
+    packing,
+    quality_rules,
+    secret_scan,
+    source_mixing,
+)
 from hearthlog.llm.queries import TOKENIZERS  # noqa: E402
 from hearthlog.llm.worker import park  # noqa: E402
 
@@ -18,6 +30,10 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.good_documents(docs)
 
 
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return jaccard_join.one_of_each_class(docs)
+
+
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return secret_scan.without_secrets(docs)
 
@@ -32,6 +48,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality rules", quality),
+    ("n-gram Jaccard join", near_copies),
     ("secret scan", secrets),
     ("source mixing", mixing),
     ("packing", pack),
