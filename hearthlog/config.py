@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -10,8 +11,9 @@ from pyspark.sql import SparkSession
 #: Dictionaries measured at or below this size are broadcast; larger ones are shuffled.
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
-#: Ways a hot (product, fault) pair is split when the dictionary is too big to broadcast.
-SALT_BUCKETS = 64
+#: Ways a hot (product, fault) pair of a stream is split when the dictionary is too big to
+#: broadcast. A batch leaves that to adaptive execution, which splits only what is skewed.
+STREAM_SALTS = 16
 
 
 def configure_session(spark: SparkSession, time_zone: str = "UTC") -> SparkSession:
@@ -33,7 +35,7 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         root = tempfile.mkdtemp(prefix="hearthlog-")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4()}"

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from hearthlog.config import MAX_BROADCAST_BYTES, SALT_BUCKETS
+from hearthlog.config import MAX_BROADCAST_BYTES, STREAM_SALTS
 
 Normalizer = Callable[[Column], Column]
 
@@ -51,15 +51,15 @@ def match_faults(
     how: str,
     broadcast: bool,
     normalize: Normalizer | None = None,
-    salt_buckets: int = SALT_BUCKETS,
 ) -> DataFrame:
     """Join ``rows`` (``productKey``, ``_fault``) to ``known_faults`` of the same ``normalize``.
 
-    A dictionary too big to broadcast is shuffled. One (product, fault) pair may hold
-    a large part of all rows, so rows are spread over salts and the dictionary is
-    repeated per salt. The salt is the number of the row's partition: unlike a random
-    one it is the same when a lost task runs again, and unlike a hash of the row it
-    also separates equal rows.
+    A dictionary too big to broadcast is merged. One (product, fault) pair may hold a
+    large part of all rows: in a batch adaptive execution splits it. A stream has no
+    adaptive execution, so its rows are spread over salts and the dictionary is repeated
+    per salt; the salt is the number of the row's partition, which is the same when a
+    lost task runs again. Rows without a fault match nothing and are spread by their
+    device instead of meeting under one NULL.
     """
     same = normalize or (lambda c: c)
     on = (same(F.col("productKey")) == F.col("_product")) & (
@@ -67,10 +67,20 @@ def match_faults(
     )
     if broadcast:
         return rows.join(F.broadcast(known), on, how)
-    salted = rows.withColumn("_salt", F.spark_partition_id() % salt_buckets)
-    salts = F.sequence(F.lit(0), F.lit(salt_buckets - 1))
-    repeated = known.withColumn("_known_salt", F.explode(salts))
-    return salted.join(repeated, on & (F.col("_salt") == F.col("_known_salt")), how)
+    if how == "left":
+        nothing = F.concat(F.lit("no fault "), F.xxhash64("iotId", "_id").cast("string"))
+        rows = rows.withColumn("_sought", F.coalesce("_fault", nothing))
+    else:
+        rows = rows.withColumn("_sought", F.col("_fault"))
+    on = (same(F.col("productKey")) == F.col("_product")) & (
+        same(F.col("_sought")) == same(F.col("_code"))
+    )
+    if not rows.isStreaming:
+        return rows.join(known.hint("merge"), on, how).drop("_sought")
+    salted = rows.withColumn("_salt", F.spark_partition_id() % STREAM_SALTS)
+    salts = F.sequence(F.lit(0), F.lit(STREAM_SALTS - 1))
+    repeated = known.withColumn("_known_salt", F.explode(salts)).hint("merge")
+    return salted.join(repeated, on & (F.col("_salt") == F.col("_known_salt")), how).drop("_sought")
 
 
 def lookup_faults(
@@ -83,12 +93,12 @@ def lookup_faults(
     """Keep the faults that the dictionary knows for their product and name them.
 
     Adds ``fault_code`` and ``fault_name``. A fault without an entry, or whose entry
-    has no type, is dropped; one with several entries is repeated. ``broadcast=None``
-    measures the dictionary first. Matching is exact unless ``normalize`` (for
+    has no type, is dropped; one with several entries is repeated. ``broadcast=None`` and
+    ``True`` measure the dictionary first: one that is too big is never broadcast. Matching is exact unless ``normalize`` (for
     instance ``F.upper``) is given; the names returned are always the dictionary's.
     """
     known = known_faults(dictionary, normalize)
-    if broadcast is None:
+    if broadcast is not False:
         broadcast = fits_broadcast(known)
     rows = faults.withColumn("_fault", fault_code(F.col(number)))
     return match_faults(rows, known, "inner", broadcast, normalize).select(

@@ -36,7 +36,7 @@ def daily_operation_counts(
     stream must not look up past events again when the dictionary changes.
     """
     known = known_faults(dictionary, normalize)
-    if broadcast is None:
+    if broadcast is not False:
         broadcast = fits_broadcast(known, max_broadcast_bytes)
     raw = raw_operations(log, observation)
     if broadcast or log.isStreaming:

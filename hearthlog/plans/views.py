@@ -5,7 +5,7 @@ All functions take a log that has ``ts_ltz`` and work on batch and streaming inp
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from hearthlog.functions.payload import payload_value
 from hearthlog.operators.fault_lookup import Normalizer, lookup_faults
@@ -15,6 +15,15 @@ from hearthlog.schemas import ERROR_CODE, MODE, MODE_EVENTS, OPERATION_EVENT, RE
 _DEVICE = ["productKey", "iotId", "deviceName", "ts_ltz"]
 
 
+def _only(rows: DataFrame, condition: Column) -> DataFrame:
+    """The rows that meet a condition on parsed columns.
+
+    The others are dropped by exploding NULL: a filter would be moved below the parsing,
+    which would then run twice per event.
+    """
+    return rows.select("*", F.explode(F.when(condition, F.array(F.lit(0)))).alias("_row"))
+
+
 def error_codes(log: DataFrame) -> DataFrame:
     """New and previous fault code of every ErrorCode event."""
     return log.where(F.col("eventName") == ERROR_CODE).select(
@@ -50,14 +59,14 @@ def working_mode_events(log: DataFrame) -> DataFrame:
     same event name.
     """
     recipe = F.col("_recipe")
+    parsed = log.where(F.col("eventName").isin(MODE_EVENTS)).select(
+        *_DEVICE,
+        payload_value(F.col("eventValue"), MODE).alias("optId"),
+        payload_value(F.col("eventValue"), RECIPE).alias("_recipe"),
+    )
+    by_hand = (F.col("optId") != "0") & ((recipe == "") | recipe.isNull())
     return (
-        log.where(F.col("eventName").isin(MODE_EVENTS))
-        .select(
-            *_DEVICE,
-            payload_value(F.col("eventValue"), MODE).alias("optId"),
-            payload_value(F.col("eventValue"), RECIPE).alias("_recipe"),
-        )
-        .where((F.col("optId") != "0") & ((recipe == "") | recipe.isNull()))
+        _only(parsed, by_hand)
         .select(
             *_DEVICE,
             F.lit(MODE).alias("eventName"),
@@ -69,10 +78,11 @@ def working_mode_events(log: DataFrame) -> DataFrame:
 
 def recipe_events(log: DataFrame) -> DataFrame:
     """Recipes started: the recipe's name serves as its id too."""
+    parsed = log.where(F.col("eventName") == RECIPE).select(
+        *_DEVICE, payload_value(F.col("eventValue"), RECIPE).alias("optId")
+    )
     return (
-        log.where(F.col("eventName") == RECIPE)
-        .select(*_DEVICE, payload_value(F.col("eventValue"), RECIPE).alias("optId"))
-        .where(F.col("optId") != "")
+        _only(parsed, F.col("optId") != "")
         .select(
             *_DEVICE,
             F.lit(RECIPE).alias("eventName"),

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from hearthlog import fixtures
 from hearthlog.operators.fault_lookup import fits_broadcast, known_faults
 from hearthlog.plans.daily_counts import daily_operation_counts, daily_operation_counts_union
-from hearthlog.plans.views import fault_events
+from hearthlog.plans import sql_views
+from hearthlog.plans.views import fault_events, recipe_events, working_mode_events
 from hearthlog.schemas import DEVICE_LOG
 from hearthlog.sources.device_log import read_files
 
@@ -72,19 +73,37 @@ def test_union_reads_the_log_once_per_view(spark, log):
     assert plan.count("Exchange hashpartitioning") == 1
 
 
-def test_a_big_dictionary_is_shuffled_after_counting(spark, log):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
-    try:
-        plan = plan_of(
-            daily_operation_counts(log, fixtures.fault_dictionary(spark), max_broadcast_bytes=0)
-        )
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+def test_a_big_dictionary_is_merged_after_counting(spark, log):
+    frame = daily_operation_counts(log, fixtures.fault_dictionary(spark), max_broadcast_bytes=0)
+    plan = plan_of(frame)
     assert plan.count("FileScan parquet") == 1
     assert "Broadcast" not in plan
     assert plan.index("SortMergeJoin") < plan.index("partial_count")
+    faults = plan_of(fault_events(log, fixtures.fault_dictionary(spark), broadcast=False))
+    assert "SortMergeJoin" in faults and "Broadcast" not in faults
+    # The dictionary is not repeated.
+    assert "Generate explode([0" not in plan + faults and "_known_salt" not in plan + faults
+
+
+def test_too_big_a_dictionary_is_not_broadcast_on_request(spark, log):
+    dictionary = fixtures.fault_dictionary(spark)
+    plan = plan_of(daily_operation_counts(log, dictionary, True, max_broadcast_bytes=0))
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_sql_statement_scans_once_and_parses_once(spark, log):
+    sql_views.register_functions(spark)
+    sql_views.register_views(spark, log, fixtures.fault_dictionary(spark))
+    plan = plan_of(spark.sql(sql_views.DAILY_OPERATION_COUNTS))
+    assert plan.count("FileScan parquet") == 1
+    assert plan.count("[+-]?[0-9]+") == 2
+
+
+@pytest.mark.parametrize("view, markers", [(working_mode_events, 3), (recipe_events, 3)])
+def test_views_look_payloads_up_once(log, view, markers):
+    # A lookup writes its marker three times: to find it, and to take what follows it.
+    plan = plan_of(view(log))
+    assert plan.count(",MultiStageName:") == markers
 
 
 def test_dictionary_size_is_measured(spark):
