@@ -9,7 +9,8 @@ from __future__ import annotations
 
 import sys
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -28,6 +29,7 @@ from hearthlog.operators.counts import (  # noqa: E402
 )
 from hearthlog.operators.fault_lookup import lookup_faults  # noqa: E402
 from hearthlog.operators.newly_raised import is_bad_code, newly_raised_faults  # noqa: E402
+from hearthlog.operators.unstorable import storable_events, unstorable_events  # noqa: E402
 from hearthlog.plans import sql_views, views  # noqa: E402
 from hearthlog.plans.daily_counts import (  # noqa: E402
     daily_operation_counts,
@@ -36,14 +38,16 @@ from hearthlog.plans.daily_counts import (  # noqa: E402
 from hearthlog.schemas import DEVICE_LOG, ERROR_CODE, MODE, RECIPE  # noqa: E402
 from hearthlog.sinks.analytic_table import analytic_rows  # noqa: E402
 from hearthlog.sinks.change_table import ChangeTable  # noqa: E402
-from hearthlog.sources.device_log import decode_json  # noqa: E402
+from hearthlog.sources.device_log import decode_json, read_files  # noqa: E402
 from hearthlog.streaming.daily_counts import (  # noqa: E402
     configure_streaming,
     start_daily_counts,
 )
 from hearthlog.streaming.expiring_counts import start_expiring_daily_counts  # noqa: E402
+from hearthlog.streaming.partial_counts import start_partial_counts  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
+STREAM_DEADLINE_S = 3600
 
 
 def _log(spark: SparkSession, sf_dir: str, renamed: bool = False) -> DataFrame:
@@ -52,6 +56,11 @@ def _log(spark: SparkSession, sf_dir: str, renamed: bool = False) -> DataFrame:
     return fixtures.device_log(events, renamed)
 
 
+def _edge_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure_session(spark)
+    return fixtures.edge_log(spark.read.schema(fixtures.EVENTS).parquet(f"{sf_dir}/events.parquet"))
+
+
 def _duplicated(dictionary: DataFrame) -> DataFrame:
     """The dictionary with a second row for every fault with an even number."""
     number = F.substring("fault_code", 2, 2).cast("int")
@@ -67,10 +76,10 @@ def entry(spark: SparkSession) -> DataFrame:
     return _daily(spark, SMOKE_DIR)
 
 
-def _payload(read: Callable) -> Callable[[SparkSession, str], DataFrame]:
+def _payload(read: Callable, log: Callable = _log) -> Callable[[SparkSession, str], DataFrame]:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         value, previous = F.col("eventValue"), F.col("eventOriValue")
-        return _log(spark, sf_dir).select(
+        return log(spark, sf_dir).select(
             "requestId",
             read(value, ERROR_CODE).alias("error_code"),
             read(previous, ERROR_CODE).alias("previous_code"),
@@ -97,8 +106,8 @@ def _decoded_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_ms(decode_json(messages))
 
 
-def _raised(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = _log(spark, sf_dir).where(F.col("eventName") == ERROR_CODE)
+def _raised(spark: SparkSession, sf_dir: str, read: Callable = _log) -> DataFrame:
+    log = read(spark, sf_dir).where(F.col("eventName") == ERROR_CODE)
     codes = log.select(
         "requestId",
         "productKey",
@@ -114,8 +123,8 @@ def _lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.select("requestId", "productKey", "fault_code", "fault_name")
 
 
-def _bad_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    codes = views.error_codes(_log(spark, sf_dir))
+def _bad_codes(spark: SparkSession, sf_dir: str, read: Callable = _log) -> DataFrame:
+    codes = views.error_codes(read(spark, sf_dir))
     return codes.agg(F.count_if(is_bad_code("new_code", "old_code")).alias("bad_error_codes"))
 
 
@@ -165,31 +174,83 @@ def _daily_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(sql_views.DAILY_OPERATION_COUNTS)
 
 
-def _daily_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+@contextmanager
+def _streaming_settings(spark: SparkSession) -> Iterator[None]:
+    """The job's state store settings, for as long as a query runs."""
+    names = [
+        "spark.sql.streaming.stateStore.providerClass",
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled",
+    ]
+    before = {name: spark.conf.get(name, None) for name in names}
+    configure_streaming(spark)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
+def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure_session(spark)
     # A pattern, as a file stream takes folders and patterns but no single file.
-    events = spark.readStream.schema(fixtures.EVENTS).parquet(f"{sf_dir}/events.parque[t]")
+    return spark.readStream.schema(fixtures.EVENTS).parquet(f"{sf_dir}/events.parque[t]")
+
+
+def _daily_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = _event_stream(spark, sf_dir)
     work = shared_dir(spark, "daily-counts")
     sink = ChangeTable(f"{work}/table")
-    query = start_daily_counts(
+    with _streaming_settings(spark):
+        query = start_daily_counts(
+            fixtures.device_log(events),
+            fixtures.fault_dictionary(spark),
+            sink,
+            f"{work}/checkpoint",
+            until_caught_up=True,
+        )
+        query.awaitTermination()
+    return sink.current(spark)
+
+
+def _stateless_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = _event_stream(spark, sf_dir)
+    work = shared_dir(spark, "partial-counts")
+    table = ChangeTable(f"{work}/table", partial=True)
+    start_partial_counts(
         fixtures.device_log(events),
+        lambda: fixtures.fault_dictionary(spark),
+        table,
+        f"{work}/checkpoint",
+        until_caught_up=True,
+    ).awaitTermination()
+    return table.current(spark)
+
+
+def _last_write_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The renamed log in several micro-batches, whose groups collide across batches."""
+    work = shared_dir(spark, "last-write")
+    log = _log(spark, sf_dir, renamed=True).select(*DEVICE_LOG.names)
+    part = F.col("requestId").cast("bigint") % 4
+    log.withColumn("part", part).repartition("part").write.partitionBy("part").parquet(f"{work}/log")
+    table = ChangeTable(f"{work}/table", partial=True)
+    start_partial_counts(
+        read_files(spark, f"{work}/log", max_files_per_trigger=1),
         fixtures.fault_dictionary(spark),
-        sink,
+        table,
         f"{work}/checkpoint",
         until_caught_up=True,
-    )
-    query.awaitTermination()
-    return sink.current(spark)
+    ).awaitTermination()
+    return table.settled(spark).drop("last_ts")
 
 
 def _expiring_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    configure_session(spark)
-    events = spark.readStream.schema(fixtures.EVENTS).parquet(f"{sf_dir}/events.parque[t]")
+    events = _event_stream(spark, sf_dir)
     work = shared_dir(spark, "expiring-counts")
     sink = ChangeTable(f"{work}/table")
-    provider = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
-    configure_streaming(spark)
-    try:
+    with _streaming_settings(spark):
         query = start_expiring_daily_counts(
             fixtures.device_log(events),
             fixtures.fault_dictionary(spark),
@@ -197,14 +258,15 @@ def _expiring_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
             f"{work}/checkpoint",
             interval="1 second",
         )
+        deadline = time.monotonic() + STREAM_DEADLINE_S
         try:
             # It would go on with empty batches that look for expired counts.
             while query.isActive and not _caught_up(query):
+                if time.monotonic() > deadline:
+                    raise TimeoutError(f"the stream did not end within {STREAM_DEADLINE_S} s")
                 time.sleep(0.2)
         finally:
             query.stop()
-    finally:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", provider)
     if query.exception():
         raise query.exception()
     return sink.current(spark)
@@ -233,6 +295,31 @@ def _analytic_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analytic_rows(_daily(spark, sf_dir))
 
 
+def _event_time_day_shanghai(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = _log(spark, sf_dir)
+    configure_session(spark, "Asia/Shanghai")
+    try:
+        # The zone becomes part of the expressions here, not when they run.
+        return log.select("requestId", day_label(day(F.col("ts_ltz"))).alias("ds"))
+    finally:
+        configure_session(spark)
+
+
+def _unstorable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = unstorable_events(_edge_log(spark, sf_dir))
+    return rows.select("requestId", "iotId", "gmtCreate", "eventName")
+
+
+def _daily_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = storable_events(_edge_log(spark, sf_dir))
+    return daily_operation_counts(log, fixtures.fault_dictionary(spark))
+
+
+def _daily_union_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = storable_events(_edge_log(spark, sf_dir))
+    return daily_operation_counts_union(log, fixtures.fault_dictionary(spark))
+
+
 def _mode_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_by_day(views.working_mode_events(_log(spark, sf_dir)))
 
@@ -256,8 +343,12 @@ def _llm():
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {**core_queries(), **_llm()[0]}
+
+
+def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """The queries of the device log, which need no subpackage."""
     return {
-        **_llm()[0],
         "payload_map_lookup": _payload(lambda text, key: payload_map(text)[key]),
         "payload_value_lookup": _payload(payload_value),
         "event_time_day": _event_time_day,
@@ -279,10 +370,21 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "daily_operation_counts_duplicated_dictionary": _daily_duplicated,
         "daily_operation_counts_sql": _daily_sql,
         "daily_operation_counts_stream": _daily_stream,
+        "daily_operation_counts_stateless_stream": _stateless_stream,
         "daily_operation_counts_expiring_stream": _expiring_stream,
         "sink_key_collisions": _collisions,
         "last_write_per_key": _last_write,
+        "last_write_per_key_stream": _last_write_stream,
         "analytic_rows": _analytic_rows,
+        "event_time_day_shanghai": _event_time_day_shanghai,
+        "payload_value_lookup_edges": _payload(payload_value, _edge_log),
+        "newly_raised_faults_edges": lambda spark, sf_dir: _raised(
+            spark, sf_dir, _edge_log
+        ).select("requestId", "fault_number"),
+        "bad_error_codes_edges": lambda spark, sf_dir: _bad_codes(spark, sf_dir, _edge_log),
+        "unstorable_events": _unstorable,
+        "daily_operation_counts_edges": _daily_edges,
+        "daily_operation_counts_union_edges": _daily_union_edges,
     }
 
 
@@ -334,11 +436,53 @@ def _value_sql(payload: str, key: str) -> str:
     return f"CASE WHEN contains({pair}, ':') THEN substr({pair}, {len(key) + 2}) END"
 
 
-def _oracle_ctes(name: str = "'d' || user_id", duplicated: bool = False) -> str:
+_EDGE_CODES = """(VALUES
+    (0, 'ErrorCode:+5', 'ErrorCode:0'), (1, 'ErrorCode: 5 ', 'ErrorCode:0'),
+    (2, 'ErrorCode:9223372036854775808', 'ErrorCode:0'),
+    (3, 'ErrorCode:4611686018427387904', 'ErrorCode:0'),
+    (4, 'ErrorCode:4611686018427387905', 'ErrorCode:0'),
+    (5, 'ErrorCode:5', 'ErrorCode:-1'), (6, 'ErrorCode:-3', 'ErrorCode:0'),
+    (7, 'ErrorCode:1,ErrorCode:6', 'ErrorCode:2,ErrorCode:4'),
+    (8, 'ErrorCode:3,ErrorCode', 'ErrorCode:0'), (9, 'ErrorCode:', 'ErrorCode:0'),
+    (10, 'ErrorCode:12', NULL)) AS edge_codes(code, new_value, old_value)"""
+
+_STORABLE = """("iotId" IS NOT NULL AND "gmtCreate" IS NOT NULL
+    AND "gmtCreate" BETWEEN -62135596800000 AND 253402300799999)"""
+
+
+def _edge_log_sql() -> str:
+    """The device log with edge rows, over the plain one (``plain_log``)."""
+    return f"""
+numbered AS (
+  SELECT *, CAST("requestId" AS BIGINT) % 7 AS kind, CAST("requestId" AS BIGINT) // 7 AS turn
+  FROM plain_log
+),
+device_log AS (
+  SELECT "requestId",
+    CASE WHEN kind = 1 AND turn % 3 = 1 THEN NULL ELSE "iotId" END AS "iotId",
+    CASE WHEN kind = 1 AND turn % 3 = 0 THEN NULL ELSE "productKey" END AS "productKey",
+    CASE WHEN kind = 1 AND turn % 3 = 2 THEN NULL ELSE "deviceName" END AS "deviceName",
+    CASE WHEN kind = 2 AND turn % 2 = 0 THEN "gmtCreate" * 1000
+         WHEN kind = 2 AND turn % 6 = 1 THEN NULL ELSE "gmtCreate" END AS "gmtCreate",
+    CASE WHEN kind = 0 THEN 'ErrorCode' ELSE "eventName" END AS "eventName",
+    CASE kind WHEN 0 THEN new_value
+      WHEN 3 THEN "eventValue" || ',StOvMode:5,StOvMode:6,MultiStageName:'
+      ELSE "eventValue" END AS "eventValue",
+    CASE kind WHEN 0 THEN old_value ELSE "eventOriValue" END AS "eventOriValue"
+  FROM numbered JOIN {_EDGE_CODES} ON code = turn % 11
+)"""
+
+
+def _oracle_ctes(
+    name: str = "'d' || user_id", duplicated: bool = False, edges: bool = False
+) -> str:
     """The device log, the dictionary, the three kinds of operation and their union."""
+    log = _device_log_sql(name)
+    if edges:
+        log = log.replace("device_log AS", "plain_log AS", 1) + "," + _edge_log_sql()
     again = "UNION ALL SELECT * FROM entries WHERE fault % 2 = 0" if duplicated else ""
     return f"""
-WITH {_device_log_sql(name)},
+WITH {log},
 entries AS (
   SELECT p.range AS product, b.range AS fault
   FROM range(0, 4) p, range(1, 13) b
@@ -368,6 +512,9 @@ codes AS (
   FROM payloads WHERE "eventName" = 'ErrorCode'
 ),
 raised AS (
+  SELECT codes.*, '64' AS fault_number FROM codes
+  WHERE new_code > 4611686018427387904 AND old_code <= 4611686018427387904
+  UNION ALL
   SELECT codes.*, CAST(bit.range + 1 AS VARCHAR) AS fault_number
   FROM codes, range(0, 63) bit
   WHERE new_code IS NOT NULL AND old_code IS NOT NULL
@@ -408,6 +555,7 @@ daily AS (
          "productKey", "iotId", "deviceName", "eventName", "optId", "optName",
          count(*) AS cnt, max(ts_ms) AS last_ms
   FROM operation_events
+  {f"WHERE {_STORABLE.replace('gmtCreate', 'ts_ms')}" if edges else ""}
   GROUP BY ALL
 )
 """
@@ -421,11 +569,26 @@ _PAYLOAD_SQL = 'SELECT "requestId", error_code, previous_code, mode, recipe FROM
 
 
 def oracle_sql() -> dict[str, str]:
+    return {**core_oracle_sql(), **_llm()[1]}
+
+
+def core_oracle_sql() -> dict[str, str]:
     ctes = _oracle_ctes()
+    edges = _oracle_ctes(edges=True)
     renamed = _oracle_ctes("'d' || user_id || '-' || (event_id % 2)")
     daily = ctes + _DAILY_SQL
+    last_write = (
+        renamed
+        + """
+SELECT ds, "productKey", "iotId", "deviceName", "eventName", "optId", "optName", cnt,
+       count(*) OVER (PARTITION BY ds, "iotId", "eventName", "optId") - 1 AS overwritten
+FROM daily
+QUALIFY row_number() OVER (
+  PARTITION BY ds, "iotId", "eventName", "optId"
+  ORDER BY last_ms DESC, "productKey" DESC, "deviceName" DESC, "optName" DESC NULLS LAST
+) = 1"""
+    )
     return {
-        **_llm()[1],
         "payload_map_lookup": ctes + _PAYLOAD_SQL,
         "payload_value_lookup": ctes + _PAYLOAD_SQL,
         "event_time_day": ctes
@@ -459,24 +622,35 @@ SELECT count(*) AS bad_error_codes FROM codes WHERE new_code IS NULL OR old_code
         + _DAILY_SQL,
         "daily_operation_counts_sql": daily,
         "daily_operation_counts_stream": daily,
+        "daily_operation_counts_stateless_stream": daily,
         "daily_operation_counts_expiring_stream": daily,
         "sink_key_collisions": renamed
         + """
 SELECT ds, "iotId", "eventName", "optId", count(*) AS groups,
        CAST(sum(cnt) AS BIGINT) AS total_cnt
 FROM daily GROUP BY ds, "iotId", "eventName", "optId" HAVING count(*) > 1""",
-        "last_write_per_key": renamed
-        + """
-SELECT ds, "productKey", "iotId", "deviceName", "eventName", "optId", "optName", cnt,
-       count(*) OVER (PARTITION BY ds, "iotId", "eventName", "optId") - 1 AS overwritten
-FROM daily
-QUALIFY row_number() OVER (
-  PARTITION BY ds, "iotId", "eventName", "optId"
-  ORDER BY last_ms DESC, "productKey" DESC, "deviceName" DESC, "optName" DESC NULLS LAST
-) = 1""",
+        "last_write_per_key": last_write,
+        "last_write_per_key_stream": last_write,
         "analytic_rows": ctes
         + """
 SELECT "productKey" AS productkey, "iotId" AS iotid, "deviceName" AS devicename,
        "eventName" AS event_name, "optId" AS opt_id, "optName" AS opt_name, cnt
 FROM daily""",
+        "event_time_day_shanghai": ctes
+        + """
+SELECT "requestId",
+       strftime(make_timestamp("gmtCreate" * 1000) + INTERVAL 8 HOUR, '%Y-%m-%d') AS ds
+FROM device_log""",
+        "payload_value_lookup_edges": edges + _PAYLOAD_SQL,
+        "newly_raised_faults_edges": edges + 'SELECT "requestId", fault_number FROM raised',
+        "bad_error_codes_edges": edges
+        + """
+SELECT count(*) AS bad_error_codes FROM codes WHERE new_code IS NULL OR old_code IS NULL""",
+        "unstorable_events": edges
+        + f"""
+SELECT "requestId", "iotId", "gmtCreate", "eventName" FROM device_log
+WHERE "eventName" IN ('ErrorCode', 'StOvMode', 'LStOvMode', 'RStOvMode', 'MultiStageName')
+  AND NOT {_STORABLE}""",
+        "daily_operation_counts_edges": edges + _DAILY_SQL,
+        "daily_operation_counts_union_edges": edges + _DAILY_SQL,
     }

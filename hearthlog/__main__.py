@@ -11,24 +11,33 @@ import argparse
 import json
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
 from hearthlog.config import configure_session
+from hearthlog.operators.unstorable import storable_events, unstorable_events
 from hearthlog.plans.daily_counts import daily_operation_counts
+from hearthlog.plans.views import fault_events, recipe_events, working_mode_events
 from hearthlog.sinks.analytic_table import AnalyticTable
 from hearthlog.sinks.batch_writer import CountSink
 from hearthlog.sinks.change_table import ChangeTable
 from hearthlog.sinks.jdbc_upsert import JdbcUpsert
 from hearthlog.sources.device_log import good_rows, kafka_options, read_files, read_kafka
 from hearthlog.sources.fault_dictionary import read_dictionary_files, read_jdbc_dictionary
-from hearthlog.sources.fresh_dictionary import read_fresh_dictionary
 from hearthlog.streaming.daily_counts import (
+    METRICS,
     configure_streaming,
+    keep_counting,
     start_bad_messages,
     start_console,
     start_daily_counts,
+    start_unstorable,
 )
 from hearthlog.streaming.expiring_counts import start_expiring_daily_counts
+from hearthlog.streaming.partial_counts import start_partial_counts
+
+
+_VIEWS = ["faults", "modes", "recipes"]
 
 
 def parser() -> argparse.ArgumentParser:
@@ -37,8 +46,12 @@ def parser() -> argparse.ArgumentParser:
     log.add_argument("--kafka-servers")
     log.add_argument("--kafka-topic")
     log.add_argument("--kafka-group")
-    log.add_argument("--starting-offsets", default="latest", help="earliest, latest or JSON")
+    log.add_argument(
+        "--starting-offsets", help="earliest, latest or JSON; a batch begins at earliest"
+    )
+    log.add_argument("--ending-offsets", help="batch: latest (the default) or JSON")
     log.add_argument("--max-offsets-per-trigger", type=int)
+    log.add_argument("--min-partitions", type=int, help="read with more tasks than partitions")
     log.add_argument("--log-path")
     log.add_argument("--log-format", default="parquet", choices=["parquet", "orc", "json"])
     log.add_argument(
@@ -47,7 +60,9 @@ def parser() -> argparse.ArgumentParser:
     dictionary = p.add_argument_group("fault dictionary: files or a database table")
     dictionary.add_argument("--dictionary-path")
     dictionary.add_argument(
-        "--dictionary-fresh", action="store_true", help="read the files again per micro-batch"
+        "--dictionary-fresh",
+        action="store_true",
+        help="list the files again per micro-batch (sink table)",
     )
     dictionary.add_argument("--dictionary-url")
     dictionary.add_argument("--dictionary-table")
@@ -57,17 +72,29 @@ def parser() -> argparse.ArgumentParser:
         "--sink", default="table", choices=["table", "jdbc", "analytic", "console", "batch"]
     )
     sink.add_argument("--sink-path", help="table and batch: folder to write")
+    sink.add_argument(
+        "--print",
+        default="counts",
+        choices=["counts", "log", *_VIEWS],
+        help="console: what to print",
+    )
     sink.add_argument("--sink-url")
     sink.add_argument("--sink-table")
     sink.add_argument("--staging-table")
     sink.add_argument("--dialect", default="mysql", choices=["mysql", "postgresql", "ansi"])
     sink.add_argument("--sink-properties", help="JSON file of JDBC properties")
+    sink.add_argument("--sink-connections", type=int, default=16, help="jdbc: at most so many")
     job = p.add_argument_group("job")
     job.add_argument("--checkpoint")
     job.add_argument("--interval", default="60 seconds")
     job.add_argument("--until-caught-up", action="store_true")
     job.add_argument("--time-zone", default="UTC", help="where a day begins and ends")
-    job.add_argument("--null-keys", default="fail", choices=["fail", "drop"])
+    job.add_argument("--null-keys", default="drop", choices=["fail", "drop"])
+    job.add_argument(
+        "--unstorable-path",
+        help="where events without a device or a day are kept "
+        "(default: beside the checkpoint, or beside the folder a batch writes)",
+    )
     job.add_argument("--shuffle-partitions", type=int, help="also the state's; fixed once started")
     job.add_argument("--ttl-hours", type=float, help="forget counts idle for so long")
     return p
@@ -87,9 +114,11 @@ def _device_log(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
         options = kafka_options(
             args.kafka_servers,
             args.kafka_topic,
-            args.starting_offsets,
+            args.starting_offsets or ("latest" if streaming else "earliest"),
             args.kafka_group,
             args.max_offsets_per_trigger,
+            args.min_partitions,
+            None if streaming else args.ending_offsets,
         )
         return read_kafka(spark, options, streaming, **decode)
     return read_files(spark, args.log_path, args.log_format, streaming, **decode)
@@ -99,83 +128,135 @@ def _dictionary(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     if args.dictionary_url:
         properties = _properties(args.dictionary_properties)
         return read_jdbc_dictionary(spark, args.dictionary_url, args.dictionary_table, properties)
-    if args.dictionary_fresh:
-        return read_fresh_dictionary(spark, args.dictionary_path)
     return read_dictionary_files(spark, args.dictionary_path)
 
 
 def _sink(args: argparse.Namespace) -> CountSink:
     properties = _properties(args.sink_properties)
     if args.sink == "table":
-        return ChangeTable(args.sink_path)
+        return ChangeTable(args.sink_path, partial=not args.ttl_hours)
     if args.sink == "jdbc":
         return JdbcUpsert(
-            args.sink_url, args.sink_table, args.staging_table, args.dialect, properties
+            args.sink_url,
+            args.sink_table,
+            args.staging_table,
+            args.dialect,
+            properties,
+            args.sink_connections,
         )
     return AnalyticTable("jdbc", {"url": args.sink_url, "dbtable": args.sink_table, **properties})
 
 
-def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -> None:
-    p = parser()
-    args = p.parse_args(argv)
+#: What each sink needs beside the arguments that every job needs.
+_NEEDED = {
+    "table": ["sink_path", "checkpoint"],
+    "batch": ["sink_path"],
+    "jdbc": ["sink_url", "sink_table", "staging_table", "checkpoint"],
+    "analytic": ["sink_url", "sink_table", "checkpoint"],
+    "console": ["checkpoint"],
+}
+
+
+def _check(p: argparse.ArgumentParser, args: argparse.Namespace) -> None:
     if bool(args.kafka_servers) == bool(args.log_path):
         p.error("give either --kafka-servers or --log-path")
+    if args.kafka_servers and not args.kafka_topic:
+        p.error("--kafka-servers needs --kafka-topic")
     if bool(args.dictionary_url) == bool(args.dictionary_path):
         p.error("give either --dictionary-url or --dictionary-path")
-    if args.sink != "batch" and not args.checkpoint:
-        p.error("a streaming job needs --checkpoint")
+    if args.dictionary_url and not args.dictionary_table:
+        p.error("--dictionary-url needs --dictionary-table")
+    for name in _NEEDED[args.sink]:
+        if not getattr(args, name):
+            p.error(f"--sink {args.sink} needs --{name.replace('_', '-')}")
     if args.bad_messages_path and (
         args.sink == "batch" or not (args.kafka_servers or args.log_format == "json")
     ):
         p.error("--bad-messages-path works with a stream of JSON messages only")
     if args.ttl_hours and (args.until_caught_up or args.sink in ("batch", "console")):
         p.error("--ttl-hours works with a continuous job and a stored table only")
+    if args.dictionary_fresh and (args.sink != "table" or args.ttl_hours):
+        p.error("--dictionary-fresh works with --sink table without --ttl-hours only")
+    if args.sink == "batch" and args.starting_offsets == "latest":
+        p.error("a batch cannot begin at the latest offsets")
+
+
+def _batch(log: DataFrame, dictionary: DataFrame, args: argparse.Namespace) -> None:
+    parsed = Observation()
+    counts = daily_operation_counts(storable_events(log), dictionary, observation=parsed)
+    counts.write.parquet(args.sink_path)
+    aside = args.unstorable_path or f"{args.sink_path.rstrip('/')}-unstorable"
+    unstorable_events(log).write.json(aside)
+    print(f"bad_error_codes: {parsed.get['bad_error_codes']}")
+
+
+def _printed(log: DataFrame, dictionary: DataFrame, what: str) -> tuple[DataFrame, str]:
+    """What the console prints, and in which output mode."""
+    if what == "counts":
+        return daily_operation_counts(log, dictionary, observation=METRICS), "update"
+    views = {
+        "log": lambda: log,
+        "faults": lambda: fault_events(log, dictionary),
+        "modes": lambda: working_mode_events(log),
+        "recipes": lambda: recipe_events(log),
+    }
+    return views[what](), "append"
+
+
+def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -> None:
+    p = parser()
+    args = p.parse_args(argv)
+    _check(p, args)
     spark = spark or SparkSession.builder.appName("hearthlog").getOrCreate()
     configure_session(spark, args.time_zone)
     log, dictionary = _device_log(spark, args), _dictionary(spark, args)
     if args.sink == "batch":
-        daily_operation_counts(log, dictionary).write.parquet(args.sink_path)
+        _batch(log, dictionary, args)
         return
     configure_streaming(spark, args.shuffle_partitions)
-    aside = None
+    timing = {"interval": args.interval, "until_caught_up": args.until_caught_up}
+    beside = []
     if args.bad_messages_path:
-        aside = start_bad_messages(
-            log, args.bad_messages_path, f"{args.checkpoint}-bad-messages", args.until_caught_up
+        checkpoint = f"{args.checkpoint}-bad-messages"
+        beside.append(
+            start_bad_messages(log, args.bad_messages_path, checkpoint, args.until_caught_up)
         )
         log = good_rows(log)
     if args.sink == "console":
-        query = start_console(
-            daily_operation_counts(log, dictionary),
-            args.checkpoint,
-            "update",
-            args.interval,
-            args.until_caught_up,
-        )
-    elif args.ttl_hours:
-        query = start_expiring_daily_counts(
-            log,
-            dictionary,
-            _sink(args),
-            args.checkpoint,
-            round(args.ttl_hours * 3_600_000),
-            args.interval,
-            args.null_keys,
-        )
-    else:
-        query = start_daily_counts(
+        frame, mode = _printed(log, dictionary, args.print)
+        keep_counting(lambda _: start_console(frame, args.checkpoint, mode, **timing), beside)
+        return
+    aside = args.unstorable_path or f"{args.checkpoint}-unstorable/events"
+    beside.append(start_unstorable(log, aside, f"{args.checkpoint}-unstorable/checkpoint", **timing))
+
+    def start(broadcast: bool | None) -> StreamingQuery:
+        if args.ttl_hours:
+            return start_expiring_daily_counts(
+                log,
+                dictionary,
+                _sink(args),
+                args.checkpoint,
+                round(args.ttl_hours * 3_600_000),
+                args.interval,
+                args.null_keys,
+                broadcast,
+            )
+        if args.sink == "table":
+            fresh = (lambda: _dictionary(spark, args)) if args.dictionary_fresh else dictionary
+            return start_partial_counts(
+                log, fresh, _sink(args), args.checkpoint, null_keys=args.null_keys, **timing
+            )
+        return start_daily_counts(
             log,
             dictionary,
             _sink(args),
             args.checkpoint,
-            args.interval,
-            args.until_caught_up,
-            args.null_keys,
+            null_keys=args.null_keys,
+            broadcast=broadcast,
+            **timing,
         )
-    query.awaitTermination()
-    if aside and args.until_caught_up:
-        aside.awaitTermination()
-    elif aside:
-        aside.stop()
+
+    keep_counting(start, beside)
 
 
 if __name__ == "__main__":

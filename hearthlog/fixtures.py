@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from hearthlog.functions.event_time import event_time
 
@@ -71,3 +71,54 @@ def fault_dictionary(spark: SparkSession) -> DataFrame:
             F.concat(F.lit("fault"), fault.cast("string")).alias("fault_name"),
         )
     )
+
+
+# Codes (new, previous) that the plain log does not have. An event's
+# kind of edge is chosen by its id.
+EDGE_STEP = 7
+_CODES = [
+    ("ErrorCode:+5", "ErrorCode:0"),
+    ("ErrorCode: 5 ", "ErrorCode:0"),
+    ("ErrorCode:9223372036854775808", "ErrorCode:0"),
+    ("ErrorCode:4611686018427387904", "ErrorCode:0"),
+    ("ErrorCode:4611686018427387905", "ErrorCode:0"),
+    ("ErrorCode:5", "ErrorCode:-1"),
+    ("ErrorCode:-3", "ErrorCode:0"),
+    ("ErrorCode:1,ErrorCode:6", "ErrorCode:2,ErrorCode:4"),
+    ("ErrorCode:3,ErrorCode", "ErrorCode:0"),
+    ("ErrorCode:", "ErrorCode:0"),
+    ("ErrorCode:12", None),
+]
+
+
+def edge_log(events: DataFrame) -> DataFrame:
+    """The device log with edge rows in it.
+
+    Of every seven events one gets an unusual code, one a missing device field, one an
+    event time in microseconds or none, and one a payload with duplicate keys.
+    """
+    log = device_log(events).drop("ts_ltz")
+    number = F.col("requestId").cast("bigint")
+    kind, turn = number % EDGE_STEP, F.floor(number / EDGE_STEP)
+    code = (turn % len(_CODES)).cast("int")
+
+    def at(position: int) -> Column:
+        return F.get(F.array(*[F.lit(pair[position]) for pair in _CODES]), code)
+
+    field = turn % 3
+    edges = log.withColumns(
+        {
+            "eventName": F.when(kind == 0, F.lit("ErrorCode")).otherwise(F.col("eventName")),
+            "eventValue": F.when(kind == 0, at(0))
+            .when(kind == 3, F.concat("eventValue", F.lit(",StOvMode:5,StOvMode:6,MultiStageName:")))
+            .otherwise(F.col("eventValue")),
+            "eventOriValue": F.when(kind == 0, at(1)).otherwise(F.col("eventOriValue")),
+            "productKey": F.when((kind == 1) & (field == 0), None).otherwise(F.col("productKey")),
+            "iotId": F.when((kind == 1) & (field == 1), None).otherwise(F.col("iotId")),
+            "deviceName": F.when((kind == 1) & (field == 2), None).otherwise(F.col("deviceName")),
+            "gmtCreate": F.when((kind == 2) & (turn % 2 == 0), F.col("gmtCreate") * 1000)
+            .when((kind == 2) & (turn % 6 == 1), None)
+            .otherwise(F.col("gmtCreate")),
+        }
+    )
+    return edges.withColumn("ts_ltz", event_time(F.col("gmtCreate")))

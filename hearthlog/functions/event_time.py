@@ -14,7 +14,8 @@ def event_time(epoch_ms: Column) -> Column:
     """The timestamp, or NULL for a number outside the years 1 to 9999.
 
     A device that sends microseconds, say, would otherwise stop the job or count under
-    a day in the far future.
+    a day in the far future. Such events have no day: a stream keeps them aside
+    (``operators/unstorable.py``) and goes on.
     """
     return F.when(epoch_ms.between(_FIRST_MS, _LAST_MS), F.timestamp_millis(epoch_ms))
 

@@ -31,6 +31,12 @@ DAILY_COUNT = T.StructType(
 #: One stored row per device, operation and day.
 UPSERT_KEY = ["ds", "iotId", "eventName", "optId"]
 
+#: A stored count with the time of its group's newest event.
+STORED = T.StructType([*DAILY_COUNT.fields, T.StructField("last_ts", T.TimestampType())])
+
+#: Groups that share a stored key: the last of them by these columns is the one kept.
+SETTLE_ORDER = ["last_ts", "productKey", "deviceName", "optName", "cnt"]
+
 #: What a count is grouped by, beside the day.
 OPERATION_KEY = ["productKey", "iotId", "deviceName", "eventName", "optId", "optName"]
 

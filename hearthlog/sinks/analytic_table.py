@@ -34,6 +34,7 @@ class AnalyticTable:
     """
 
     keyed: ClassVar[bool] = False
+    settles: ClassVar[bool] = False
 
     writer: str
     options: Mapping[str, str] = field(default_factory=dict)

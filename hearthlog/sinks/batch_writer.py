@@ -6,6 +6,7 @@ import logging
 from collections.abc import Callable
 from typing import Protocol
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, functions as F
 
 from hearthlog.operators.counts import has_null_key, last_write_per_key, require_keys
@@ -16,6 +17,8 @@ log = logging.getLogger(__name__)
 class CountSink(Protocol):
     #: Whether rows replace those of the same key, as opposed to being added.
     keyed: bool
+    #: Whether the sink takes every group and settles shared keys itself.
+    settles: bool
 
     def write(self, counts: DataFrame, batch_id: int) -> None: ...
 
@@ -24,6 +27,18 @@ def log_metrics(batch_id: int, metrics: dict[str, int]) -> None:
     log.info("batch %s: %s", batch_id, metrics)
 
 
+def read_metrics(observation: Observation) -> dict[str, int]:
+    """What was observed, or nothing where the plan ended without the observing step.
+
+    Adaptive execution drops a step whose input it has seen to be empty. A metric must
+    not stop the job over that.
+    """
+    try:
+        return dict(observation.get)
+    except Py4JJavaError:
+        return {}
+
+
 def upsert_batches(
     sink: CountSink,
     null_keys: str = "fail",
@@ -33,10 +48,11 @@ def upsert_batches(
     """A ``foreachBatch`` function: check keys, settle shared keys, write.
 
     ``null_keys`` says what to do with a count whose stored key holds a NULL: ``fail``
-    the job or ``drop`` it. Metrics per batch are ``null_key_rows`` and ``overwritten``
-    (groups that lost a stored key to another one). Everything runs in the sink's one
-    write: a second action on the batch would repeat the stateful work. ``before`` runs
-    ahead of every batch and may raise to stop the job.
+    the job or ``drop`` it (``unstorable_events`` keeps the events behind it). Metrics per
+    batch are ``null_key_rows`` and, for a sink that does not settle shared keys itself,
+    ``overwritten`` (groups of the batch that lost a stored key to another one).
+    Everything runs in the sink's one write: a second action on the batch would repeat
+    the stateful work. ``before`` runs ahead of every batch and may raise to stop the job.
     """
     if null_keys not in ("fail", "drop"):
         raise ValueError("null_keys must be 'fail' or 'drop'")
@@ -50,10 +66,15 @@ def upsert_batches(
             checked = require_keys(checked)
         else:
             checked = checked.where(~has_null_key())
+        if sink.settles:
+            # A batch that did not run again has nothing to report, and asking would wait.
+            ran = sink.write(checked, batch_id) is not False
+            on_metrics(batch_id, read_metrics(keys) if ran else {})
+            return
         overwritten = F.coalesce(F.sum("overwritten"), F.lit(0)).alias("overwritten")
         rows = last_write_per_key(checked).observe(stored, overwritten)
         sink.write(rows, batch_id)
-        on_metrics(batch_id, {**keys.get, **stored.get})
+        on_metrics(batch_id, {**read_metrics(keys), **read_metrics(stored)})
 
     return write
 

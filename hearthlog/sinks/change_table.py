@@ -1,53 +1,133 @@
-"""Upserts into files: one folder of changed counts per micro-batch."""
+"""Counts in files: one run of changes per micro-batch, merged as they grow in number."""
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 from typing import ClassVar
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
-from hearthlog.schemas import DAILY_COUNT, UPSERT_KEY
+from hearthlog.operators.counts import last_write_per_key
+from hearthlog.schemas import DAILY_COUNT, OPERATION_KEY
 
-_CHANGES = T.StructType([*DAILY_COUNT.fields, T.StructField("batch_id", T.LongType())])
+_GROUP = ["ds", *OPERATION_KEY]
+_ROWS = T.StructType(
+    [
+        *[f for f in DAILY_COUNT.fields if f.name != "ds"],
+        T.StructField("last_ts", T.TimestampType()),
+        T.StructField("batch_id", T.LongType()),
+        T.StructField("run", T.StringType()),
+        T.StructField("ds", T.StringType()),
+    ]
+)
+_RUN = re.compile(r"run=(\d+)-(\d+)")
 
 
 @dataclass(frozen=True)
 class ChangeTable:
     """A table of counts kept as the changes of each micro-batch.
 
-    Writing costs as much as the batch changed, not as much as the table holds, and a
-    replayed batch overwrites its own folder. Counts are absolute, so the newest change
-    of a key is its value. A table belongs to one checkpoint, whose batch numbers it uses.
+    A batch is a run of files by day, sized by its data. Ten runs are merged into one, ten
+    of those into one, and so on: a row is rewritten as often as the number of batches has
+    digits, and the number of runs stays as small. A replayed batch overwrites its own
+    run, or changes nothing once the run has been merged. A table belongs to one
+    checkpoint, whose batch numbers it uses.
+
+    Rows are kept per group with the time of its newest event, and groups that share a
+    stored key are settled when the table is read. What is read does not depend on how
+    the input was cut into batches. With ``partial`` the counts of all batches add up;
+    without it they are absolute, and a group's newest change is its value.
     """
 
     keyed: ClassVar[bool] = True
+    settles: ClassVar[bool] = True
 
     path: str
+    partial: bool = False
+    fan: int = 10
 
-    def write(self, counts: DataFrame, batch_id: int) -> None:
-        rows = counts.select(*DAILY_COUNT.names)
-        rows.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
+    def write(self, counts: DataFrame, batch_id: int) -> bool:
+        """Store a batch. False: it is part of a merged run already, and nothing ran."""
+        spark = counts.sparkSession
+        if any(a <= batch_id <= b and b > a for a, b in self._runs(spark)):
+            return False
+        last = F.col("last_ts") if "last_ts" in counts.columns else F.lit(None)
+        rows = counts.withColumns(
+            {"last_ts": last.cast("timestamp"), "batch_id": F.lit(batch_id).cast("bigint")}
+        )
+        self._save(rows, batch_id, batch_id)
+        self._merge(spark, batch_id)
+        return True
 
     def current(self, spark: SparkSession) -> DataFrame:
-        """The newest change of every key."""
-        return self._newest(spark).select(*DAILY_COUNT.names)
-
-    def compact_into(self, spark: SparkSession, path: str) -> ChangeTable:
-        """Copy only the newest changes to a new table, for use from the next start on."""
-        compact = ChangeTable(path)
-        newest = self._newest(spark).repartition("batch_id", F.hash(*UPSERT_KEY) % 64)
-        newest.write.partitionBy("batch_id").mode("errorifexists").parquet(path)
-        return compact
-
-    def _newest(self, spark: SparkSession) -> DataFrame:
-        changes = spark.read.schema(_CHANGES).parquet(self.path)
-        rest = [name for name in _CHANGES.names if name not in (*UPSERT_KEY, "batch_id")]
-        newest = F.max(F.struct("batch_id", *rest)).alias("_newest")
-        return (
-            changes.groupBy(*UPSERT_KEY)
-            .agg(newest)
-            .select(*UPSERT_KEY, "_newest.*")
-            .select(*_CHANGES.names)
-        )
+        """One count per stored key."""
+        return self.settled(spark).select(*DAILY_COUNT.names)
+
+    def settled(self, spark: SparkSession) -> DataFrame:
+        """``current`` with ``last_ts`` and the number of groups ``overwritten``, over all batches."""
+        return last_write_per_key(self.groups(spark))
+
+    def groups(self, spark: SparkSession) -> DataFrame:
+        """One count per group, before groups that share a stored key are settled."""
+        return self._combined(self._read(spark, self._live(spark))).drop("batch_id")
+
+    def _combined(self, rows: DataFrame) -> DataFrame:
+        if self.partial:
+            measures = [F.sum("cnt").alias("cnt"), F.max("last_ts").alias("last_ts")]
+        else:
+            newest = F.max_by(F.struct("cnt", "last_ts"), "batch_id").alias("_newest")
+            measures = [newest]
+        grouped = rows.groupBy(*_GROUP).agg(*measures, F.max("batch_id").alias("batch_id"))
+        if not self.partial:
+            grouped = grouped.select(*_GROUP, "_newest.cnt", "_newest.last_ts", "batch_id")
+        return grouped
+
+    def _read(self, spark: SparkSession, runs: list[tuple[int, int]]) -> DataFrame:
+        if not runs:
+            return spark.createDataFrame([], _ROWS)
+        reader = spark.read.schema(_ROWS).option("basePath", self.path)
+        return reader.parquet(*[self._folder(*run) for run in runs])
+
+    def _save(self, rows: DataFrame, first: int, last: int) -> None:
+        names = [n for n in _ROWS.names if n != "run"]
+        sized = rows.select(*names).hint("rebalance", "ds")
+        sized.write.mode("overwrite").partitionBy("ds").parquet(self._folder(first, last))
+
+    def _merge(self, spark: SparkSession, batch_id: int) -> None:
+        size = self.fan
+        while (batch_id + 1) % size == 0:
+            first = batch_id + 1 - size
+            inside = [run for run in self._live(spark) if first <= run[0] and run[1] <= batch_id]
+            if len(inside) > 1:
+                self._save(self._combined(self._read(spark, inside)), first, batch_id)
+                fs, path = self._files(spark)
+                for run in inside:
+                    fs.delete(path(self._folder(*run)), True)
+            size *= self.fan
+
+    def _folder(self, first: int, last: int) -> str:
+        return f"{self.path}/run={first:012d}-{last:012d}"
+
+    def _files(self, spark: SparkSession):
+        jvm, context = spark.sparkContext._jvm, spark.sparkContext._jsc
+        path = jvm.org.apache.hadoop.fs.Path
+        return path(self.path).getFileSystem(context.hadoopConfiguration()), path
+
+    def _runs(self, spark: SparkSession) -> list[tuple[int, int]]:
+        """The runs that were written to their end."""
+        fs, path = self._files(spark)
+        if not fs.exists(path(self.path)):
+            return []
+        found = []
+        for status in fs.listStatus(path(self.path)):
+            match = _RUN.fullmatch(status.getPath().getName())
+            if match and fs.exists(path(status.getPath(), "_SUCCESS")):
+                found.append((int(match[1]), int(match[2])))
+        return sorted(found)
+
+    def _live(self, spark: SparkSession) -> list[tuple[int, int]]:
+        """Runs without those that a merged run holds, which may wait to be deleted."""
+        runs = self._runs(spark)
+        return [r for r in runs if not any(o != r and o[0] <= r[0] and r[1] <= o[1] for o in runs)]

@@ -8,7 +8,7 @@ from typing import ClassVar
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hearthlog.schemas import DAILY_COUNT, UPSERT_KEY
+from hearthlog.schemas import SETTLE_ORDER, STORED, UPSERT_KEY
 
 #: Runs one SQL statement in the target database.
 Execute = Callable[[str], None]
@@ -18,49 +18,75 @@ def merge_statement(
     dialect: str,
     table: str,
     staging: str,
-    columns: Sequence[str] = tuple(DAILY_COUNT.names),
+    columns: Sequence[str] = tuple(STORED.names),
     keys: Sequence[str] = tuple(UPSERT_KEY),
+    order: Sequence[str] = tuple(SETTLE_ORDER),
 ) -> str:
     """The statement that upserts the staged rows.
 
-    A task that ran twice may have staged its rows twice, hence DISTINCT.
+    A staged row replaces a stored one unless that is the later of the two by ``order``:
+    the result is the same whatever the batches. A task that ran twice may have staged
+    its rows twice, hence DISTINCT.
     """
     names = ", ".join(columns)
-    rest = [c for c in columns if c not in keys]
+    # Columns that decide come last: MySQL assigns in turn, and reads what it assigned.
+    rest = [c for c in columns if c not in keys and c not in order]
+    rest += [c for c in reversed(order) if c in columns]
     staged = f"SELECT DISTINCT {names} FROM {staging}"
+    decide = [c for c in order if c in columns]
     if dialect == "mysql":
-        updates = ", ".join(f"{c} = VALUES({c})" for c in rest)
+        later = _not_before("VALUES({})", "{}", decide)
+        updates = ", ".join(f"{c} = IF({later}, VALUES({c}), {c})" if later else f"{c} = VALUES({c})" for c in rest)
         return f"INSERT INTO {table} ({names}) {staged} ON DUPLICATE KEY UPDATE {updates}"
     if dialect == "postgresql":
+        later = _not_before("EXCLUDED.{}", table + ".{}", decide)
         updates = ", ".join(f"{c} = EXCLUDED.{c}" for c in rest)
         return (
             f"INSERT INTO {table} ({names}) {staged} "
             f"ON CONFLICT ({', '.join(keys)}) DO UPDATE SET {updates}"
+            + (f" WHERE {later}" if later else "")
         )
     if dialect == "ansi":
+        later = _not_before("s.{}", "t.{}", decide)
         on = " AND ".join(f"t.{c} = s.{c}" for c in keys)
         updates = ", ".join(f"{c} = s.{c}" for c in rest)
         values = ", ".join(f"s.{c}" for c in columns)
         return (
             f"MERGE INTO {table} t USING ({staged}) s ON {on} "
-            f"WHEN MATCHED THEN UPDATE SET {updates} "
+            f"WHEN MATCHED{f' AND ({later})' if later else ''} THEN UPDATE SET {updates} "
             f"WHEN NOT MATCHED THEN INSERT ({names}) VALUES ({values})"
         )
     raise ValueError(f"unknown dialect {dialect!r}: use mysql, postgresql or ansi")
 
 
+def _not_before(new: str, old: str, order: Sequence[str]) -> str:
+    """Whether the new row is at or after the old one; NULL comes before anything."""
+    condition = ""
+    for name in reversed(order):
+        a, b = new.format(name), old.format(name)
+        equal = f"({a} = {b} OR ({a} IS NULL AND {b} IS NULL))"
+        after = f"{a} > {b} OR ({b} IS NULL AND {a} IS NOT NULL)"
+        condition = f"{after} OR ({equal} AND ({condition}))" if condition else f"{after} OR {equal}"
+    return condition
+
+
 def driver_execute(spark: SparkSession, url: str, properties: Mapping[str, str]) -> Execute:
-    """Run statements over a JDBC connection of the Spark driver."""
+    """Run statements over a JDBC connection of the Spark driver.
+
+    The connection comes from Spark's own factory for the URL's dialect, so drivers given
+    by ``--jars`` are found as they are when Spark reads and writes.
+    """
 
     def execute(statement: str) -> None:
         jvm = spark.sparkContext._jvm
-        if "driver" in properties:
-            jvm.java.lang.Class.forName(properties["driver"])
-        info = jvm.java.util.Properties()
-        for name, value in properties.items():
-            if name != "driver":
-                info.setProperty(name, value)
-        connection = jvm.java.sql.DriverManager.getConnection(url, info)
+        options = jvm.java.util.HashMap()
+        for name, value in {**properties, "url": url, "dbtable": "unused"}.items():
+            options.put(name, value)
+        given = jvm.org.apache.spark.sql.execution.datasources.jdbc.JDBCOptions(
+            jvm.org.apache.spark.api.python.PythonUtils.toScalaMap(options)
+        )
+        dialect = jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(url)
+        connection = dialect.createConnectionFactory(given).apply(-1)
         try:
             connection.createStatement().executeUpdate(statement)
         finally:
@@ -73,12 +99,15 @@ def driver_execute(spark: SparkSession, url: str, properties: Mapping[str, str])
 class JdbcUpsert:
     """Counts in a database table with primary key ``UPSERT_KEY``.
 
-    The executors write a batch to the ``staging`` table; only the merge statement runs
-    from the driver. Counts are absolute, so replaying a batch changes nothing.
-    ``properties`` hold user, password and driver and come from the caller.
+    The table holds the columns of ``STORED``: ``last_ts`` lets the merge keep the group
+    with the newest event whatever the order of batches. The executors write a batch to
+    the ``staging`` table, over at most ``connections`` connections; only the merge
+    statement runs from the driver. Counts are absolute, so replaying a batch changes
+    nothing. ``properties`` hold user, password and driver and come from the caller.
     """
 
     keyed: ClassVar[bool] = True
+    settles: ClassVar[bool] = False
 
     url: str
     table: str
@@ -89,8 +118,8 @@ class JdbcUpsert:
     execute: Execute | None = None
 
     def write(self, counts: DataFrame, batch_id: int) -> None:
-        rows = counts.select(*DAILY_COUNT.names).coalesce(self.connections)
-        self._stage(rows)
+        # A shuffle, not a coalesce: the counting before it keeps its own parallelism.
+        self._stage(counts.select(*STORED.names).repartition(self.connections))
         execute = self.execute or driver_execute(
             counts.sparkSession, self.url, self.properties
         )

@@ -30,20 +30,27 @@ def kafka_options(
     starting_offsets: Offsets = "latest",
     group_id: str | None = None,
     max_offsets_per_trigger: int | None = None,
+    min_partitions: int | None = None,
+    ending_offsets: Offsets | None = None,
 ) -> dict[str, str]:
     """Options of Spark's Kafka source.
 
+    ``min_partitions`` reads a topic with more tasks than it has partitions. A batch
+    starts at ``earliest`` or given offsets and may end at ``ending_offsets``.
+
     A running query resumes from its checkpoint. ``starting_offsets`` matters for its
     first start only: ``earliest``, ``latest``, or ``{topic: {partition: offset}}``,
     which takes over the committed offsets of a consumer group.
     """
-    if not isinstance(starting_offsets, str):
-        starting_offsets = json.dumps({t: dict(o) for t, o in starting_offsets.items()})
     options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
-        "startingOffsets": starting_offsets,
+        "startingOffsets": _offsets(starting_offsets),
     }
+    if ending_offsets is not None:
+        options["endingOffsets"] = _offsets(ending_offsets)
+    if min_partitions:
+        options["minPartitions"] = str(min_partitions)
     if group_id:
         options["kafka.group.id"] = group_id
     if max_offsets_per_trigger:
@@ -51,6 +58,10 @@ def kafka_options(
     return options
 
 
+def _offsets(given: Offsets) -> str:
+    return given if isinstance(given, str) else json.dumps({t: dict(o) for t, o in given.items()})
+
+
 def read_kafka(
     spark: SparkSession, options: Mapping[str, str], streaming: bool = True, **decode
 ) -> DataFrame:
@@ -119,7 +130,11 @@ def decode_json(
 
 
 def _epoch_ms(text: Column) -> Column:
-    return F.trim(text).try_cast("bigint")
+    """A whole number, also as ``1.6e12`` or ``5.0``; NULL for anything else."""
+    number = F.trim(text)
+    exact = number.try_cast("decimal(38,6)")
+    whole = F.when(exact == F.floor(exact), exact.try_cast("bigint"))
+    return F.coalesce(number.try_cast("bigint"), whole)
 
 
 def good_rows(decoded: DataFrame) -> DataFrame:

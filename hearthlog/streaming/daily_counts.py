@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import itertools
+import logging
+from collections.abc import Callable, Sequence
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -16,8 +19,11 @@ from hearthlog.sinks.batch_writer import (
     log_metrics,
     upsert_batches,
 )
+from hearthlog.operators.unstorable import unstorable_events
 from hearthlog.sources.device_log import bad_messages
 
+log = logging.getLogger(__name__)
+
 # Fixed value: name of the state store provider that keeps state off the JVM heap.
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -39,54 +45,91 @@ def configure_streaming(spark: SparkSession, shuffle_partitions: int | None = No
         spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
 
 
+class OutgrownDictionary(RuntimeError):
+    """The dictionary no longer fits a broadcast."""
+
+    MARK = "the fault dictionary has outgrown"
+
+
 def dictionary_strategy(
-    dictionary: DataFrame, broadcast: bool | None, max_bytes: int
+    dictionary: DataFrame, broadcast: bool | None, max_bytes: int, every: int = 10
 ) -> tuple[bool, Callable[[], None] | None]:
-    """Whether to broadcast, and a check that it still holds before every batch.
+    """Whether to broadcast, and a check that it still holds, made every so many batches.
 
-    A dictionary may grow while a stream runs. The check stops the job; started again
-    from its checkpoint, it finds the dictionary too big and shuffles it.
+    A dictionary may grow while a stream runs. The check ends the query before its next
+    batch; ``keep_counting`` starts it again from its checkpoint with a merge join.
     """
-    if broadcast is not None:
-        return broadcast, None
+    if broadcast is False:
+        return False, None
     known = known_faults(dictionary)
     if not fits_broadcast(known, max_bytes):
         return False, None
+    batches = itertools.count()
 
     def still_fits() -> None:
-        if not fits_broadcast(known, max_bytes):
-            raise RuntimeError(
-                f"the fault dictionary has outgrown {max_bytes} bytes: start the job again "
-                "and it will be shuffled instead of broadcast"
-            )
+        if next(batches) % every == 0 and not fits_broadcast(known, max_bytes):
+            raise OutgrownDictionary(f"{OutgrownDictionary.MARK} {max_bytes} bytes")
 
     return True, still_fits
 
 
+def keep_counting(
+    start: Callable[[bool | None], StreamingQuery], beside: Sequence[StreamingQuery] = ()
+) -> None:
+    """Run a query to its end; end everything when it or one ``beside`` it fails.
+
+    ``start`` takes what ``broadcast`` shall be. When the dictionary has outgrown memory
+    the query is started again with a merge join: the batch that found it out had not
+    begun, so nothing is lost or counted twice. The queries beside are awaited too if
+    they end by themselves.
+    """
+    main = start(None)
+    merged = False
+    try:
+        while True:
+            try:
+                if main.awaitTermination(1):
+                    break
+            except StreamingQueryException as error:
+                if merged or OutgrownDictionary.MARK not in str(error):
+                    raise
+                log.warning("%s memory: going on with a merge join", OutgrownDictionary.MARK)
+                main, merged = start(False), True
+            for query in beside:
+                if not query.isActive and query.exception():
+                    raise query.exception()
+        for query in beside:
+            query.awaitTermination()
+    finally:
+        for query in (main, *beside):
+            if query.isActive:
+                query.stop()
+
+
 def start_daily_counts(
-    log: DataFrame,
+    events: DataFrame,
     dictionary: DataFrame,
     sink: CountSink,
     checkpoint: str,
     interval: str = "60 seconds",
     until_caught_up: bool = False,
-    null_keys: str = "fail",
+    null_keys: str = "drop",
     broadcast: bool | None = None,
     normalize: Normalizer | None = None,
     on_metrics=log_metrics,
     name: str | None = None,
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> StreamingQuery:
-    """Start counting ``log`` and upserting every changed count.
+    """Start counting ``events`` and upserting every changed count.
 
-    There is no watermark: no event is too late, and a count is never lowered. Faults
+    The state holds every count for good. There is no watermark: no event is too late, and a count is never lowered. Faults
     are looked up once, when their micro-batch runs; later dictionary changes leave past
     counts alone. Absolute counts and keyed upserts make a replayed batch harmless.
     ``until_caught_up`` stops after the input present at the start.
     """
     broadcast, before = dictionary_strategy(dictionary, broadcast, max_broadcast_bytes)
     counts = daily_operation_counts(
-        log,
+        events,
         dictionary,
         broadcast=broadcast,
         last_event=True,
@@ -104,10 +147,10 @@ def start_daily_counts(
     )
     if name:
         writer = writer.queryName(name)
-    return writer.trigger(**_trigger(interval, until_caught_up)).start()
+    return writer.trigger(**trigger_of(interval, until_caught_up)).start()
 
 
-def _trigger(interval: str, until_caught_up: bool) -> dict:
+def trigger_of(interval: str, until_caught_up: bool) -> dict:
     return {"availableNow": True} if until_caught_up else {"processingTime": interval}
 
 
@@ -120,7 +163,25 @@ def start_bad_messages(
         .writeStream.format("text")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
-        .trigger(**_trigger("60 seconds", until_caught_up))
+        .trigger(**trigger_of("60 seconds", until_caught_up))
+        .start()
+    )
+
+
+def start_unstorable(
+    events: DataFrame,
+    path: str,
+    checkpoint: str,
+    interval: str = "60 seconds",
+    until_caught_up: bool = False,
+) -> StreamingQuery:
+    """Keep the events that counting leaves out, as JSON files. It reads the source again."""
+    return (
+        unstorable_events(events)
+        .writeStream.format("json")
+        .option("path", path)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**trigger_of(interval, until_caught_up))
         .start()
     )
 
@@ -138,6 +199,6 @@ def start_console(
         .option("checkpointLocation", checkpoint)
         .option("truncate", "false")
         .format("console")
-        .trigger(**_trigger(interval, until_caught_up))
+        .trigger(**trigger_of(interval, until_caught_up))
         .start()
     )

@@ -84,7 +84,7 @@ def expiring_daily_counts(
 ) -> DataFrame:
     """``daily_operation_counts`` of a stream, with idle counts forgotten."""
     known = known_faults(dictionary, normalize)
-    if broadcast is None:
+    if broadcast is not False:
         broadcast = fits_broadcast(known)
     named = name_operations(raw_operations(log, METRICS), known, broadcast, normalize)
     rows = named.withColumn("ds", day_label(day(F.col("ts_ltz")))).select(
@@ -106,7 +106,7 @@ def start_expiring_daily_counts(
     checkpoint: str,
     ttl_ms: int = DAY_MS,
     interval: str = "60 seconds",
-    null_keys: str = "fail",
+    null_keys: str = "drop",
     broadcast: bool | None = None,
     normalize: Normalizer | None = None,
     on_metrics=log_metrics,

@@ -59,6 +59,6 @@ if __name__ == "__main__":
     sf = sys.argv[1] if len(sys.argv) > 1 else "0.01"
     directory = f"/root/testdata/sf{sf}"
     session, connection = make_session(), oracle_connection(directory)
-    for query in sys.argv[2:] or spark_entry.queries():
+    for query in sys.argv[2:] or spark_entry.oracle_sql():
         ok, detail = compare(session, connection, directory, query)
         print("ok  " if ok else "FAIL", query, detail, flush=True)

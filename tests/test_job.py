@@ -51,7 +51,8 @@ def test_stream_into_a_table(session, tmp_path, inputs):
     main(arguments(tmp_path, *sink), session)
     expected = bag(daily_operation_counts(*inputs))
     assert len(expected) == 2
-    assert bag(ChangeTable(f"{tmp_path}/table").current(session)) == expected
+    table = ChangeTable(f"{tmp_path}/table", partial=True)
+    assert bag(table.current(session)) == expected
 
 
 def test_bad_messages_are_kept_apart(session, tmp_path, inputs):
@@ -68,12 +69,31 @@ def test_bad_messages_are_kept_apart(session, tmp_path, inputs):
         ],
         session,
     )
-    counts = ChangeTable(f"{tmp_path}/table").current(session)
+    counts = ChangeTable(f"{tmp_path}/table", partial=True).current(session)
     assert bag(counts) == bag(daily_operation_counts(log, dictionary))
     kept = session.read.text(f"{tmp_path}/bad").collect()
     assert sorted(r.value for r in kept) == sorted(["{oops", '{"gmtCreate": "soon"}'])
 
 
+def test_an_event_without_a_day_neither_stops_the_job_nor_vanishes(
+    session, tmp_path, inputs, log_of, capsys
+):
+    wrong = {"eventName": "StOvMode", "eventValue": "StOvMode:1", "gmtCreate": 1667500000000000}
+    rows = log_of(wrong, {"eventName": "ErrorCode", "eventValue": "ErrorCode:x"})
+    rows.select(*DEVICE_LOG.names).write.mode("append").parquet(f"{tmp_path}/log")
+    expected = bag(daily_operation_counts(*inputs))
+    main(arguments(tmp_path, "--sink-path", f"{tmp_path}/table", "--until-caught-up"), session)
+    table = ChangeTable(f"{tmp_path}/table", partial=True)
+    assert bag(table.current(session)) == expected
+    kept = session.read.json(f"{tmp_path}/checkpoint-unstorable/events").collect()
+    assert [r.gmtCreate for r in kept] == [1667500000000000]
+    main(arguments(tmp_path, "--sink", "batch", "--sink-path", f"{tmp_path}/out"), session)
+    assert bag(session.read.parquet(f"{tmp_path}/out")) == expected
+    kept = session.read.json(f"{tmp_path}/out-unstorable").collect()
+    assert [r.gmtCreate for r in kept] == [1667500000000000]
+    assert "bad_error_codes: 1" in capsys.readouterr().out
+
+
 def test_batch_into_files_in_another_zone(session, tmp_path, inputs):
     sink = ["--sink", "batch", "--sink-path", f"{tmp_path}/out", "--time-zone", "Asia/Shanghai"]
     main(arguments(tmp_path, *sink), session)
@@ -84,6 +104,10 @@ def test_batch_into_files_in_another_zone(session, tmp_path, inputs):
 
 def test_console(session, tmp_path, inputs):
     main(arguments(tmp_path, "--sink", "console", "--until-caught-up"), session)
+    for what in ("log", "faults", "modes", "recipes"):
+        paths = arguments(f"{tmp_path}/{what}", "--sink", "console", "--until-caught-up")
+        paths[1], paths[3] = f"{tmp_path}/log", f"{tmp_path}/dictionary"
+        main([*paths, "--print", what], session)
     view = working_mode_events(read_files(session, f"{tmp_path}/log"))
     query = start_console(view, f"{tmp_path}/view-checkpoint", until_caught_up=True)
     assert query.awaitTermination(60)
@@ -97,7 +121,7 @@ def test_sinks_take_their_secrets_from_files(tmp_path):
     secrets = ["--sink-properties", str(tmp_path / "p.json")]
     args = parser().parse_args(["--sink", "jdbc", *database, *secrets])
     assert _sink(args) == JdbcUpsert(
-        "jdbc:x", "t", "s", properties={"user": "u", "password": "w"}
+        "jdbc:x", "t", "s", properties={"user": "u", "password": "w"}, connections=16
     )
     args = parser().parse_args(["--sink", "analytic", *database, *secrets])
     assert _sink(args) == AnalyticTable(
@@ -119,6 +143,18 @@ def test_kafka_needs_its_connector(spark):
         ["--log-path", "l", "--checkpoint", "c"],
         ["--log-path", "l", "--dictionary-path", "d"],
         ["--log-path", "l", "--dictionary-path", "d", "--sink", "batch", "--ttl-hours", "1"],
+        ["--log-path", "l", "--dictionary-path", "d", "--checkpoint", "c"],
+        ["--log-path", "l", "--dictionary-path", "d", "--sink", "batch"],
+        ["--log-path", "l", "--dictionary-path", "d", "--checkpoint", "c", "--sink", "jdbc",
+         "--sink-url", "u", "--sink-table", "t"],
+        ["--log-path", "l", "--dictionary-path", "d", "--checkpoint", "c", "--sink", "analytic",
+         "--sink-url", "u"],
+        ["--kafka-servers", "h", "--dictionary-path", "d", "--checkpoint", "c", "--sink-path", "p"],
+        ["--log-path", "l", "--dictionary-url", "d", "--checkpoint", "c", "--sink-path", "p"],
+        ["--kafka-servers", "h", "--kafka-topic", "t", "--dictionary-path", "d", "--sink", "batch",
+         "--sink-path", "p", "--starting-offsets", "latest"],
+        ["--log-path", "l", "--dictionary-path", "d", "--checkpoint", "c", "--sink", "console",
+         "--dictionary-fresh"],
     ],
 )
 def test_incomplete_arguments(argv):

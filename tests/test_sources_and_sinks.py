@@ -1,7 +1,9 @@
 from __future__ import annotations
 
 import json
+from itertools import product
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from hearthlog.plans.daily_counts import daily_operation_counts
 from hearthlog.schemas import DAILY_COUNT, DEVICE_LOG
 from hearthlog.sinks.analytic_table import AnalyticTable
 from hearthlog.sinks.change_table import ChangeTable
-from hearthlog.sinks.jdbc_upsert import JdbcUpsert, merge_statement
+from hearthlog.sinks.jdbc_upsert import JdbcUpsert, _not_before, merge_statement
 from hearthlog.sources.device_log import bad_messages, decode_json, good_rows, kafka_options
 from hearthlog.sources.fault_dictionary import read_dictionary_files
 
@@ -23,13 +25,16 @@ GOOD = [
     ('{"gmtCreate": "5", "unknown": 1}', (None, 5, None)),
     ('{"gmtCreate": " 5 ", "eventName": null}', (None, 5, None)),
     ('{"iotId": 7, "gmtCreate": null, "eventName": {"x": [1]}}', ("7", None, '{"x":[1]}')),
+    ('{"gmtCreate": 1.6674912e12}', (None, 1667491200000, None)),
+    ('{"gmtCreate": 5.0}', (None, 5, None)),
+    ('{"gmtCreate": "9223372036854775807"}', (None, 9223372036854775807, None)),
     ("{}", (None, None, None)),
     ('{"iotId": "a", "iotId": "b"}', ("b", None, None)),
     ('{"IOTID": "a", "eventName": true}', (None, None, "true")),
     ("", (None, None, None)),
     (None, (None, None, None)),
 ]
-BAD = ["{", "5", '[{"iotId": "a"}]', "{'iotId': 'a'}", '{"gmtCreate": "soon"}', "no json", '{"gmtCreate": "99999999999999999999"}']
+BAD = ["{", "5", '{"gmtCreate": 5.5}', '[{"iotId": "a"}]', "{'iotId': 'a'}", '{"gmtCreate": "soon"}', "no json", '{"gmtCreate": "99999999999999999999"}']
 
 
 def test_decode_json(spark):
@@ -82,6 +87,8 @@ def test_kafka_options():
     )
     assert json.loads(options["startingOffsets"]) == {"log": {"0": 5, "1": -2}}
     assert options["kafka.group.id"] == "g" and options["maxOffsetsPerTrigger"] == "9"
+    options = kafka_options("h", "log", "earliest", min_partitions=400, ending_offsets="latest")
+    assert options["minPartitions"] == "400" and options["endingOffsets"] == "latest"
 
 
 def test_dictionary_files(spark, tmp_path, dictionary_of):
@@ -97,40 +104,92 @@ def counts_of(spark, *rows):
 ONE = ("2024-01-01", "P1", "iot1", "d1", "StOvMode", "2", None, 1)
 
 
+def timed(frame, second):
+    return frame.withColumn("last_ts", F.timestamp_seconds(F.lit(second)))
+
+
 def test_change_table(spark, tmp_path):
     table = ChangeTable(f"{tmp_path}/t")
+    assert table.current(spark).collect() == []
     other = ("2024-01-02", *ONE[1:])
-    table.write(counts_of(spark, ONE, other), 0)
-    table.write(counts_of(spark, (*ONE[:7], 4)), 1)
-    table.write(counts_of(spark, (*ONE[:7], 4)), 1)
-    table.write(counts_of(spark, (ONE[0], "P2", *ONE[2:7], 2)), 10)
-    rows = sorted((r.ds, r.productKey, r.cnt) for r in table.current(spark).collect())
-    assert rows == [("2024-01-01", "P2", 2), ("2024-01-02", "P1", 1)]
-    compact = table.compact_into(spark, f"{tmp_path}/c")
-    assert sorted(map(repr, compact.current(spark).collect())) == sorted(
-        map(repr, table.current(spark).collect())
-    )
-    assert spark.read.parquet(f"{tmp_path}/c").count() == 2
+    table.write(timed(counts_of(spark, ONE, other), 1), 0)
+    table.write(timed(counts_of(spark, (*ONE[:7], 4)), 2), 1)
+    table.write(timed(counts_of(spark, (*ONE[:7], 4)), 2), 1)
+    table.write(timed(counts_of(spark, (ONE[0], "P2", *ONE[2:7], 2)), 3), 10)
+    table.write(timed(counts_of(spark, (ONE[0], "P0", *ONE[2:7], 9)), 2), 11)
+    rows = sorted((r.ds, r.productKey, r.cnt, r.overwritten) for r in table.settled(spark).collect())
+    assert rows == [("2024-01-01", "P2", 2, 2), ("2024-01-02", "P1", 1, 0)]
+    assert sorted((r.ds, r.cnt) for r in table.current(spark).collect()) == [
+        ("2024-01-01", 2), ("2024-01-02", 1)
+    ]
+
+
+@pytest.mark.parametrize("partial", [True, False])
+def test_runs_are_merged(spark, tmp_path, partial):
+    table = ChangeTable(f"{tmp_path}/t", partial, fan=3)
+    days = ["2024-01-01", "2024-01-02"]
+    for batch in range(50):
+        rows = [(days[batch % 2], *ONE[1:7], 1 if partial else batch)]
+        table.write(timed(counts_of(spark, *rows), batch), batch)
+    table.write(timed(counts_of(spark, (days[0], *ONE[1:7], 500)), 99), 30)
+    want = [25, 25] if partial else [48, 49]
+    assert sorted(r.cnt for r in table.current(spark).collect()) == want
+    runs = list((tmp_path / "t").glob("run=*"))
+    files = list((tmp_path / "t").glob("run=*/ds=*/*.parquet"))
+    # Batch numbers below 50 have four digits to the base 3, each at most 2.
+    assert len(runs) <= 8 and len(files) <= 2 * len(runs)
+    day = table.current(spark).where(F.col("ds") == days[0])
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ds" in plan
 
 
 def test_merge_statements():
-    assert merge_statement("mysql", "t", "s", ["k", "v", "w"], ["k"]) == (
-        "INSERT INTO t (k, v, w) SELECT DISTINCT k, v, w FROM s "
-        "ON DUPLICATE KEY UPDATE v = VALUES(v), w = VALUES(w)"
+    later = (
+        "VALUES(v) > v OR (v IS NULL AND VALUES(v) IS NOT NULL) OR "
+        "(VALUES(v) = v OR (VALUES(v) IS NULL AND v IS NULL))"
+    )
+    assert merge_statement("mysql", "t", "s", ["k", "w", "v"], ["k"], ["v"]) == (
+        "INSERT INTO t (k, w, v) SELECT DISTINCT k, w, v FROM s ON DUPLICATE KEY UPDATE "
+        f"w = IF({later}, VALUES(w), w), v = IF({later}, VALUES(v), v)"
     )
-    assert merge_statement("postgresql", "t", "s", ["k", "l", "v"], ["k", "l"]) == (
+    assert merge_statement("mysql", "t", "s", ["k", "w"], ["k"], []) == (
+        "INSERT INTO t (k, w) SELECT DISTINCT k, w FROM s ON DUPLICATE KEY UPDATE w = VALUES(w)"
+    )
+    later = (
+        "EXCLUDED.v > t.v OR (t.v IS NULL AND EXCLUDED.v IS NOT NULL) OR "
+        "(EXCLUDED.v = t.v OR (EXCLUDED.v IS NULL AND t.v IS NULL))"
+    )
+    assert merge_statement("postgresql", "t", "s", ["k", "l", "v"], ["k", "l"], ["v"]) == (
         "INSERT INTO t (k, l, v) SELECT DISTINCT k, l, v FROM s "
-        "ON CONFLICT (k, l) DO UPDATE SET v = EXCLUDED.v"
+        f"ON CONFLICT (k, l) DO UPDATE SET v = EXCLUDED.v WHERE {later}"
     )
-    assert merge_statement("ansi", "t", "s", ["k", "l", "v"], ["k", "l"]) == (
+    assert merge_statement("ansi", "t", "s", ["k", "l", "v"], ["k", "l"], []) == (
         "MERGE INTO t t USING (SELECT DISTINCT k, l, v FROM s) s ON t.k = s.k AND t.l = s.l "
         "WHEN MATCHED THEN UPDATE SET v = s.v "
         "WHEN NOT MATCHED THEN INSERT (k, l, v) VALUES (s.k, s.l, s.v)"
     )
+    whole = merge_statement("ansi", "t", "s")
+    assert whole.count("last_ts") > 4 and "WHEN MATCHED AND (s.last_ts > t.last_ts" in whole
     with pytest.raises(ValueError, match="unknown dialect"):
         merge_statement("other", "t", "s")
 
 
+def test_the_later_row_wins_whatever_the_order():
+    """The merge condition, run by an engine of this process over all pairs of rows."""
+    con = duckdb.connect()
+    order = ["last_ts", "productKey", "optName"]
+    values = list(product([1, 2], ["P1", "P2"], [None, "", "a"]))
+    rows = ", ".join(str(v).replace("None", "NULL") for v in values)
+    con.execute(f"CREATE TABLE r AS SELECT * FROM (VALUES {rows}) v(last_ts, productKey, optName)")
+    found = con.execute(
+        f"SELECT s.*, t.*, {_not_before('s.{}', 't.{}', order)} FROM r s, r t"
+    ).fetchall()
+    assert len(found) == len(values) ** 2
+    rank = lambda row: (row[0], row[1], row[2] is not None, row[2] or "")
+    for row in found:
+        assert bool(row[6]) == (rank(row[:3]) >= rank(row[3:6]))
+
+
 def test_jdbc_upsert_stages_before_it_merges(spark, monkeypatch):
     calls = []
     monkeypatch.setattr(
@@ -140,7 +199,7 @@ def test_jdbc_upsert_stages_before_it_merges(spark, monkeypatch):
         "jdbc:x", "counts", "counts_staging", execute=lambda sql: calls.append(("run", sql))
     )
     sink.write(counts_of(spark, ONE).withColumn("last_ts", F.current_timestamp()), 0)
-    assert [tuple(r) for r in calls[0][1]] == [ONE]
+    assert [tuple(r)[:-1] for r in calls[0][1]] == [ONE]
     assert calls[1] == ("run", merge_statement("mysql", "counts", "counts_staging"))
 
 

@@ -13,9 +13,15 @@ from hearthlog.schemas import DAILY_COUNT, DEVICE_LOG
 from hearthlog.sinks.analytic_table import AnalyticTable
 from hearthlog.sinks.change_table import ChangeTable
 from hearthlog.sources.device_log import read_files
-from hearthlog.sources.fresh_dictionary import read_fresh_dictionary
-from hearthlog.streaming.daily_counts import METRICS, configure_streaming, start_daily_counts
+from hearthlog.sources.fault_dictionary import read_dictionary_files
+from hearthlog.streaming.daily_counts import (
+    METRICS,
+    configure_streaming,
+    start_daily_counts,
+    start_unstorable,
+)
 from hearthlog.streaming.expiring_counts import start_expiring_daily_counts
+from hearthlog.streaming.partial_counts import start_partial_counts
 
 EVENTS = "/root/testdata/sf0.001/events.parquet"
 
@@ -77,7 +83,7 @@ def test_stream_equals_batch(spark, tmp_path, split_log, broadcast):
     bad = sum(p.observedMetrics[METRICS].bad_error_codes for p in reports)
     is_bad = (F.col("eventName") == "ErrorCode") & F.col("eventValue").startswith("ErrorCode:x")
     assert bad == split_log.where(is_bad).count() > 0
-    assert metrics == {i: {"null_key_rows": 0, "overwritten": 0} for i in range(4)}
+    assert metrics == {i: {"null_key_rows": 0} for i in range(4)}
 
 
 def test_restart_continues_the_counts(spark, tmp_path, split_log):
@@ -88,24 +94,25 @@ def test_restart_continues_the_counts(spark, tmp_path, split_log):
     run(query)
     twice = daily_operation_counts(split_log.unionAll(split_log), dictionary)
     assert bag(table.current(spark)) == bag(twice)
-    compact = table.compact_into(spark, f"{tmp_path}/compact")
-    assert bag(compact.current(spark)) == bag(twice)
 
 
 class FailsOnce:
     """Writes a batch, then fails before the stream can commit it."""
 
     keyed = True
+    settles = True
+    partial = True
 
     def __init__(self, table):
         self.table, self.failed, self.batches = table, False, []
 
     def write(self, counts, batch_id):
-        self.table.write(counts, batch_id)
+        done = self.table.write(counts, batch_id)
         self.batches.append(batch_id)
         if batch_id == 2 and not self.failed:
             self.failed = True
             raise RuntimeError("lost the driver")
+        return done
 
 
 def test_replayed_batch_changes_nothing(spark, tmp_path, split_log):
@@ -126,28 +133,101 @@ FAULT = {"eventName": "ErrorCode", "eventValue": "ErrorCode:1", "eventOriValue":
 def test_null_keys_fail_or_are_dropped(spark, tmp_path, log_of, dictionary_of):
     add_rows(log_of(MODE, {**MODE, "gmtCreate": None}, {**MODE, "iotId": None}), tmp_path / "log", 0)
     dictionary = dictionary_of(("T", "P1", "E1", "one"))
-    query, table = start(spark, tmp_path, dictionary)
+    query, table = start(spark, tmp_path, dictionary, null_keys="fail")
     with pytest.raises(StreamingQueryException, match="NULL in one of its key columns"):
         query.awaitTermination(120)
     metrics = {}
-    query, table = start(
-        spark, tmp_path, dictionary, null_keys="drop", on_metrics=metrics.__setitem__
-    )
+    query, table = start(spark, tmp_path, dictionary, on_metrics=metrics.__setitem__)
     run(query)
     assert [(r.iotId, r.cnt) for r in table.current(spark).collect()] == [("iot1", 1)]
-    assert metrics == {0: {"null_key_rows": 2, "overwritten": 0}}
+    assert metrics == {0: {"null_key_rows": 2}}
 
 
-def test_shared_keys_are_settled_and_reported(spark, tmp_path, log_of, dictionary_of):
-    later = {**MODE, "productKey": "P0", "gmtCreate": 1667491200001}
-    add_rows(log_of(MODE, MODE, later), tmp_path / "log", 0)
-    metrics = {}
-    query, table = start(
-        spark, tmp_path, dictionary_of(("T", "P1", "E1", "one")), on_metrics=metrics.__setitem__
+def test_unstorable_events_are_kept(spark, tmp_path, log_of, dictionary_of):
+    late = {**MODE, "gmtCreate": 1667491200000000}
+    add_rows(log_of(MODE, late, {**MODE, "iotId": None}, {"eventName": "Temp", "iotId": None}), tmp_path / "log", 0)
+    query = start_unstorable(
+        stream_of(spark, tmp_path), f"{tmp_path}/aside", f"{tmp_path}/c", until_caught_up=True
     )
     run(query)
-    assert [(r.productKey, r.cnt) for r in table.current(spark).collect()] == [("P0", 1)]
-    assert metrics[0]["overwritten"] == 1
+    kept = spark.read.json(f"{tmp_path}/aside").collect()
+    assert sorted(r.gmtCreate for r in kept) == [1667491200000, 1667491200000000]
+
+
+LATER = {**MODE, "productKey": "P0", "gmtCreate": 1667491200001}
+EARLIER = {**MODE, "productKey": "P0", "gmtCreate": 1667491199999}
+
+
+@pytest.mark.parametrize("partial", [True, False])
+@pytest.mark.parametrize("cut", [1, 2, 4])
+@pytest.mark.parametrize("other, kept", [(LATER, ("P0", 1)), (EARLIER, ("P1", 3))])
+def test_shared_keys_are_settled_whatever_the_batches(
+    spark, tmp_path, log_of, dictionary_of, partial, cut, other, kept
+):
+    rows = [MODE, MODE, MODE, other]
+    for part in range(cut):
+        add_rows(log_of(*rows[part::cut]), tmp_path / "log", part)
+    dictionary = dictionary_of(("T", "P1", "E1", "one"))
+    table = ChangeTable(f"{tmp_path}/table", partial)
+    begin = start_partial_counts if partial else start_daily_counts
+    run(
+        begin(stream_of(spark, tmp_path), dictionary, table, f"{tmp_path}/c", until_caught_up=True)
+    )
+    rows = table.settled(spark).collect()
+    assert [(r.productKey, r.cnt, r.overwritten) for r in rows] == [(*kept, 1)]
+
+
+def start_partial(spark, tmp_path, dictionary, sink=None, **options):
+    table = ChangeTable(f"{tmp_path}/table", partial=True)
+    query = start_partial_counts(
+        stream_of(spark, tmp_path), dictionary, sink or table, f"{tmp_path}/checkpoint",
+        until_caught_up=True, **options,
+    )
+    return query, table
+
+
+@pytest.mark.parametrize("max_broadcast_bytes", [1 << 20, 0])
+def test_partial_counts_equal_batch(spark, tmp_path, split_log, max_broadcast_bytes):
+    dictionary, metrics = fixtures.fault_dictionary(spark), {}
+    query, table = start_partial(
+        spark, tmp_path, dictionary, on_metrics=metrics.__setitem__,
+        max_broadcast_bytes=max_broadcast_bytes,
+    )
+    run(query)
+    assert bag(table.current(spark)) == bag(daily_operation_counts(split_log, dictionary))
+    is_bad = (F.col("eventName") == "ErrorCode") & F.col("eventValue").startswith("ErrorCode:x")
+    assert sum(m["bad_error_codes"] for m in metrics.values()) == split_log.where(is_bad).count()
+    # No operator of the query keeps state.
+    assert all(not p.stateOperators for p in query.recentProgress)
+    add_rows(split_log, tmp_path / "log", 4)
+    run(start_partial(spark, tmp_path, dictionary)[0])
+    twice = daily_operation_counts(split_log.unionAll(split_log), dictionary)
+    assert bag(table.current(spark)) == bag(twice)
+
+
+def test_a_batch_replayed_after_its_run_was_merged(spark, tmp_path, split_log):
+    dictionary = fixtures.fault_dictionary(spark)
+    sink = FailsOnce(ChangeTable(f"{tmp_path}/table", partial=True, fan=3))
+    query, table = start_partial(spark, tmp_path, dictionary, sink)
+    with pytest.raises(StreamingQueryException):
+        query.awaitTermination(120)
+    metrics = {}
+    run(start_partial(spark, tmp_path, dictionary, sink, on_metrics=metrics.__setitem__)[0])
+    assert metrics[2] == {} and metrics[3]["null_key_rows"] == 0
+    assert bag(table.current(spark)) == bag(daily_operation_counts(split_log, dictionary))
+
+
+def test_replayed_partial_counts_do_not_add(spark, tmp_path, split_log):
+    dictionary = fixtures.fault_dictionary(spark)
+    sink = FailsOnce(ChangeTable(f"{tmp_path}/table", partial=True))
+    query, table = start_partial(spark, tmp_path, dictionary, sink)
+    with pytest.raises(StreamingQueryException):
+        query.awaitTermination(120)
+    run(start_partial(spark, tmp_path, dictionary, sink)[0])
+    assert sink.batches == [0, 1, 2, 2, 3]
+    assert bag(table.current(spark)) == bag(daily_operation_counts(split_log, dictionary))
+    with pytest.raises(ValueError, match="adds them up"):
+        start_partial(spark, tmp_path, dictionary, ChangeTable("unused"))
 
 
 def test_a_sink_without_a_key_gets_every_group(spark, tmp_path, log_of, dictionary_of):
@@ -175,8 +255,8 @@ def test_dictionary_changes_leave_past_counts_alone(spark, tmp_path, log_of, dic
     # own, which overwrites the old one under the stored key.
     rows = table.current(spark).collect()
     assert [(r.optId, r.optName, r.cnt) for r in rows] == [("E1", "renamed", 1)]
-    changes = spark.read.parquet(f"{tmp_path}/table").orderBy("batch_id").collect()
-    assert [(r.optName, r.cnt) for r in changes] == [("one", 2), ("renamed", 1)]
+    groups = table.groups(spark).orderBy("optName").collect()
+    assert [(r.optName, r.cnt) for r in groups] == [("one", 2), ("renamed", 1)]
 
 
 @pytest.fixture
@@ -250,22 +330,21 @@ def test_json_messages_as_a_stream(spark, tmp_path, log_of, dictionary_of):
     )
     run(query)
     assert bag(table.current(spark)) == bag(daily_operation_counts(log, dictionary))
-    assert Path(f"{tmp_path}/table/batch_id=0").is_dir()
+    assert [p.name for p in Path(f"{tmp_path}/table").glob("run=*")] == ["run=000000000000-000000000000"]
 
 
 def test_a_fresh_dictionary_applies_from_the_next_batch(spark, tmp_path, log_of, dictionary_of):
     folder = f"{tmp_path}/dictionary"
     other, named = dictionary_of(("T", "P9", "E1", "other")), dictionary_of(("T", "P1", "E1", "one"))
     other.coalesce(1).write.parquet(folder)
-    table = ChangeTable(f"{tmp_path}/table")
+    table = ChangeTable(f"{tmp_path}/table", partial=True)
     add_rows(log_of(FAULT), tmp_path / "log", 0)
-    query = start_daily_counts(
+    query = start_partial_counts(
         stream_of(spark, tmp_path),
-        read_fresh_dictionary(spark, folder),
+        lambda: read_dictionary_files(spark, folder),
         table,
         f"{tmp_path}/checkpoint",
         interval="0 seconds",
-        broadcast=True,
     )
     try:
         query.processAllAvailable()
@@ -278,37 +357,52 @@ def test_a_fresh_dictionary_applies_from_the_next_batch(spark, tmp_path, log_of,
     assert [(r.optName, r.cnt) for r in table.current(spark).collect()] == [("one", 2)]
 
 
-def test_a_grown_dictionary_is_shuffled_after_a_restart(
+def test_a_grown_dictionary_is_merged_without_losing_a_count(
     spark, tmp_path, log_of, dictionary_of, monkeypatch
 ):
-    folder = f"{tmp_path}/dictionary"
-    entry = ("T", "P1", "E1", "one")
-    dictionary_of(entry).coalesce(1).write.parquet(folder)
-    dictionary = read_fresh_dictionary(spark, folder)
-    add_rows(log_of(FAULT), tmp_path / "log", 0)
-    limit = {"max_broadcast_bytes": 100}
-    run(start(spark, tmp_path, dictionary, **limit)[0])
-    query, table = None, None
-    add_rows(log_of(FAULT), tmp_path / "log", 1)
     from hearthlog.streaming import daily_counts as job
 
-    fits = job.fits_broadcast
+    sizes = iter([True, True, False])
+    monkeypatch.setattr(job, "fits_broadcast", lambda known, limit: next(sizes))
+    dictionary = dictionary_of(("T", "P1", "E1", "one"))
+    for part in range(12):
+        add_rows(log_of(FAULT), tmp_path / "log", part)
+    queries = []
+
+    def begin(broadcast):
+        queries.append(broadcast)
+        return start(spark, tmp_path, dictionary, broadcast=broadcast)[0]
 
-    def grows(known, max_bytes):
-        answer = fits(known, max_bytes)
-        if folder_size(spark, folder) == 1:
-            more = dictionary_of(("T", "P1", "E2", "two"), ("T", "P2", "E1", "one"))
-            more.coalesce(1).write.mode("append").parquet(folder)
-        return answer
+    job.keep_counting(begin)
+    # Measured at the start, before batch 0, and before batch 10, which finds it grown.
+    assert queries == [None, False]
+    rows = ChangeTable(f"{tmp_path}/table").current(spark).collect()
+    assert [(r.optName, r.cnt) for r in rows] == [("one", 12)]
 
-    monkeypatch.setattr(job, "fits_broadcast", grows)
-    query, table = start(spark, tmp_path, dictionary, **limit)
-    with pytest.raises(StreamingQueryException, match="outgrown 100 bytes"):
-        query.awaitTermination(120)
-    query, table = start(spark, tmp_path, dictionary, **limit)
-    run(query)
-    assert [(r.optName, r.cnt) for r in table.current(spark).collect()] == [("one", 2)]
 
+def test_a_query_beside_that_fails_ends_the_job(spark, tmp_path, log_of, dictionary_of):
+    from hearthlog.streaming.daily_counts import keep_counting
 
-def folder_size(spark, folder):
-    return spark.read.parquet(folder).count()
+    add_rows(log_of(FAULT), tmp_path / "log", 0)
+    failing = (
+        stream_of(spark, tmp_path)
+        .withColumn("x", F.raise_error(F.lit("quarantine is lost")))
+        .writeStream.format("noop")
+        .option("checkpointLocation", f"{tmp_path}/beside")
+        .start()
+    )
+    main = []
+
+    def begin(broadcast):
+        table = ChangeTable(f"{tmp_path}/table", partial=True)
+        main.append(
+            start_partial_counts(
+                stream_of(spark, tmp_path), dictionary_of(("T", "P1", "E1", "one")), table,
+                f"{tmp_path}/checkpoint", interval="0 seconds",
+            )
+        )
+        return main[0]
+
+    with pytest.raises(StreamingQueryException, match="quarantine is lost"):
+        keep_counting(begin, [failing])
+    assert not main[0].isActive
