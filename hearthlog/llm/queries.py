@@ -10,6 +10,7 @@ from hearthlog.llm import (
     byte_repeats,
     html_extraction,
     jaccard_join,
+    oracles,
     packing,
     quality_rules,
     secret_scan,
@@ -32,26 +33,6 @@ def op1_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.top_k(vectors, F.col("vec_id") % 100 == 0)
 
 
-_TOPK_SQL = """
-WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(1024 * CAST(x AS DOUBLE))) AS e
-  FROM embeddings
-  WHERE embedding IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> x IS NOT NULL AND isfinite(x))) = len(embedding)
-),
-scored AS (
-  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
-  FROM v q JOIN v c ON c.vec_id <> q.vec_id
-  WHERE q.vec_id % 100 = 0
-)
-SELECT query_id,
-       CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
-       vec_id, score
-FROM scored
-QUALIFY rank <= 10
-"""
-
-
 def op2_word_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
     return word_repeats.without_repeats(docs).select(
@@ -142,4 +123,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_topk_search": _TOPK_SQL}
+    """Tokenization, checksums, parsers and 200-byte strings are left to the tests' brute force."""
+    rules = quality_rules
+    return {
+        "op1_topk_search": oracles.TOPK,
+        "op2_word_repeats": oracles.WORD_REPEATS,
+        "op6_source_mixing": oracles.SOURCE_MIXING,
+        "op9_jaccard_join": oracles.JACCARD_JOIN,
+        "op10_quality_rules": oracles.quality_rules(
+            rules.MIN_GROUP, rules.REACH, rules.UPPER_SPREAD, rules.LOWER_SPREAD
+        ),
+    }

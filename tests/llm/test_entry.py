@@ -1,0 +1,61 @@
+"""The registered queries against their SQL, and the pipeline against its stages."""
+
+from __future__ import annotations
+
+import pytest
+from oracle_check import compare, oracle_connection
+from pyspark.sql import functions as F
+from test_tokens import BYTE_BPE, check_packing, libraries  # noqa: F401
+
+import __spark_entry__ as spark_entry
+import corpus_pipeline
+from hearthlog.llm import jaccard_join, queries, secret_scan, source_mixing
+from hearthlog.llm.worker import park
+
+SF_DIR = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def oracle():
+    return oracle_connection(SF_DIR)
+
+
+@pytest.mark.parametrize("name", queries.oracle_sql())
+def test_query_equals_oracle(spark, oracle, name):
+    same, detail = compare(spark, oracle, SF_DIR, name)
+    assert same, detail
+
+
+def test_everything_is_registered():
+    names = spark_entry.queries().keys()
+    assert {n.split("_")[0] for n in names if n.startswith("op") and n[2].isdigit()} == {
+        f"op{i}" for i in range(1, 11)
+    }
+    assert "pipeline" in names and len(corpus_pipeline.STAGES) == 5
+
+
+def test_pipeline(spark, small_tables, libraries):  # noqa: F811
+    """Every stage against what its operator promises, then the packing of their result."""
+    docs = spark.read.parquet(f"{small_tables}/documents.parquet")
+    columns, kept = docs.columns, [docs]
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept.append(park(stage(spark, kept[-1], small_tables), "test"))
+        assert kept[-1].columns == columns, name
+    start, good, single, clean, mixed = kept
+    texts = {r.doc_id: r.text for r in start.collect()}
+    judged = queries.op10_quality_rules(spark, small_tables).where("kept")
+    assert sorted(r.doc_id for r in good.collect()) == sorted(r.doc_id for r in judged.collect())
+    classes = jaccard_join.similar_documents(good).collect()
+    assert sorted(r.doc_id for r in single.collect()) == sorted({r.class_id for r in classes})
+    assert all(texts[r.doc_id] == r.text for r in single.collect())
+    assert clean.count() == single.count()
+    assert secret_scan.scan_secrets(clean).where(F.size("spans") > 0).count() == 0
+    words = F.regexp_count("text", F.lit(source_mixing.WORD))
+    taken = source_mixing.queue(clean).agg(F.sum("words")).first()[0]
+    assert mixed.agg(F.sum(words)).first()[0] == taken
+    assert mixed.groupBy("doc_id").count().where("count > 2").count() == 0
+    want = {}
+    for r in mixed.collect():
+        want.setdefault(r.doc_id, []).append(r.text)
+    rows = corpus_pipeline.run(spark, small_tables).collect()
+    check_packing(rows, want, libraries[BYTE_BPE])
