@@ -40,7 +40,7 @@ MAX_CELL = 1000
 
 #: Least distance of a fence from its quartile, in cells: a group of equal documents has no
 #: spread of its own, and a document that hardly differs from them is no outlier.
-UPPER_SPREAD = {"symbols": 20, "dup_lines": 200, "repeats": 200, "upper": 200, "word_len": 30}
+UPPER_SPREAD = {"symbols": 20, "dup_lines": 500, "repeats": 400, "upper": 200, "word_len": 30}
 LOWER_SPREAD = {"word_len": 20}
 
 _LONGS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper"]
