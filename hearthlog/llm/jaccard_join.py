@@ -244,8 +244,9 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     members = met.withColumnRenamed("node", "id").join(weights, "id")
     cells = park(_cells(members), "jaccard-cells")
     rows = docs.select(F.col("doc_id").cast("bigint").alias("id"), "text")
+    # The texts are shuffled once, with the same plan whatever the number of candidates.
     compared = (
-        cells.join(rows, "id")
+        rows.join(cells.hint("shuffle_hash"), "id")
         .select("cell", "id", "copies", "side", "crossed", "text")
         .repartition("cell")
         .sortWithinPartitions("cell", "id")
@@ -287,7 +288,7 @@ def one_of_each_class(docs: DataFrame) -> DataFrame:
     )
     alone = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
     return (
-        docs.join(lost, "doc_id", "left_anti")
+        docs.join(lost.hint("shuffle_hash"), "doc_id", "left_anti")
         .withColumn("__alone", alone)
         .dropDuplicates(["doc_id", "__alone"])
         .select(*docs.columns)
