@@ -104,7 +104,12 @@ class PageBlocks(HTMLParser):
         if tag == "header":
             return not in_article
         values = dict(attrs)
-        if "hidden" in values or (values.get("role") or "").lower() in _ROLES:
+        style = (values.get("style") or "").replace(" ", "").lower()
+        if "hidden" in values or values.get("aria-hidden") == "true" or "display:none" in style:
+            return True
+        if tag not in _BREAKS:
+            return False  # a class within a line names a word, not a part of the page
+        if (values.get("role") or "").lower() in _ROLES:
             return True
         named = f"{values.get('class') or ''} {values.get('id') or ''}"
         words = {w.lower() for w in _WORDS.findall(named) + _NAMES.findall(named)}

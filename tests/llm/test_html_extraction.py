@@ -49,6 +49,8 @@ def test_query_equals_plain_extraction(spark, small_tables):
         (f"<script>var a='<p>';</script><style>p{{}}</style><!-- <p>c</p> --><p>{LONG}", LONG.strip()),
         (f"<ul><li><a href=x>l</a><li><a href=x>m</a></ul><div><p>{LONG}</div>", LONG.strip()),
         (f"<div class=ad>{LONG}</div><p>{LONG}</p><div role=navigation>n</div>", LONG.strip()),
+        (f"<article><p>A <span class='search-term'>term</span> stays. {LONG}</p>"
+         f"<p style='display: none'>no</p><i aria-hidden=true>no</i></article>", f"A term stays. {LONG}".strip()),
         (f"<div><p>{LONG}</p></div><div><p>s</p></div><div><p>{LONG}</p></div>", f"{LONG}s {LONG}".strip()),
     ],
 )
