@@ -27,18 +27,19 @@ def ids(library, text):
 
 PARTS = st.sampled_from(
     [" ", "  ", "\n", "\t", "\r\n", "\x0b", "\x0c", "\x1c", "\x85", "\xa0", " ", "　", "​", "don't", "'S", "we'll",
-     "Über", "é", "́", "ΣΑΣ", "İ", "ß", "123", "½", "!?", "...", "漢字", "🙂", "word", "<|endoftext|>", "<|", "_"]
+     "Über", "é", "́", "ΣΑΣ", "İ", "ß", "123", "½", "!?", "...", "漢字", "🙂", "word", "<|endoftext|>", "<|", "_",
+     ".", ",", "a.", " b,", "\n\n", "\x00", "1.", " x!", "é;", "½."]
 )
 
 
-@settings(max_examples=300, deadline=None)
+@settings(max_examples=800, deadline=None)
 @given(st.lists(PARTS, max_size=12).map("".join))
 def test_ids_by_units_equal_the_library(text):
     library = token_counts.load_tokenizer(BYTE_BPE)
     assert np.frombuffer(packing.token_ids([text], BYTE_BPE)[0], "<u4").tolist() == ids(library, text)
 
 
-@settings(max_examples=300, deadline=None)
+@settings(max_examples=800, deadline=None)
 @given(st.lists(PARTS, max_size=12).map("".join))
 def test_lengths_by_words_equal_the_library(text):
     library = token_counts.load_tokenizer(WORD_BPE)
