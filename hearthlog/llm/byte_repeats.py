@@ -83,7 +83,10 @@ def _chunk_rows(part: pa.RecordBatch, chunk) -> pa.RecordBatch:
     shared = (kinds >= 2)[np.searchsorted(digit, runs.bucket)]
     flags = np.where(copies[inverse] >= 2, _SETTLED, 0) | np.where(shared, _SHARED, 0)
     flags = np.where(again, _PASSING, flags)
-    bucket = np.where(again | shared, mix(runs.bucket ^ mix(whole)), runs.bucket)
+    bucket = np.where(shared, mix(runs.bucket ^ mix(whole)), runs.bucket)
+    # Rows that only pass are dealt out evenly, however many equal ones there are.
+    anywhere = mix(whole + np.arange(len(whole), dtype=np.uint64))
+    bucket = np.where(again, anywhere, bucket)
     owner, start = chunk.whose(runs.first)
     place = window_counts.places(start, runs.counts)
     probes = digit[kinds >= 2]
