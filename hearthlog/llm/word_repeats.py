@@ -78,7 +78,9 @@ def _chunk_edges(part: pa.RecordBatch, chunk) -> pa.RecordBatch:
     edges = window_counts.binary_rows(
         packed(hashes[sent]), np.where(known, 0, runs.counts * HASH_BYTES)
     )
-    bucket = np.where(known, mix(hashes[runs.starts]), runs.bucket).view(np.int64)
+    # Rows that only pass are dealt out evenly, however many equal ones there are.
+    anywhere = mix(hashes[runs.starts] + np.arange(len(known), dtype=np.uint64))
+    bucket = np.where(known, anywhere, runs.bucket).view(np.int64)
     return pa.RecordBatch.from_arrays(
         [
             pa.array(bucket),
