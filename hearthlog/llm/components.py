@@ -13,21 +13,25 @@ def _to_least(edges: DataFrame, larger_only: bool) -> DataFrame:
     """Point the neighbours of every node, and the node, to the least among them.
 
     With ``larger_only`` only larger neighbours are pointed anew (a large star), else only
-    smaller ones are looked at (a small star).
+    smaller ones are looked at (a small star). The least are parked before they are
+    joined: a node with most links is then a skewed join that Spark splits, behind a
+    partial minimum.
     """
     back = edges.select(F.col("b").alias("a"), F.col("a").alias("b"))
-    around = edges.unionByName(back) if larger_only else edges.select(
-        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
-    )
-    least = around.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("least"))
+    if larger_only:
+        around = edges.unionByName(back)
+    else:
+        around = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    least = park(around.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("least")), "least")
     pointed = around.join(least, "a")
     if larger_only:
-        moved = pointed.where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("least").alias("b"))
+        moved = pointed.where(F.col("b") > F.col("a"))
+        moved = moved.select(F.col("b").alias("a"), F.col("least").alias("b"))
     else:
-        moved = pointed.select(F.inline(F.array(
-            F.struct(F.col("b").alias("a"), F.col("least").alias("b")),
-            F.struct(F.col("a").alias("a"), F.col("least").alias("b")),
-        )))
+        both = [
+            F.struct(F.col(end).alias("a"), F.col("least").alias("b")) for end in ("b", "a")
+        ]
+        moved = pointed.select(F.inline(F.array(*both)))
     return moved.where(F.col("a") != F.col("b")).distinct()
 
 
@@ -52,7 +56,8 @@ def components(links: DataFrame) -> DataFrame:
     )
     before = _state(edges)
     for _ in range(_MAX_ROUNDS):
-        edges = park(_to_least(_to_least(edges, True), False), "links")
+        edges = park(_to_least(edges, True), "links")
+        edges = park(_to_least(edges, False), "links")
         after = _state(edges)
         if after == before:
             break
