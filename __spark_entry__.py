@@ -330,7 +330,8 @@ def _llm():
         import corpus_pipeline
         from hearthlog.llm import queries as llm_queries
     except ModuleNotFoundError as error:
-        if (error.name or "").split(".")[0] not in ("corpus_pipeline", "hearthlog"):
+        missing = error.name or ""
+        if missing != "corpus_pipeline" and not missing.startswith("hearthlog.llm"):
             raise
         return {}, {}
     return (
