@@ -93,7 +93,10 @@ def frequent_lengths(docs: DataFrame, path: str) -> dict[bytes, int]:
         .limit(TABLE_ENTRIES)
     )
     words = [row.word for row in largest.select("word").collect()]
-    encoded = load_tokenizer(path).encode_batch(words, add_special_tokens=False)
+    tokenizer = load_tokenizer(path)
+    special = special_strings(tokenizer)
+    words = [w for w in words if not any(s in w for s in special)]
+    encoded = tokenizer.encode_batch_fast(words, add_special_tokens=False)
     return {w.encode(): len(e.ids) for w, e in zip(words, encoded)}
 
 
@@ -112,7 +115,7 @@ def _counter(path: str, limit: int, table):
                 cache.clear()
             if not cache:
                 cache.update(frequent)
-            missing = [w for w in set(chain.from_iterable(split)) if w not in cache]
+            missing = list(set(chain.from_iterable(split)).difference(cache))
             encoded = tokenizer.encode_batch_fast(
                 [w.decode() for w in missing], add_special_tokens=False
             )
