@@ -29,14 +29,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
 from hearthlog.llm import window_counts
 from hearthlog.llm.sequences import HASH_BYTES, Runs, chunks, covered, mix, packed, run_hashes
-from hearthlog.llm.worker import park, slices, whole_groups
+from hearthlog.llm.worker import park, slices, unzipped, whole_groups, zipped_texts
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -154,23 +153,30 @@ def _settler(keep: bool):
     """Finish texts without open rows; let the others wait with theirs."""
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text"):
+        for part in slices(batches, "__zipped", 2 << 20):
             rows, waiting, opened = [], [], []
             verdicts = part.column("__verdicts").to_pylist()
-            for text, own in zip(part.column("text").to_pylist(), verdicts):
+            texts = unzipped(part.column("__zipped"))
+            for text, own in zip(texts, verdicts):
                 own = own or []
                 done = np.array([v["place"] for v in own if v["settled"]], np.int64)
                 asks = [2 * v["place"] + v["settled"] for v in own if v["open"]]
                 waiting.append(bool(asks))
                 opened.append(asks)
-                rows.append(
-                    None if asks else _finish((text or "").encode(), done // 256, done % 256, keep)
-                )
+                rows.append(None if asks else _finish(text, done // 256, done % 256, keep))
             settled = [
                 [v["place"] for v in own or [] if v["settled"]] if wait else None
                 for own, wait in zip(verdicts, waiting)
             ]
-            out = _with_results(part.drop_columns(["__verdicts"]), rows)
+            zipped = part.column("__zipped").to_pylist()
+            plain = [
+                t if keep and not wait and z is not None else None
+                for t, z, wait in zip(texts, zipped, waiting)
+            ]
+            later = [z if wait else None for z, wait in zip(zipped, waiting)]
+            out = part.drop_columns(["__verdicts", "__zipped"])
+            out = out.append_column("text", pa.array(plain, pa.binary()).cast(pa.string()))
+            out = _with_results(out, rows).append_column("__zipped", pa.array(later, pa.binary()))
             out = out.append_column("__waiting", pa.array(waiting, pa.bool_()))
             out = out.append_column("__settled", pa.array(settled, pa.list_(pa.int64())))
             yield out.append_column("__open", pa.array(opened, pa.list_(pa.int64())))
@@ -180,12 +186,12 @@ def _settler(keep: bool):
 
 def _open_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The strings of open rows, by the deeper digit, with their hashes."""
-    for part in slices(batches, "text"):
+    for part in slices(batches, "__zipped", 2 << 20):
         open_rows: list[tuple[int, int]] = []
         pieces = []
-        columns = part.column("text").to_pylist(), part.column("__open").to_pylist()
+        columns = unzipped(part.column("__zipped")), part.column("__open").to_pylist()
         for i, (text, asks) in enumerate(zip(*columns)):
-            data = np.frombuffer(text.encode(), np.uint8)
+            data = np.frombuffer(text, np.uint8)
             for ask in asks:
                 start, count = divmod(ask // 2, 256)
                 pieces.append((len(open_rows), start, data[start : start + count - 1 + WINDOW]))
@@ -202,7 +208,7 @@ def _open_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 [
                     pa.array(runs.bucket.view(np.int64)),
                     part.column("doc_id").take(pa.array(owner)),
-                    part.column("text_hash").take(pa.array(owner)),
+                    part.column("__hash").take(pa.array(owner)),
                     pa.array(window_counts.places(start, runs.counts)),
                     pa.array(twice),
                     window_counts.binary_rows(packed(hashes), runs.counts * HASH_BYTES),
@@ -213,22 +219,25 @@ def _open_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def _finisher(keep: bool):
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text"):
+        for part in slices(batches, "__zipped", 2 << 20):
             rows = []
-            names = ("text", "__settled", "__segments")
-            for text, done, more in zip(*(part.column(n).to_pylist() for n in names)):
+            texts = unzipped(part.column("__zipped"))
+            lists = [part.column(name).to_pylist() for name in ("__settled", "__segments")]
+            for text, done, more in zip(texts, *lists):
                 done = np.array(done or [], np.int64)
                 more = more or []
                 starts = np.concatenate([done // 256, np.array([s["start"] for s in more], np.int64)])
                 counts = np.concatenate([done % 256, np.array([s["n"] for s in more], np.int64)])
-                rows.append(_finish((text or "").encode(), starts, counts, keep))
-            yield _with_results(part.drop_columns(["__settled", "__segments"]), rows)
+                rows.append(_finish(text, starts, counts, keep))
+            plain = pa.array([t if keep else None for t in texts], pa.binary()).cast(pa.string())
+            out = part.drop_columns(["__settled", "__segments", "__zipped"])
+            yield _with_results(out.append_column("text", plain), rows)
 
     return finish
 
 
 def _gathered(rows: DataFrame, name: str, *columns: str) -> DataFrame:
-    return rows.groupBy(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).agg(
+    return rows.groupBy(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__own")).agg(
         F.collect_list(F.struct(*columns)).alias(name)
     )
 
@@ -236,7 +245,8 @@ def _gathered(rows: DataFrame, name: str, *columns: str) -> DataFrame:
 def without_repeats(docs: DataFrame, keep_bytes: bool = True) -> DataFrame:
     """``docs`` with ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256`` and ``kept``.
 
-    Without ``keep_bytes`` the column ``kept`` is NULL and texts are not parked twice.
+    Without ``keep_bytes`` the columns ``kept`` and ``text`` are NULL: finished texts are
+    not parked.
     """
     docs = docs.drop(*RESULT)
     key = docs.schema["doc_id"].dataType.simpleString()
@@ -248,31 +258,35 @@ def without_repeats(docs: DataFrame, keep_bytes: bool = True) -> DataFrame:
         .mapInArrow(_judge_rows, _VERDICTS.format(key=key))
     )
     own = _gathered(verdicts, "__verdicts", "place", "settled", "open")
-    same = docs["doc_id"].eqNullSafe(F.col("__id")) & (F.hash(docs["text"]) == F.col("__hash"))
-    judged = docs.join(own.hint("shuffle_hash"), same, "left").select(*docs.columns, "__verdicts")
+    texts = zipped_texts(docs)
+    same = texts["doc_id"].eqNullSafe(own["__id"]) & (texts["__hash"] == own["__own"])
+    rest = [name for name in docs.columns if name != "text"]
+    judged = texts.join(own.hint("shuffle_hash"), same, "left").select(
+        *rest, "__hash", "__zipped", "__verdicts"
+    )
+    base = [docs.schema[name] for name in rest]
+    text = T.StructField("text", docs.schema["text"].dataType)
+    hashed = T.StructField("__hash", T.IntegerType())
     waits = [
+        T.StructField("__zipped", T.BinaryType()),
         T.StructField("__waiting", T.BooleanType()),
         T.StructField("__settled", T.ArrayType(T.LongType())),
         T.StructField("__open", T.ArrayType(T.LongType())),
     ]
     settled = judged.mapInArrow(
-        _settler(keep_bytes), T.StructType([*docs.schema.fields, *_FIELDS, *waits])
+        _settler(keep_bytes), T.StructType([*base, hashed, text, *_FIELDS, *waits])
     )
-    # What is finished needs its text no longer, unless it is asked for.
-    text = F.col("text") if keep_bytes else F.when(F.col("__waiting"), F.col("text")).alias("text")
-    parked = park(settled.withColumn("text", text), "byte-repeats")
+    parked = park(settled, "byte-repeats")
     done = parked.where(~F.col("__waiting")).select(*docs.columns, *RESULT)
-    waiting = parked.where("__waiting").select(*docs.columns, "__settled", "__open")
-    open_rows = waiting.select("doc_id", F.hash("text").alias("text_hash"), "text", "__open")
+    waiting = parked.where("__waiting").select(*rest, "__hash", "__zipped", "__settled", "__open")
+    open_rows = waiting.select("doc_id", "__hash", "__zipped", "__open")
     segments = window_counts.repeated_windows(
         open_rows.mapInArrow(_open_windows, window_counts.COLUMNS.format(key=key))
     )
     more = _gathered(segments, "__segments", "start", "n")
-    same = waiting["doc_id"].eqNullSafe(F.col("__id")) & (F.hash(waiting["text"]) == F.col("__hash"))
-    rest = waiting.join(more.hint("shuffle_hash"), same, "left").select(
-        *docs.columns, "__settled", "__segments"
-    )
-    finished = rest.mapInArrow(
-        _finisher(keep_bytes), T.StructType([*docs.schema.fields, *_FIELDS])
+    same = waiting["doc_id"].eqNullSafe(more["__id"]) & (waiting["__hash"] == more["__own"])
+    last = waiting.join(more.hint("shuffle_hash"), same, "left").select(
+        *rest, "__zipped", "__settled", "__segments"
     )
-    return done.unionByName(finished)
+    finished = last.mapInArrow(_finisher(keep_bytes), T.StructType([*base, text, *_FIELDS]))
+    return done.unionByName(finished.select(*docs.columns, *RESULT))

@@ -30,11 +30,12 @@ def places(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return starts.astype(np.int64) * 256 + counts
 
 
-def binary_rows(data: np.ndarray, sizes: np.ndarray) -> pa.Array:
-    """An Arrow column of consecutive parts of ``data``."""
+def binary_rows(data: np.ndarray, sizes: np.ndarray, valid: np.ndarray | None = None) -> pa.Array:
+    """An Arrow column of consecutive parts of ``data``, NULL where not ``valid``."""
     offsets = np.zeros(len(sizes) + 1, np.int32)
     np.cumsum(sizes, out=offsets[1:])
-    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))]
+    bitmap = None if valid is None else pa.array(valid).buffers()[1]
+    buffers = [bitmap, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))]
     return pa.Array.from_buffers(pa.binary(), len(sizes), buffers)
 
 

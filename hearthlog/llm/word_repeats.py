@@ -22,7 +22,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
@@ -39,7 +38,7 @@ from hearthlog.llm.sequences import (
     window_hashes,
     word_hashes,
 )
-from hearthlog.llm.worker import slices
+from hearthlog.llm.worker import slices, unzipped, zipped_texts
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -76,7 +75,7 @@ def _chunk_edges(part: pa.RecordBatch, chunk) -> pa.RecordBatch:
     sent = np.repeat(~known, runs.counts)
     owner, start = chunk.whose(runs.first)
     edges = window_counts.binary_rows(
-        packed(hashes[sent]), np.where(known, 0, runs.counts * HASH_BYTES)
+        packed(hashes[sent]), np.where(known, 0, runs.counts * HASH_BYTES), ~known
     )
     # Rows that only pass are dealt out evenly, however many equal ones there are.
     anywhere = mix(hashes[runs.starts] + np.arange(len(known), dtype=np.uint64))
@@ -88,7 +87,7 @@ def _chunk_edges(part: pa.RecordBatch, chunk) -> pa.RecordBatch:
             part.column("text_hash").take(pa.array(owner)),
             pa.array(window_counts.places(start, runs.counts)),
             pa.array(np.add.reduceat(twice, runs.starts)),
-            pc.if_else(pa.array(known), pa.scalar(None, pa.binary()), edges),
+            edges,
         ],
         ["bucket", "doc_id", "text_hash", "place", "twice", "hashes"],
     )
@@ -109,24 +108,27 @@ def repeated_paths(docs: DataFrame) -> DataFrame:
 
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     low = np.uint64((1 << (8 * HASH_BYTES)) - 1)
-    for part in slices(batches, "text"):
+    for part in slices(batches, "__zipped", 2 << 20):
         rows = []
-        texts, paths = part.column("text").to_pylist(), part.column("__paths").to_pylist()
-        for text, own in zip(texts, paths):
-            words = (text or "").encode().split()
+        texts = unzipped(part.column("__zipped"))
+        for text, own in zip(texts, part.column("__paths").to_pylist()):
+            words = text.split()
             if not own:
                 rows.append((len(words), 0, b" ".join(words).decode()))
                 continue
             start = np.array([p["start"] for p in own], np.int64)
             path = np.array([p["path"] for p in own], np.int64)
-            here = window_hashes(word_hashes(text.encode()) + np.uint64(1), WINDOW)[start] & low
+            here = window_hashes(word_hashes(text) + np.uint64(1), WINDOW)[start] & low
             if ((path >= 0) & (here != path.astype(np.uint64))).any():
                 raise ValueError("a path does not begin with the words at its coordinates")
             ends = start + np.array([p["n"] for p in own], np.int64) + WINDOW - 1
             gone = covered(len(words), start, ends)
             kept = b" ".join(words[i] for i in np.flatnonzero(~gone))
             rows.append((len(words), int(gone.sum()), kept.decode()))
-        out = part.drop_columns(["__paths"])
+        nulls = part.column("__zipped").is_null().to_pylist()
+        plain = pa.array([None if null else t for t, null in zip(texts, nulls)], pa.binary())
+        out = part.drop_columns(["__paths", "__zipped"])
+        out = out.append_column("text", plain.cast(pa.string()))
         for name, kind, column in zip(RESULT, (pa.int64(), pa.int64(), pa.string()), zip(*rows)):
             out = out.append_column(name, pa.array(column, kind))
         yield out
@@ -137,9 +139,13 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     docs = docs.drop(*RESULT)
     own = (
         repeated_paths(docs)
-        .groupBy(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
+        .groupBy(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__own"))
         .agg(F.collect_list(F.struct("start", "n", "path")).alias("__paths"))
     )
-    same = docs["doc_id"].eqNullSafe(F.col("__id")) & (F.hash(docs["text"]) == F.col("__hash"))
-    joined = docs.join(own.hint("shuffle_hash"), same, "left").select(*docs.columns, "__paths")
-    return joined.mapInArrow(_remove, T.StructType([*docs.schema.fields, *_FIELDS]))
+    texts = zipped_texts(docs)
+    same = texts["doc_id"].eqNullSafe(own["__id"]) & (texts["__hash"] == own["__own"])
+    rest = [name for name in docs.columns if name != "text"]
+    joined = texts.join(own.hint("shuffle_hash"), same, "left").select(*rest, "__zipped", "__paths")
+    fields = [docs.schema[name] for name in [*rest, "text"]]
+    removed = joined.mapInArrow(_remove, T.StructType([*fields, *_FIELDS]))
+    return removed.select(*docs.columns, *RESULT)

@@ -7,13 +7,15 @@ from __future__ import annotations
 
 import sys
 import types
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import types as T
 
 from hearthlog.config import shared_dir
 
@@ -34,6 +36,28 @@ def park(frame: DataFrame, name: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def _zip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part in slices(batches, "text"):
+        texts = part.column("text").to_pylist()
+        zipped = [None if t is None else zlib.compress(t.encode(), 1) for t in texts]
+        yield part.drop_columns(["text"]).append_column("__zipped", pa.array(zipped, pa.binary()))
+
+
+def zipped_texts(docs: DataFrame) -> DataFrame:
+    """``docs`` for a shuffle: ``__zipped`` instead of ``text``, and ``__hash`` of the text.
+
+    Zipped one by one, texts take two thirds of what Spark's own compression makes of them.
+    """
+    hashed = docs.withColumn("__hash", F.hash("text"))
+    fields = [f for f in hashed.schema if f.name != "text"]
+    return hashed.mapInArrow(_zip, T.StructType([*fields, T.StructField("__zipped", T.BinaryType())]))
+
+
+def unzipped(column: pa.Array) -> list[bytes]:
+    """The UTF-8 texts of a zipped column; NULL is an empty one."""
+    return [b"" if z is None else zlib.decompress(z) for z in column.to_pylist()]
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 4 << 20):
     """Cut batches into slices with about ``max_bytes`` in a text or binary column.
 
