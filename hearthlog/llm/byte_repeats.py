@@ -42,6 +42,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 WINDOW = 200
 #: Depth of the digits of the two passes before the last.
 DIGITS = (96, 160)
+#: Bytes hashed together: some twenty numbers of eight bytes are held for each.
+CHUNK_BYTES = 1 << 19
 RESULT = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
 _FIELDS = [
     T.StructField("n_bytes", T.LongType()),
@@ -65,7 +67,7 @@ def _texts(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray]]:
 
 def _first_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in slices(batches, "text"):
-        for chunk in chunks(_texts(part.column("text")), WINDOW):
+        for chunk in chunks(_texts(part.column("text")), WINDOW, CHUNK_BYTES):
             yield _chunk_rows(part, chunk)
 
 
@@ -198,7 +200,7 @@ def _open_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 open_rows.append((i, ask & 1))
         owner_of = np.array([i for i, _ in open_rows], np.int64)
         settled_of = np.array([s for _, s in open_rows], np.int64)
-        for chunk in chunks(pieces, WINDOW):
+        for chunk in chunks(pieces, WINDOW, CHUNK_BYTES):
             runs = Runs(chunk, WINDOW, DIGITS[1])
             hashes = run_hashes(runs.sums, runs.windows, runs.windows + WINDOW)
             row, start = chunk.whose(runs.first)

@@ -44,6 +44,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 WINDOW = 35
 ANCHOR = 16
+#: Words hashed together: some twenty numbers of eight bytes are held for each.
+CHUNK_WORDS = 1 << 18
 RESULT = ["n_words", "n_removed", "kept_text"]
 _FIELDS = [
     T.StructField("n_words", T.LongType()),
@@ -56,7 +58,7 @@ def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in slices(batches, "text"):
         texts = part.column("text").to_pylist()
         found = ((i, 0, word_hashes(t.encode())) for i, t in enumerate(texts) if t)
-        for chunk in chunks(found, WINDOW):
+        for chunk in chunks(found, WINDOW, CHUNK_WORDS):
             yield _chunk_edges(part, chunk)
 
 

@@ -49,7 +49,7 @@ def passages(seed):
 @pytest.mark.parametrize("limit", [sequences.CHUNK_VALUES, 523])
 def test_removal_equals_brute_force(docs_of, edge_docs, monkeypatch, limit):
     plain = sequences.chunks
-    monkeypatch.setattr(byte_repeats, "chunks", lambda found, size: plain(found, size, limit))
+    monkeypatch.setattr(byte_repeats, "chunks", lambda found, size, most: plain(found, size, limit))
     if limit < 1000:
         whole = byte_repeats.slices
         monkeypatch.setattr(byte_repeats, "slices", lambda b, column, most=0: whole(b, column, 300))

@@ -49,7 +49,7 @@ def passages(seed, unit="w"):
 @pytest.mark.parametrize("limit", [sequences.CHUNK_VALUES, 97])
 def test_removal_equals_brute_force(docs_of, edge_docs, monkeypatch, limit):
     plain = sequences.chunks
-    monkeypatch.setattr(word_repeats, "chunks", lambda found, size: plain(found, size, limit))
+    monkeypatch.setattr(word_repeats, "chunks", lambda found, size, most: plain(found, size, limit))
     if limit < 1000:
         whole = word_repeats.slices
         monkeypatch.setattr(word_repeats, "slices", lambda b, column, most=0: whole(b, column, 300))
