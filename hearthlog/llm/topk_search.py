@@ -203,11 +203,11 @@ def _distinct(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return ids[new], vectors[new], rows.column("beat").to_numpy()[new]
 
 
-def _search(queries: DataFrame, candidates: DataFrame, blocks: int, axes, k: int) -> DataFrame:
+def _search(queries: DataFrame, candidates: DataFrame, axes, k: int) -> DataFrame:
     """Search blocks of queries against blocks of candidates.
 
-    ``asks`` numbers a query's block; a query goes to every block of candidates and a
-    candidate, which knows its ``block``, to every block of queries (``ask_blocks``).
+    A query comes once for each ``block`` of candidates it is to meet, and ``asks``
+    numbers its own block; a candidate goes to every block of queries (``ask_blocks``).
     """
     common = ["dim", "vec_id", "ints", "norm"]
 
@@ -219,15 +219,28 @@ def _search(queries: DataFrame, candidates: DataFrame, blocks: int, axes, k: int
             beat.alias("beat"),
         )
 
-    all_blocks = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     asks = F.explode(F.sequence(F.lit(0), F.col("ask_blocks") - 1))
-    rows = sent(queries.withColumn("block", all_blocks), True, F.col("beat")).unionByName(
+    rows = sent(queries, True, F.col("beat")).unionByName(
         sent(candidates.withColumn("asks", asks), False, F.lit(0.0))
     )
     dealt = rows.repartition("cell").sortWithinPartitions("cell")
     return dealt.mapInArrow(_searcher(k, axes), _FOUND)
 
 
+def _within_reach(queries: DataFrame, rows: DataFrame, blocks: int) -> DataFrame:
+    """Every query once for each block that may hold a score to beat its own.
+
+    Blocks hold vectors of similar length, so length alone rules most of them out. The
+    table of blocks has one small row for ``CANDIDATE_BLOCK`` vectors; Spark broadcasts it
+    if its measured size allows.
+    """
+    longest = rows.groupBy("dim", "block").agg(F.max("norm").alias("longest"))
+    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    most = F.col("norm") * F.col("longest")
+    spread = queries.withColumn("block", every).join(park(longest, "search-lengths"), ["dim", "block"])
+    return spread.where(most + (1 + 1e-9 * most) >= F.col("beat")).drop("longest")
+
+
 def _ranked(found: DataFrame, k: int) -> DataFrame:
     """The k best of each query; every task cuts its own rows back to k before they meet."""
     by = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
@@ -258,9 +271,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, column: str = "embe
     anywhere = F.lit(float("-inf"))
     first = park(
         _search(
-            queries.withColumn("beat", anywhere),
+            queries.withColumns({"beat": anywhere, "block": F.lit(0)}),
             headed.where("block = head").withColumn("block", F.lit(0)),
-            1,
             axes,
             k,
         ),
@@ -268,10 +280,10 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, column: str = "embe
     )
     beat = _ranked(first, k).where(F.col("rank") == k)
     beat = beat.select(F.col("query_id").alias("vec_id"), F.col("score").cast("double").alias("beat"))
+    beaten = queries.join(beat, "vec_id", "left").withColumn("beat", F.coalesce("beat", anywhere))
     rest = _search(
-        queries.join(beat, "vec_id", "left").withColumn("beat", F.coalesce("beat", anywhere)),
+        _within_reach(beaten, headed.where("block > head"), blocks),
         headed.where("block > head"),
-        blocks,
         axes,
         k,
     )
