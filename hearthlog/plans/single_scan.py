@@ -97,14 +97,16 @@ def name_operations(
 ) -> DataFrame:
     """Look faults up and give every operation its ``optId`` and ``optName``.
 
-    Dictionary copies are collapsed, so a fault has one row per distinct name and
-    ``_copies`` tells how often it counts. Operations that are no faults have no
+    The copies of an entry that is to be shuffled are collapsed, so a fault has one row per
+    distinct name; ``_copies`` tells how often a row counts. Operations that are no faults have no
     ``_fault`` and pass the left join unmatched.
     """
     if broadcast:
-        # Measured to be small: collapsed in one task, which saves a shuffle by its key.
-        known = known.repartition(1)
-    joined = match_faults(raw, collapse_copies(known), "left", broadcast, normalize)
+        # Copies repeat an event's row inside the generated span, just before it is counted.
+        known = known.withColumn("_copies", F.lit(1).cast("bigint"))
+    else:
+        known = collapse_copies(known)
+    joined = match_faults(raw, known, "left", broadcast, normalize)
     is_fault = F.col("_id").isNull()
     name = F.when(F.col("eventName") == RECIPE, F.col("_id")).otherwise(F.col("_name"))
     consumed = {"_id", "_fault"}
