@@ -7,6 +7,15 @@ so on) are left out as they stream by. Every block's ratio of text to tags is sm
 with a Gaussian along the page, a threshold splits the ratios into two clusters, and the
 regions that hold a block of the upper cluster are the content. A region is kept whole,
 short lines included; with none above the threshold the region with most text is kept.
+Articles and main elements are regions as wholes, and are preferred to the rest of the
+page if one of them reaches the threshold.
+
+Words of classes and ids are evidence only. A name made of hints alone leaves its element
+out, a hint among other words does so if most of the element's text is links. Neither
+counts for headings, for an element that holds an article or main element (unless those
+beside it have more text), or for one with more than half of the page's text, unless it is
+named as comments or stands beside an article or main element with text of its own: it may
+outgrow that. Ids of sections and paragraphs of an article name their subject.
 
 Defined cases: null and empty pages give an empty text; broken markup is read as far as
 the parser understands it; repeated rows are extracted each; further columns pass through
@@ -45,6 +54,7 @@ _NO_CONTENT = set(
     "iframe object svg canvas dialog menu label fieldset datalist audio video map".split()
 )
 _REGIONS = set("article main section div td body".split())
+_ARTICLES = {"article", "main"}
 #: A start tag ends open elements of these kinds, as far as the fence elements.
 _ENDS = {
     "li": {"li"},
@@ -71,19 +81,34 @@ _ROLES = set(
     "navigation banner contentinfo complementary search dialog alertdialog alert form menu "
     "menubar toolbar".split()
 )
+#: Words that say nothing beside a hint: a sidebar-left is a sidebar.
+_LAYOUT = set(
+    "area bar block body bottom box button buttons col column container content form global group holder icons "
+    "inner item items left link links list module outer page panel post posts primary right row "
+    "secondary section site slot text title top unit wrap wrapper".split()
+)
+_DISCUSSION = set("comment comments commentlist disqus respond reply replies".split())
+_ARTICLE_HINTS = {"comment", "comments", "reply", "ad", "advert", "related"}
+_HEADINGS = set("h1 h2 h3 h4 h5 h6 hgroup".split())
+#: Elements whose id, in an article, is the target of a link to what they say.
+_TARGETS = set("section p li dt dd blockquote figure table".split())
 _KEEP = {"html", "body", "main"}
 _NAMES = re.compile(r"[A-Za-z0-9]+")
 _WORDS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 
 
 class PageBlocks(HTMLParser):
-    """Collects ``blocks`` of [text pieces, tags, region, path of regions]."""
+    """Collects ``blocks`` of [text pieces, tags, region, mark, characters in links].
+
+    A mark is an element whose name hints at no content.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, bool, int]] = []  # name, no content, region
+        self.open: list[tuple[str, bool, int, int]] = []  # name, no content, region, mark
         self.blocks: list[list] = []
         self.regions: list[tuple[str, int]] = [("page", -1)]  # name, parent
+        self.marks: list[list] = []  # parent, hint alone, discussion, beside articles, holds one
         self._fresh = True
 
     def _silent(self) -> bool:
@@ -92,15 +117,18 @@ class PageBlocks(HTMLParser):
     def _region(self) -> int:
         return self.open[-1][2] if self.open else 0
 
+    def _mark(self) -> int:
+        return self.open[-1][3] if self.open else -1
+
     def _inside(self, names: set[str]) -> bool:
-        return any(name in names for name, _, _ in self.open)
+        return any(entry[0] in names for entry in self.open)
 
     def _no_content(self, tag: str, attrs: list) -> bool:
         if tag in _NO_CONTENT:
             return True
         if tag in _KEEP:
             return False
-        in_article = self._inside({"article", "main"})
+        in_article = self._inside(_ARTICLES)
         if tag == "header":
             return not in_article
         values = dict(attrs)
@@ -111,11 +139,35 @@ class PageBlocks(HTMLParser):
             return False  # a class within a line names a word, not a part of the page
         if (values.get("role") or "").lower() in _ROLES:
             return True
-        named = f"{values.get('class') or ''} {values.get('id') or ''}"
-        words = {w.lower() for w in _WORDS.findall(named) + _NAMES.findall(named)}
+        return False
+
+    def _hinted(self, tag: str, attrs: list) -> tuple[bool, bool] | None:
+        """Whether a name is made of hints alone, and of a discussion; None without hints."""
+        if tag not in _BREAKS or tag in _KEEP or tag in _HEADINGS:
+            return None
+        values = dict(attrs)
+        classes, own_id = (values.get("class") or "").split(), (values.get("id") or "").split()
+        if not classes and not own_id:
+            return None
+        in_article = self._inside(_ARTICLES)
         if tag == "article":
-            return bool(words & {"comment", "comments", "reply", "ad", "advert", "related"})
-        return bool(words & _HINTS) or (bool(words & _HEADER_HINTS) and not in_article)
+            hints = _ARTICLE_HINTS
+        else:
+            hints = _HINTS if in_article else _HINTS | _HEADER_HINTS
+        known = hints | _LAYOUT
+        hinted = alone = discussion = False
+        for name in classes + own_id:
+            split = {w.lower() for w in _WORDS.findall(name)}
+            whole = {w.lower() for w in _NAMES.findall(name)}
+            found = (split | whole) & hints
+            if not found:
+                continue
+            hinted = True
+            target = in_article and tag in _TARGETS and name not in classes
+            if not target and (split <= known or {w for w in whole if not w.isdigit()} <= known):
+                alone = True
+                discussion |= bool(found & _DISCUSSION)
+        return (alone, discussion) if hinted else None
 
     def _end_implied(self, ends: set[str], fences: set[str]) -> None:
         for at in range(len(self.open) - 1, -1, -1):
@@ -138,11 +190,22 @@ class PageBlocks(HTMLParser):
         if tag in _VOID:
             return
         silent = self._silent() or self._no_content(tag, attrs)
-        region = self._region()
+        region, mark = self._region(), self._mark()
         if tag in _REGIONS and not silent:
             self.regions.append((tag, region))
             region = len(self.regions) - 1
-        self.open.append((tag, silent, region))
+        if not silent:
+            if tag in _ARTICLES:
+                at = mark
+                while at >= 0 and not self.marks[at][4]:
+                    self.marks[at][4] = True
+                    at = self.marks[at][0]
+            if hinted := self._hinted(tag, attrs):
+                alone, discussion = hinted
+                beside = not self._inside(_ARTICLES)
+                self.marks.append([mark, alone, discussion, beside, False])
+                mark = len(self.marks) - 1
+        self.open.append((tag, silent, region, mark))
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         # A slash does not close an HTML element.
@@ -166,12 +229,15 @@ class PageBlocks(HTMLParser):
         if self._silent():
             # What is left out still parts the text around it.
             return
+        mark = self._mark()
         if self._fresh or not self.blocks or self.blocks[-1][2] != self._region():
             if not data.strip():
                 return
-            self.blocks.append([[], 1, self._region()])
+            self.blocks.append([[], 1, self._region(), mark, 0])
             self._fresh = False
         self.blocks[-1][0].append(data)
+        if mark >= 0 and self._inside({"a"}):
+            self.blocks[-1][4] += len(" ".join(data.split()))
 
 
 def smoothed(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
@@ -196,38 +262,70 @@ def threshold(ratios: np.ndarray) -> float:
     return cut
 
 
+def _left_out(parser: PageBlocks, blocks: list[tuple]) -> set[int]:
+    """The marks whose blocks are no content."""
+    size, linked, own = ([0] * len(parser.marks) for _ in range(3))
+    total = beside_all = 0
+    for text, _, region, mark, links in blocks:
+        above = []
+        while mark >= 0:
+            above.append(mark)
+            mark = parser.marks[mark][0]
+        article = parser.regions[_owner(parser.regions, region)][0] in _ARTICLES
+        article &= all(parser.marks[at][4] for at in above)
+        total += len(text)
+        beside_all += len(text) * article
+        for at in above:
+            size[at] += len(text)
+            linked[at] += links
+            own[at] += len(text) * article
+    out: set[int] = set()
+    for at, (parent, alone, discussion, beside, holds) in enumerate(parser.marks):
+        others = beside_all - own[at]
+        most = 2 * size[at] > total and not discussion and not (beside and others)
+        needed = most or (holds and others <= size[at])
+        if parent in out or (not needed and (alone or 2 * linked[at] > size[at])):
+            out.add(at)
+    return out
+
+
 def main_text(html: str | None) -> str:
     """The article of a page: blocks of the content regions, joined by one space."""
     parser = PageBlocks()
     parser.feed(html or "")
     parser.close()
-    texts, tags, owners = [], [], []
-    for pieces, count, region in parser.blocks:
+    blocks = []
+    for pieces, *rest in parser.blocks:
         if text := " ".join("".join(pieces).split()):
-            texts.append(text)
-            tags.append(count)
-            owners.append(region)
-    if not texts:
+            blocks.append((text, *rest))
+    if parser.marks:
+        out = _left_out(parser, blocks)
+        # A page that is nothing but hinted elements keeps them.
+        blocks = [block for block in blocks if block[3] not in out] or blocks
+    if not blocks:
         return ""
-    owners = [_owner(parser.regions, region) for region in owners]
+    texts = [block[0] for block in blocks]
+    lengths = np.array([len(text) for text in texts], float)
+    ratios = lengths / np.array([block[1] for block in blocks], float)
+    owners = [_owner(parser.regions, block[2]) for block in blocks]
     kinds = [parser.regions[owner][0] for owner in owners]
-    for kind in ("article", "main"):
-        if kind in kinds:
-            chosen = [i for i, k in enumerate(kinds) if k == kind]
-            break
-    else:
-        chosen = list(range(len(texts)))
-    lengths = np.array([len(texts[i]) for i in chosen], float)
-    ratios = smoothed(lengths / np.array([tags[i] for i in chosen], float))
-    cut = threshold(ratios)
-    content = {owners[i] for i, ratio in zip(chosen, ratios) if ratio >= cut}
+    marked = [i for i, kind in enumerate(kinds) if kind in _ARTICLES]
+    if marked and (len(marked) == len(texts) or (ratios[marked] >= threshold(smoothed(ratios))).any()):
+        # Among articles and main elements a block's own ratio counts beside the smoothed
+        # one, or a long block between short ones would lose to a teaser at the end.
+        smooth = smoothed(ratios[marked])
+        cut = threshold(smooth)
+        reached = np.maximum(smooth, ratios[marked]) >= cut
+        content = {owners[i] for i, high in zip(marked, reached) if high}
+        return " ".join(texts[i] for i in marked if owners[i] in content)
+    smooth = smoothed(ratios)
+    cut = threshold(smooth)
+    content = {owner for owner, ratio in zip(owners, smooth) if ratio >= cut}
     if not content:
-        content = {owners[chosen[int(lengths.argmax())]]}
-    kept = [i for i in chosen if owners[i] in content]
-    if kinds[chosen[0]] not in ("article", "main"):
-        # Nothing marks where the article ends: what lies between its regions belongs to it.
-        kept = range(kept[0], kept[-1] + 1)
-    return " ".join(texts[i] for i in kept)
+        content = {owners[int(lengths.argmax())]}
+    kept = [i for i, owner in enumerate(owners) if owner in content]
+    # Nothing marks where the article ends: what lies between its regions belongs to it.
+    return " ".join(texts[kept[0] : kept[-1] + 1])
 
 
 def _owner(regions: list[tuple[str, int]], region: int) -> int:

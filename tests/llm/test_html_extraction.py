@@ -58,6 +58,37 @@ def test_pages(page, text):
     assert main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (f"<article><h2 id='search'>Search</h2><p>{LONG}</p><h2 class='social-structure'>Social</h2><p>{LONG}</p>"
+         f"<section id='related-work'><h3>Related</h3><p>Others did so.</p></section></article>",
+         f"Search {LONG}Social {LONG}Related Others did so."),
+        (f"<div class='content with-sidebar'><article><p>{LONG}</p></article>"
+         f"<div class='sidebar'>Out</div></div>", LONG.strip()),
+        (f"<div class='content with-sidebar'><p>{LONG}</p><p>{LONG}</p></div><p>x</p>", f"{LONG}{LONG}".strip()),
+        (f"<div id='widget'><main><p>{LONG}</p></main></div>", LONG.strip()),
+        (f"<main><h1>T</h1><div class='entry'><p>{LONG}</p><p>{LONG}</p></div>"
+         f"<article class='card'>teaser</article></main>", f"T {LONG}{LONG}".strip()),
+        (f"<main><h1>T</h1><div class='entry'>{LONG}</div><article class='card'>{LONG[:150]}</article></main>",
+         f"T {LONG}{LONG[:150]}".strip()),
+        (f"<body><div class='entry'><p>{LONG}</p></div><article class='card'>teaser</article></body>",
+         LONG.strip()),
+        (f"<main><h1>T</h1><div id=widget><article><p>{LONG}</p></article></div></main>", LONG.strip()),
+        (f"<article><p>{LONG}</p></article><ol class=comment-list><li><article class=comment-body><p>{LONG[:200]}</p>"
+         f"</article></ol>", LONG.strip()),
+        (f"<div class=ad>{LONG}</div><article><p>One line.</p></article>", "One line."),
+        (f"<div class=widget><p>{LONG}</p><p>{LONG}</p></div><div><p>Other words.</p></div>", f"{LONG}{LONG}".strip()),
+        (f"<article><p>{LONG}</p><section class='comments'><p>{LONG}</p><p>{LONG}</p></section></article>",
+         LONG.strip()),
+        (f"<article><p>{LONG}</p><div class='sidebar-left'>Out</div><div class='see-related'><a href=x>A link</a>"
+         f"</div></article>", LONG.strip()),
+    ],
+)
+def test_names_are_evidence_only(page, text):
+    assert main_text(page) == text
+
+
 def test_smoothing_and_clusters():
     flat = np.full(9, 5.0)
     assert np.allclose(smoothed(flat), flat)
