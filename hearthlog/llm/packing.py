@@ -34,6 +34,10 @@ GROUP_PIECES = 8192
 #: Texts of other characters than these, or with rare kinds of white space, are left to
 #: the tokenizers library: elsewhere two libraries' Unicode tables cannot disagree.
 _RARE = re.compile("[^\x01-\x1b\x20-\x84\x86-\x9f\xa1-" + chr(0x24F) + "]")
+#: So are texts with such a run of white space: the faster library's matcher gives up on
+#: runs of about a million characters.
+LONG_WHITE = 100_000
+_LONG_WHITE = re.compile(r"(?<![\t-\r ])[\t-\r ]{%d}" % LONG_WHITE)
 
 # Fixed value: the pattern by which byte-level BPE parts texts before merging.
 _SPLIT = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -88,6 +92,12 @@ def _plain_encoder(path: str):
     return cache["plain", path]
 
 
+def _left_to_library(text: str) -> bool:
+    if _RARE.search(text):
+        return True
+    return len(text) >= LONG_WHITE and _LONG_WHITE.search(text) is not None
+
+
 def token_ids(texts: list[str], path: str) -> list[bytes]:
     """The ids of each text, as little-endian unsigned 32-bit numbers."""
     tokenizer = load_tokenizer(path)
@@ -95,7 +105,7 @@ def token_ids(texts: list[str], path: str) -> list[bytes]:
     plain = _plain_encoder(path)
     found = []
     for text in texts:
-        if plain is None or any(s in text for s in special) or _RARE.search(text):
+        if plain is None or any(s in text for s in special) or _left_to_library(text):
             ids = tokenizer.encode(text, add_special_tokens=False).ids
         else:
             ids = plain.encode_to_numpy(text, disallowed_special=())

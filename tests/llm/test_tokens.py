@@ -39,6 +39,15 @@ def test_ids_by_units_equal_the_library(text):
     assert np.frombuffer(packing.token_ids([text], BYTE_BPE)[0], "<u4").tolist() == ids(library, text)
 
 
+@pytest.mark.parametrize("white", [" ", "\n", "\t", " \r\n\t\x0b\x0c"])
+@pytest.mark.parametrize("size", [99_999, 1_200_000])
+def test_long_white_space_is_encoded(libraries, white, size):
+    run = (white * size)[:size]
+    texts = [f"a b{run}c d", run]
+    found = [np.frombuffer(row, "<u4").tolist() for row in packing.token_ids(texts, BYTE_BPE)]
+    assert found == [ids(libraries[BYTE_BPE], text) for text in texts]
+
+
 @settings(max_examples=800, deadline=None)
 @given(st.lists(PARTS, max_size=12).map("".join))
 def test_lengths_by_words_equal_the_library(text):
