@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from hearthlog.llm import byte_repeats, sequences
+from hearthlog.llm import byte_repeats, sequences, window_counts
 from hearthlog.llm.queries import op4_byte_repeats
 
 
@@ -64,6 +64,22 @@ def test_removal_equals_brute_force(docs_of, edge_docs, monkeypatch, limit):
     assert sum(w[1] for w in want) > 5000
 
 
+@pytest.mark.parametrize("most", [0, 8])
+def test_hot_buckets_equal_brute_force(docs_of, monkeypatch, most):
+    monkeypatch.setattr(window_counts, "HOT_ROWS", most)
+    monkeypatch.setattr(window_counts, "SAMPLE", 1)
+    spread, plain = [], window_counts._hot_windows
+    monkeypatch.setattr(window_counts, "_hot_windows", lambda *a: spread.append(1) or plain(*a))
+    draw = random.Random(4)
+    phrase = "".join(draw.choice("abcdefgh") for _ in range(185))
+    around = [(200 + i, f"{i:04}" * 20 + phrase + f"{i:05}" * 20) for i in range(120)]
+    docs = docs_of(*around, (400, around[3][1] + "!"), *passages(3))
+    found = byte_repeats.without_repeats(docs).collect()
+    got = [(r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256, bytes(r.kept)) for r in found]
+    assert got == brute([r.text for r in found])
+    assert spread
+
+
 def test_query_equals_brute_force(spark, small_tables):
     docs = spark.read.parquet(f"{small_tables}/documents.parquet").collect()
     rows = {r.doc_id: r for r in op4_byte_repeats(spark, small_tables).collect()}

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from hearthlog.llm import sequences, word_repeats
+from hearthlog.llm import sequences, window_counts, word_repeats
 from hearthlog.llm.queries import op2_word_repeats
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -63,6 +63,28 @@ def test_removal_equals_brute_force(docs_of, edge_docs, monkeypatch, limit):
     assert sum(w[1] for w in want) > 500
 
 
+@pytest.mark.parametrize("most", [0, 20])
+def test_hot_buckets_are_spread_by_their_windows(docs_of, monkeypatch, most):
+    monkeypatch.setattr(window_counts, "HOT_ROWS", most)
+    monkeypatch.setattr(window_counts, "SAMPLE", 1)
+    plain, largest = window_counts._by_bucket, []
+
+    def by_bucket(rows, key):
+        sizes = rows.where("hashes is not null").groupBy("bucket").count()
+        largest.append(sizes.agg(F.max("count")).first()[0] or 0)
+        return plain(rows, key)
+
+    monkeypatch.setattr(window_counts, "_by_bucket", by_bucket)
+    phrase = " ".join(f"p{i}" for i in range(30))
+    around = [(200 + i, " ".join([f"a{i}x{j}" for j in range(20)] + [phrase] + [f"b{i}x{j}" for j in range(20)]))
+              for i in range(150)]
+    copies = [(400, around[3][1] + " more"), (401, around[5][1])]
+    docs = docs_of(*around, *copies, *passages(3))
+    found = word_repeats.without_repeats(docs).collect()
+    assert [(r.n_words, r.n_removed, r.kept_text) for r in found] == brute([r.text for r in found])
+    assert max(largest) <= most
+
+
 def test_query_equals_brute_force(spark, small_tables):
     docs = spark.read.parquet(f"{small_tables}/documents.parquet").collect()
     rows = {r.doc_id: r for r in op2_word_repeats(spark, small_tables).collect()}
