@@ -26,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from hearthlog.llm.components import components
 from hearthlog.llm.sequences import mix, shingles
@@ -277,19 +277,42 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     )
 
 
+def _words_hash() -> Column:
+    words = F.regexp_replace(F.coalesce("text", F.lit("")), r"[ \t\n\x0B\f\r]+", " ")
+    return F.xxhash64(F.trim(words))
+
+
+def _lost(docs: DataFrame) -> DataFrame:
+    """``doc_id`` and ``__words`` of the texts that a class can do without."""
+    texts = park(
+        docs.where("doc_id is not null").select("doc_id", _words_hash().alias("__words")).distinct(),
+        "jaccard-ids",
+    )
+    if texts.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
+        lost = similar_documents(docs).where("doc_id <> class_id").select("doc_id").distinct()
+        return lost.join(texts, "doc_id").select("doc_id", "__words")
+    # Different texts under one id are nodes of their own.
+    node = F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", "__words"))
+    nodes = docs.withColumn("__words", _words_hash()).select(node.alias("doc_id"), "text")
+    classes = similar_documents(nodes).where("doc_id is not null")
+    classes = classes.select(F.col("doc_id").alias("__node"), "class_id").distinct()
+    members = texts.withColumn("__node", node).join(classes, "__node")
+    own = F.struct("doc_id", "__words")
+    least = members.groupBy("class_id").agg(F.min(own).alias("__least"))
+    return members.join(least, "class_id").where(own != F.col("__least")).select("doc_id", "__words")
+
+
 def one_of_each_class(docs: DataFrame) -> DataFrame:
     """``docs`` without near copies: of every class the row with the least ``doc_id`` stays.
 
-    Rows without an id stay.
+    Rows without an id stay. Rows of one ``doc_id`` are told apart by a hash of their words.
     """
-    lost = park(
-        similar_documents(docs).where("doc_id <> class_id").select("doc_id").distinct(),
-        "jaccard-lost",
-    )
+    lost = park(_lost(docs), "jaccard-lost")
     alone = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
     return (
-        docs.join(lost.hint("shuffle_hash"), "doc_id", "left_anti")
+        docs.withColumn("__words", _words_hash())
+        .join(lost.hint("shuffle_hash"), ["doc_id", "__words"], "left_anti")
         .withColumn("__alone", alone)
-        .dropDuplicates(["doc_id", "__alone"])
+        .dropDuplicates(["doc_id", "__words", "__alone"])
         .select(*docs.columns)
     )

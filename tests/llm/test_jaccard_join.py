@@ -120,3 +120,12 @@ def test_components(spark):
     assert len(found) == len(dict(found))
     assert dict(found) == {i: root(i) for i in list(parent)}
     assert components(frame.where("false")).collect() == []
+
+
+def test_texts_that_share_an_id_are_judged_apart(docs_of):
+    one, two, three = (" ".join(f"{u}{i}" for i in range(200)) for u in "abc")
+    docs = docs_of((7, one), (7, two), (3, two + " more"), (8, three), (8, three.replace(" ", "  ")),
+                   (9, three + " end"), (None, one), (5, None), (5, " "))
+    kept = jaccard_join.one_of_each_class(docs).collect()
+    found = sorted((r.doc_id or 0, " ".join((r.text or "").split())) for r in kept)
+    assert found == sorted([(7, one), (3, two + " more"), (8, three), (0, one), (5, "")])
