@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import permutations
+
 _WORD = r"'[^\x20\x09-\x0D]+'"
 
 TOPK = """
@@ -195,3 +197,165 @@ LEFT JOIN by_source g ON g.lang IS NOT DISTINCT FROM j.lang AND g.source IS NOT
 LEFT JOIN by_lang h ON h.lang IS NOT DISTINCT FROM j.lang
 LEFT JOIN overall o ON true
 """
+
+_LETTERS = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+#: Windows by their words and length; an item of fewer words than a window is one window.
+DECONTAMINATION = f"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all({_LOWER}, {_LETTERS}) AS words FROM documents
+),
+items AS (
+  SELECT item_id, regexp_extract_all({_LOWER}, {_LETTERS}) AS words FROM benchmark
+),
+item_windows AS (
+  SELECT DISTINCT item_id, least(10, len(words)) AS n,
+         array_to_string(words[i:i + least(10, len(words)) - 1], ' ') AS run
+  FROM items, unnest(range(1, len(words) - least(10, len(words)) + 2)) AS t(i)
+  WHERE len(words) > 0
+),
+lengths AS (SELECT DISTINCT n FROM item_windows),
+found AS (
+  SELECT doc_id, i, n, array_to_string(words[i:i + n - 1], ' ') AS run
+  FROM docs, lengths, unnest(range(1, len(words) - n + 2)) AS t(i)
+),
+hits AS (
+  SELECT doc_id, i, n, item_id FROM found JOIN item_windows USING (run, n)
+),
+covered AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM hits, unnest(range(i, i + n)) AS u(p) GROUP BY doc_id
+),
+listed AS (
+  SELECT doc_id, count(DISTINCT item_id) AS n_items,
+         sha256(string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR))) AS digest
+  FROM hits GROUP BY doc_id
+),
+starts AS (
+  SELECT doc_id, i, n, words[i:i + n + 1] AS context, win
+  FROM (SELECT doc_id, words, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM docs)
+    JOIN (SELECT DISTINCT n, string_split(run, ' ') AS win FROM item_windows) w ON word = win[1]
+  WHERE n = 1 OR list_contains(words[i + 1:i + 3], win[2])
+),
+steps AS (
+  SELECT *, 1 AS k, 1 AS place FROM starts
+  UNION ALL
+  SELECT doc_id, i, n, context, win, k + 1, place + list_position(context[place + 1:], win[k + 1])
+  FROM steps WHERE k < n AND list_contains(context[place + 1:], win[k + 1])
+),
+near AS (
+  SELECT doc_id, count(DISTINCT p) AS n_near
+  FROM steps, unnest(range(i, i + place)) AS u(p) WHERE k = n GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+       coalesce(n_near, 0) AS n_near, coalesce(n_items, 0) AS n_items, coalesce(digest, sha256('')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN covered USING (doc_id) LEFT JOIN listed USING (doc_id)
+  LEFT JOIN near USING (doc_id)
+"""
+
+#: CRC-32 byte by byte through a table of 256 remainders, which the first query derives.
+IMPORTANCE_SAMPLING = f"""
+WITH remainders AS (
+  SELECT list(list_reduce(list_prepend(b, range(8)), lambda c, _:
+    CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY b) AS rest
+  FROM range(256) t(b)
+),
+words AS (
+  SELECT 'd' || doc_id AS id, regexp_extract_all({_LOWER}, {_LETTERS}) AS words FROM documents
+  UNION ALL
+  SELECT 'b', regexp_extract_all({_LOWER}, {_LETTERS}) FROM benchmark
+),
+runs AS (
+  SELECT id, array_to_string(words[i:i + n - 1], ' ') AS run
+  FROM words, range(1, 4) s(n), unnest(range(1, len(words) - n + 2)) AS t(i)
+),
+counted AS (SELECT id, run, count(*) AS n FROM runs GROUP BY ALL),
+bytes AS (
+  SELECT run, list_transform(range(CAST(octet_length(encode(run)) AS BIGINT)),
+    lambda i: CAST('0x' || hex(encode(run))[2 * i + 1:2 * i + 2] AS BIGINT)) AS b
+  FROM (SELECT DISTINCT run FROM counted)
+),
+hashed AS (
+  SELECT run, xor(list_reduce(list_prepend(4294967295, b), lambda c, x:
+    xor(c >> 8, rest[(xor(c, x) & 255) + 1])), 4294967295) % 10000 AS bucket
+  FROM bytes, remainders
+),
+features AS (SELECT id, bucket, sum(n) AS n FROM counted JOIN hashed USING (run) GROUP BY ALL),
+totals AS (
+  SELECT range AS bucket, coalesce(sum(n) FILTER (id <> 'b'), 0) AS s,
+         coalesce(sum(n) FILTER (id = 'b'), 0) AS t
+  FROM range(10000) LEFT JOIN features ON bucket = range GROUP BY range
+),
+gains AS (
+  SELECT bucket, floor(1000 * ln(CAST((t + 1) * (sum(s) OVER () + 10000) AS DOUBLE)
+    / CAST((s + 1) * (sum(t) OVER () + 10000) AS DOUBLE))) AS gain
+  FROM totals
+),
+weighed AS (
+  SELECT id, sum(n) AS n_features, sum(n * gain) AS weight
+  FROM features JOIN gains USING (bucket) GROUP BY id
+),
+scored AS (
+  SELECT doc_id, len(words) AS size, CAST(coalesce(n_features, 0) AS BIGINT) AS n_features,
+         CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+         CAST('0x' || sha256('42:' || doc_id)[1:8] AS BIGINT) AS h
+  FROM documents JOIN words ON words.id = 'd' || doc_id LEFT JOIN weighed USING (id)
+),
+noisy AS (
+  SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5) / 4294967296))) AS BIGINT) AS score FROM scored
+)
+SELECT doc_id, n_features, weight, score,
+       CASE WHEN size >= 20 AND place <= 5 * count(*) FILTER (size >= 20) OVER () // 100 THEN place END AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY size >= 20 ORDER BY score DESC, doc_id) AS place FROM noisy)
+"""
+
+_FILTER_ORDERS = ", ".join(
+    f"('{order}')" for order in map("".join, permutations("ABCDE"))
+)
+
+FILTER_AUDIT = f"""
+WITH failed AS (
+  SELECT coalesce(source, '') AS part, doc_id, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), {_WORD}) AS words,
+         min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS smallest
+  FROM documents
+),
+masks AS (
+  SELECT part, doc_id,
+         CASE WHEN len(words) < 50 THEN 'A' ELSE '' END
+         || CASE WHEN 100 * len(list_distinct(words)) < 65 * len(words) THEN 'B' ELSE '' END
+         || CASE WHEN 100 * len(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * len(text) THEN 'C' ELSE '' END
+         || CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END
+         || CASE WHEN doc_id > smallest THEN 'E' ELSE '' END AS mask
+  FROM failed
+),
+counted AS (
+  SELECT part, mask, count(*) AS n, count(*) FILTER (quality = 1) AS good,
+         count(*) FILTER (toxic = 1) AS toxic
+  FROM masks LEFT JOIN labels USING (doc_id) GROUP BY part, mask
+),
+steps AS (
+  SELECT filter_order, CAST(range AS INTEGER) AS step, filter_order[range] AS letter,
+         filter_order[1:range - 1] AS before
+  FROM (VALUES {_FILTER_ORDERS}) orders(filter_order), range(1, 6)
+),
+rows AS (
+  SELECT part, filter_order, step, letter,
+         sum(n) FILTER (translate(mask, before || letter, '') = mask) AS kept,
+         sum(n) FILTER (contains(mask, letter) AND translate(mask, before, '') = mask) AS removed,
+         sum(n) FILTER (contains(mask, letter) AND translate(mask, before, '') <> mask) AS redundant,
+         sum(n) FILTER (mask = letter) AS unique_fails,
+         sum(good) FILTER (contains(mask, letter) AND translate(mask, before, '') = mask) AS good_lost,
+         sum(toxic) FILTER (contains(mask, letter) AND translate(mask, before, '') = mask) AS toxic_lost
+  FROM counted, steps GROUP BY part, filter_order, step, letter
+)
+SELECT part, filter_order, step,
+       CAST(coalesce(kept, 0) AS BIGINT) AS kept, CAST(coalesce(removed, 0) AS BIGINT) AS removed,
+       CAST(coalesce(redundant, 0) AS BIGINT) AS redundant,
+       CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails,
+       CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost,
+       CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+       CAST(coalesce(sum(removed) OVER (PARTITION BY part, letter), 0) AS BIGINT) AS shapley
+FROM rows
+"""

@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hearthlog.llm import (
     byte_repeats,
+    decontamination,
+    filter_audit,
     html_extraction,
+    importance_sampling,
     jaccard_join,
     oracles,
     packing,
@@ -106,6 +109,35 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_importance_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    target = _read(spark, sf_dir, "benchmark").select("text")
+    return importance_sampling.resample(docs, target).select(
+        "doc_id", "n_features", "weight", "score", "rank"
+    )
+
+
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    items = _read(spark, sf_dir, "benchmark").select("item_id", "text")
+    names = F.array_sort(F.transform("items", lambda item: item.cast("string")))
+    return decontamination.contamination(docs, items).select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        "n_near",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join(names, ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    labels = _read(spark, sf_dir, "labels")
+    return filter_audit.filter_audit(docs, labels)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = [
         op1_topk_search,
@@ -118,6 +150,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_html_extraction,
         op9_jaccard_join,
         op10_quality_rules,
+        op11_importance_sampling,
+        op12_decontamination,
+        op13_filter_audit,
     ]
     return {query.__name__: query for query in own}
 
@@ -133,4 +168,7 @@ def oracle_sql() -> dict[str, str]:
         "op10_quality_rules": oracles.quality_rules(
             rules.MIN_GROUP, rules.REACH, rules.UPPER_SPREAD, rules.LOWER_SPREAD
         ),
+        "op11_importance_sampling": oracles.IMPORTANCE_SAMPLING,
+        "op12_decontamination": oracles.DECONTAMINATION,
+        "op13_filter_audit": oracles.FILTER_AUDIT,
     }

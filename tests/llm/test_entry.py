@@ -29,7 +29,7 @@ def test_query_equals_oracle(spark, oracle, name):
 def test_everything_is_registered():
     names = spark_entry.queries().keys()
     assert {n.split("_")[0] for n in names if n.startswith("op") and n[2].isdigit()} == {
-        f"op{i}" for i in range(1, 11)
+        f"op{i}" for i in range(1, 14)
     }
     assert "pipeline" in names and len(corpus_pipeline.STAGES) == 5
 
