@@ -8,7 +8,6 @@ written independently of the Spark code.
 from __future__ import annotations
 
 import sys
-import time
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from pathlib import Path
@@ -27,7 +26,7 @@ from hearthlog.operators.counts import (  # noqa: E402
     last_write_per_key,
     sink_key_collisions,
 )
-from hearthlog.operators.fault_lookup import lookup_faults  # noqa: E402
+from hearthlog.operators.fault_lookup import lookup_faults, lookup_faults_as_of  # noqa: E402
 from hearthlog.operators.newly_raised import is_bad_code, newly_raised_faults  # noqa: E402
 from hearthlog.operators.unstorable import storable_events, unstorable_events  # noqa: E402
 from hearthlog.plans import sql_views, views  # noqa: E402
@@ -35,19 +34,26 @@ from hearthlog.plans.daily_counts import (  # noqa: E402
     daily_operation_counts,
     daily_operation_counts_union,
 )
-from hearthlog.schemas import DEVICE_LOG, ERROR_CODE, MODE, RECIPE  # noqa: E402
+from hearthlog.schemas import (  # noqa: E402
+    DAILY_COUNT,
+    DEVICE_LOG,
+    ERROR_CODE,
+    MODE,
+    RECIPE,
+    STORED,
+)
 from hearthlog.sinks.analytic_table import analytic_rows  # noqa: E402
-from hearthlog.sinks.change_table import ChangeTable  # noqa: E402
+from hearthlog.sinks.change_table import UPDATE_BEFORE, ChangeTable  # noqa: E402
 from hearthlog.sources.device_log import decode_json, read_files  # noqa: E402
+from hearthlog.sources.fault_dictionary import dictionary_at  # noqa: E402
 from hearthlog.streaming.daily_counts import (  # noqa: E402
     configure_streaming,
     start_daily_counts,
 )
-from hearthlog.streaming.expiring_counts import start_expiring_daily_counts  # noqa: E402
-from hearthlog.streaming.partial_counts import start_partial_counts  # noqa: E402
+from hearthlog.streaming.partial_counts import Aside, start_partial_counts  # noqa: E402
+from hearthlog.streaming.retained import retained_counts  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
-STREAM_DEADLINE_S = 3600
 
 
 def _log(spark: SparkSession, sf_dir: str, renamed: bool = False) -> DataFrame:
@@ -221,7 +227,7 @@ def _stateless_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = ChangeTable(f"{work}/table", partial=True)
     start_partial_counts(
         fixtures.device_log(events),
-        lambda: fixtures.fault_dictionary(spark),
+        lambda at: fixtures.fault_dictionary(spark),
         table,
         f"{work}/checkpoint",
         until_caught_up=True,
@@ -235,7 +241,7 @@ def _last_write_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = _log(spark, sf_dir, renamed=True).select(*DEVICE_LOG.names)
     part = F.col("requestId").cast("bigint") % 4
     log.withColumn("part", part).repartition("part").write.partitionBy("part").parquet(f"{work}/log")
-    table = ChangeTable(f"{work}/table", partial=True)
+    table = ChangeTable(f"{work}/table", partial=True, epoch_batches=2)
     start_partial_counts(
         read_files(spark, f"{work}/log", max_files_per_trigger=1),
         fixtures.fault_dictionary(spark),
@@ -243,39 +249,162 @@ def _last_write_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"{work}/checkpoint",
         until_caught_up=True,
     ).awaitTermination()
+    table.close_epochs(spark)
     return table.settled(spark).drop("last_ts")
 
 
+#: When four batches begin, in hours from the first, and how long a count may be idle.
+BATCH_HOURS, TTL_HOURS = (0, 10, 40, 50), 24
+
+
+def _batch_time(batch_id: int) -> float:
+    """The second version of the dictionary begins between the second and the third batch."""
+    return fixtures.VERSION_CUT + 3600 * (BATCH_HOURS[batch_id] - 20)
+
+
+def _in_parts(
+    spark: SparkSession, sf_dir: str, work: str, start: Callable[[DataFrame], StreamingQuery]
+) -> None:
+    """Run a stream over a quarter of the log at a time, each of which is a micro-batch."""
+    log = _log(spark, sf_dir).select(*DEVICE_LOG.names)
+    for part in range(len(BATCH_HOURS)):
+        rows = log.where(F.col("requestId").cast("bigint") % len(BATCH_HOURS) == part)
+        rows.write.parquet(f"{work}/log/part={part}")
+        start(read_files(spark, f"{work}/log/*")).awaitTermination()
+
+
+def _partial_table(spark: SparkSession, sf_dir: str, dictionary=None, **options) -> ChangeTable:
+    """The counts of four micro-batches, of which the first two are a closed epoch."""
+    work = shared_dir(spark, "partial-counts")
+    table = ChangeTable(f"{work}/table", partial=True, epoch_batches=2, **options)
+    _in_parts(
+        spark,
+        sf_dir,
+        work,
+        lambda log: start_partial_counts(
+            log,
+            dictionary or fixtures.fault_dictionary(spark),
+            table,
+            f"{work}/checkpoint",
+            until_caught_up=True,
+            clock=_batch_time,
+        ),
+    )
+    return table
+
+
 def _expiring_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With a time to live that no count outlasts."""
+    table = _partial_table(spark, sf_dir, ttl_ms=51 * 3_600_000)
+    table.close_epochs(spark)
+    return table.current(spark)
+
+
+def _ttl_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = _partial_table(spark, sf_dir, ttl_ms=TTL_HOURS * 3_600_000)
+    table.close_epochs(spark)
+    return table.current(spark)
+
+
+def _changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _partial_table(spark, sf_dir).changes(spark)
+
+
+def _folded_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every group when its changes are taken back and made in turn."""
+    rows = _changes(spark, sf_dir)
+    signed = F.when(F.col("kind") == UPDATE_BEFORE, -F.col("cnt")).otherwise(F.col("cnt"))
+    group = [name for name in DAILY_COUNT.names if name != "cnt"]
+    return rows.groupBy(*group).agg(F.sum(signed).alias("cnt"))
+
+
+def _versioned_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    versions = fixtures.versioned_dictionary(spark)
+    table = _partial_table(spark, sf_dir, lambda at: dictionary_at(versions, at))
+    return table.groups(spark).drop("last_ts")
+
+
+def _lookup_as_of(spark: SparkSession, sf_dir: str, max_broadcast_bytes: int) -> DataFrame:
+    log = _log(spark, sf_dir).where(F.col("eventName") == ERROR_CODE)
+    codes = log.select(
+        "requestId",
+        "productKey",
+        "iotId",
+        F.lit(None).cast("string").alias("_id"),
+        "ts_ltz",
+        payload_value(F.col("eventValue"), ERROR_CODE).alias("new_code"),
+        payload_value(F.col("eventOriValue"), ERROR_CODE).alias("old_code"),
+    )
+    raised = newly_raised_faults(codes, "new_code", "old_code")
+    named = lookup_faults_as_of(
+        raised, fixtures.versioned_dictionary(spark), max_broadcast_bytes=max_broadcast_bytes
+    )
+    return named.select("requestId", "productKey", "fault_code", "fault_name")
+
+
+def _routed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events that a counting stream has set aside, in the one read that it makes."""
+    work = shared_dir(spark, "routed")
     events = _event_stream(spark, sf_dir)
-    work = shared_dir(spark, "expiring-counts")
-    sink = ChangeTable(f"{work}/table")
-    with _streaming_settings(spark):
-        query = start_expiring_daily_counts(
-            fixtures.device_log(events),
-            fixtures.fault_dictionary(spark),
-            sink,
-            f"{work}/checkpoint",
-            interval="1 second",
-        )
-        deadline = time.monotonic() + STREAM_DEADLINE_S
-        try:
-            # It would go on with empty batches that look for expired counts.
-            while query.isActive and not _caught_up(query):
-                if time.monotonic() > deadline:
-                    raise TimeoutError(f"the stream did not end within {STREAM_DEADLINE_S} s")
-                time.sleep(0.2)
-        finally:
-            query.stop()
-    if query.exception():
-        raise query.exception()
-    return sink.current(spark)
+    start_partial_counts(
+        fixtures.edge_log(events),
+        fixtures.fault_dictionary(spark),
+        ChangeTable(f"{work}/table", partial=True),
+        f"{work}/checkpoint",
+        until_caught_up=True,
+        aside=Aside(unstorable=f"{work}/unstorable"),
+    ).awaitTermination()
+    kept = spark.read.schema(DEVICE_LOG).json(f"{work}/unstorable")
+    return kept.select("requestId", "iotId", "gmtCreate", "eventName")
 
 
-def _caught_up(query: StreamingQuery) -> bool:
-    """Whether the first batch, which holds all files there are at the start, is done."""
-    progress = query.lastProgress
-    return progress is not None and progress.batchId >= 1
+def _with_state(
+    spark: SparkSession, log: DataFrame, work: str, base: DataFrame | None = None
+) -> StreamingQuery:
+    return start_daily_counts(
+        log,
+        fixtures.fault_dictionary(spark),
+        ChangeTable(f"{work}/table"),
+        f"{work}/checkpoint",
+        until_caught_up=True,
+        base=base,
+    )
+
+
+def _retained(spark: SparkSession, sf_dir: str) -> DataFrame:
+    work = shared_dir(spark, "retained")
+    with _streaming_settings(spark):
+        _in_parts(spark, sf_dir, work, lambda log: _with_state(spark, log, work))
+    return retained_counts(spark, f"{work}/checkpoint").drop("last_ts")
+
+
+def _rescaled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream with 4 state partitions, and one with 8 that goes on with its totals."""
+    work = shared_dir(spark, "rescaled")
+    log = _log(spark, sf_dir).select(*DEVICE_LOG.names)
+    second = F.col("requestId").cast("bigint") % 2 == 1
+    log.where(~second).write.parquet(f"{work}/first/log")
+    log.where(second).write.parquet(f"{work}/second/log")
+    partitions = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(partitions)
+    try:
+        with _streaming_settings(spark):
+            spark.conf.set(partitions, "4")
+            first = f"{work}/first"
+            _with_state(spark, read_files(spark, f"{first}/log"), first).awaitTermination()
+            retained_counts(spark, f"{first}/checkpoint").write.parquet(f"{work}/base")
+            spark.conf.set(partitions, "8")
+            base = spark.read.schema(STORED).parquet(f"{work}/base")
+            log = read_files(spark, f"{work}/second/log")
+            _with_state(spark, log, f"{work}/second", base).awaitTermination()
+    finally:
+        spark.conf.set(partitions, before)
+    # The first table's groups that did not change again hold what they held.
+    later = ChangeTable(f"{work}/second/table").groups(spark)
+    group = [name for name in DAILY_COUNT.names if name != "cnt"]
+    return (
+        base.unionByName(later).groupBy(*group).agg(F.max("cnt").alias("cnt"))
+    )
 
 
 def _renamed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -373,6 +502,15 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "daily_operation_counts_stream": _daily_stream,
         "daily_operation_counts_stateless_stream": _stateless_stream,
         "daily_operation_counts_expiring_stream": _expiring_stream,
+        "daily_operation_counts_ttl_stream": _ttl_stream,
+        "daily_operation_counts_changes_stream": _changes,
+        "daily_operation_counts_folded_changes_stream": _folded_changes,
+        "daily_operation_counts_versioned_dictionary_stream": _versioned_stream,
+        "daily_operation_counts_retained_state": _retained,
+        "daily_operation_counts_rescaled_stream": _rescaled,
+        "unstorable_events_routed_stream": _routed_stream,
+        "fault_lookup_as_of": lambda spark, sf_dir: _lookup_as_of(spark, sf_dir, 1 << 20),
+        "fault_lookup_as_of_shuffled": lambda spark, sf_dir: _lookup_as_of(spark, sf_dir, 0),
         "sink_key_collisions": _collisions,
         "last_write_per_key": _last_write,
         "last_write_per_key_stream": _last_write_stream,
@@ -475,13 +613,24 @@ device_log AS (
 
 
 def _oracle_ctes(
-    name: str = "'d' || user_id", duplicated: bool = False, edges: bool = False
+    name: str = "'d' || user_id",
+    duplicated: bool = False,
+    edges: bool = False,
+    version: str | None = None,
 ) -> str:
     """The device log, the dictionary, the three kinds of operation and their union."""
     log = _device_log_sql(name)
     if edges:
         log = log.replace("device_log AS", "plain_log AS", 1) + "," + _edge_log_sql()
     again = "UNION ALL SELECT * FROM entries WHERE fault % 2 = 0" if duplicated else ""
+    dictionary = "d.fault_code = 'E' || fault_number AND d.smart_product_code = \"productKey\""
+    if version:
+        # Whether the second version holds: it renames every third fault, ends every fourth.
+        dictionary += f" AND NOT ({version} AND CAST(fault_number AS INTEGER) % 4 = 0)"
+        newer = f"{version} AND CAST(fault_number AS INTEGER) % 3 = 0"
+        fault_name = f"CASE WHEN {newer} THEN 'newer ' || d.fault_name ELSE d.fault_name END"
+    else:
+        fault_name = "d.fault_name"
     return f"""
 WITH {log},
 entries AS (
@@ -523,9 +672,8 @@ raised AS (
     AND (greatest(old_code, 0) >> bit.range) & 1 = 0
 ),
 named AS (
-  SELECT raised.*, d.fault_code, d.fault_name
-  FROM raised LEFT JOIN fault_dictionary d
-    ON d.fault_code = 'E' || fault_number AND d.smart_product_code = "productKey"
+  SELECT raised.*, d.fault_code, {fault_name} AS fault_name
+  FROM raised LEFT JOIN fault_dictionary d ON {dictionary}
   WHERE d.fault_type_code IS NOT NULL
 ),
 fault_events AS (
@@ -566,6 +714,43 @@ _DAILY_SQL = """
 SELECT ds, "productKey", "iotId", "deviceName", "eventName", "optId", "optName", cnt FROM daily
 """
 
+_GROUP = 'ds, "productKey", "iotId", "deviceName", "eventName", "optId", "optName"'
+
+#: Every group's counts by quarter of the log, whose number is written behind the device's name.
+_QUARTERS = f"""
+, quarters AS (
+  SELECT * REPLACE (split_part("deviceName", '#', 1) AS "deviceName"),
+         CAST(split_part("deviceName", '#', 2) AS INTEGER) AS batch
+  FROM daily
+),
+running AS (
+  SELECT *, CAST(sum(cnt) OVER in_turn AS BIGINT) AS total,
+         CAST(sum(cnt) OVER in_turn - cnt AS BIGINT) AS before,
+         {list(BATCH_HOURS)}[batch + 1] AS hour
+  FROM quarters
+  WINDOW in_turn AS (PARTITION BY {_GROUP} ORDER BY batch)
+)
+"""
+
+_TTL_SQL = f"""
+, gaps AS (
+  SELECT *, hour - lag(hour) OVER (PARTITION BY {_GROUP} ORDER BY batch) >= {TTL_HOURS} AS idle
+  FROM running
+),
+started AS (
+  SELECT *, coalesce(max(batch) FILTER (idle) OVER (PARTITION BY {_GROUP}), 0) AS since FROM gaps
+)
+SELECT {_GROUP}, CAST(sum(cnt) AS BIGINT) AS cnt FROM started WHERE batch >= since GROUP BY ALL
+"""
+
+_CHANGES_SQL = f"""
+SELECT CAST(batch AS BIGINT) AS batch_id, '+I' AS kind, {_GROUP}, total AS cnt FROM running WHERE before = 0
+UNION ALL
+SELECT batch, '-U', {_GROUP}, before FROM running WHERE before > 0
+UNION ALL
+SELECT batch, '+U', {_GROUP}, total FROM running WHERE before > 0
+"""
+
 _PAYLOAD_SQL = 'SELECT "requestId", error_code, previous_code, mode, recipe FROM payloads'
 
 
@@ -578,6 +763,18 @@ def core_oracle_sql() -> dict[str, str]:
     edges = _oracle_ctes(edges=True)
     renamed = _oracle_ctes("'d' || user_id || '-' || (event_id % 2)")
     daily = ctes + _DAILY_SQL
+    quarters = _oracle_ctes("'d' || user_id || '#' || (event_id % 4)")
+    as_of = (
+        _oracle_ctes(version=f'"gmtCreate" >= {fixtures.VERSION_CUT * 1000}')
+        + 'SELECT "requestId", "productKey", fault_code, fault_name FROM named'
+    )
+    unstorable = (
+        edges
+        + f"""
+SELECT "requestId", "iotId", "gmtCreate", "eventName" FROM device_log
+WHERE "eventName" IN ('ErrorCode', 'StOvMode', 'LStOvMode', 'RStOvMode', 'MultiStageName')
+  AND NOT {_STORABLE}"""
+    )
     last_write = (
         renamed
         + """
@@ -625,6 +822,18 @@ SELECT count(*) AS bad_error_codes FROM codes WHERE new_code IS NULL OR old_code
         "daily_operation_counts_stream": daily,
         "daily_operation_counts_stateless_stream": daily,
         "daily_operation_counts_expiring_stream": daily,
+        "daily_operation_counts_ttl_stream": quarters + _QUARTERS + _TTL_SQL,
+        "daily_operation_counts_changes_stream": quarters + _QUARTERS + _CHANGES_SQL,
+        "daily_operation_counts_folded_changes_stream": daily,
+        "daily_operation_counts_versioned_dictionary_stream": _oracle_ctes(
+            version='CAST("requestId" AS BIGINT) % 4 >= 2'
+        )
+        + _DAILY_SQL,
+        "daily_operation_counts_retained_state": daily,
+        "daily_operation_counts_rescaled_stream": daily,
+        "unstorable_events_routed_stream": unstorable,
+        "fault_lookup_as_of": as_of,
+        "fault_lookup_as_of_shuffled": as_of,
         "sink_key_collisions": renamed
         + """
 SELECT ds, "iotId", "eventName", "optId", count(*) AS groups,
@@ -647,11 +856,7 @@ FROM device_log""",
         "bad_error_codes_edges": edges
         + """
 SELECT count(*) AS bad_error_codes FROM codes WHERE new_code IS NULL OR old_code IS NULL""",
-        "unstorable_events": edges
-        + f"""
-SELECT "requestId", "iotId", "gmtCreate", "eventName" FROM device_log
-WHERE "eventName" IN ('ErrorCode', 'StOvMode', 'LStOvMode', 'RStOvMode', 'MultiStageName')
-  AND NOT {_STORABLE}""",
+        "unstorable_events": unstorable,
         "daily_operation_counts_edges": edges + _DAILY_SQL,
         "daily_operation_counts_union_edges": edges + _DAILY_SQL,
     }

@@ -73,6 +73,28 @@ def fault_dictionary(spark: SparkSession) -> DataFrame:
     )
 
 
+# Fixed value: when the second version of the dictionary begins, in seconds since 1970.
+VERSION_CUT = 1_705_276_800
+
+
+def versioned_dictionary(spark: SparkSession) -> DataFrame:
+    """``fault_dictionary`` from the beginning, and since VERSION_CUT a version of some entries.
+
+    Every third fault has another name then, and every fourth is no longer known.
+    """
+    first = fault_dictionary(spark)
+    number = F.substring("fault_code", 2, 2).cast("int")
+    second = first.where((number % 3 == 0) | (number % 4 == 0)).withColumns(
+        {
+            "fault_type_code": F.when(number % 4 != 0, F.col("fault_type_code")),
+            "fault_name": F.concat(F.lit("newer "), F.col("fault_name")),
+        }
+    )
+    return first.withColumn("valid_from", F.lit(None).cast("timestamp")).unionByName(
+        second.withColumn("valid_from", F.timestamp_seconds(F.lit(VERSION_CUT)))
+    )
+
+
 # Codes (new, previous) that the plain log does not have. An event's
 # kind of edge is chosen by its id.
 EDGE_STEP = 7

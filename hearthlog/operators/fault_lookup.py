@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from hearthlog.config import MAX_BROADCAST_BYTES, STREAM_SALTS
+from hearthlog.sources.fault_dictionary import with_validity
 
 Normalizer = Callable[[Column], Column]
 
@@ -23,6 +24,7 @@ def known_faults(dictionary: DataFrame, normalize: Normalizer | None = None) ->
         (normalize(product) if normalize else product).alias("_product"),
         F.col("fault_code").alias("_code"),
         F.col("fault_name").alias("_name"),
+        *[name for name in ("_from", "_to") if name in dictionary.columns],
     )
 
 
@@ -106,3 +108,28 @@ def lookup_faults(
         F.col("_code").alias("fault_code"),
         F.col("_name").alias("fault_name"),
     )
+
+
+def lookup_faults_as_of(
+    faults: DataFrame,
+    versions: DataFrame,
+    at: str = "ts_ltz",
+    number: str = "fault_number",
+    broadcast: bool | None = None,
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
+) -> DataFrame:
+    """``lookup_faults`` in the dictionary as it was at each fault's own time ``at``.
+
+    For logs that are counted after the fact: whatever the dictionary says today, a fault
+    gets the name that held when it came in. A fault without a time finds nothing.
+    """
+    held = with_validity(versions)
+    known = known_faults(held)
+    if broadcast is not False:
+        broadcast = fits_broadcast(known, max_broadcast_bytes)
+    time = F.unix_micros(at)
+    rows = faults.withColumn("_fault", fault_code(F.col(number)))
+    matched = match_faults(rows, known, "inner", broadcast)
+    return matched.where(
+        (time >= F.col("_from")) & (F.col("_to").isNull() | (time < F.col("_to")))
+    ).select(*faults.columns, F.col("_code").alias("fault_code"), F.col("_name").alias("fault_name"))

@@ -16,11 +16,15 @@ def is_storable() -> Column:
     return F.col("ts_ltz").isNotNull() & F.col("iotId").isNotNull()
 
 
+def is_counted() -> Column:
+    """Whether an event is of a kind that is counted."""
+    return F.col("eventName").isin([ERROR_CODE, *MODE_EVENTS, RECIPE])
+
+
 def storable_events(log: DataFrame) -> DataFrame:
     return log.where(is_storable())
 
 
 def unstorable_events(log: DataFrame) -> DataFrame:
     """The log rows that counting leaves out, to be kept and looked at."""
-    counted = F.col("eventName").isin([ERROR_CODE, *MODE_EVENTS, RECIPE])
-    return log.where(counted & ~is_storable()).select(*DEVICE_LOG.names)
+    return log.where(is_counted() & ~is_storable()).select(*DEVICE_LOG.names)

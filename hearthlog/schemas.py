@@ -17,6 +17,11 @@ FAULT_DICTIONARY = T.StructType(
     _strings("fault_type_code", "smart_product_code", "fault_code", "fault_name")
 )
 
+#: A dictionary that also tells since when an entry holds; one without a type ends it.
+VERSIONED_DICTIONARY = T.StructType(
+    [*FAULT_DICTIONARY.fields, T.StructField("valid_from", T.TimestampType())]
+)
+
 OPERATION_EVENT = T.StructType(
     _strings("productKey", "iotId", "deviceName")
     + [T.StructField("ts_ltz", T.TimestampType())]

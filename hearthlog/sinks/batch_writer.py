@@ -67,9 +67,8 @@ def upsert_batches(
         else:
             checked = checked.where(~has_null_key())
         if sink.settles:
-            # A batch that did not run again has nothing to report, and asking would wait.
-            ran = sink.write(checked, batch_id) is not False
-            on_metrics(batch_id, read_metrics(keys) if ran else {})
+            sink.write(checked, batch_id)
+            on_metrics(batch_id, read_metrics(keys))
             return
         overwritten = F.coalesce(F.sum("overwritten"), F.lit(0)).alias("overwritten")
         rows = last_write_per_key(checked).observe(stored, overwritten)

@@ -21,6 +21,7 @@ from hearthlog.sinks.batch_writer import (
 )
 from hearthlog.operators.unstorable import unstorable_events
 from hearthlog.sources.device_log import bad_messages
+from hearthlog.streaming.retained import with_base
 
 log = logging.getLogger(__name__)
 
@@ -119,13 +120,18 @@ def start_daily_counts(
     on_metrics=log_metrics,
     name: str | None = None,
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
+    base: DataFrame | None = None,
 ) -> StreamingQuery:
     """Start counting ``events`` and upserting every changed count.
 
-    The state holds every count for good. There is no watermark: no event is too late, and a count is never lowered. Faults
-    are looked up once, when their micro-batch runs; later dictionary changes leave past
-    counts alone. Absolute counts and keyed upserts make a replayed batch harmless.
-    ``until_caught_up`` stops after the input present at the start.
+    The state holds every count for good. There is no watermark: no event is too late, and
+    a count is never lowered. Faults are looked up once, when their micro-batch runs; later
+    dictionary changes leave past counts alone. Absolute counts and keyed upserts make a
+    replayed batch harmless. ``until_caught_up`` stops after the input present at the start.
+
+    ``base`` holds the totals of a stream that this one goes on with (``retained_counts``,
+    written to files). That is how the number of state partitions can change: a new
+    checkpoint, with the old one's totals and offsets.
     """
     broadcast, before = dictionary_strategy(dictionary, broadcast, max_broadcast_bytes)
     counts = daily_operation_counts(
@@ -136,14 +142,19 @@ def start_daily_counts(
         observation=METRICS,
         normalize=normalize,
     )
+    write = (
+        upsert_batches(sink, null_keys, on_metrics, before)
+        if sink.keyed
+        else append_batches(sink, before)
+    )
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        write(batch if base is None else with_base(batch, base), batch_id)
+
     writer = (
         counts.writeStream.outputMode("update")
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(
-            upsert_batches(sink, null_keys, on_metrics, before)
-            if sink.keyed
-            else append_batches(sink, before)
-        )
+        .foreachBatch(process)
     )
     if name:
         writer = writer.queryName(name)

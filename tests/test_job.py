@@ -115,6 +115,29 @@ def test_console(session, tmp_path, inputs):
     assert sum(p.numInputRows for p in query.recentProgress) >= 2
 
 
+def test_console_prints_kinds_of_change(session, tmp_path, inputs, capsys):
+    arguments_ = arguments(tmp_path, "--sink", "console", "--until-caught-up")
+    main(arguments_, session)
+    inputs[0].select(*DEVICE_LOG.names).write.mode("append").parquet(f"{tmp_path}/log")
+    main(arguments_, session)
+    printed = capsys.readouterr().out
+    assert printed.count("|+I ") == 2 and printed.count("|-U ") == printed.count("|+U ") == 2
+
+
+def test_a_versioned_dictionary_and_exported_offsets(session, tmp_path, inputs):
+    log, dictionary = inputs
+    old = dictionary.withColumn("valid_from", F.lit(None).cast("timestamp"))
+    new = dictionary.withColumn("fault_name", F.lit("now")).withColumn("valid_from", F.lit("2020-01-01").cast("timestamp"))
+    later = dictionary.withColumn("fault_name", F.lit("later")).withColumn("valid_from", F.lit("2999-01-01").cast("timestamp"))
+    old.unionByName(new).unionByName(later).write.mode("overwrite").parquet(f"{tmp_path}/dictionary")
+    options = ["--sink-path", f"{tmp_path}/table", "--dictionary-versioned", "--until-caught-up"]
+    main(arguments(tmp_path, *options, "--export-offsets", f"{tmp_path}/offsets"), session)
+    table = ChangeTable(f"{tmp_path}/table", partial=True)
+    names = {r.optName for r in table.current(session).where("eventName = 'ErrorCode'").collect()}
+    assert names == {"now"}
+    main(arguments(tmp_path, "--sink-path", f"{tmp_path}/table", "--close-epochs"), session)
+
+
 def test_sinks_take_their_secrets_from_files(tmp_path):
     (tmp_path / "p.json").write_text(json.dumps({"user": "u", "password": "w"}))
     database = ["--sink-url", "jdbc:x", "--sink-table", "t", "--staging-table", "s"]
@@ -154,7 +177,9 @@ def test_kafka_needs_its_connector(spark):
         ["--kafka-servers", "h", "--kafka-topic", "t", "--dictionary-path", "d", "--sink", "batch",
          "--sink-path", "p", "--starting-offsets", "latest"],
         ["--log-path", "l", "--dictionary-path", "d", "--checkpoint", "c", "--sink", "console",
-         "--dictionary-fresh"],
+         "--keep-state"],
+        ["--log-path", "l", "--dictionary-path", "d", "--checkpoint", "c", "--sink-path", "p",
+         "--starting-offsets", "earliest", "--starting-offsets-from", "o"],
     ],
 )
 def test_incomplete_arguments(argv):

@@ -1,19 +1,25 @@
 from __future__ import annotations
 
 import json
+import random
 from itertools import product
 
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from hearthlog.operators.fault_lookup import known_faults, lookup_faults_as_of
 from hearthlog.plans.daily_counts import daily_operation_counts
 from hearthlog.schemas import DAILY_COUNT, DEVICE_LOG
 from hearthlog.sinks.analytic_table import AnalyticTable
 from hearthlog.sinks.change_table import ChangeTable
 from hearthlog.sinks.jdbc_upsert import JdbcUpsert, _not_before, merge_statement
 from hearthlog.sources.device_log import bad_messages, decode_json, good_rows, kafka_options
-from hearthlog.sources.fault_dictionary import read_dictionary_files
+from hearthlog.sources.fault_dictionary import (
+    dictionary_at,
+    range_predicates,
+    read_dictionary_files,
+)
 
 
 def messages_of(spark, *texts):
@@ -125,22 +131,149 @@ def test_change_table(spark, tmp_path):
 
 
 @pytest.mark.parametrize("partial", [True, False])
-def test_runs_are_merged(spark, tmp_path, partial):
-    table = ChangeTable(f"{tmp_path}/t", partial, fan=3)
+def test_closed_epochs(spark, tmp_path, partial):
+    table = ChangeTable(f"{tmp_path}/t", partial, epoch_batches=4)
     days = ["2024-01-01", "2024-01-02"]
-    for batch in range(50):
+
+    def write(batch):
         rows = [(days[batch % 2], *ONE[1:7], 1 if partial else batch)]
         table.write(timed(counts_of(spark, *rows), batch), batch)
-    table.write(timed(counts_of(spark, (days[0], *ONE[1:7], 500)), 99), 30)
-    want = [25, 25] if partial else [48, 49]
-    assert sorted(r.cnt for r in table.current(spark).collect()) == want
-    runs = list((tmp_path / "t").glob("run=*"))
-    files = list((tmp_path / "t").glob("run=*/ds=*/*.parquet"))
-    # Batch numbers below 50 have four digits to the base 3, each at most 2.
-    assert len(runs) <= 8 and len(files) <= 2 * len(runs)
+
+    def counts():
+        return sorted(r.cnt for r in table.current(spark).collect())
+
+    assert table.close_epochs(spark) == []
+    for batch in range(10):
+        write(batch)
+    want = [5, 5] if partial else [8, 9]
+    assert counts() == want
+    assert table.close_epochs(spark) == [0, 1]
+    assert counts() == want
+    assert table.close_epochs(spark) == [] and counts() == want
+    # The newest batch may come again; its epoch is open.
+    write(9)
+    assert counts() == want
+    assert not list((tmp_path / "t" / "open" / "epoch=0").glob("batch_id=*"))
+    for batch in range(10, 13):
+        write(batch)
+    assert table.close_epochs(spark) == [2]
+    assert counts() == ([6, 7] if partial else [11, 12])
+    closed = spark.read.parquet(f"{tmp_path}/t/closed")
+    assert closed.groupBy("epoch").count().where("count <> 2").count() == 0
     day = table.current(spark).where(F.col("ds") == days[0])
     plan = day._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(ds" in plan
+    assert "PushedFilters: [IsNotNull(ds), EqualTo(ds" in plan
+
+
+def test_an_epoch_that_was_closed_but_not_emptied(spark, tmp_path, monkeypatch):
+    """A job that ends between the two steps, and is repeated."""
+    table = ChangeTable(f"{tmp_path}/t", partial=True, epoch_batches=2)
+    for batch in range(5):
+        table.write(timed(counts_of(spark, ONE), batch), batch)
+    stop = RuntimeError("the job was ended")
+
+    def fails(*args):
+        raise stop
+
+    with monkeypatch.context() as patch:
+        patch.setattr(spark, "createDataFrame", fails)
+        with pytest.raises(RuntimeError):
+            table.close_epochs(spark)
+    assert [r.cnt for r in table.current(spark).collect()] == [5]
+    assert table.close_epochs(spark) == [0, 1]
+    assert [r.cnt for r in table.current(spark).collect()] == [5]
+
+
+def by_hand(batches, ttl):
+    """Counts per group when an idle time of ``ttl`` forgets; batches: (time, {group: cnt})."""
+    totals, seen = {}, {}
+    for at, counts in batches:
+        for group, cnt in counts.items():
+            if group in seen and at - seen[group] >= ttl:
+                totals[group] = 0
+            totals[group] = totals.get(group, 0) + cnt
+            seen[group] = at
+    return totals
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_time_to_live_does_not_depend_on_epochs(spark, tmp_path, seed):
+    random.seed(seed)
+    table = ChangeTable(f"{tmp_path}/t", partial=True, ttl_ms=10_000, epoch_batches=3)
+    at, batches = 0, []
+    for batch in range(11):
+        at += random.choice([1, 4, 5, 6, 10])
+        batches.append((at, {f"iot{i}": random.randrange(1, 4) for i in range(6) if random.random() < 0.5}))
+        rows = [(*ONE[:2], iot, *ONE[3:7], cnt) for iot, cnt in batches[-1][1].items()]
+        if rows:
+            table.write(counts_of(spark, *rows), batch, at)
+        if batch == 7:
+            table.close_epochs(spark)
+    want = by_hand(batches, 10)
+    assert {r.iotId: r.cnt for r in table.current(spark).collect()} == want
+    last = table.changes(spark).orderBy("batch_id").where("kind <> '-U'").collect()
+    assert {r.iotId: r.cnt for r in last} == {
+        iot: cnt for iot, cnt in want.items() if iot in {r.iotId for r in last}
+    }
+    table.close_epochs(spark)
+    assert {r.iotId: r.cnt for r in table.current(spark).collect()} == want
+
+
+def test_changes_fold_to_counts(spark, tmp_path):
+    table = ChangeTable(f"{tmp_path}/t", partial=True)
+    for batch, cnt in enumerate([2, 3, 1]):
+        table.write(counts_of(spark, (*ONE[:7], cnt)), batch)
+    rows = table.changes(spark).orderBy("batch_id", F.desc("kind")).collect()
+    assert [(r.batch_id, r.kind, r.cnt) for r in rows] == [
+        (0, "+I", 2), (1, "-U", 2), (1, "+U", 5), (2, "-U", 5), (2, "+U", 6)
+    ]
+    absolute = ChangeTable(f"{tmp_path}/a")
+    for batch, cnt in enumerate([2, 5]):
+        absolute.write(counts_of(spark, (*ONE[:7], cnt)), batch)
+    rows = absolute.changes(spark, 1).collect()
+    assert sorted((r.kind, r.cnt) for r in rows) == [("+U", 5), ("-U", 2)]
+    with pytest.raises(ValueError, match="adds batches up"):
+        ChangeTable("unused", ttl_ms=1)
+
+
+def test_versions_of_a_dictionary(spark):
+    versions = spark.createDataFrame(
+        [
+            ("T", "P1", "E1", "first", None),
+            ("T", "P1", "E1", "second", 100),
+            ("T", "P1", "E1", "also second", 100),
+            (None, "P1", "E1", "gone", 200),
+            ("T", "P2", "E1", "late", 150),
+        ],
+        "fault_type_code string, smart_product_code string, fault_code string, fault_name string, s int",
+    ).select("*", F.timestamp_seconds("s").alias("valid_from"))
+
+    def named(at):
+        rows = known_faults(dictionary_at(versions, at)).collect()
+        return sorted(r["_name"] for r in rows)
+
+    assert named(-1e9) == ["first"] and named(99.9) == ["first"]
+    assert named(100) == ["also second", "second"]
+    assert named(199) == ["also second", "late", "second"]
+    assert named(200) == ["late"]
+    faults = spark.createDataFrame(
+        [(1, "P1", "1", 5), (2, "P1", "1", 100), (3, "P1", "1", 250), (4, "P2", "1", 149), (5, "P1", "1", None)],
+        "requestId int, productKey string, fault_number string, s int",
+    ).select("*", F.timestamp_seconds("s").alias("ts_ltz"))
+    rows = lookup_faults_as_of(faults, versions).collect()
+    assert sorted((r.requestId, r.fault_name) for r in rows) == [
+        (1, "first"), (2, "also second"), (2, "second")
+    ]
+
+
+def test_ranges_of_a_table():
+    assert range_predicates("c", []) == range_predicates("c", ["a"]) == ["1 = 1"]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t AS SELECT * FROM (VALUES ('a'), ('b'), ('c''d'), ('e'), (NULL)) v(c)")
+    conditions = range_predicates("c", ["a", "b", "b", "c'd"])
+    assert len(conditions) == 3
+    counts = [con.execute(f"SELECT count(*) FROM t WHERE {w}").fetchone()[0] for w in conditions]
+    assert counts == [2, 1, 2]
 
 
 def test_merge_statements():

@@ -20,8 +20,9 @@ from hearthlog.streaming.daily_counts import (
     start_daily_counts,
     start_unstorable,
 )
-from hearthlog.streaming.expiring_counts import start_expiring_daily_counts
-from hearthlog.streaming.partial_counts import start_partial_counts
+from hearthlog.streaming.offsets import OffsetExport, exported_offsets
+from hearthlog.streaming.partial_counts import Aside, start_partial_counts
+from hearthlog.streaming.retained import retained_counts
 
 EVENTS = "/root/testdata/sf0.001/events.parquet"
 
@@ -106,13 +107,12 @@ class FailsOnce:
     def __init__(self, table):
         self.table, self.failed, self.batches = table, False, []
 
-    def write(self, counts, batch_id):
-        done = self.table.write(counts, batch_id)
+    def write(self, counts, batch_id, *at):
+        self.table.write(counts, batch_id, *at)
         self.batches.append(batch_id)
         if batch_id == 2 and not self.failed:
             self.failed = True
             raise RuntimeError("lost the driver")
-        return done
 
 
 def test_replayed_batch_changes_nothing(spark, tmp_path, split_log):
@@ -205,18 +205,6 @@ def test_partial_counts_equal_batch(spark, tmp_path, split_log, max_broadcast_by
     assert bag(table.current(spark)) == bag(twice)
 
 
-def test_a_batch_replayed_after_its_run_was_merged(spark, tmp_path, split_log):
-    dictionary = fixtures.fault_dictionary(spark)
-    sink = FailsOnce(ChangeTable(f"{tmp_path}/table", partial=True, fan=3))
-    query, table = start_partial(spark, tmp_path, dictionary, sink)
-    with pytest.raises(StreamingQueryException):
-        query.awaitTermination(120)
-    metrics = {}
-    run(start_partial(spark, tmp_path, dictionary, sink, on_metrics=metrics.__setitem__)[0])
-    assert metrics[2] == {} and metrics[3]["null_key_rows"] == 0
-    assert bag(table.current(spark)) == bag(daily_operation_counts(split_log, dictionary))
-
-
 def test_replayed_partial_counts_do_not_add(spark, tmp_path, split_log):
     dictionary = fixtures.fault_dictionary(spark)
     sink = FailsOnce(ChangeTable(f"{tmp_path}/table", partial=True))
@@ -274,47 +262,6 @@ def test_rocksdb_state_gives_the_same_counts(spark, tmp_path, split_log, rocksdb
     assert bag(table.current(spark)) == bag(daily_operation_counts(split_log, dictionary))
 
 
-def run_expiring(spark, tmp_path, dictionary, rows, **options):
-    """Run until ``rows`` events were read. (It goes on with empty batches that expire
-    state, so there is no moment at which all input is processed.)"""
-    table = ChangeTable(f"{tmp_path}/table")
-    query = start_expiring_daily_counts(
-        stream_of(spark, tmp_path),
-        dictionary,
-        table,
-        f"{tmp_path}/checkpoint",
-        interval="1 second",
-        **options,
-    )
-    deadline = time.time() + 60
-    try:
-        while sum(p.numInputRows for p in query.recentProgress) < rows:
-            assert query.isActive, query.exception()
-            assert time.time() < deadline
-            time.sleep(0.2)
-    finally:
-        query.stop()
-    return table
-
-
-def test_expiring_counts_equal_batch_before_expiry(spark, tmp_path, split_log, rocksdb):
-    dictionary = fixtures.fault_dictionary(spark)
-    table = run_expiring(spark, tmp_path, dictionary, split_log.count())
-    assert bag(table.current(spark)) == bag(daily_operation_counts(split_log, dictionary))
-
-
-@pytest.mark.parametrize("ttl_ms, expected", [(3_600_000, 3), (4_000, 1)])
-def test_idle_counts_expire(spark, tmp_path, log_of, dictionary_of, rocksdb, ttl_ms, expected):
-    dictionary = dictionary_of(("T", "P1", "E1", "one"))
-    add_rows(log_of(FAULT, FAULT), tmp_path / "log", 0)
-    table = run_expiring(spark, tmp_path, dictionary, 2, ttl_ms=ttl_ms)
-    assert [r.cnt for r in table.current(spark).collect()] == [2]
-    time.sleep(8)
-    add_rows(log_of(FAULT), tmp_path / "log", 1)
-    table = run_expiring(spark, tmp_path, dictionary, 1, ttl_ms=ttl_ms)
-    assert [r.cnt for r in table.current(spark).collect()] == [expected]
-
-
 def test_json_messages_as_a_stream(spark, tmp_path, log_of, dictionary_of):
     log = log_of(MODE, FAULT, FAULT)
     messages = log.select(F.to_json(F.struct(*DEVICE_LOG.names)).alias("value"))
@@ -330,7 +277,7 @@ def test_json_messages_as_a_stream(spark, tmp_path, log_of, dictionary_of):
     )
     run(query)
     assert bag(table.current(spark)) == bag(daily_operation_counts(log, dictionary))
-    assert [p.name for p in Path(f"{tmp_path}/table").glob("run=*")] == ["run=000000000000-000000000000"]
+    assert [p.name for p in Path(f"{tmp_path}/table/open/epoch=0").glob("batch*")] == ["batch_id=0"]
 
 
 def test_a_fresh_dictionary_applies_from_the_next_batch(spark, tmp_path, log_of, dictionary_of):
@@ -341,7 +288,7 @@ def test_a_fresh_dictionary_applies_from_the_next_batch(spark, tmp_path, log_of,
     add_rows(log_of(FAULT), tmp_path / "log", 0)
     query = start_partial_counts(
         stream_of(spark, tmp_path),
-        lambda: read_dictionary_files(spark, folder),
+        lambda at: read_dictionary_files(spark, folder),
         table,
         f"{tmp_path}/checkpoint",
         interval="0 seconds",
@@ -406,3 +353,162 @@ def test_a_query_beside_that_fails_ends_the_job(spark, tmp_path, log_of, diction
     with pytest.raises(StreamingQueryException, match="quarantine is lost"):
         keep_counting(begin, [failing])
     assert not main[0].isActive
+
+
+@pytest.mark.parametrize("ttl_ms, expected", [(3_600_001, 3), (3_600_000, 1), (None, 3)])
+def test_idle_counts_expire(spark, tmp_path, log_of, dictionary_of, ttl_ms, expected):
+    add_rows(log_of(FAULT, FAULT), tmp_path / "log", 0)
+    add_rows(log_of(FAULT), tmp_path / "log", 1)
+    table = ChangeTable(f"{tmp_path}/table", partial=True, ttl_ms=ttl_ms)
+    run(
+        start_partial_counts(
+            stream_of(spark, tmp_path), dictionary_of(("T", "P1", "E1", "one")), table,
+            f"{tmp_path}/checkpoint", until_caught_up=True, clock=lambda batch: 3600.0 * batch,
+        )
+    )
+    assert [r.cnt for r in table.current(spark).collect()] == [expected]
+    plan = table.current(spark)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_one_read_gives_counts_and_what_goes_aside(spark, tmp_path, log_of, dictionary_of):
+    late = {**MODE, "gmtCreate": 1667491200000000}
+    log = log_of(MODE, FAULT, late, {**MODE, "iotId": None}, {"eventName": "Temp", "iotId": None})
+    messages = log.select(F.to_json(F.struct(*DEVICE_LOG.names)).alias("value"))
+    bad = spark.createDataFrame([("{oops",)], "value string")
+    messages.unionAll(bad).coalesce(1).write.text(f"{tmp_path}/log/part=0")
+    messages.coalesce(1).write.text(f"{tmp_path}/log/part=1")
+    aside = Aside(f"{tmp_path}/unstorable", f"{tmp_path}/bad")
+    sink = FailsOnce(ChangeTable(f"{tmp_path}/table", partial=True))
+    sink.failed = True
+    decoded = read_files(
+        spark, f"{tmp_path}/log/*", "json", max_files_per_trigger=1, quarantine=True
+    )
+    query = start_partial_counts(
+        decoded, dictionary_of(("T", "P1", "E1", "one")), sink, f"{tmp_path}/checkpoint",
+        until_caught_up=True, aside=aside,
+    )
+    run(query)
+    assert sum(p.numInputRows for p in query.recentProgress) == 11
+    assert sorted(r.cnt for r in sink.table.current(spark).collect()) == [2, 2]
+    kept = spark.read.json(f"{tmp_path}/unstorable").collect()
+    assert sorted((r.batch_id, r.gmtCreate) for r in kept) == [
+        (batch, ms) for batch in (0, 1) for ms in (1667491200000, 1667491200000000)
+    ]
+    assert [r.value for r in spark.read.text(f"{tmp_path}/bad").collect()] == ["{oops"]
+    # A replayed batch replaces what it had set aside.
+    aside.write(decoded_rows(spark, tmp_path, 1), 1)
+    assert spark.read.json(f"{tmp_path}/unstorable").count() == 4
+
+
+def decoded_rows(spark, tmp_path, part):
+    return read_files(
+        spark, f"{tmp_path}/log/part={part}", "json", streaming=False, quarantine=True
+    )
+
+
+class Collects:
+    """A sink that keeps what it is given."""
+
+    keyed, settles = True, False
+
+    def __init__(self):
+        self.batches = {}
+
+    def write(self, counts, batch_id):
+        self.batches[batch_id] = sorted((r.iotId, r.optId, r.cnt) for r in counts.collect())
+
+
+def test_another_sink_gets_the_totals_that_changed(spark, tmp_path, log_of, dictionary_of):
+    other = {**MODE, "iotId": "iot2"}
+    for part, rows in enumerate([(MODE, other), (MODE, MODE), (other, FAULT), (MODE,)]):
+        add_rows(log_of(*rows), tmp_path / "log", part)
+    sink = Collects()
+    table = ChangeTable(f"{tmp_path}/table", partial=True, epoch_batches=2)
+    run(
+        start_partial_counts(
+            stream_of(spark, tmp_path), dictionary_of(("T", "P1", "E1", "one")), table,
+            f"{tmp_path}/checkpoint", until_caught_up=True, forward=sink,
+            after_batch=lambda batch: table.close_epochs(spark) if batch == 2 else None,
+        )
+    )
+    assert sink.batches == {
+        0: [("iot1", "1", 1), ("iot2", "1", 1)],
+        1: [("iot1", "1", 3)],
+        2: [("iot1", "E1", 1), ("iot2", "1", 2)],
+        3: [("iot1", "1", 4)],
+    }
+    changes = table.changes(spark, 3).collect()
+    assert sorted((r.kind, r.cnt) for r in changes) == [("+U", 4), ("-U", 3)]
+
+
+def test_offsets_are_handed_over(spark, tmp_path, log_of, dictionary_of):
+    """A job that begins at the exported offsets counts what the first one has not."""
+    from steps_source import StepsSource
+
+    spark.dataSource.register(StepsSource)
+    assert exported_offsets(spark, f"{tmp_path}/offsets") is None
+
+    def source(until, **options):
+        return spark.readStream.format("steps").option("until", until).options(**options).load()
+
+    export = OffsetExport(spark, f"{tmp_path}/offsets")
+    spark.streams.addListener(export)
+    try:
+        for until in (30, 70):
+            query = (
+                source(until).writeStream.format("parquet").option("path", f"{tmp_path}/first")
+                .option("checkpointLocation", f"{tmp_path}/c1").trigger(availableNow=True).start()
+            )
+            export.follow(query)
+            run(query)
+        deadline = time.time() + 30
+        while exported_offsets(spark, f"{tmp_path}/offsets") != '{"steps": {"0": 70}}':
+            assert time.time() < deadline, exported_offsets(spark, f"{tmp_path}/offsets")
+            time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(export)
+    begin = exported_offsets(spark, f"{tmp_path}/offsets")
+    run(
+        source(100, startingOffsets=begin).writeStream.format("parquet")
+        .option("path", f"{tmp_path}/second").option("checkpointLocation", f"{tmp_path}/c2")
+        .trigger(availableNow=True).start()
+    )
+    first = {r.number for r in spark.read.parquet(f"{tmp_path}/first").collect()}
+    second = {r.number for r in spark.read.parquet(f"{tmp_path}/second").collect()}
+    assert first == set(range(70)) and second == set(range(70, 100))
+
+
+def test_totals_go_on_with_other_partitions(spark, tmp_path, log_of, dictionary_of, rocksdb):
+    """4 state partitions, then 8, without losing a count."""
+    dictionary = dictionary_of(("T", "P1", "E1", "one"))
+    devices = [{**MODE, "iotId": f"iot{i}"} for i in range(20)]
+    add_rows(log_of(*devices, *devices, FAULT), tmp_path / "a" / "log", 0)
+    add_rows(log_of(*devices[:5], {**MODE, "iotId": "new"}), tmp_path / "b" / "log", 0)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        run(start(spark, tmp_path / "a", dictionary)[0])
+        retained_counts(spark, f"{tmp_path}/a/checkpoint").write.parquet(f"{tmp_path}/base")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        base = spark.read.parquet(f"{tmp_path}/base")
+        query, table = start(spark, tmp_path / "b", dictionary, base=base)
+        run(query)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    states = [p.stateOperators[0].numShufflePartitions for p in query.recentProgress]
+    assert states and set(states) == {8}
+    assert base.groupBy().sum("cnt").first()[0] == 41
+    changed = {r.iotId: r.cnt for r in table.current(spark).collect()}
+    assert changed == {**{f"iot{i}": 3 for i in range(5)}, "new": 1}
+
+
+def test_state_of_another_query_is_not_taken_for_counts(spark, tmp_path, log_of, rocksdb):
+    add_rows(log_of(MODE), tmp_path / "log", 0)
+    run(
+        stream_of(spark, tmp_path).groupBy("iotId").count().writeStream.format("noop")
+        .outputMode("update").option("checkpointLocation", f"{tmp_path}/c")
+        .trigger(availableNow=True).start()
+    )
+    with pytest.raises(ValueError, match="does not hold the state of daily counts"):
+        retained_counts(spark, f"{tmp_path}/c")
