@@ -1,11 +1,10 @@
-"""Repeated byte strings by a radix sort that looks only as deep as the threshold.
+"""Repeated byte strings, grouped in passes that look ever deeper, down to the threshold.
 
-Every run of 200 bytes is to be sorted with its equals. The passes go by ever longer
-digits, the most significant first; a digit is the run of 96, then 160 bytes in a string
-that has the least hash, so neighbouring strings stand in one row, and strings whose digit
-nothing shares leave the sort unseen. What is left after the last pass, by all 200
-bytes, is sorted into groups of equals, and the groups of two or more are exactly the
-repeated strings.
+Every run of 200 bytes is to meet its equals. Suffixes are not put in order: as in a radix
+sort, passes by a digit send on only what shares its digit, but a digit is no prefix. It is
+the run of 96, then 160 bytes in a string that has the least hash, so neighbouring strings
+stand in one row, and strings whose digit nothing shares are left out unseen. What
+remains is grouped by all 200 bytes, and the groups of two or more are the repeated strings.
 
 A pass also settles whole rows: where two rows are equal from their first to their last
 byte, all their strings are repeated. After the first pass only rows that share a digit
@@ -14,7 +13,8 @@ finished then; the others wait with their text for the second pass.
 
 Rows that a task meets in many equal copies are sent once per chunk; a digit that stands
 in several different rows of a chunk is known to be shared, so its rows are dealt out by
-their content and only a probe goes to the digit's bucket.
+their content and only a probe goes to the digit's bucket. The rows of a digit that very
+many rows have are all dealt out by their content.
 
 Defined cases: a null text is an empty one; texts shorter than 200 bytes keep all; rows
 are told apart by ``doc_id`` and their text's hash, and repeated rows repeat each other; an
@@ -53,10 +53,13 @@ _FIELDS = [
     T.StructField("kept", T.BinaryType()),
 ]
 _SETTLED, _SHARED, _PROBE, _PASSING = 1, 2, 4, 8
+#: A digit of more rows than these is judged by its rows' contents; one text in so many is
+#: looked at to find such digits.
+HOT_ROWS, SAMPLE = 20_000, 16
 _ROWS = (
-    "bucket bigint, whole bigint, doc_id {key}, text_hash int, place bigint, flags int"
+    "bucket bigint, whole bigint, doc_id {key}, text_hash bigint, place bigint, flags int"
 )
-_VERDICTS = "doc_id {key}, text_hash int, place bigint, settled boolean, open boolean"
+_VERDICTS = "doc_id {key}, text_hash bigint, place bigint, settled boolean, open boolean"
 
 
 def _texts(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray]]:
@@ -79,15 +82,14 @@ def _chunk_rows(part: pa.RecordBatch, chunk) -> pa.RecordBatch:
     )
     again = np.ones(len(whole), bool)
     again[first] = False
-    # Different rows of one digit: known to be shared, dealt out by their content.
+    # Different rows of one digit: known to be shared, to be dealt out by their content.
     digit, kinds = np.unique(runs.bucket[first], return_counts=True)
     shared = (kinds >= 2)[np.searchsorted(digit, runs.bucket)]
     flags = np.where(copies[inverse] >= 2, _SETTLED, 0) | np.where(shared, _SHARED, 0)
     flags = np.where(again, _PASSING, flags)
-    bucket = np.where(shared, mix(runs.bucket ^ mix(whole)), runs.bucket)
     # Rows that only pass are dealt out evenly, however many equal ones there are.
     anywhere = mix(whole + np.arange(len(whole), dtype=np.uint64))
-    bucket = np.where(again, anywhere, bucket)
+    bucket = np.where(again, anywhere, runs.bucket)
     owner, start = chunk.whose(runs.first)
     place = window_counts.places(start, runs.counts)
     probes = digit[kinds >= 2]
@@ -105,6 +107,38 @@ def _chunk_rows(part: pa.RecordBatch, chunk) -> pa.RecordBatch:
     )
 
 
+def _dealt(rows: DataFrame, texts: DataFrame, key: str) -> DataFrame:
+    """``rows`` with the buckets in which they meet: their digits, or their contents.
+
+    A row whose digit is known to be shared is settled by its content alone, and open
+    anyhow. That holds for digits that a chunk has met in different rows, and for those
+    that too many rows have for one task, found from one text in ``SAMPLE``.
+    """
+    sample = texts.sample(fraction=1 / SAMPLE, seed=0)
+    seen = sample.mapInArrow(_first_rows, _ROWS.format(key=key))
+    hot = park(
+        seen.where(F.col("flags").bitwiseAND(_PASSING | _SHARED) == 0)
+        .groupBy("bucket")
+        .agg(F.count("*").alias("n"))
+        .where(F.col("n") * SAMPLE > HOT_ROWS)
+        .select("bucket"),
+        "hot-digits",
+    )
+    flags = F.col("flags")
+    if not hot.isEmpty():
+        passing = flags.bitwiseAND(_PASSING) != 0
+        rows = (
+            rows.join(hot.withColumn("__hot", ~F.isnull("bucket")), "bucket", "left")
+            .withColumn("__hot", F.coalesce("__hot", F.lit(False)) & ~passing)
+            .where(~F.col("__hot") | (flags != _PROBE))
+            .withColumn("flags", F.when(F.col("__hot"), flags.bitwiseOR(_SHARED)).otherwise(flags))
+            .select("bucket", "whole", "doc_id", "text_hash", "place", "flags")
+        )
+    known = flags.bitwiseAND(_SHARED | _PASSING) == _SHARED
+    by_content = F.when(known, F.xxhash64("bucket", "whole")).otherwise(F.col("bucket"))
+    return rows.withColumn("bucket", by_content)
+
+
 def _judge_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows that are settled, and rows that are open: one of each content in a shared digit."""
     for table in whole_groups(batches, "bucket"):
@@ -239,8 +273,9 @@ def _finisher(keep: bool):
 
 
 def _gathered(rows: DataFrame, name: str, *columns: str) -> DataFrame:
+    # A set: what equal rows are told is the same, however many rows there are.
     return rows.groupBy(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__own")).agg(
-        F.collect_list(F.struct(*columns)).alias(name)
+        F.collect_set(F.struct(*columns)).alias(name)
     )
 
 
@@ -252,10 +287,11 @@ def without_repeats(docs: DataFrame, keep_bytes: bool = True) -> DataFrame:
     """
     docs = docs.drop(*RESULT)
     key = docs.schema["doc_id"].dataType.simpleString()
-    rows = docs.select("doc_id", F.hash("text").alias("text_hash"), "text")
+    rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     first = rows.mapInArrow(_first_rows, _ROWS.format(key=key))
     verdicts = (
-        first.repartition("bucket")
+        _dealt(first, rows, key)
+        .repartition("bucket")
         .sortWithinPartitions("bucket")
         .mapInArrow(_judge_rows, _VERDICTS.format(key=key))
     )
@@ -268,7 +304,7 @@ def without_repeats(docs: DataFrame, keep_bytes: bool = True) -> DataFrame:
     )
     base = [docs.schema[name] for name in rest]
     text = T.StructField("text", docs.schema["text"].dataType)
-    hashed = T.StructField("__hash", T.IntegerType())
+    hashed = T.StructField("__hash", T.LongType())
     waits = [
         T.StructField("__zipped", T.BinaryType()),
         T.StructField("__waiting", T.BooleanType()),

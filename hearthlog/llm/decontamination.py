@@ -29,7 +29,6 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable, Iterator
-from functools import reduce
 from hashlib import blake2b
 
 import numpy as np

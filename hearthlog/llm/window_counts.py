@@ -26,9 +26,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 #: ``place`` is a window's position in its document times 256, plus the number of windows;
 #: bit i of ``twice`` marks window i as repeated already. Rows without hashes are repeated
 #: throughout and only pass.
-COLUMNS = "bucket bigint, doc_id {key}, text_hash int, place bigint, twice bigint, hashes binary"
-_WINDOWS = "bucket bigint, doc_id {key}, text_hash int, start bigint, path bigint, times bigint"
-FOUND = "doc_id {key}, text_hash int, start bigint, n bigint, path bigint"
+COLUMNS = "bucket bigint, doc_id {key}, text_hash bigint, place bigint, twice bigint, hashes binary"
+_WINDOWS = "bucket bigint, doc_id {key}, text_hash bigint, start bigint, path bigint, times bigint"
+FOUND = "doc_id {key}, text_hash bigint, start bigint, n bigint, path bigint"
 
 #: A bucket of more rows than these is spread by its windows.
 HOT_ROWS = 20_000

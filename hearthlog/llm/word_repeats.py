@@ -11,7 +11,7 @@ An edge that a task meets many times is sent once per chunk of text, so a passag
 third of all documents share reaches its bucket once per chunk.
 
 Defined cases: a null or empty text has no words; texts shorter than 35 words keep all;
-repeated rows repeat each other; rows are told apart by ``doc_id`` and their text's hash;
+repeated rows repeat each other; rows are told apart by ``doc_id`` and 64 bits of their text's hash;
 an empty table gives an empty result; columns named like a result column are replaced.
 """
 
@@ -102,7 +102,7 @@ def repeated_paths(docs: DataFrame) -> DataFrame:
     first edge's hash, cut to the bytes that travelled, or -1 where it was not looked at.
     """
     key = docs.schema["doc_id"].dataType.simpleString()
-    rows = docs.select("doc_id", F.hash("text").alias("text_hash"), "text")
+    rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     return window_counts.repeated_windows(
         rows.mapInArrow(_edges, window_counts.COLUMNS.format(key=key))
     )
@@ -142,7 +142,8 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     own = (
         repeated_paths(docs)
         .groupBy(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__own"))
-        .agg(F.collect_list(F.struct("start", "n", "path")).alias("__paths"))
+        # A set: the paths of equal rows are the same ones, however many rows there are.
+        .agg(F.collect_set(F.struct("start", "n", "path")).alias("__paths"))
     )
     texts = zipped_texts(docs)
     same = texts["doc_id"].eqNullSafe(own["__id"]) & (texts["__hash"] == own["__own"])

@@ -48,7 +48,7 @@ def zipped_texts(docs: DataFrame) -> DataFrame:
 
     Zipped one by one, texts take two thirds of what Spark's own compression makes of them.
     """
-    hashed = docs.withColumn("__hash", F.hash("text"))
+    hashed = docs.withColumn("__hash", F.xxhash64("text"))
     fields = [f for f in hashed.schema if f.name != "text"]
     return hashed.mapInArrow(_zip, T.StructType([*fields, T.StructField("__zipped", T.BinaryType())]))
 

@@ -98,3 +98,32 @@ def test_long_texts_and_empty_tables(docs_of):
         (1500, 1, None), (1500, 1, None), (0, 0, None)
     ]
     assert byte_repeats.without_repeats(docs.where("false")).collect() == []
+
+
+@pytest.mark.parametrize("most", [0, 4, 60])
+def test_hot_digits_equal_brute_force(docs_of, monkeypatch, most):
+    """A phrase shorter than a window in most texts, and rows that are equal."""
+    monkeypatch.setattr(byte_repeats, "HOT_ROWS", most)
+    monkeypatch.setattr(byte_repeats, "SAMPLE", 1)
+    monkeypatch.setattr(byte_repeats, "CHUNK_BYTES", 2000)
+    draw = random.Random(most)
+    phrase = "".join(draw.choice("abcdefgh ") for _ in range(150))
+
+    def around(i):
+        return f"{i} before {i * 7919} " * 6 + phrase + f" {i} after {i * 104729}" * 6
+
+    rows = [(i, around(i)) for i in range(60)] + [(200 + i, around(3)) for i in range(20)]
+    rows += [(None, around(i)) for i in range(0, 60, 9)] + passages(most)[:25]
+    docs = docs_of(*rows)
+    found = byte_repeats.without_repeats(docs).collect()
+    want = brute([t for _, t in rows])
+    got = sorted((r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256, r.kept or b"") for r in found)
+    assert got == sorted(want)
+
+
+def test_many_equal_rows(docs_of):
+    """What a row is told does not grow with the rows that equal it."""
+    text = " ".join(f"w{i}" for i in range(120))
+    docs = docs_of(*[(7, text)] * 3000, (8, text[:400]), (9, "short"))
+    found = byte_repeats.without_repeats(docs).collect()
+    assert Counter((r.doc_id, r.n_removed) for r in found) == {(7, len(text)): 3000, (8, 400): 1, (9, 0): 1}

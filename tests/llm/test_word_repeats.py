@@ -114,3 +114,21 @@ def test_hashes_do_not_depend_on_chunks(monkeypatch):
     for size in (1, 7, 64, 301):
         monkeypatch.setattr(sequences, "_CHUNK", size)
         assert np.array_equal(sequences.word_hashes(text.encode()), whole)
+
+
+def test_many_equal_rows(docs_of):
+    """What a row is told does not grow with the rows that equal it, whatever their id."""
+    text = " ".join(f"w{i}" for i in range(200))
+    rows = [(7, text)] * 3000 + [(None, text)] * 500 + [(8, "w3 " + text), (9, "w1 w2")]
+    found = word_repeats.without_repeats(docs_of(*rows)).collect()
+    counts = {}
+    for r in found:
+        counts[r.doc_id, r.n_removed] = counts.get((r.doc_id, r.n_removed), 0) + 1
+    assert counts == {(7, 200): 3000, (None, 200): 500, (8, 200): 1, (9, 0): 1}
+
+
+def test_many_texts_without_an_id(docs_of):
+    rows = [(None, " ".join(f"w{i}x{j}" for j in range(40))) for i in range(3000)]
+    rows += [(None, rows[5][1] + " more")]
+    found = word_repeats.without_repeats(docs_of(*rows)).collect()
+    assert sorted(r.n_removed for r in found if r.n_removed) == [40, 40]
