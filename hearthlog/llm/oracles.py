@@ -121,30 +121,35 @@ FROM split LEFT JOIN classes USING (doc_id) LEFT JOIN counts USING (doc_id)
 """
 
 
-def quality_rules(min_group: int, reach: int, upper: dict[str, int], lower: dict[str, int]) -> str:
-    """The rules with the given parameters; quartiles from sorted lists instead of sketches."""
+def quality_rules() -> str:
+    """Fences from values written out and sorted, one row per document and measure.
 
-    def fences(keys: list[str], least: int, name: str) -> str:
-        by = ", ".join([*keys, "measure"])
-        wide = [
-            f"max(q3 + greatest({reach} * (q3 - q1), {s})) FILTER (measure = '{m}') AS max_{m}"
-            for m, s in upper.items()
-        ] + [
-            f"max(q1 - greatest({reach} * (q3 - q1), {s})) FILTER (measure = '{m}') AS min_{m}"
-            for m, s in lower.items()
-        ]
+    The ordinary quantile is the 90th percentile (99th for repetition), fences lie four
+    times its distance from the median beyond it, and a prior has 25 values, twice each.
+    """
+    order = "row_number() OVER (PARTITION BY {} ORDER BY cell) AS r, count(*) OVER (PARTITION BY {}) AS n"
+
+    def prior(source: str, keys: str) -> str:
+        by = f"{keys}measure"
+        # The middles of 25 equal parts of the sorted values, twice.
         return f"""
-{name} AS (
-  SELECT {"".join(f"{k}, " for k in keys)}{", ".join(wide)}
-  FROM (SELECT *, l[(n + 3) // 4] AS q1, l[(3 * n + 3) // 4] AS q3
-        FROM (SELECT {by}, list_sort(list(cell)) AS l, count(*) AS n FROM cells GROUP BY {by})
-        WHERE n >= {least})
-  {"GROUP BY " + ", ".join(keys) if keys else ""}
-)"""
+  SELECT {keys}measure, min(cell) AS cell
+  FROM (SELECT *, {order.format(by, by)} FROM {source}), range(25) i(k), range(2) twice(t)
+  WHERE 50 * r >= (2 * k + 1) * n
+  GROUP BY {keys}measure, k, t"""
 
     checks = [
-        f"{m} <= coalesce(g.max_{m}, h.max_{m}, o.max_{m}, 1000)" for m in upper
-    ] + [f"{m} >= coalesce(g.min_{m}, h.min_{m}, o.min_{m}, 0)" for m in lower]
+        f"{m} <= max_{m}" for m in ("symbols", "dup_lines", "repeats", "upper", "word_len")
+    ] + ["word_len >= min_word_len"]
+    percent = {"symbols": 90, "dup_lines": 99, "repeats": 99, "upper": 90, "word_len": 90}
+    middle = "min(cell) FILTER (measure = '{}' AND 100 * r >= {} * n)"
+
+    def fence(m: str, p: int, name: str) -> str:
+        return f"5 * {middle.format(m, p)} - 4 * {middle.format(m, 50)} AS {name}"
+
+    wide = [fence(m, p, f"max_{m}") for m, p in percent.items()]
+    wide.append(fence("word_len", 10, "min_word_len"))
+    by = "lang, source, measure"
     return rf"""
 WITH split AS (
   SELECT doc_id, lang, source, coalesce(text, '') AS text,
@@ -187,15 +192,26 @@ cells AS (
              FROM judged WHERE NOT base_failed)
     ON symbols, dup_lines, repeats, upper, word_len INTO NAME measure VALUE cell)
 ),
-{fences(["lang", "source"], min_group, "by_source")},
-{fences(["lang"], min_group, "by_lang")},
-{fences([], 0, "overall")}
+overall AS ({prior("cells", "")}),
+languages AS (
+  SELECT lang, measure, cell FROM cells
+  UNION ALL SELECT lang, measure, cell FROM (SELECT DISTINCT lang FROM cells), overall
+),
+by_lang AS ({prior("languages", "lang, ")}),
+sources AS (
+  SELECT lang, source, measure, cell FROM cells
+  UNION ALL
+  SELECT g.lang, source, measure, cell
+  FROM (SELECT DISTINCT lang, source FROM cells) g JOIN by_lang l ON g.lang IS NOT DISTINCT FROM l.lang
+),
+fences AS (
+  SELECT lang, source, {", ".join(wide)}
+  FROM (SELECT *, {order.format(by, by)} FROM sources) GROUP BY lang, source
+)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        CASE WHEN base_failed THEN false ELSE {" AND ".join(checks)} END AS kept
 FROM judged j
-LEFT JOIN by_source g ON g.lang IS NOT DISTINCT FROM j.lang AND g.source IS NOT DISTINCT FROM j.source
-LEFT JOIN by_lang h ON h.lang IS NOT DISTINCT FROM j.lang
-LEFT JOIN overall o ON true
+LEFT JOIN fences g ON g.lang IS NOT DISTINCT FROM j.lang AND g.source IS NOT DISTINCT FROM j.source
 """
 
 _LETTERS = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"

@@ -1,10 +1,15 @@
 """Quality rules whose cutoffs follow each language and source.
 
 Every document is measured once. A mergeable quantile sketch (counts on a fixed grid of
-values) per language, source and measure gives quartiles; a document is rejected when a
-measure lies beyond the fences around its group's quartiles, or breaks a base rule.
-Sketches merge by adding counts, so they are partial aggregates in Spark, and a group too
-small to judge by uses the merged sketch of its language, or of all documents.
+values) per language, source and measure is a partial aggregate in Spark. A document is
+rejected when it breaks a base rule or a measure lies beyond its group's fence: as far
+again from the quantile up to which documents are ordinary, REACH times, as that is from
+the median.
+
+There is no least size of a group. Every sketch is merged with a prior worth PRIOR
+documents, which is the sketch above it cut down to its quantiles: that of all documents
+for a language, and that of the language for a source. A small group's fences so are nearly
+its language's, a big one's its own, and one document more changes either hardly.
 
 Defined cases: a null or empty text has no words and fails the base rules; null languages
 and sources are groups of their own; repeated rows count and are judged each; an empty
@@ -31,17 +36,18 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-#: A language and source with fewer documents uses the sketch of its language, or of all.
-MIN_GROUP = 200
-#: Fences lie this many interquartile ranges beyond the quartiles.
-REACH = 3
 #: Grid cells 0 to 1000 of a sketch; greater values count as 1000.
 MAX_CELL = 1000
-
-#: Least distance of a fence from its quartile, in cells: a group of equal documents has no
-#: spread of its own, and a document that hardly differs from them is no outlier.
-UPPER_SPREAD = {"symbols": 20, "dup_lines": 500, "repeats": 400, "upper": 200, "word_len": 30}
-LOWER_SPREAD = {"word_len": 20}
+#: A prior is so many equally likely values, each worth two documents.
+PRIOR_VALUES = 25
+PRIOR = 2 * PRIOR_VALUES
+#: Fences lie so many times beyond the ordinary quantile as that lies beyond the median.
+REACH = 4
+#: Percent of documents up to which a measure is ordinary. Repetition is rare, and many
+#: good documents have none at all, so that their ninth decile says nothing.
+UPPER = {"symbols": 90, "dup_lines": 99, "repeats": 99, "upper": 90, "word_len": 90}
+#: Percent of documents below which a measure is too low.
+LOWER = {"word_len": 10}
 
 _LONGS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper"]
 _WHITE = b" \t\n\x0b\x0c\r"
@@ -130,78 +136,91 @@ def _cells() -> dict[str, Column]:
     }
 
 
-def fences(rows: DataFrame) -> DataFrame:
-    """One row per language and source: the fences its documents are held against."""
+def sketches(rows: DataFrame) -> DataFrame:
+    """``lang, source, measure, cell, n`` of the documents that pass the base rules."""
     cells = F.array(*[F.struct(F.lit(m).alias("measure"), c.alias("cell")) for m, c in _cells().items()])
-    sketch = (
+    return (
         rows.where(~F.col("base_failed"))
         .select("lang", "source", F.inline(cells))
         .groupBy("lang", "source", "measure", "cell")
         .agg(F.count("*").alias("n"))
     )
-    names = _fence_names()
-    overall = _quartile_fences(sketch, [], 0).first()
-    groups = rows.select("lang", "source").distinct()
-    for keys in (["lang", "source"], ["lang"]):
-        level = _quartile_fences(sketch, keys, MIN_GROUP).select(
-            *[F.col(k).alias(f"_{k}") for k in keys],
-            *[F.col(name).alias(f"{name}_{len(keys)}") for name in names],
-        )
-        same = [groups[k].eqNullSafe(level[f"_{k}"]) for k in keys]
-        groups = groups.join(level, reduce(lambda a, b: a & b, same), "left").drop(
-            *[f"_{k}" for k in keys]
-        )
-    return groups.select(
-        "lang",
-        "source",
-        *[
-            F.coalesce(f"{name}_2", f"{name}_1", F.lit(overall[name] if overall else None))
-            .cast("int")
-            .alias(name)
-            for name in names
-        ],
-    )
 
 
-def _fence_names() -> list[str]:
-    return [f"__max_{m}" for m in UPPER_SPREAD] + [f"__min_{m}" for m in LOWER_SPREAD]
+def _merged(sketch: DataFrame, *keys: str) -> DataFrame:
+    return sketch.groupBy(*keys, "measure", "cell").agg(F.sum("n").alias("n"))
 
 
-def _quartile_fences(sketch: DataFrame, keys: list[str], least: int) -> DataFrame:
-    """Fences by ``keys``, from merged sketches of at least ``least`` documents."""
-    merged = sketch.groupBy(*keys, "measure", "cell").agg(F.sum("n").alias("n"))
+def _ranked(sketch: DataFrame, *keys: str) -> DataFrame:
+    """A sketch with ``upto``, how many values are no greater, and ``total``."""
     by = Window.partitionBy(*keys, "measure")
     upto = by.orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = merged.withColumns({"total": F.sum("n").over(by), "upto": F.sum("n").over(upto)})
-    quartiles = (
-        ranked.where(F.col("total") >= least)
-        .groupBy(*keys, "measure")
-        .agg(
-            F.min(F.when(4 * F.col("upto") >= F.col("total"), F.col("cell"))).alias("q1"),
-            F.min(F.when(4 * F.col("upto") >= 3 * F.col("total"), F.col("cell"))).alias("q3"),
-        )
+    return sketch.withColumns({"total": F.sum("n").over(by), "upto": F.sum("n").over(upto)})
+
+
+def _prior(sketch: DataFrame, *keys: str) -> DataFrame:
+    """A sketch cut down to PRIOR_VALUES values, the middles of as many equal parts."""
+    parts = f"(2 * {PRIOR_VALUES} * {{}} div total + 1) div 2"
+    values = F.expr(f"{parts.format('upto')} - {parts.format('(upto - n)')}")
+    return (
+        _ranked(sketch, *keys)
+        .select(*keys, "measure", "cell", (2 * values).alias("n"))
+        .where(F.col("n") > 0)
     )
-    reach = REACH * (F.col("q3") - F.col("q1"))
-
-    def fence(measure: str, value: Column, name: str) -> Column:
-        return F.max(F.when(F.col("measure") == measure, value)).alias(name)
-
-    return quartiles.groupBy(*keys).agg(
-        *[
-            fence(m, F.col("q3") + F.greatest(reach, F.lit(s)), f"__max_{m}")
-            for m, s in UPPER_SPREAD.items()
-        ],
-        *[
-            fence(m, F.col("q1") - F.greatest(reach, F.lit(s)), f"__min_{m}")
-            for m, s in LOWER_SPREAD.items()
-        ],
+
+
+def fences(sketch: DataFrame) -> DataFrame:
+    """One row per language and source: the fences its documents are held against.
+
+    ``sketch`` is read several times and should be parked. The prior of all documents is
+    at most PRIOR_VALUES values per measure, whatever the input.
+    """
+    values = ("measure", "cell", "n")
+    overall = [
+        F.struct(*[F.lit(row[name]).alias(name) for name in values])
+        for row in _prior(_merged(sketch)).collect()
+    ]
+    if not overall:
+        nothing = sketch.select("lang", "source").where(F.lit(False))
+        return nothing.select("*", *[F.lit(None).cast("int").alias(n) for n in _fence_names()])
+    language = sketch.select("lang", *values).unionByName(
+        sketch.select("lang").distinct().select("lang", F.inline(F.array(*overall)))
+    )
+    priors = (
+        _prior(_merged(language, "lang"), "lang")
+        .groupBy(F.col("lang").alias("_lang"))
+        .agg(F.collect_list(F.struct(*values)).alias("prior"))
+    )
+    groups = sketch.select("lang", "source").distinct()
+    inherited = groups.join(priors, groups["lang"].eqNullSafe(priors["_lang"])).select(
+        "lang", "source", F.inline("prior")
     )
+    ranked = _ranked(
+        _merged(sketch.unionByName(inherited), "lang", "source"), "lang", "source"
+    )
+
+    def quantile(measure: str, percent: int) -> Column:
+        reached = (F.col("measure") == measure) & (100 * F.col("upto") >= percent * F.col("total"))
+        return F.min(F.when(reached, F.col("cell")))
+
+    def fence(measure: str, percent: int, name: str) -> Column:
+        ordinary = quantile(measure, percent)
+        return (ordinary + REACH * (ordinary - quantile(measure, 50))).cast("int").alias(name)
+
+    return ranked.groupBy("lang", "source").agg(
+        *[fence(m, percent, f"__max_{m}") for m, percent in UPPER.items()],
+        *[fence(m, percent, f"__min_{m}") for m, percent in LOWER.items()],
+    )
+
+
+def _fence_names() -> list[str]:
+    return [f"__max_{m}" for m in UPPER] + [f"__min_{m}" for m in LOWER]
 
 
 def _within() -> Column:
     cells = _cells()
-    rules = [cells[m] <= F.coalesce(F.col(f"__max_{m}"), F.lit(MAX_CELL)) for m in UPPER_SPREAD]
-    rules += [cells[m] >= F.coalesce(F.col(f"__min_{m}"), F.lit(0)) for m in LOWER_SPREAD]
+    rules = [cells[m] <= F.coalesce(F.col(f"__max_{m}"), F.lit(MAX_CELL)) for m in UPPER]
+    rules += [cells[m] >= F.coalesce(F.col(f"__min_{m}"), F.lit(0)) for m in LOWER]
     return reduce(lambda a, b: a & b, rules)
 
 
@@ -213,12 +232,12 @@ def judge(docs: DataFrame, keep_texts: bool = False) -> DataFrame:
     a small parked table that Spark broadcasts if its measured size allows.
     """
     if keep_texts:
-        narrow = measured(docs.select("text", "lang", "source")).drop("text")
-        limits = park(fences(narrow), "quality-fences")
         rows = measured(docs)
+        sketch = sketches(measured(docs.select("text", "lang", "source")).drop("text"))
     else:
         rows = park(measured(docs).drop("text"), "quality-measures")
-        limits = park(fences(rows), "quality-fences")
+        sketch = sketches(rows)
+    limits = park(fences(park(sketch, "quality-sketches")), "quality-fences")
     names = _fence_names()
     limits = limits.select(
         F.col("lang").alias("__lang"), F.col("source").alias("__source"), *names

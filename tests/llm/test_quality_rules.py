@@ -51,29 +51,29 @@ def brute_kept(rows):
             "word_len": min(1000, 10 * r.word_chars // r.n_words),
         }
 
+    def at(values, percent):
+        return sorted(values)[-(-percent * len(values) // 100) - 1]
+
+    def prior(values):
+        ordered, n = sorted(values), len(values)
+        return 2 * [ordered[-(-(2 * k + 1) * n // 50) - 1] for k in range(25)]
+
     good = [r for r in rows if not r.base_failed]
     verdicts = []
     for r in rows:
         if r.base_failed:
             verdicts.append(False)
             continue
-        groups = [
-            [g for g in good if (g.lang, g.source) == (r.lang, r.source)],
-            [g for g in good if g.lang == r.lang],
-            good,
-        ]
-        group = next(
-            (g for g in groups[:2] if len(g) >= quality_rules.MIN_GROUP), groups[2]
-        )
         kept = True
         for m, value in cells(r).items():
-            values = sorted(cells(g)[m] for g in group)
-            q1 = values[-(-len(values) // 4) - 1]
-            q3 = values[-(-3 * len(values) // 4) - 1]
-            reach = quality_rules.REACH * (q3 - q1)
-            kept &= value <= q3 + max(reach, quality_rules.UPPER_SPREAD[m])
-            if m in quality_rules.LOWER_SPREAD:
-                kept &= value >= q1 - max(reach, quality_rules.LOWER_SPREAD[m])
+            everywhere = [cells(g)[m] for g in good]
+            language = [cells(g)[m] for g in good if g.lang == r.lang] + prior(everywhere)
+            group = [cells(g)[m] for g in good if (g.lang, g.source) == (r.lang, r.source)]
+            group += prior(language)
+            high = at(group, 99 if m in ("dup_lines", "repeats") else 90)
+            kept &= value <= high + 4 * (high - at(group, 50))
+            if m == "word_len":
+                kept &= value >= at(group, 10) - 4 * (at(group, 50) - at(group, 10))
         verdicts.append(kept)
     return verdicts
 
@@ -103,8 +103,7 @@ def test_query_equals_brute_force(spark, small_tables):
 
 
 @pytest.mark.parametrize("keep_texts", [False, True])
-def test_fences_equal_sorting(spark, docs_of, monkeypatch, keep_texts):
-    monkeypatch.setattr(quality_rules, "MIN_GROUP", 12)
+def test_fences_equal_sorting(docs_of, keep_texts):
     draw = random.Random(1)
     rows = []
     for i in range(90):
@@ -139,3 +138,43 @@ def test_empty_table_and_clashing_columns(docs_of):
     clash = docs_of((1, "a b")).withColumns({"kept": F.lit("x"), "n_words": F.lit("y"), "cell": F.lit(1)})
     row = quality_rules.judge(clash).first()
     assert (row.kept, row.n_words, row.cell) == (False, 2, 1)
+
+
+def prose(i, n=60):
+    return " ".join(f"word{(i * 31 + j * 7) % 997}" for j in range(n))
+
+
+def table(i):
+    return " ".join(f"| cell{(i * 31 + j * 7) % 997}" for j in range(60))
+
+
+@pytest.fixture(scope="module")
+def verdicts(spark):
+    """How many of a source of tables are kept, beside much prose of its language."""
+    found = {}
+    sizes = [20, 100, 199, 200, 201, 400]
+    rows = [(i, prose(i), "en", "prose") for i in range(2000)]
+    for size in sizes:
+        rows += [(10_000 * size + i, table(i), "en", f"tables{size}") for i in range(size)]
+    # One language each, so that the tables of one size do not speak for another's.
+    rows = [(i, t, f"en{s.removeprefix('tables')}", s) for i, t, _, s in rows if s != "prose"] + [
+        (i + 10**9 * size, t, f"en{size}", "prose") for size in sizes for i, t, _, s in rows if s == "prose"
+    ]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    judged = quality_rules.judge(docs)
+    for r in judged.groupBy("source").agg(F.avg(F.col("kept").cast("int")).alias("kept")).collect():
+        found[r.source] = r.kept
+    return found
+
+
+def test_no_size_of_a_group_changes_its_verdict(verdicts):
+    """A clean source that differs from its language stays, whatever its size."""
+    assert {source: kept for source, kept in verdicts.items() if kept < 1} == {}
+
+
+def test_a_few_odd_documents_go(docs_of):
+    rows = [(i, prose(i), "en", f"s{i % 4}") for i in range(400)]
+    rows += [(1000 + i, table(i), "en", f"s{i % 4}") for i in range(12)]
+    judged = quality_rules.judge(docs_of(*rows)).collect()
+    assert {r.doc_id >= 1000 for r in judged if not r.kept} == {True}
+    assert sum(not r.kept for r in judged) == 12
