@@ -15,7 +15,8 @@ out, a hint among other words does so if most of the element's text is links. Ne
 counts for headings, for an element that holds an article or main element (unless those
 beside it have more text), or for one with more than half of the page's text, unless it is
 named as comments or stands beside an article or main element with text of its own: it may
-outgrow that. Ids of sections and paragraphs of an article name their subject.
+outgrow that. A word for reader comments counts in any name, unless hardly a text lies outside
+the element: then it is around the story, too. Ids of sections and paragraphs of an article name their subject.
 
 Defined cases: null and empty pages give an empty text; broken markup is read as far as
 the parser understands it; repeated rows are extracted each; further columns pass through
@@ -93,6 +94,8 @@ _HEADINGS = set("h1 h2 h3 h4 h5 h6 hgroup".split())
 #: Elements whose id, in an article, is the target of a link to what they say.
 _TARGETS = set("section p li dt dd blockquote figure table".split())
 _KEEP = {"html", "body", "main"}
+_SENTENCE_END = re.compile(r"[.!?\u2026:;]\W*$")
+_COPYRIGHT = re.compile(r"\W*(?:\u00a9|\(c\)|copyright|all rights reserved)", re.IGNORECASE)
 _NAMES = re.compile(r"[A-Za-z0-9]+")
 _WORDS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 
@@ -106,11 +109,27 @@ class PageBlocks(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.open: list[tuple[str, bool, int, int]] = []  # name, no content, region, mark
+        self.places: dict[str, list[int]] = {}  # where in ``open`` the elements of a name are
         self.blocks: list[list] = []
-        self.regions: list[tuple[str, int]] = [("page", -1)]  # name, parent
-        self.marks: list[list] = []  # parent, hint alone, discussion, beside articles, holds one
+        # Name, and the article and the main element that a region is or lies in.
+        self.regions: list[tuple[str, int, int]] = [("page", -1, -1)]
+        # Parent, hint alone, discussion, a discussion by a word among others, beside
+        # articles, holds one.
+        self.marks: list[list] = []
         self._fresh = True
 
+    def _push(self, tag: str, silent: bool, region: int, mark: int) -> None:
+        self.places.setdefault(tag, []).append(len(self.open))
+        self.open.append((tag, silent, region, mark))
+
+    def _close_from(self, at: int) -> None:
+        while len(self.open) > at:
+            self.places[self.open.pop()[0]].pop()
+
+    def _last(self, names: set[str]) -> int:
+        """Where the innermost open element of these names is, or -1."""
+        return max((p[-1] for name in names if (p := self.places.get(name))), default=-1)
+
     def _silent(self) -> bool:
         return bool(self.open) and self.open[-1][1]
 
@@ -121,7 +140,7 @@ class PageBlocks(HTMLParser):
         return self.open[-1][3] if self.open else -1
 
     def _inside(self, names: set[str]) -> bool:
-        return any(entry[0] in names for entry in self.open)
+        return any(self.places.get(name) for name in names)
 
     def _no_content(self, tag: str, attrs: list) -> bool:
         if tag in _NO_CONTENT:
@@ -141,8 +160,11 @@ class PageBlocks(HTMLParser):
             return True
         return False
 
-    def _hinted(self, tag: str, attrs: list) -> tuple[bool, bool] | None:
-        """Whether a name is made of hints alone, and of a discussion; None without hints."""
+    def _hinted(self, tag: str, attrs: list) -> tuple[bool, bool, bool] | None:
+        """Whether a name is made of hints alone, of a discussion, or has one in it.
+
+        None without hints.
+        """
         if tag not in _BREAKS or tag in _KEEP or tag in _HEADINGS:
             return None
         values = dict(attrs)
@@ -155,7 +177,7 @@ class PageBlocks(HTMLParser):
         else:
             hints = _HINTS if in_article else _HINTS | _HEADER_HINTS
         known = hints | _LAYOUT
-        hinted = alone = discussion = False
+        hinted = alone = discussion = mentioned = False
         for name in classes + own_id:
             split = {w.lower() for w in _WORDS.findall(name)}
             whole = {w.lower() for w in _NAMES.findall(name)}
@@ -167,16 +189,14 @@ class PageBlocks(HTMLParser):
             if not target and (split <= known or {w for w in whole if not w.isdigit()} <= known):
                 alone = True
                 discussion |= bool(found & _DISCUSSION)
-        return (alone, discussion) if hinted else None
+            elif not target:
+                mentioned |= bool(found & _DISCUSSION)
+        return (alone, discussion, mentioned) if hinted else None
 
     def _end_implied(self, ends: set[str], fences: set[str]) -> None:
-        for at in range(len(self.open) - 1, -1, -1):
-            name = self.open[at][0]
-            if name in ends:
-                del self.open[at:]
-                return
-            if name in fences:
-                return
+        at = self._last(ends)
+        if at > self._last(fences - ends):
+            self._close_from(at)
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag in _ENDS:
@@ -192,20 +212,32 @@ class PageBlocks(HTMLParser):
         silent = self._silent() or self._no_content(tag, attrs)
         region, mark = self._region(), self._mark()
         if tag in _REGIONS and not silent:
-            self.regions.append((tag, region))
+            self._open_region(tag, region)
             region = len(self.regions) - 1
         if not silent:
             if tag in _ARTICLES:
                 at = mark
-                while at >= 0 and not self.marks[at][4]:
-                    self.marks[at][4] = True
+                while at >= 0 and not self.marks[at][-1]:
+                    self.marks[at][-1] = True
                     at = self.marks[at][0]
             if hinted := self._hinted(tag, attrs):
-                alone, discussion = hinted
                 beside = not self._inside(_ARTICLES)
-                self.marks.append([mark, alone, discussion, beside, False])
+                self.marks.append([mark, *hinted, beside, False])
                 mark = len(self.marks) - 1
-        self.open.append((tag, silent, region, mark))
+        self._push(tag, silent, region, mark)
+
+    def _open_region(self, tag: str, parent: int) -> None:
+        """The outermost article, else the innermost main element, owns what is in it."""
+        _, article, main = self.regions[parent]
+        own = len(self.regions)
+        if article < 0 and tag == "article":
+            article = own
+        self.regions.append((tag, article, own if tag == "main" else main))
+
+    def owner(self, region: int) -> int:
+        """The article or main element around a region, else the region itself."""
+        _, article, main = self.regions[region]
+        return article if article >= 0 else main if main >= 0 else region
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         # A slash does not close an HTML element.
@@ -216,10 +248,8 @@ class PageBlocks(HTMLParser):
             self._fresh = True
         if not self._silent():
             self._count_tag()
-        for at in range(len(self.open) - 1, -1, -1):
-            if self.open[at][0] == tag:
-                del self.open[at:]
-                return
+        if places := self.places.get(tag):
+            self._close_from(places[-1])
 
     def _count_tag(self) -> None:
         if self.blocks and not self._fresh:
@@ -264,26 +294,37 @@ def threshold(ratios: np.ndarray) -> float:
 
 def _left_out(parser: PageBlocks, blocks: list[tuple]) -> set[int]:
     """The marks whose blocks are no content."""
-    size, linked, own = ([0] * len(parser.marks) for _ in range(3))
-    total = beside_all = 0
+    marks = parser.marks
+    size, linked, own = ([0] * len(marks) for _ in range(3))
+    # Whether a mark and all around it hold an article: a mark comes after those around it.
+    around = []
+    for parent, *_, holds in marks:
+        around.append(holds and (parent < 0 or around[parent]))
+    total = plain = beside_all = 0
     for text, _, region, mark, links in blocks:
-        above = []
-        while mark >= 0:
-            above.append(mark)
-            mark = parser.marks[mark][0]
-        article = parser.regions[_owner(parser.regions, region)][0] in _ARTICLES
-        article &= all(parser.marks[at][4] for at in above)
+        article = parser.regions[parser.owner(region)][0] in _ARTICLES
+        article &= mark < 0 or around[mark]
         total += len(text)
+        plain += len(text) * (mark < 0)
         beside_all += len(text) * article
-        for at in above:
-            size[at] += len(text)
-            linked[at] += links
-            own[at] += len(text) * article
+        if mark >= 0:
+            size[mark] += len(text)
+            linked[mark] += links
+            own[mark] += len(text) * article
+    for at in range(len(marks) - 1, -1, -1):
+        if (parent := marks[at][0]) >= 0:
+            size[parent] += size[at]
+            linked[parent] += linked[at]
+            own[parent] += own[at]
     out: set[int] = set()
-    for at, (parent, alone, discussion, beside, holds) in enumerate(parser.marks):
+    for at, (parent, alone, discussion, mentioned, beside, holds) in enumerate(marks):
         others = beside_all - own[at]
         most = 2 * size[at] > total and not discussion and not (beside and others)
         needed = most or (holds and others <= size[at])
+        if mentioned and not (holds and others <= size[at]):
+            # Reader comments may be longer than the story, but they are not all there is:
+            # an element around the story and its comments leaves next to nothing beside it.
+            needed, alone = max(plain, others) * 10 < size[at], True
         if parent in out or (not needed and (alone or 2 * linked[at] > size[at])):
             out.add(at)
     return out
@@ -307,7 +348,7 @@ def main_text(html: str | None) -> str:
     texts = [block[0] for block in blocks]
     lengths = np.array([len(text) for text in texts], float)
     ratios = lengths / np.array([block[1] for block in blocks], float)
-    owners = [_owner(parser.regions, block[2]) for block in blocks]
+    owners = [parser.owner(block[2]) for block in blocks]
     kinds = [parser.regions[owner][0] for owner in owners]
     marked = [i for i, kind in enumerate(kinds) if kind in _ARTICLES]
     if marked and (len(marked) == len(texts) or (ratios[marked] >= threshold(smoothed(ratios))).any()):
@@ -324,19 +365,16 @@ def main_text(html: str | None) -> str:
     if not content:
         content = {owners[int(lengths.argmax())]}
     kept = [i for i, owner in enumerate(owners) if owner in content]
-    # Nothing marks where the article ends: what lies between its regions belongs to it.
-    return " ".join(texts[kept[0] : kept[-1] + 1])
-
-
-def _owner(regions: list[tuple[str, int]], region: int) -> int:
-    """The article or main element around a region, else the region itself."""
-    at, best = region, None
-    while at >= 0:
-        name, parent = regions[at]
-        if name == "article" or (name == "main" and best is None):
-            best = at
-        at = parent
-    return region if best is None else best
+    # Nothing marks where the article ends: what lies between its regions belongs to it. At
+    # the end of a page a short region without a sentence, or with a copyright, does not.
+    last, full = kept[-1], {owner for owner, ratio in zip(owners, ratios) if ratio >= cut}
+    while last > kept[0] and owners[last] not in full and _is_colophon(texts[last]):
+        last -= 1
+    return " ".join(texts[kept[0] : last + 1])
+
+
+def _is_colophon(text: str) -> bool:
+    return not _SENTENCE_END.search(text) or bool(_COPYRIGHT.match(text))
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import html as html_module
 import re
+import time
 
 import numpy as np
 import pytest
@@ -108,3 +109,54 @@ def test_edges(spark):
     found = sorted((r.page_id or 0, len(r.main_text)) for r in out.collect())
     assert found == [(0, 1), (1, 0), (2, 1), (2, 1), (3, 1_499_999)]
     assert extract_main_text(pages.where("false")).collect() == []
+
+
+STORY = f"<h1>T</h1><p>{LONG}</p><p>Second paragraph.</p>"
+COMMENTS = "".join(f"<div class=item><p>Reader {i} says that it is all quite wrong.</p></div>" for i in range(20))
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["article-comments", "reader-comments", "fb-comments", "wp-comments-area", "user-comments",
+     "comments", "comment-list", "readerComments", "story_replies"],
+)
+@pytest.mark.parametrize("attribute", ["class", "id"])
+@pytest.mark.parametrize(
+    "page",
+    ["<article>{story}</article><div {name}>{comments}</div>",
+     "<article>{story}<div {name}>{comments}</div></article>",
+     "<main>{story}<div {name}>{comments}</div></main>",
+     "<div class=post>{story}</div><div {name}>{comments}</div>",
+     "<div class=has-comments><div class=post>{story}</div><section {name}>{comments}</section></div>"],
+)
+def test_reader_comments_go_whatever_they_are_called(name, attribute, page):
+    if attribute == "id" and page.count("<section") and "<article>" in page:
+        pytest.skip("ids of sections of an article name their subject")
+    filled = page.format(story=STORY, comments=COMMENTS, name=f"{attribute}='{name}'")
+    assert main_text(filled) == f"T {LONG}Second paragraph."
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (f"<div class=post-with-comments>{STORY}</div>", f"T {LONG}Second paragraph."),
+        (f"<div><p>{LONG}</p></div><div id=bottom>Copyright 2020</div>", LONG.strip()),
+        (f"<div><p>{LONG}</p></div><div id=bottom>\u00a9 2020 Us. All rights reserved.</div>", LONG.strip()),
+        (f"<article><section id=comments-in-code><h2>Comments</h2><p>{LONG}</p></section></article>",
+         f"Comments {LONG}".strip()),
+    ],
+)
+def test_wrappers_and_colophons(page, text):
+    assert main_text(page) == text
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["<div class=user-comments>" * 100_000 + LONG, "<div>" * 100_000 + LONG, "<font><p>" * 50_000 + LONG,
+     "<article>" * 100_000 + LONG, "<p><div>" + "<b><h1>" * 50_000 + LONG, "<ul><li>" * 50_000 + LONG,
+     "<b>" * 100_000 + "</i>" * 100_000 + LONG, "<main><div id=ad>" * 50_000 + LONG],
+)
+def test_deep_pages_take_linear_time(page):
+    start = time.perf_counter()
+    assert main_text(page) == LONG.strip()
+    assert time.perf_counter() - start < 5
