@@ -10,7 +10,9 @@ remain are scored exactly, in integers.
 
 The query set is dealt to blocks too, so a task holds one block of queries and one of
 candidates, whatever the sizes of both. A first round against the longest candidates
-gives every query a score to beat.
+gives every query a score to beat. For the second the queries are dealt by the length
+that a candidate needs to reach that score, so that most blocks of queries ask only the
+first blocks of candidates, and a block that none asks is not shuffled at all.
 
 Defined cases: a vector that is null, empty or holds a null or non-finite component takes
 no part; vectors of different dimensions are not compared; ``vec_id`` names a row, so a
@@ -206,8 +208,8 @@ def _distinct(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def _search(queries: DataFrame, candidates: DataFrame, axes, k: int) -> DataFrame:
     """Search blocks of queries against blocks of candidates.
 
-    A query comes once for each ``block`` of candidates it is to meet, and ``asks``
-    numbers its own block; a candidate goes to every block of queries (``ask_blocks``).
+    ``asks`` numbers a block of queries and ``block`` one of candidates; both sides come
+    once for each pair of blocks that are to meet.
     """
     common = ["dim", "vec_id", "ints", "norm"]
 
@@ -219,26 +221,22 @@ def _search(queries: DataFrame, candidates: DataFrame, axes, k: int) -> DataFram
             beat.alias("beat"),
         )
 
-    asks = F.explode(F.sequence(F.lit(0), F.col("ask_blocks") - 1))
-    rows = sent(queries, True, F.col("beat")).unionByName(
-        sent(candidates.withColumn("asks", asks), False, F.lit(0.0))
-    )
+    rows = sent(queries, True, F.col("beat")).unionByName(sent(candidates, False, F.lit(0.0)))
     dealt = rows.repartition("cell").sortWithinPartitions("cell")
     return dealt.mapInArrow(_searcher(k, axes), _FOUND)
 
 
-def _within_reach(queries: DataFrame, rows: DataFrame, blocks: int) -> DataFrame:
-    """Every query once for each block that may hold a score to beat its own.
+def _cells(queries: DataFrame, blocks: DataFrame) -> DataFrame:
+    """The pairs (``dim``, ``asks``, ``block``) in which a query may better its score.
 
-    Blocks hold vectors of similar length, so length alone rules most of them out. The
-    table of blocks has one small row for ``CANDIDATE_BLOCK`` vectors; Spark broadcasts it
-    if its measured size allows.
+    Length decides: of a block of queries the least ``reach`` counts, of a block of
+    candidates the longest vector. Both tables have one small row per block.
     """
-    longest = rows.groupBy("dim", "block").agg(F.max("norm").alias("longest"))
-    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    most = F.col("norm") * F.col("longest")
-    spread = queries.withColumn("block", every).join(park(longest, "search-lengths"), ["dim", "block"])
-    return spread.where(most + (1 + 1e-9 * most) >= F.col("beat")).drop("longest")
+    least = queries.groupBy("dim", "asks").agg(F.min("reach").alias("least"))
+    longest = blocks.groupBy("dim", "block").agg(F.max("norm").alias("longest"))
+    return least.join(longest, "dim").where(F.col("longest") >= F.col("least")).select(
+        "dim", "asks", "block"
+    )
 
 
 def _ranked(found: DataFrame, k: int) -> DataFrame:
@@ -261,18 +259,18 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, column: str = "embe
     )
     rows = park(ranged.withColumn("block", F.spark_partition_id()), "search-blocks")
     axes = spark.sparkContext.broadcast(rotations(ints))
-    blocks = (rows.agg(F.max("block").alias("last")).first().last or 0) + 1
     queries = ints.where(is_query)
     ask_blocks = max(1, -(-queries.count() // QUERY_BLOCK))
-    queries = queries.withColumn("asks", F.pmod(F.xxhash64("vec_id"), F.lit(ask_blocks)).cast("int"))
+    asks = F.pmod(F.xxhash64("vec_id"), F.lit(ask_blocks)).cast("int")
     # First round: the block with the longest vectors of each dimension.
     heads = rows.groupBy("dim").agg(F.min("block").alias("head"))
-    headed = rows.join(heads, "dim").withColumn("ask_blocks", F.lit(ask_blocks))
+    headed = rows.join(heads, "dim")
     anywhere = F.lit(float("-inf"))
+    every = F.explode(F.sequence(F.lit(0), F.lit(ask_blocks - 1)))
     first = park(
         _search(
-            queries.withColumns({"beat": anywhere, "block": F.lit(0)}),
-            headed.where("block = head").withColumn("block", F.lit(0)),
+            queries.withColumns({"beat": anywhere, "block": F.lit(0), "asks": asks}),
+            headed.where("block = head").withColumn("block", F.lit(0)).withColumn("asks", every),
             axes,
             k,
         ),
@@ -281,10 +279,15 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, column: str = "embe
     beat = _ranked(first, k).where(F.col("rank") == k)
     beat = beat.select(F.col("query_id").alias("vec_id"), F.col("score").cast("double").alias("beat"))
     beaten = queries.join(beat, "vec_id", "left").withColumn("beat", F.coalesce("beat", anywhere))
+    # The length that a candidate needs, with room for rounding; a vector of length 0 scores 0.
+    needed = (F.col("beat") - 1) / (F.col("norm") * (1 + 1e-9))
+    never = F.when(F.col("beat") > 1, F.lit(float("inf"))).otherwise(anywhere)
+    reach = F.when(F.col("norm") > 0, needed).otherwise(never)
+    dealt = beaten.withColumn("reach", reach).repartitionByRange(ask_blocks, "dim", "reach", "vec_id")
+    again = park(dealt.withColumn("asks", F.spark_partition_id()), "search-queries")
+    others = headed.where("block > head").drop("head")
+    cells = park(_cells(again, others), "search-cells")
     rest = _search(
-        _within_reach(beaten, headed.where("block > head"), blocks),
-        headed.where("block > head"),
-        axes,
-        k,
+        again.join(cells, ["dim", "asks"]), others.join(cells, ["dim", "block"]), axes, k
     )
     return _ranked(first.unionByName(rest), k).select("query_id", "rank", "vec_id", "score")

@@ -73,3 +73,28 @@ def test_empty(spark):
     frame = spark.createDataFrame([], SCHEMA)
     assert search(frame, 5) == set()
     assert search(spark.createDataFrame([(5, [1.0], 0)], SCHEMA), 5) == set()
+
+
+def test_candidates_go_only_where_a_query_asks(spark, monkeypatch):
+    monkeypatch.setattr(topk_search, "CANDIDATE_BLOCK", 25)
+    monkeypatch.setattr(topk_search, "QUERY_BLOCK", 4)
+    sent, plain = [], topk_search._search
+
+    def search_blocks(queries, candidates, axes, k):
+        sent.append((queries.count(), candidates.count()))
+        return plain(queries, candidates, axes, k)
+
+    monkeypatch.setattr(topk_search, "_search", search_blocks)
+    draw = random.Random(7)
+    rows = [(i, [draw.gauss(0, 1) + 5 for _ in range(4)]) for i in range(40)]
+    rows += [(100 + i, [draw.gauss(0, 1) * 0.01 for _ in range(4)]) for i in range(400)]
+    frame = spark.createDataFrame([(i, v, 0) for i, v in rows], SCHEMA)
+    found = topk_search.top_k(frame.where("vec_id < 100 or vec_id % 3 = 0"), F.col("vec_id") % 10 == 0, 3)
+    exact = [(r.vec_id, r.embedding) for r in frame.collect() if r.vec_id < 100 or r.vec_id % 3 == 0]
+    assert {tuple(r) for r in found.collect()} == brute(exact, lambda i: i % 10 == 0, 3)
+    # Queries with long vectors beat every block of short ones, and only the others ask.
+    assert sent[1][0] < 20 * sent[0][0] and sent[1][1] < 8 * 25 * sent[0][0] / 4
+
+    sent.clear()
+    topk_search.top_k(frame, F.col("vec_id").isin(0, 10, 20), 3).collect()
+    assert sent[1][1] <= 25
