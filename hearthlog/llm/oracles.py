@@ -54,7 +54,7 @@ FROM split LEFT JOIN removed USING (doc_id) LEFT JOIN kept USING (doc_id)
 SOURCE_MIXING = f"""
 WITH docs AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), {_WORD})) AS size,
-         md5('0:' || doc_id) AS turn
+         md5('0:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))) AS turn
   FROM documents
 ),
 sources AS (

@@ -3,13 +3,17 @@
 A source's documents queue in a shuffled order, twice over. A document's virtual finish
 time is the number of the source's words up to its end, divided by the source's weight:
 served in the order of these times, all sources progress by their weights, and one that
-has been taken twice leaves its share to the others. The queue is sorted by that time
-over the whole cluster and cut when the total budget is spent; the document a source has
-in service at that moment is cut there too.
+has been taken twice leaves its share to the others. The virtual time at which the total
+budget is spent follows from the sources' sizes and weights: a source has then been served
+its target. What is served by then is taken, the document that a source has in service is
+cut after its words, and the mix is sorted by virtual finish time over the whole cluster.
+So every source meets its target to the word, where cutting the sorted queue between
+documents would miss it by up to a document each.
 
 Defined cases: a null or empty text has no words and is never taken; null is a source,
-the last one; repeated rows queue one after the other; the shuffle is the MD5 of the
-document's id and a seed, so reruns agree; an empty table gives an empty result; columns
+the last one; repeated rows queue one after the other; the shuffle is the MD5 of a seed,
+the document's id (null: empty) and its text's MD5, so reruns agree and rows that share an
+id, or have none, spread; an empty table gives an empty result; columns
 named like a result column are replaced.
 
 A source may hold most rows: running sums are taken within 4,096 slices of its queue, and
@@ -70,7 +74,9 @@ def queue(
     ``words`` is what the mix takes of a copy, ``taken`` what it takes of both.
     """
     docs = docs.drop(*RESULT)
-    order = F.md5(F.concat_ws(":", F.lit(seed), F.col("doc_id")))
+    name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    text = F.md5(F.coalesce("text", F.lit("")))
+    order = F.md5(F.concat_ws(":", F.lit(seed), name, text))
     rows = docs.withColumns(
         {
             "size": F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint"),

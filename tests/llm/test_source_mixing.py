@@ -90,3 +90,14 @@ def test_mix_returns_documents(edge_docs):
 def test_plan_is_native(edge_docs):
     plan = source_mixing.mix(edge_docs)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_rows_that_share_an_id_are_told_apart_by_their_texts(spark):
+    """Every slice of a queue holds its share, and rows of one id and size do not tie."""
+    rows = [(None, "w " * (i % 7) + f"x{i}", "a") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    first = source_mixing.mix(docs.repartition(3)).collect()
+    again = source_mixing.mix(docs.repartition(7)).collect()
+    assert sorted(r.text for r in first) == sorted(r.text for r in again)
+    queued = source_mixing.queue(docs).where("copy = 1")
+    assert queued.groupBy("virtual_finish").count().agg(F.max("count")).first()[0] == 1
