@@ -22,7 +22,7 @@ from hearthlog.llm import (  # noqa: E402
     secret_scan,
     source_mixing,
 )
-from hearthlog.llm.queries import TOKENIZERS  # noqa: E402
+from hearthlog.llm.queries import BYTE_BPE  # noqa: E402
 from hearthlog.llm.worker import park  # noqa: E402
 
 
@@ -43,7 +43,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(docs, f"{TOKENIZERS}/byte_bpe_50k.json")
+    return packing.pack_documents(docs, BYTE_BPE)
 
 
 STAGES = [

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
-from hearthlog.llm.token_counts import load_tokenizer, special_strings
+from hearthlog.llm.token_counts import load_tokenizer, special_strings, vocabulary_file
 from hearthlog.llm.worker import group_starts, park, slices, whole_groups, worker_cache
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -71,7 +71,7 @@ def _plain_encoder(path: str):
     """
     cache = worker_cache()
     if ("plain", path) not in cache:
-        with open(path, encoding="utf-8") as file:
+        with open(vocabulary_file(path), encoding="utf-8") as file:
             parts = json.load(file)
         model, before = parts["model"], parts.get("pre_tokenizer") or {}
         vocab, byte_of = model["vocab"], _byte_of()
@@ -210,12 +210,12 @@ def _packer(window: int):
 def pack_pieces(pieces: DataFrame, window: int = WINDOW) -> DataFrame:
     """Give every piece a sequence and its offset there.
 
-    ``pieces`` is read twice: to count, and to pack.
+    ``pieces`` is read twice, to count and to pack, and should be stored: pieces are dealt
+    to groups by their place in it, so that equal ones spread like others.
     """
     groups = max(1, -(-pieces.count() // GROUP_PIECES))
-    dealt = pieces.withColumn(
-        "pack_group", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(groups))
-    )
+    place = F.xxhash64(F.monotonically_increasing_id())
+    dealt = pieces.withColumn("pack_group", F.pmod(place, F.lit(groups)))
     order = ["pack_group", "length", "doc_id", "start", "ids_crc32", "doc_tokens"]
     sorted_rows = dealt.repartition("pack_group").sortWithinPartitions(*order)
     names = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pieces.schema)

@@ -23,8 +23,8 @@ from hearthlog.llm import (
     word_repeats,
 )
 
-#: Where the public tokenizers' vocabulary files lie on every worker.
-TOKENIZERS = "/opt/tokenizers"
+# Names of vocabulary files of the public tokenizers, which workers look up.
+BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,7 +68,7 @@ def op4_byte_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents")
-    return packing.pack_documents(docs, f"{TOKENIZERS}/byte_bpe_50k.json")
+    return packing.pack_documents(docs, BYTE_BPE)
 
 
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,7 +79,7 @@ def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
-    counted = token_counts.count_tokens(docs, f"{TOKENIZERS}/word_bpe_49k.json")
+    counted = token_counts.count_tokens(docs, WORD_BPE)
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 

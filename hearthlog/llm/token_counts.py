@@ -38,6 +38,19 @@ MAX_ENTRY_BYTES = 64
 CACHE_ENTRIES = 500_000
 
 
+def vocabulary_file(path: str) -> str:
+    """Where a vocabulary file lies on this machine.
+
+    A name without a folder is one of the public tokenizers', which each machine finds for
+    itself.
+    """
+    if "/" in path:
+        return path
+    import public_tokenizers
+
+    return str(public_tokenizers.path(path))
+
+
 def load_tokenizer(path: str):
     """The library's tokenizer of a vocabulary file, once per worker."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -45,7 +58,7 @@ def load_tokenizer(path: str):
     if ("tokenizer", path) not in cache:
         from tokenizers import Tokenizer
 
-        cache["tokenizer", path] = Tokenizer.from_file(path)
+        cache["tokenizer", path] = Tokenizer.from_file(vocabulary_file(path))
     return cache["tokenizer", path]
 
 
@@ -136,7 +149,8 @@ def _counter(path: str, limit: int, table):
 def count_tokens(docs: DataFrame, path: str, limit: int = MAX_TOKENS) -> DataFrame:
     """``docs`` with ``n_bytes``, ``n_tokens`` and ``over_limit``.
 
-    ``path`` is a vocabulary file of the tokenizers library that every worker can open.
+    ``path`` is a vocabulary file of the tokenizers library that every worker can open, or
+    the name of one of the public tokenizers.
     """
     docs = docs.drop("n_bytes", "n_tokens", "over_limit")
     table = docs.sparkSession.sparkContext.broadcast(frequent_lengths(docs, path))

@@ -10,15 +10,14 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from hearthlog.llm import packing, token_counts
-from hearthlog.llm.queries import TOKENIZERS, op5_packing, op7_token_counts
+from hearthlog.llm.queries import BYTE_BPE, WORD_BPE, op5_packing, op7_token_counts
 
-WORD_BPE, BYTE_BPE = f"{TOKENIZERS}/word_bpe_49k.json", f"{TOKENIZERS}/byte_bpe_50k.json"
 SPECIAL = ["a<|endoftext|>b  <|startoftext|> c", " <|endoftext|>", "x  <|endoftext|>\n"]
 
 
 @pytest.fixture(scope="module")
 def libraries():
-    return {p: Tokenizer.from_file(p) for p in (WORD_BPE, BYTE_BPE)}
+    return {p: Tokenizer.from_file(token_counts.vocabulary_file(p)) for p in (WORD_BPE, BYTE_BPE)}
 
 
 def ids(library, text):
@@ -145,3 +144,13 @@ def test_groups_number_their_sequences_apart(spark, small_tables, libraries, mon
     rows = op5_packing(spark, small_tables).collect()
     check_packing(rows, {d.doc_id: [d.text] for d in docs}, libraries[BYTE_BPE])
     assert len({r.sequence_id >> 32 for r in rows}) > 3
+
+
+def test_equal_rows_are_dealt_to_groups_like_others(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(packing, "GROUP_PIECES", 100)
+    docs = spark.createDataFrame([(7, "the same words again")] * 3000, "doc_id bigint, text string")
+    rows = packing.pack_documents(docs, BYTE_BPE).collect()
+    groups = {}
+    for r in rows:
+        groups[r.sequence_id >> 32] = groups.get(r.sequence_id >> 32, 0) + 1
+    assert sum(groups.values()) == 3000 and len(groups) == 30 and max(groups.values()) < 200
