@@ -49,6 +49,9 @@ ANCHORS = 2
 #: A bit table has 2 ** BITS bits: half a megabyte.
 BITS = 22
 
+#: Ways in which the copies of a text with matches are spread.
+SALTS = 16
+
 RESULTS = ["n_words", "n_hit", "n_near", "items", "phrase_spans", "near_spans"]
 
 #: Lower-cases A to Z and turns every other ASCII character but letters and digits to a blank.
@@ -427,9 +430,14 @@ def contamination(
     )
     kind = itemized.schema["item_id"].dataType.simpleString()
     spans = [F.coalesce(c, F.array().cast(f"array<{_SPAN}>")).alias(c) for c in ("phrase_spans", "near_spans")]
+    # A text may have very many copies: the few texts with matches come once per salt.
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("__salt")
+    told = result.join(listed, "__key", "left").select("*", salts)
+    salt = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")
     return (
         index.drop("__postings")
-        .join(result.join(listed, "__key", "left"), "__key", "left")
+        .withColumn("__salt", salt)
+        .join(told, ["__key", "__salt"], "left")
         .withColumns({"n_hit": _covered("phrase_spans"), "n_near": _covered("near_spans")})
         .withColumn("items", F.coalesce("items", F.array().cast(f"array<{kind}>")))
         .select(*[c for c in docs.columns if c != "text"], "n_words", "n_hit", "n_near", "items", *spans)
