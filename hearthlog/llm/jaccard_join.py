@@ -9,11 +9,12 @@ sets, block by block, so no pair of a large group is ever a row: tasks give the
 links of each text and links that span what they connect.
 
 Exact copies (texts with the same words) are one text from the start, and every link of a
-text counts for each of its copies.
+text counts for each of its copies. Texts are numbered, so ids may be of any type that
+has an order.
 
 Defined cases: a text without words (or null) has no links and is a class of its own;
-repeated rows are copies; rows without ``doc_id`` take no part and have no class; rows
-that share a ``doc_id`` are one node; an empty table gives an empty result; further
+repeated rows are copies; rows without ``doc_id`` take no part and have no class; different
+texts under one ``doc_id`` are told apart; an empty table gives an empty result; further
 columns play no part.
 """
 
@@ -42,8 +43,10 @@ DEPTH = 5
 #: Bits of a path's step; a path of ``DEPTH`` steps fits a long.
 STEP_BITS = 12
 TARGET_RECALL = 0.99999
-#: Texts of a block when a component is verified in pairs of blocks.
+#: Texts of a block when a component is verified in pairs of blocks, and their bytes (a
+#: longer text is more).
 BLOCK = 512
+BLOCK_BYTES = 16 << 20
 #: Up to so many texts pairs are compared set by set.
 _FEW = 12
 _COLUMNS = 4096
@@ -92,13 +95,11 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if full:
             for i, row in zip(full, paths([shingles(texts[i], WORDS) for i in full])):
                 own_paths[i] = row
-        yield pa.RecordBatch.from_arrays(
-            [
-                part.column("doc_id").cast(pa.int64()),
-                pa.array(keys, pa.binary()),
-                pa.array(own_paths, pa.list_(pa.int64())),
-            ],
-            ["doc_id", "text_key", "paths"],
+        yield (
+            part.drop_columns(["text"])
+            .append_column("n_bytes", pa.array(map(len, texts), pa.int64()))
+            .append_column("text_key", pa.array(keys, pa.binary()))
+            .append_column("paths", pa.array(own_paths, pa.list_(pa.int64())))
         )
 
 
@@ -182,17 +183,12 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple[int, int, int]] = []
         texts = table.column("text").combine_chunks()
         for first, end in zip(edges, edges[1:]):
-            # A node once per text: repeated rows of an id bring the same text again.
-            once = {(ids[i], texts[i].as_py() or ""): i for i in range(first, end)}
-            sets = [shingles(text.encode(), WORDS) for _, text in once]
-            at = np.fromiter(once.values(), np.int64)
+            # Repeated rows bring a text again.
+            own, at = np.unique(ids[first:end], return_index=True)
+            at += first
+            sets = [shingles(texts[int(i)].as_py().encode(), WORDS) for i in at]
             linked = _linked(sets, side[at] if crossed[first] else None)
-            own, starts = np.unique(ids[at], return_index=True)
-            if len(own) < len(at):
-                linked = np.logical_or.reduceat(linked, starts, axis=0)
-                linked = np.logical_or.reduceat(linked, starts, axis=1)
-                np.fill_diagonal(linked, False)
-            counts = linked @ copies[at[starts]]
+            counts = linked @ copies[at]
             rows += [(int(own[i]), int(own[i]), int(counts[i])) for i in np.flatnonzero(counts)]
             rows += [(int(own[i]), int(own[j]), 0) for i, j in _spanning(linked)]
         yield pa.RecordBatch.from_arrays(
@@ -203,116 +199,136 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _cells(members: DataFrame) -> DataFrame:
     """Deal the texts of every component to the pairs of blocks they are compared in."""
-    sizes = members.groupBy("component").agg(F.count("*").alias("size"))
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    sizes = members.groupBy("component").agg(
+        F.count("*").alias("size"), F.sum("n_bytes").alias("bytes")
+    )
+    blocks = F.greatest(
+        F.ceil(F.col("size") / BLOCK), F.ceil(F.col("bytes") / BLOCK_BYTES)
+    ).cast("int")
     own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     dealt = members.join(sizes, "component").withColumn("blocks", blocks).withColumn("own", own)
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     return dealt.withColumn("other", other).select(
         "id",
         "copies",
+        "least",
         F.xxhash64("component", F.least("own", "other"), F.greatest("own", "other")).alias("cell"),
         F.col("own").alias("side"),
         (F.col("own") != F.col("other")).alias("crossed"),
     )
 
 
-def similar_documents(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``class_id`` and ``n_links`` of every row.
+def _joined(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Every row with its text's key, and every text with its class and links.
 
-    ``class_id`` is the least id among the documents that links connect. ``n_links`` is the
-    number of other documents, copies included, with a similarity of at least 0.8.
+    A text is found again by ``least``: the least id it stands under, and 64 bits of the
+    hash of what stands there.
     """
+    kind = docs.schema["doc_id"].dataType.simpleString()
     signed = park(
-        docs.select("doc_id", "text").mapInArrow(
-            _sign, "doc_id bigint, text_key binary, paths array<bigint>"
+        docs.select("doc_id", _text_hash(), "text").mapInArrow(
+            _sign,
+            f"doc_id {kind}, text_hash bigint, n_bytes bigint, text_key binary, paths array<bigint>",
         ),
         "jaccard-paths",
     )
+    own = F.struct("doc_id", "text_hash")
     texts = park(
         signed.where("doc_id is not null and text_key is not null")
         .groupBy("text_key")
         .agg(
-            F.min("doc_id").alias("id"),
+            F.min(own).alias("least"),
             F.count("*").alias("copies"),
-            F.min_by("paths", "doc_id").alias("paths"),
-        ),
+            F.first("paths").alias("paths"),
+            F.first("n_bytes").alias("n_bytes"),
+        )
+        .withColumn("id", F.monotonically_increasing_id()),
         "jaccard-texts",
     )
-    met = components(_candidates(texts))
-    weights = texts.groupBy("id").agg(F.sum("copies").alias("copies"))
-    members = met.withColumnRenamed("node", "id").join(weights, "id")
+    met = components(_candidates(texts)).withColumnRenamed("node", "id")
+    members = met.join(texts.select("id", "least", "copies", "n_bytes"), "id")
     cells = park(_cells(members), "jaccard-cells")
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("id"), "text")
+    rows = docs.select(_own().alias("least"), "text")
     # The texts are shuffled once, with the same plan whatever the number of candidates.
     compared = (
-        rows.join(cells.hint("shuffle_hash"), "id")
+        rows.join(cells.hint("shuffle_hash"), "least")
         .select("cell", "id", "copies", "side", "crossed", "text")
         .repartition("cell")
         .sortWithinPartitions("cell", "id")
     )
     verified = park(compared.mapInArrow(_verify, "a bigint, b bigint, links bigint"), "jaccard-links")
-    classes = components(verified.where("a <> b"))
+    classes = components(verified.where("a <> b")).withColumnRenamed("node", "id")
     counts = verified.where("a = b").groupBy(F.col("a").alias("id")).agg(F.sum("links").alias("links"))
+    first = (
+        classes.join(texts.select("id", "least"), "id")
+        .groupBy("component")
+        .agg(F.min("least").alias("first"))
+    )
     known = (
-        texts.select("text_key", "id", "copies")
-        .join(classes.withColumnRenamed("node", "id"), "id", "left")
+        texts.select("text_key", "id", "least", "copies")
+        .join(classes.join(first, "component").select("id", "first"), "id", "left")
         .join(counts, "id", "left")
         .select(
             "text_key",
-            F.coalesce("component", "id").alias("class_id"),
+            F.coalesce("first", "least").alias("first"),
             (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
         )
     )
+    return signed.drop("paths", "n_bytes"), known
+
+
+def _text_hash() -> Column:
+    """Alike for a null, an empty and a blank text."""
+    blanks = F.lit(" \t\n\x0b\f\r")
+    return F.xxhash64(F.btrim(F.coalesce("text", F.lit("")), blanks)).alias("text_hash")
+
+
+def _own() -> Column:
+    return F.struct("doc_id", _text_hash())
+
+
+def similar_documents(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``class_id`` and ``n_links`` of every row.
+
+    ``class_id`` is the least id among the documents that links connect. ``n_links`` is the
+    number of other documents, copies included, with a similarity of at least 0.8.
+    """
+    signed, known = _joined(docs)
+    named = F.col("doc_id").isNotNull()
     return (
         signed.select("doc_id", "text_key")
         .join(known, "text_key", "left")
         .select(
             "doc_id",
-            F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "doc_id")).alias("class_id"),
-            F.when(F.col("doc_id").isNotNull(), F.coalesce("n_links", F.lit(0)))
-            .otherwise(0)
-            .alias("n_links"),
+            F.when(named, F.coalesce("first.doc_id", "doc_id")).alias("class_id"),
+            F.when(named, F.coalesce("n_links", F.lit(0))).otherwise(0).alias("n_links"),
         )
     )
 
 
-def _words_hash() -> Column:
-    words = F.regexp_replace(F.coalesce("text", F.lit("")), r"[ \t\n\x0B\f\r]+", " ")
-    return F.xxhash64(F.trim(words))
-
-
-def _lost(docs: DataFrame) -> DataFrame:
-    """``doc_id`` and ``__words`` of the texts that a class can do without."""
-    texts = park(
-        docs.where("doc_id is not null").select("doc_id", _words_hash().alias("__words")).distinct(),
-        "jaccard-ids",
-    )
-    if texts.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
-        lost = similar_documents(docs).where("doc_id <> class_id").select("doc_id").distinct()
-        return lost.join(texts, "doc_id").select("doc_id", "__words")
-    # Different texts under one id are nodes of their own.
-    node = F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", "__words"))
-    nodes = docs.withColumn("__words", _words_hash()).select(node.alias("doc_id"), "text")
-    classes = similar_documents(nodes).where("doc_id is not null")
-    classes = classes.select(F.col("doc_id").alias("__node"), "class_id").distinct()
-    members = texts.withColumn("__node", node).join(classes, "__node")
-    own = F.struct("doc_id", "__words")
-    least = members.groupBy("class_id").agg(F.min(own).alias("__least"))
-    return members.join(least, "class_id").where(own != F.col("__least")).select("doc_id", "__words")
-
-
 def one_of_each_class(docs: DataFrame) -> DataFrame:
     """``docs`` without near copies: of every class the row with the least ``doc_id`` stays.
 
-    Rows without an id stay. Rows of one ``doc_id`` are told apart by a hash of their words.
+    Of several texts under that id the one with the least hash stays, of equal rows one;
+    rows without an id stay all. Texts are shuffled only where they meet what is lost.
     """
-    lost = park(_lost(docs), "jaccard-lost")
-    alone = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
-    return (
-        docs.withColumn("__words", _words_hash())
-        .join(lost.hint("shuffle_hash"), ["doc_id", "__words"], "left_anti")
-        .withColumn("__alone", alone)
-        .dropDuplicates(["doc_id", "__words", "__alone"])
-        .select(*docs.columns)
+    signed, known = _joined(docs)
+    own = F.struct("doc_id", "text_hash")
+    named = signed.where("doc_id is not null")
+    lost = park(
+        named.join(known, "text_key").where(own != F.col("first")).select(own.alias("__own")).distinct(),
+        "jaccard-lost",
+    )
+    again = park(
+        named.groupBy(own.alias("__own")).agg(F.count("*").alias("n")).where("n > 1").select("__own"),
+        "jaccard-again",
     )
+    marked = docs.withColumn("__own", _own())
+    kept = marked.join(lost.hint("shuffle_hash"), "__own", "left_anti")
+    if not again.isEmpty():
+        # Equal rows, which classes cannot tell apart: one of them stays.
+        twice = again.withColumn("__again", F.lit(True))
+        kept = kept.join(twice, "__own", "left")
+        once = kept.where("__again is null")
+        kept = once.unionByName(kept.where("__again").dropDuplicates(["__own"]))
+    return kept.select(*docs.columns)

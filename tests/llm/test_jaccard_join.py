@@ -129,3 +129,20 @@ def test_texts_that_share_an_id_are_judged_apart(docs_of):
     kept = jaccard_join.one_of_each_class(docs).collect()
     found = sorted((r.doc_id or 0, " ".join((r.text or "").split())) for r in kept)
     assert found == sorted([(7, one), (3, two + " more"), (8, three), (0, one), (5, "")])
+
+
+def test_ids_of_another_type(spark):
+    one, two = (" ".join(f"{u}{i}" for i in range(60)) for u in "ab")
+    rows = [("y", one), ("x", one + " more"), ("z", two), ("x", two), (None, one), ("w", None)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    found = sorted((r.doc_id or "", r.class_id or "", r.n_links) for r in jaccard_join.similar_documents(docs).collect())
+    assert found == [("", "", 0), ("w", "w", 0), ("x", "x", 1), ("x", "x", 1), ("y", "x", 1), ("z", "x", 1)]
+    kept = sorted((r.doc_id or "", r.text or "") for r in jaccard_join.one_of_each_class(docs).collect())
+    assert kept == [("", one), ("w", ""), ("x", one + " more"), ("x", two)]
+
+
+def test_blocks_are_cut_by_bytes(docs_of, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "BLOCK_BYTES", 2000)
+    rows = family(random.Random(11))
+    found = jaccard_join.similar_documents(docs_of(*rows)).collect()
+    assert {r.doc_id: (r.class_id, r.n_links) for r in found} == brute(rows)
