@@ -51,6 +51,43 @@ SELECT doc_id, len(words) AS n_words, coalesce(n, 0) AS n_removed,
 FROM split LEFT JOIN removed USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
 
+#: Strings of 200 bytes as 400 hexadecimal digits of the text.
+BYTE_REPEATS = """
+WITH docs AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS digits FROM documents),
+sized AS (SELECT doc_id, digits, CAST(length(digits) // 2 AS BIGINT) AS n_bytes FROM docs),
+strings AS (
+  SELECT doc_id, i, md5(substr(digits, 2 * i + 1, 400)) AS run
+  FROM sized, unnest(range(0, n_bytes - 199)) AS t(i)
+),
+repeated AS (
+  SELECT doc_id, i FROM strings SEMI JOIN (SELECT run FROM strings GROUP BY run HAVING count(*) > 1) USING (run)
+),
+-- Places at which coverage by repeated strings begins and ends, and the removed runs.
+edges AS (
+  SELECT doc_id, i, coalesce(i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 200, true) AS fresh FROM repeated
+),
+runs AS (
+  SELECT doc_id, min(i) AS first, max(i) + 200 AS past
+  FROM (SELECT *, count(*) FILTER (fresh) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM edges)
+  GROUP BY doc_id, run
+),
+kept AS (
+  SELECT doc_id, past AS since, lead(first) OVER (PARTITION BY doc_id ORDER BY first) AS until FROM runs
+  UNION ALL
+  SELECT doc_id, 0, min(first) FROM runs GROUP BY doc_id
+),
+left_over AS (
+  SELECT doc_id, string_agg(substr(digits, 2 * since + 1, 2 * (coalesce(until, n_bytes) - since)), '' ORDER BY since) AS rest
+  FROM kept JOIN sized USING (doc_id) GROUP BY doc_id
+),
+removed AS (
+  SELECT doc_id, count(*) AS n_spans, CAST(sum(past - first) AS BIGINT) AS n_removed FROM runs GROUP BY doc_id
+)
+SELECT doc_id, n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(rest, digits))) AS kept_sha256
+FROM sized LEFT JOIN removed USING (doc_id) LEFT JOIN left_over USING (doc_id)
+"""
+
 SOURCE_MIXING = f"""
 WITH docs AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), {_WORD})) AS size,

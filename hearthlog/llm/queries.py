@@ -158,10 +158,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    """Tokenization, checksums, parsers and 200-byte strings are left to the tests' brute force."""
+    """Tokenization, checksums and parsers are left to the tests' brute force."""
     return {
         "op1_topk_search": oracles.TOPK,
         "op2_word_repeats": oracles.WORD_REPEATS,
+        "op4_byte_repeats": oracles.BYTE_REPEATS,
         "op6_source_mixing": oracles.SOURCE_MIXING,
         "op9_jaccard_join": oracles.JACCARD_JOIN,
         "op10_quality_rules": oracles.quality_rules(),

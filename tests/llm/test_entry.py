@@ -59,3 +59,42 @@ def test_pipeline(spark, small_tables, libraries):  # noqa: F811
         want.setdefault(r.doc_id, []).append(r.text)
     rows = corpus_pipeline.run(spark, small_tables).collect()
     check_packing(rows, want, libraries[BYTE_BPE])
+
+
+def stages_of(spark, docs, folder):
+    """What each stage but the last makes of ``docs``, and the rows of the pipeline."""
+    docs.write.parquet(f"{folder}/documents.parquet")
+    kept = [spark.read.parquet(f"{folder}/documents.parquet")]
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept.append(park(stage(spark, kept[-1], folder), "test"))
+        assert kept[-1].columns == docs.columns, name
+    return kept, corpus_pipeline.run(spark, folder).collect()
+
+
+def test_pipeline_over_edge_rows(spark, tmp_path, small_tables, edge_docs, libraries):  # noqa: F811
+    """Nulls in any column, repeated ids and rows, and columns named like results."""
+    given = spark.read.parquet(f"{small_tables}/documents.parquet").limit(60)
+    rare = [" ".join(f"{u}{i}" for i in range(120)) for u in ("one", "two", "three", "four")]
+    odd = spark.createDataFrame(
+        [(None, rare[0], "en", "a", 1), (None, rare[1], None, None, None), (500_000, rare[2], "en", None, 1),
+         (500_000, rare[3], None, "a", 1), (500_000, rare[3], None, "a", 1), (500_001, rare[3] + " more", "de", "b", 1)],
+        "doc_id bigint, text string, lang string, source string, n_chars int",
+    )
+    docs = given.unionByName(odd).unionByName(edge_docs).repartition(3)
+    clash = ["n_words", "kept", "class_id", "spans", "size", "start", "cell", "copies", "words", "text_hash"]
+    docs = docs.withColumns({name: F.lit(name) for name in clash})
+    (start, good, single, clean, mixed), rows = stages_of(spark, docs, str(tmp_path))
+    texts = {r.text for r in single.collect()}
+    # Different texts without an id, or under one id, all stay; equal rows and near copies once.
+    assert {*rare[:3], rare[3]} <= texts and rare[3] + " more" not in texts
+    assert single.where("doc_id = 500000").count() == 2
+    assert clean.count() == single.count()
+    want = {}
+    for r in mixed.collect():
+        want.setdefault(r.doc_id, []).append(r.text)
+    check_packing(rows, want, libraries[BYTE_BPE])
+
+
+def test_pipeline_over_an_empty_table(spark, tmp_path, edge_docs):
+    kept, rows = stages_of(spark, edge_docs.where("false"), str(tmp_path))
+    assert rows == [] and all(frame.isEmpty() for frame in kept)
