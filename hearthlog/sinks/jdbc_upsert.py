@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import ClassVar
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hearthlog.schemas import SETTLE_ORDER, STORED, UPSERT_KEY
 
+#: The staging table's column that tells which write a row is of.
+RUN = "staged_by"
+
 #: Runs one SQL statement in the target database.
 Execute = Callable[[str], None]
 
@@ -21,8 +25,9 @@ def merge_statement(
     columns: Sequence[str] = tuple(STORED.names),
     keys: Sequence[str] = tuple(UPSERT_KEY),
     order: Sequence[str] = tuple(SETTLE_ORDER),
+    run: str | None = None,
 ) -> str:
-    """The statement that upserts the staged rows.
+    """The statement that upserts the staged rows, of one ``run`` or all.
 
     A staged row replaces a stored one unless that is the later of the two by ``order``:
     the result is the same whatever the batches. A task that ran twice may have staged
@@ -32,7 +37,7 @@ def merge_statement(
     # Columns that decide come last: MySQL assigns in turn, and reads what it assigned.
     rest = [c for c in columns if c not in keys and c not in order]
     rest += [c for c in reversed(order) if c in columns]
-    staged = f"SELECT DISTINCT {names} FROM {staging}"
+    staged = f"SELECT DISTINCT {names} FROM {staging}" + (f" WHERE {_of(run)}" if run else "")
     decide = [c for c in order if c in columns]
     if dialect == "mysql":
         later = _not_before("VALUES({})", "{}", decide)
@@ -59,6 +64,10 @@ def merge_statement(
     raise ValueError(f"unknown dialect {dialect!r}: use mysql, postgresql or ansi")
 
 
+def _of(run: str) -> str:
+    return f"{RUN} = '{run}'"
+
+
 def _not_before(new: str, old: str, order: Sequence[str]) -> str:
     """Whether the new row is at or after the old one; NULL comes before anything."""
     condition = ""
@@ -100,10 +109,13 @@ class JdbcUpsert:
     """Counts in a database table with primary key ``UPSERT_KEY``.
 
     The table holds the columns of ``STORED``: ``last_ts`` lets the merge keep the group
-    with the newest event whatever the order of batches. The executors write a batch to
+    with the newest event whatever the order of batches. The executors append a batch to
     the ``staging`` table, over at most ``connections`` connections; only the merge
-    statement runs from the driver. Counts are absolute, so replaying a batch changes
-    nothing. ``properties`` hold user, password and driver and come from the caller.
+    statement runs from the driver. Every write stages under a name of its own, merges its
+    own rows and removes them, so another job that stages at the same time, or one thought
+    dead that goes on, mixes nothing in. What a failed write has staged stays there, unused.
+    Counts are absolute, so replaying a batch changes nothing. ``properties`` hold user,
+    password and driver and come from the caller.
     """
 
     keyed: ClassVar[bool] = True
@@ -118,17 +130,15 @@ class JdbcUpsert:
     execute: Execute | None = None
 
     def write(self, counts: DataFrame, batch_id: int) -> None:
+        run = f"{batch_id}-{uuid.uuid4().hex}"
+        rows = counts.select(*STORED.names, F.lit(run).alias(RUN))
         # A shuffle, not a coalesce: the counting before it keeps its own parallelism.
-        self._stage(counts.select(*STORED.names).repartition(self.connections))
+        self._stage(rows.repartition(self.connections))
         execute = self.execute or driver_execute(
             counts.sparkSession, self.url, self.properties
         )
-        execute(merge_statement(self.dialect, self.table, self.staging))
+        execute(merge_statement(self.dialect, self.table, self.staging, run=run))
+        execute(f"DELETE FROM {self.staging} WHERE {_of(run)}")
 
     def _stage(self, rows: DataFrame) -> None:
-        rows.write.jdbc(
-            self.url,
-            self.staging,
-            mode="overwrite",
-            properties={"truncate": "true", **self.properties},
-        )
+        rows.write.jdbc(self.url, self.staging, mode="append", properties=dict(self.properties))

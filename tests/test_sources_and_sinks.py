@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from hearthlog.operators.fault_lookup import known_faults, lookup_faults_as_of
 from hearthlog.plans.daily_counts import daily_operation_counts
-from hearthlog.schemas import DAILY_COUNT, DEVICE_LOG
+from hearthlog.schemas import DAILY_COUNT, DEVICE_LOG, STORED
 from hearthlog.sinks.analytic_table import AnalyticTable
 from hearthlog.sinks.change_table import ChangeTable
 from hearthlog.sinks.jdbc_upsert import JdbcUpsert, _not_before, merge_statement
@@ -332,8 +332,48 @@ def test_jdbc_upsert_stages_before_it_merges(spark, monkeypatch):
         "jdbc:x", "counts", "counts_staging", execute=lambda sql: calls.append(("run", sql))
     )
     sink.write(counts_of(spark, ONE).withColumn("last_ts", F.current_timestamp()), 0)
-    assert [tuple(r)[:-1] for r in calls[0][1]] == [ONE]
-    assert calls[1] == ("run", merge_statement("mysql", "counts", "counts_staging"))
+    (row,) = calls[0][1]
+    assert tuple(row)[:-2] == ONE and row.staged_by.startswith("0-")
+    assert calls[1:] == [
+        ("run", merge_statement("mysql", "counts", "counts_staging", run=row.staged_by)),
+        ("run", f"DELETE FROM counts_staging WHERE staged_by = '{row.staged_by}'"),
+    ]
+
+
+@pytest.mark.parametrize("dialect", ["postgresql", "ansi"])
+def test_writers_that_stage_at_one_time_do_not_mix(spark, monkeypatch, dialect):
+    """An older write that was overtaken, and one that failed before it merged."""
+    con = duckdb.connect()
+    names = ", ".join(f'{f.name} {"BIGINT" if f.name == "cnt" else "TIMESTAMP" if f.name == "last_ts" else "VARCHAR"}' for f in STORED)
+    con.execute(f"CREATE TABLE counts ({names}, PRIMARY KEY (ds, iotId, eventName, optId))")
+    con.execute(f"CREATE TABLE staging ({names}, staged_by VARCHAR)")
+
+    def stage(self, rows):
+        for r in rows.withColumn("last_ts", F.col("last_ts").cast("string")).collect():
+            con.execute(f"INSERT INTO staging VALUES ({', '.join('?' * len(r))})", list(r))
+
+    monkeypatch.setattr(JdbcUpsert, "_stage", stage)
+
+    def write(cnt, second, execute=con.execute):
+        sink = JdbcUpsert("jdbc:x", "counts", "staging", dialect, execute=execute)
+        sink.write(timed(counts_of(spark, (*ONE[:7], cnt)), second), cnt)
+
+    def fails(statement):
+        raise RuntimeError("lost the driver")
+
+    with pytest.raises(RuntimeError):
+        write(99, 900, fails)
+    waiting = []
+    write(1, 100, waiting.append)  # staged, but another writer comes before its merge
+    write(5, 500)
+    assert con.execute("SELECT cnt FROM counts").fetchall() == [(5,)]
+    for statement in waiting:
+        con.execute(statement)
+    assert con.execute("SELECT cnt FROM counts").fetchall() == [(5,)]
+    write(7, 500)
+    assert con.execute("SELECT cnt FROM counts").fetchall() == [(7,)]
+    # Only what the failed write staged is left.
+    assert con.execute("SELECT cnt FROM staging").fetchall() == [(99,)]
 
 
 def test_jdbc_upsert_hides_its_secrets():
