@@ -35,6 +35,7 @@ from pyspark.sql import types as T
 
 from hearthlog.llm import window_counts
 from hearthlog.llm.sequences import HASH_BYTES, Runs, chunks, covered, mix, packed, run_hashes
+from hearthlog.llm.window_counts import binary_rows, places
 from hearthlog.llm.worker import park, slices, unzipped, whole_groups, zipped_texts
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -91,7 +92,7 @@ def _chunk_rows(part: pa.RecordBatch, chunk) -> pa.RecordBatch:
     anywhere = mix(whole + np.arange(len(whole), dtype=np.uint64))
     bucket = np.where(again, anywhere, runs.bucket)
     owner, start = chunk.whose(runs.first)
-    place = window_counts.places(start, runs.counts)
+    place = places(start, runs.counts)
     probes = digit[kinds >= 2]
     n, owners = len(probes), np.concatenate([owner, np.zeros(len(probes), np.int64)])
     return pa.RecordBatch.from_arrays(
@@ -245,9 +246,9 @@ def _open_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                     pa.array(runs.bucket.view(np.int64)),
                     part.column("doc_id").take(pa.array(owner)),
                     part.column("__hash").take(pa.array(owner)),
-                    pa.array(window_counts.places(start, runs.counts)),
+                    pa.array(places(start, runs.counts)),
                     pa.array(twice),
-                    window_counts.binary_rows(packed(hashes), runs.counts * HASH_BYTES),
+                    binary_rows(packed(hashes), runs.counts * HASH_BYTES),
                 ],
                 ["bucket", "doc_id", "text_hash", "place", "twice", "hashes"],
             )

@@ -38,6 +38,7 @@ from hearthlog.llm.sequences import (
     window_hashes,
     word_hashes,
 )
+from hearthlog.llm.window_counts import binary_rows, places
 from hearthlog.llm.worker import slices, unzipped, zipped_texts
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -76,7 +77,7 @@ def _chunk_edges(part: pa.RecordBatch, chunk) -> pa.RecordBatch:
     known = np.logical_and.reduceat(again, runs.starts)
     sent = np.repeat(~known, runs.counts)
     owner, start = chunk.whose(runs.first)
-    edges = window_counts.binary_rows(
+    edges = binary_rows(
         packed(hashes[sent]), np.where(known, 0, runs.counts * HASH_BYTES), ~known
     )
     # Rows that only pass are dealt out evenly, however many equal ones there are.
@@ -87,7 +88,7 @@ def _chunk_edges(part: pa.RecordBatch, chunk) -> pa.RecordBatch:
             pa.array(bucket),
             part.column("doc_id").take(pa.array(owner)),
             part.column("text_hash").take(pa.array(owner)),
-            pa.array(window_counts.places(start, runs.counts)),
+            pa.array(places(start, runs.counts)),
             pa.array(np.add.reduceat(twice, runs.starts)),
             edges,
         ],

@@ -1,11 +1,28 @@
 from __future__ import annotations
 
+import pickletools
 import random
 
 import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
+from pyspark import cloudpickle
 
+from hearthlog.llm import (
+    byte_repeats,
+    decontamination,
+    filter_audit,
+    html_extraction,
+    importance_sampling,
+    jaccard_join,
+    packing,
+    quality_rules,
+    secret_scan,
+    token_counts,
+    topk_search,
+    window_counts,
+    word_repeats,
+)
 from hearthlog.llm.worker import park, slices, unzipped, whole_groups, zipped_texts
 
 
@@ -45,3 +62,32 @@ def test_zipped_texts_come_back(docs_of, spark):
     column = pa.array([None if r["__zipped"] is None else bytes(r["__zipped"]) for r in rows], pa.binary())
     assert [t.decode() for t in unzipped(column)] == [t or "" for t in texts]
     assert rows[0]["__zipped"] is None and rows[1]["__zipped"] is not None
+
+
+def by_reference(function):
+    """Names of this package that a worker would have to import."""
+    names, found = [], set()
+    for op, value, _ in pickletools.genops(cloudpickle.dumps(function)):
+        if isinstance(value, str):
+            names.append(value)
+        if op.name == "STACK_GLOBAL" and names[-1] != names[-2]:
+            found.add(tuple(names[-2:]))
+    return {pair for pair in found if any(n.startswith("hearthlog") for n in pair)}
+
+
+@pytest.mark.parametrize(
+    "function",
+    [
+        byte_repeats._first_rows, byte_repeats._judge_rows, byte_repeats._settler(True),
+        byte_repeats._open_windows, byte_repeats._finisher(True), word_repeats._edges,
+        word_repeats._remove, window_counts._segments, window_counts._windows, packing._cutter("x", 3),
+        packing._packer(3), token_counts._summarize, token_counts._counter("x", 3, None),
+        decontamination._counter(b""), decontamination._indexer(b""), decontamination._itemize,
+        decontamination._verifier(3, 1), decontamination._texts_of(b""), decontamination._word_slots,
+        filter_audit._judge, importance_sampling._count, importance_sampling._weigher(None),
+        quality_rules._measure, topk_search._moments, topk_search._searcher(3, None),
+        jaccard_join._sign, jaccard_join._verify, html_extraction._extract, secret_scan._scan,
+    ],
+)
+def test_code_travels_with_the_plan(function):
+    assert by_reference(function) == set()
