@@ -13,23 +13,26 @@ documents would miss it by up to a document each.
 Defined cases: a null or empty text has no words and is never taken; null is a source,
 the last one; repeated rows queue one after the other; the shuffle is the MD5 of a seed,
 the document's id (null: empty) and its text's MD5, so reruns agree and rows that share an
-id, or have none, spread; an empty table gives an empty result; columns
-named like a result column are replaced.
+id, or have none, spread; an empty table gives an empty result; further columns play no
+part in the queue and pass through the mix.
 
-A source may hold most rows: running sums are taken within 4,096 slices of its queue, and
-only the slices' sums are added up per source.
+A source may hold most rows: running sums are taken within 65,536 slices of its queue, and
+only the slices' sums are added up per source. Ids and sizes queue, texts do not.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from hearthlog.llm.worker import park
+
 WEIGHTS = (5, 2, 1)
 BUDGET_PERCENT = 150
 PASSES = 2
 WORD = r"[^\x20\x09-\x0D]+"
 
-RESULT = ["size", "source_size", "target", "taken", "copy", "virtual_finish", "words"]
+#: Hexadecimal digits of a slice's number: 65,536 slices of a source's queue.
+SLICE_DIGITS = 4
 
 
 def _targets(sizes: DataFrame, weights: tuple[int, ...], percent: int) -> DataFrame:
@@ -63,27 +66,36 @@ def _targets(sizes: DataFrame, weights: tuple[int, ...], percent: int) -> DataFr
     )
 
 
+def _named(docs: DataFrame, seed: int) -> DataFrame:
+    """``docs`` with ``__order``, a row's place in the shuffle: alike for equal rows only."""
+    name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    text = F.md5(F.coalesce("text", F.lit("")))
+    return docs.withColumn("__order", F.md5(F.concat_ws(":", F.lit(seed), name, text)))
+
+
+def _sizes(docs: DataFrame, seed: int) -> DataFrame:
+    """``doc_id, source, size`` and ``__order``: all that is queued. Texts are read once."""
+    words = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint")
+    rows = _named(docs, seed).select("doc_id", "source", words.alias("size"), "__order")
+    return park(rows, "mixing-sizes")
+
+
 def queue(
     docs: DataFrame,
     weights: tuple[int, ...] = WEIGHTS,
     budget_percent: int = BUDGET_PERCENT,
     seed: int = 0,
 ) -> DataFrame:
-    """Every document twice (``copy`` 1 and 2), in the order of virtual finish times.
+    """Every document twice (``copy`` 1 and 2), with its virtual finish time.
 
-    ``words`` is what the mix takes of a copy, ``taken`` what it takes of both.
+    ``words`` is what the mix takes of a copy, ``taken`` what it takes of both. Of the
+    documents' own columns ``doc_id`` and ``source`` are left.
     """
-    docs = docs.drop(*RESULT)
-    name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    text = F.md5(F.coalesce("text", F.lit("")))
-    order = F.md5(F.concat_ws(":", F.lit(seed), name, text))
-    rows = docs.withColumns(
-        {
-            "size": F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint"),
-            "__order": order,
-            "__slice": F.substring(order, 1, 3),
-        }
-    )
+    return _queued(_sizes(docs, seed), weights, budget_percent).drop("__order")
+
+
+def _queued(sizes: DataFrame, weights: tuple[int, ...], budget_percent: int) -> DataFrame:
+    rows = sizes.withColumn("__slice", F.substring("__order", 1, SLICE_DIGITS))
     slices = (
         rows.groupBy(F.col("source").alias("__source"), F.col("__slice").alias("__part"))
         .agg(F.sum("size").alias("__words"))
@@ -91,8 +103,8 @@ def queue(
     along = Window.partitionBy("__source").orderBy("__part")
     earlier = F.sum("__words").over(along.rowsBetween(Window.unboundedPreceding, -1))
     offsets = slices.withColumn("__earlier", F.coalesce(earlier, F.lit(0)))
-    sizes = slices.groupBy("__source").agg(F.sum("__words").alias("source_size"))
-    targets = _targets(sizes, weights, budget_percent).withColumnRenamed("__source", "__of")
+    of_sources = slices.groupBy("__source").agg(F.sum("__words").alias("source_size"))
+    targets = _targets(of_sources, weights, budget_percent).withColumnRenamed("__source", "__of")
     offsets = offsets.join(targets, F.col("__source").eqNullSafe(F.col("__of"))).drop("__of", "__words")
     within = (
         Window.partitionBy("source", "__slice")
@@ -118,8 +130,9 @@ def queue(
         )
 
     copies = range(1, PASSES + 1)
-    entries = timed.select(
-        *docs.columns,
+    return timed.select(
+        "doc_id",
+        "source",
         "size",
         "source_size",
         "target",
@@ -127,28 +140,46 @@ def queue(
         "__order",
         F.inline(F.array(*map(entry, copies))),
     )
-    return _in_time(entries).drop("__order")
-
 
-def _in_time(entries: DataFrame) -> DataFrame:
-    by = ["virtual_finish", "source", "__order", "size"]
-    return entries.repartitionByRange(*by).sortWithinPartitions(*by)
 
-
-def mix(docs: DataFrame, **options) -> DataFrame:
+def mix(
+    docs: DataFrame,
+    weights: tuple[int, ...] = WEIGHTS,
+    budget_percent: int = BUDGET_PERCENT,
+    seed: int = 0,
+) -> DataFrame:
     """The mixed documents with their own columns, whole or cut after the words taken.
 
-    ``n_chars``, if there is one, follows the text.
+    They are sorted by virtual finish time over the whole cluster. Only what is taken
+    meets its text again, once. ``n_chars``, if there is one, follows the text; rows that
+    are equal in id and text bring the further columns of one of them.
     """
+    sizes = _sizes(docs, seed)
+    taken = _queued(sizes, weights, budget_percent).where(F.col("words") > 0)
+    taken = taken.select("__order", "virtual_finish", F.col("size").alias("__size"), "words")
+    texts = _named(docs, seed)
+    again = park(
+        sizes.groupBy("__order").agg(F.count("*").alias("n")).where("n > 1").select("__order"),
+        "mixing-again",
+    )
+    if not again.isEmpty():
+        marked = texts.join(again.withColumn("__again", F.lit(True)), "__order", "left")
+        once = marked.where("__again").dropDuplicates(["__order"])
+        texts = marked.where("__again is null").unionByName(once).drop("__again")
+    # Names of the queue's columns may be names of the documents', too.
+    names = ("virtual_finish", "words")
+    taken = taken.select("__order", "__size", *[F.col(c).alias(f"__{c}") for c in names])
+    words = F.col("__words").cast("int")
     first_words = F.array_join(
-        F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), 1, F.col("words").cast("int")),
-        " ",
+        F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), 1, words), " "
     )
-    mixed = queue(docs, **options).where(F.col("words") > 0)
-    mixed = mixed.withColumn(
-        "text", F.when(F.col("words") < F.col("size"), first_words).otherwise(F.col("text"))
+    whole = F.col("__words") >= F.col("__size")
+    mixed = texts.join(taken, "__order").withColumn(
+        "text", F.when(whole, F.col("text")).otherwise(first_words)
     )
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         mixed = mixed.withColumn("n_chars", F.length("text").cast(kind))
-    return mixed.select(*docs.columns)
+    by = ["__virtual_finish", "source", "__order", "__size"]
+    sort = mixed.repartitionByRange(*by).sortWithinPartitions(*by)
+    return sort.select(*docs.columns)
