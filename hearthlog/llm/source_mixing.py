@@ -16,7 +16,7 @@ the document's id (null: empty) and its text's MD5, so reruns agree and rows tha
 id, or have none, spread; an empty table gives an empty result; further columns play no
 part in the queue and pass through the mix.
 
-A source may hold most rows: running sums are taken within 65,536 slices of its queue, and
+A source may hold most rows: running sums are taken within 4,096 slices of its queue, and
 only the slices' sums are added up per source. Ids and sizes queue, texts do not.
 """
 
@@ -31,8 +31,9 @@ BUDGET_PERCENT = 150
 PASSES = 2
 WORD = r"[^\x20\x09-\x0D]+"
 
-#: Hexadecimal digits of a slice's number: 65,536 slices of a source's queue.
-SLICE_DIGITS = 4
+#: Hexadecimal digits of a slice's number: 4,096 slices of a source's queue. They are what
+#: one task adds up per source; a slice of it holds ids and sizes, and is sorted with spills.
+SLICE_DIGITS = 3
 
 
 def _targets(sizes: DataFrame, weights: tuple[int, ...], percent: int) -> DataFrame:
