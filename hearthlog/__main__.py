@@ -23,6 +23,7 @@ from hearthlog.operators.unstorable import (
 )
 from hearthlog.plans.daily_counts import daily_operation_counts
 from hearthlog.plans.views import fault_events, recipe_events, working_mode_events
+from hearthlog.schemas import STORED
 from hearthlog.sinks.analytic_table import AnalyticTable
 from hearthlog.sinks.batch_writer import CountSink
 from hearthlog.sinks.change_table import INSERT, ChangeTable
@@ -43,6 +44,7 @@ from hearthlog.streaming.daily_counts import (
 )
 from hearthlog.streaming.offsets import OffsetExport, exported_offsets
 from hearthlog.streaming.partial_counts import Aside, Dictionary, start_partial_counts
+from hearthlog.streaming.retained import retained_counts
 
 
 _VIEWS = ["faults", "modes", "recipes"]
@@ -126,6 +128,12 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--ttl-hours", type=float, help="forget counts idle for so long")
     job.add_argument("--export-offsets", help="where the source's offsets are written per batch")
     job.add_argument("--starting-offsets-from", help="begin where another job's export ends")
+    job.add_argument(
+        "--export-totals", help="only write the running totals in the checkpoint's state here"
+    )
+    job.add_argument(
+        "--base-totals", help="with --keep-state: go on with the totals another job exported"
+    )
     job.add_argument(
         "--close-epochs", action="store_true", help="only group old batches of the stored counts"
     )
@@ -241,6 +249,8 @@ def _check(p: argparse.ArgumentParser, args: argparse.Namespace) -> None:
         p.error("--keep-state works with --sink jdbc or analytic without --ttl-hours only")
     if args.keep_state and (args.dictionary_fresh or args.dictionary_versioned):
         p.error("a dictionary that changes needs counts in files, not --keep-state")
+    if args.base_totals and not args.keep_state:
+        p.error("--base-totals works with --keep-state only")
     if args.sink == "batch" and (args.ttl_hours or args.dictionary_versioned):
         p.error("--ttl-hours and --dictionary-versioned work with micro-batches only")
     if args.starting_offsets and args.starting_offsets_from:
@@ -288,6 +298,7 @@ def _keep_state(
     aside = args.unstorable_path or f"{args.checkpoint}-unstorable/events"
     beside.append(start_unstorable(log, aside, f"{args.checkpoint}-unstorable/checkpoint", **timing))
     dictionary = _dictionary(spark, args)
+    base = spark.read.schema(STORED).parquet(args.base_totals) if args.base_totals else None
 
     def start(broadcast: bool | None) -> StreamingQuery:
         return start_daily_counts(
@@ -297,6 +308,7 @@ def _keep_state(
             args.checkpoint,
             null_keys=args.null_keys,
             broadcast=broadcast,
+            base=base,
             **timing,
         )
 
@@ -309,6 +321,9 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
     _check(p, args)
     spark = spark or SparkSession.builder.appName("hearthlog").getOrCreate()
     configure_session(spark, args.time_zone)
+    if args.export_totals:
+        retained_counts(spark, args.checkpoint).write.parquet(args.export_totals)
+        return
     if args.close_epochs:
         print(f"closed epochs: {_table(args).close_epochs(spark)}")
         return

@@ -5,6 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from hearthlog import __main__ as job
 from hearthlog.__main__ import _device_log, _sink, main, parser
 from hearthlog.plans.daily_counts import daily_operation_counts
 from hearthlog.plans.views import working_mode_events
@@ -138,6 +139,22 @@ def test_a_versioned_dictionary_and_exported_offsets(session, tmp_path, inputs):
     main(arguments(tmp_path, "--sink-path", f"{tmp_path}/table", "--close-epochs"), session)
 
 
+def test_totals_in_state_go_on_in_another_job(session, tmp_path, inputs, monkeypatch):
+    """Exported from a job with 4 state partitions, gone on with by one with 8."""
+    monkeypatch.setattr(job, "_sink", lambda args: ChangeTable(f"{args.checkpoint}-table"))
+    database = ["--sink", "jdbc", "--sink-url", "u", "--sink-table", "t", "--staging-table", "s"]
+    sink = [*database, "--keep-state", "--until-caught-up"]
+    main(arguments(tmp_path, *sink, "--shuffle-partitions", "4"), session)
+    main(arguments(tmp_path, *sink, "--export-totals", f"{tmp_path}/totals"), session)
+    assert bag(session.read.parquet(f"{tmp_path}/totals")) == bag(daily_operation_counts(*inputs))
+    again = arguments(tmp_path, *sink, "--shuffle-partitions", "8", "--base-totals", f"{tmp_path}/totals")
+    again[again.index("--checkpoint") + 1] = f"{tmp_path}/second"
+    main(again, session)
+    log, dictionary = inputs
+    expected = bag(daily_operation_counts(log.unionAll(log), dictionary))
+    assert bag(ChangeTable(f"{tmp_path}/second-table").current(session)) == expected
+
+
 def test_sinks_take_their_secrets_from_files(tmp_path):
     (tmp_path / "p.json").write_text(json.dumps({"user": "u", "password": "w"}))
     database = ["--sink-url", "jdbc:x", "--sink-table", "t", "--staging-table", "s"]
@@ -178,6 +195,8 @@ def test_kafka_needs_its_connector(spark):
          "--sink-path", "p", "--starting-offsets", "latest"],
         ["--log-path", "l", "--dictionary-path", "d", "--checkpoint", "c", "--sink", "console",
          "--keep-state"],
+        ["--log-path", "l", "--dictionary-path", "d", "--checkpoint", "c", "--sink-path", "p",
+         "--base-totals", "b"],
         ["--log-path", "l", "--dictionary-path", "d", "--checkpoint", "c", "--sink-path", "p",
          "--starting-offsets", "earliest", "--starting-offsets-from", "o"],
     ],
